@@ -61,7 +61,7 @@ def entities_from_embeddings(embeddings: DataFrame) -> DataFrame:
 
 
 def _word(col: Column, i: int) -> Column:
-    return F.split(col, " ").getItem(i)
+    return F.split_part(col, F.lit(" "), F.lit(i))
 
 
 def raw_catalog(part: DataFrame) -> DataFrame:
@@ -133,7 +133,7 @@ def replies(part: DataFrame, side: str) -> DataFrame:
       * no JSON at all for type PROMO on the image side.
     """
     size = F.col("p_size")
-    first, second = _word(F.col("p_name"), 0), _word(F.col("p_name"), 1)
+    first, second = _word(F.col("p_name"), 1), _word(F.col("p_name"), 2)
     if side == "text":
         cat1, cat2, style = second, F.col("p_type"), first
     else:

@@ -75,3 +75,192 @@ ORACLE_SQL: dict[str, str] = {
     "vector_topk_filtered": VECTOR_TOPK_FILTERED,
     "vector_lookup": VECTOR_LOOKUP,
 }
+
+
+# --- model replies derived from part (twin of fixtures.replies) ---------------
+
+def _q(expr: str) -> str:
+    return f"'\"' || {expr} || '\"'"
+
+
+def replies_cte(side: str) -> str:
+    w1, w2 = "split_part(p_name, ' ', 1)", "split_part(p_name, ' ', 2)"
+    if side == "text":
+        cat1, cat2, style = w2, "p_type", w1
+    else:
+        cat1, cat2, style = "lower(p_type)", w2, f"{w1} || ' look'"
+    nl = "chr(10)"
+    obj1 = (
+        f"""'{{"category1": ' || {_q(cat1)} || ', "category2": ' ||
+        CASE WHEN p_size % 7 = 0 THEN '"unknown"' ELSE {_q(cat2)} END ||
+        ', "color": ' || {_q(w1)} ||
+        CASE WHEN p_size % 5 = 0 THEN '' ELSE ', "style": ' || {_q(style)} END ||
+        ', "material": ' ||
+        CASE WHEN p_size > 45 THEN {_q(f"repeat({w1} || '-', 12)")} ELSE {_q('p_brand')} END ||
+        ', "occasion": ' || CASE WHEN p_size % 7 = 0 THEN '"unknown"' ELSE '"daily"' END || '}}'"""
+    )
+    obj2 = f"""'{{"category1": ' || {_q(w2)} || ', "color": ' || {_q('p_brand')} || ', "size": ' || CAST(p_size AS VARCHAR) || '}}'"""
+    nested = """'{"category1": {"inner": "x"}, "color": "red"}'"""
+    body = (
+        f"'[' || {nl} || '  ' || {obj1} ||"
+        f" CASE WHEN p_size % 2 = 0 THEN ',' || {nl} || '  ' || {obj2} ELSE '' END ||"
+        f" CASE WHEN p_type = 'MEDIUM' THEN ',' || {nl} || '  ' || {nested} ELSE '' END ||"
+        f" {nl} || ']'"
+    )
+    content = f"'Here is what I see in the {side}:' || {nl} || {body} || {nl} || 'Hope this helps.'"
+    if side == "image":
+        content = f"CASE WHEN p_type = 'PROMO' THEN 'I cannot tell anything about it.' ELSE {content} END"
+    return f"""replies_{side} AS (
+    SELECT CAST(p_partkey AS VARCHAR) AS prd_id,
+           p_brand <> 'Brand#13' AS status,
+           CASE WHEN p_brand = 'Brand#13' THEN NULL ELSE {content} END AS content,
+           CASE WHEN p_brand = 'Brand#13' THEN 'model endpoint timed out' END AS error
+    FROM part
+)"""
+
+
+OBJECT_PATTERN_SQL = r"'(?s)\{.*?\}'"
+TRAIT_KEYS_SQL = ("category1", "category2", "color", "style", "material", "occasion")
+TRAIT_WIDTHS_SQL = {"category1": 30, "category2": 30, "color": 50, "style": 50, "material": 50, "occasion": 50}
+
+
+def trait_rows_cte(side: str) -> str:
+    """All parsed trait rows of one side (before width checks)."""
+    fields = ",\n           ".join(f"json_extract_string(frag, '$.{k}') AS {k}" for k in TRAIT_KEYS_SQL)
+    return f"""frags_{side} AS (
+    SELECT prd_id, unnest(regexp_extract_all(content, {OBJECT_PATTERN_SQL})) AS frag
+    FROM replies_{side}
+    WHERE status
+),
+parsed_{side} AS (
+    SELECT {fields},
+           prd_id
+    FROM frags_{side}
+    WHERE json_valid(frag)
+)"""
+
+
+def _width_ok(cols: dict[str, int]) -> str:
+    return " AND ".join(f"coalesce(length({c}) <= {n}, true)" for c, n in cols.items())
+
+
+def traits_cte(side: str) -> str:
+    """Valid trait rows of one side (twin of traits.extract_traits)."""
+    return f"""{replies_cte(side)},
+{trait_rows_cte(side)},
+traits_{side} AS (
+    SELECT * FROM parsed_{side}
+    WHERE prd_id IS NOT NULL AND {_width_ok({**TRAIT_WIDTHS_SQL, 'prd_id': 30})}
+)"""
+
+
+TRAIT_EXTRACT = "WITH " + traits_cte("text") + "\nSELECT * FROM traits_text\n"
+
+EXTRACT_JSON_ARRAY = "WITH " + replies_cte("text") + f"""
+SELECT prd_id,
+       CAST(len(list_filter(regexp_extract_all(content, {OBJECT_PATTERN_SQL}), lambda f: json_valid(f))) AS INTEGER) AS n_objects
+FROM replies_text
+WHERE status
+"""
+
+JSON_PROPS_EXTRACT = f"""
+WITH frags AS (
+    SELECT event_id, unnest(regexp_extract_all(props, {OBJECT_PATTERN_SQL})) AS frag FROM events
+)
+SELECT event_id, json_extract_string(frag, '$.k') AS k
+FROM frags
+WHERE json_valid(frag)
+"""
+
+REPLIES_SPLIT = "WITH " + replies_cte("text") + ",\n" + replies_cte("image") + """
+SELECT prd_id, 'traits_text' AS stage, CASE WHEN status THEN 'parse' ELSE 'reject' END AS route, error AS detail
+FROM replies_text
+UNION ALL
+SELECT prd_id, 'traits_image' AS stage, CASE WHEN status THEN 'parse' ELSE 'reject' END AS route, error AS detail
+FROM replies_image
+"""
+
+
+# --- catalog derived from part (twin of fixtures.raw_catalog + clean_catalog) ---
+
+NA_TOKENS_SQL = (
+    "'', '#N/A', '#N/A N/A', '#NA', '-1.#IND', '-1.#QNAN', '-NaN', '-nan', '1.#IND', '1.#QNAN', "
+    "'<NA>', 'N/A', 'NA', 'NULL', 'NaN', 'None', 'n/a', 'nan', 'null'"
+)
+CATEGORY_VALUES_SQL = (
+    "('https://shop.example/c/ECONOMY', '이코노미'), ('https://shop.example/c/LARGE', '라지'), "
+    "('https://shop.example/c/MEDIUM', '미디엄'), ('https://shop.example/c/SMALL', '스몰'), "
+    "('https://shop.example/c/STANDARD', '스탠다드')"
+)
+
+
+def _na(c: str) -> str:
+    return f"CASE WHEN {c} IN ({NA_TOKENS_SQL}) THEN NULL ELSE {c} END"
+
+
+def raw_catalog_select(source: str = "part", name_expr: str = "p_name") -> str:
+    return f"""SELECT CAST(p_partkey AS VARCHAR) AS order_key,
+           'https://shop.example/c/' || p_type AS category_link,
+           {name_expr} AS name,
+           format('{{:,}}', p_partkey * 137 + 9000) || '원' AS price3,
+           CASE WHEN p_size % 7 = 0 THEN 'N/A' ELSE '(' || format('{{:,}}', p_size * 40) || ')' END AS rating,
+           CASE WHEN p_size % 11 = 0 THEN '' ELSE printf('%d.%d', p_size % 5, p_size % 10) END AS rating_value
+    FROM {source}"""
+
+
+def cleaned_select(raw: str, extra: str = "") -> str:
+    """Twin of clean_catalog over the relation ``raw`` (``extra``: carried columns)."""
+    return f"""SELECT {extra}nullif({_na('r.order_key')}, '') AS prd_id,
+           m.category AS category,
+           nullif({_na('r.name')}, '') AS prd_name,
+           TRY_CAST(nullif(replace(replace({_na('r.price3')}, '원', ''), ',', ''), '') AS DECIMAL(20,4)) AS price,
+           TRY_CAST(nullif(replace(replace({_na('r.rating')}, '(', ''), ')', ''), '') AS DECIMAL(20,4)) AS review,
+           TRY_CAST(nullif({_na('r.rating_value')}, '') AS DECIMAL(20,4)) AS review_rating,
+           '/data/catalog/prd_img/' || nullif({_na('r.order_key')}, '') || '.jpg' AS prd_img
+    FROM {raw} r
+    LEFT JOIN (VALUES {CATEGORY_VALUES_SQL}) AS m(link, category)
+      ON m.link = {_na('r.category_link')}"""
+
+
+CATALOG_CLEAN = f"""
+WITH raw AS ({raw_catalog_select()}),
+cleaned AS ({cleaned_select('raw')})
+SELECT prd_id, category, prd_name,
+       CAST(price AS DOUBLE) AS price, CAST(review AS DOUBLE) AS review,
+       CAST(review_rating AS DOUBLE) AS review_rating, prd_img
+FROM cleaned
+WHERE prd_id IS NOT NULL AND {_width_ok({'prd_id': 30, 'category': 20})}
+"""
+
+INSERT_IGNORE = f"""
+WITH raw AS (
+    SELECT r.*, p.p_partkey * 3 + 1 AS ord
+    FROM ({raw_catalog_select()}) r
+    JOIN part p ON CAST(p.p_partkey AS VARCHAR) = r.order_key
+    UNION ALL
+    SELECT r.*, p.p_partkey * 3 + CASE WHEN p.p_size % 2 = 0 THEN 0 ELSE 2 END AS ord
+    FROM ({raw_catalog_select("part", "p_name || ' v2'")} WHERE p_size > 40) r
+    JOIN part p ON CAST(p.p_partkey AS VARCHAR) = r.order_key
+),
+cleaned AS ({cleaned_select('raw', 'r.ord AS ord, ')}),
+ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY prd_id ORDER BY ord) AS rn
+    FROM cleaned
+    WHERE prd_id IS NOT NULL AND {_width_ok({'prd_id': 30, 'category': 20})}
+)
+SELECT prd_id, prd_name, CAST(price AS DOUBLE) AS price
+FROM ranked
+WHERE rn = 1
+  AND NOT EXISTS (SELECT 1 FROM part p WHERE p.p_type = 'SMALL' AND CAST(p.p_partkey AS VARCHAR) = ranked.prd_id)
+"""
+
+ORACLE_SQL.update(
+    {
+        "trait_extract": TRAIT_EXTRACT,
+        "extract_json_array": EXTRACT_JSON_ARRAY,
+        "json_props_extract": JSON_PROPS_EXTRACT,
+        "replies_split": REPLIES_SPLIT,
+        "catalog_clean": CATALOG_CLEAN,
+        "insert_ignore": INSERT_IGNORE,
+    }
+)

@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import similarity
+from ..functions.jsonx import extract_json_objects
+from ..operators import catalog, similarity, traits
 from . import fixtures as fx
 
 ROUND = 6
@@ -52,3 +53,72 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vector_topk_filtered": q_vector_topk_filtered,
     "vector_lookup": q_vector_lookup,
 }
+
+
+# --- trait extraction ---------------------------------------------------------
+
+def _part(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.read_table(spark, sf_dir, "part")
+
+
+def q_trait_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    valid, _ = traits.extract_traits(fx.replies(_part(spark, sf_dir), "text"), "text")
+    return valid
+
+
+def q_extract_json_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ok, _ = traits.split_replies(fx.replies(_part(spark, sf_dir), "text"), "traits_text")
+    return traits.object_counts(ok)
+
+
+def q_json_props_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = fx.read_table(spark, sf_dir, "events")
+    objs = events.select("event_id", F.explode(extract_json_objects(F.col("props"), ("k",))).alias("o"))
+    return objs.select("event_id", F.col("o")["k"].alias("k"))
+
+
+def q_replies_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = _part(spark, sf_dir)
+    out = None
+    for side in ("text", "image"):
+        stage = f"traits_{side}"
+        ok, rejects = traits.split_replies(fx.replies(part, side), stage)
+        routed = ok.select(
+            "prd_id", F.lit(stage).alias("stage"), F.lit("parse").alias("route"), F.col("error").alias("detail")
+        ).unionByName(rejects.select("prd_id", "stage", F.lit("reject").alias("route"), "detail"))
+        out = routed if out is None else out.unionByName(routed)
+    return out
+
+
+# --- catalog ------------------------------------------------------------------
+
+def _clean(raw: DataFrame) -> tuple[DataFrame, DataFrame]:
+    return catalog.clean_catalog(raw, fx.FIXTURE_IMAGE_DIR, fx.FIXTURE_CATEGORY_MAP)
+
+
+def _as_double(df: DataFrame, cols) -> DataFrame:
+    return df.select(*[F.col(c).cast("double").alias(c) if c in cols else F.col(c) for c in df.columns])
+
+
+def q_catalog_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+    valid, _ = _clean(fx.raw_catalog(_part(spark, sf_dir)))
+    return _as_double(valid, catalog.NUMERIC_COLUMNS)
+
+
+def q_insert_ignore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = _part(spark, sf_dir)
+    valid, _ = _clean(fx.raw_catalog_with_duplicates(part))
+    appended = catalog.insert_ignore(valid, fx.existing_catalog_keys(part))
+    return appended.select("prd_id", "prd_name", F.col("price").cast("double").alias("price"))
+
+
+QUERIES.update(
+    {
+        "trait_extract": q_trait_extract,
+        "extract_json_array": q_extract_json_array,
+        "json_props_extract": q_json_props_extract,
+        "replies_split": q_replies_split,
+        "catalog_clean": q_catalog_clean,
+        "insert_ignore": q_insert_ignore,
+    }
+)
