@@ -264,3 +264,132 @@ ORACLE_SQL.update(
         "insert_ignore": INSERT_IGNORE,
     }
 )
+
+
+# --- integration, documents, rejects ------------------------------------------
+
+from ..schemas import RULES  # noqa: E402
+
+
+def _rule_rejects(relation: str, stage: str, rules) -> str:
+    parts = []
+    for r in rules:
+        if r.kind == "max_len":
+            cond = f"length({r.column}) > {r.arg}"
+            detail = f"'length ' || length({r.column}) || ' > {r.arg}'"
+        elif r.kind == "not_null":
+            cond, detail = f"{r.column} IS NULL", "'null'"
+        else:
+            continue
+        parts.append(
+            f"SELECT '{stage}' AS stage, CAST(prd_id AS VARCHAR) AS prd_id, '{r.kind}' AS rule, "
+            f"'{r.column}' AS column_name, {detail} AS detail FROM {relation} WHERE {cond}"
+        )
+    return "\nUNION ALL\n".join(parts)
+
+
+def _rules_ok(rules) -> str:
+    conds = []
+    for r in rules:
+        if r.kind == "max_len":
+            conds.append(f"coalesce(length({r.column}) <= {r.arg}, true)")
+        elif r.kind == "not_null":
+            conds.append(f"{r.column} IS NOT NULL")
+    return " AND ".join(conds)
+
+
+_TRAIT_COLS = ", ".join(f"r.{k}" for k in TRAIT_KEYS_SQL)
+
+PIPELINE_CTES = f"""{traits_cte('text')},
+{traits_cte('image')},
+raw AS ({raw_catalog_select()}),
+cleaned AS ({cleaned_select('raw', "replace(replace(" + _na('r.price3') + ", '원', ''), ',', '') AS price_text, replace(replace(" + _na('r.rating') + ", '(', ''), ')', '') AS review_text, " + _na('r.rating_value') + " AS review_rating_text, ")}),
+product_raw AS (SELECT * FROM cleaned WHERE {_rules_ok(RULES['product_raw'])}),
+both_sides AS (SELECT DISTINCT prd_id FROM traits_text INTERSECT SELECT DISTINCT prd_id FROM traits_image),
+base AS (SELECT p.prd_id, p.category, p.prd_name FROM product_raw p JOIN both_sides b ON b.prd_id = p.prd_id),
+trait_rows AS (
+    SELECT *, 'text' AS trait_side FROM traits_text
+    UNION ALL
+    SELECT *, 'image' AS trait_side FROM traits_image
+),
+joined AS (
+    SELECT b.prd_id, b.category, b.prd_name, r.trait_side, {_TRAIT_COLS}
+    FROM trait_rows r JOIN base b ON b.prd_id = r.prd_id
+),
+integrated AS (SELECT * FROM joined WHERE {_rules_ok(RULES['products_trait_information'])})"""
+
+INTEGRATE_TRAITS = "WITH " + PIPELINE_CTES + "\nSELECT * FROM integrated\n"
+
+
+def _masked(prefix: str = "") -> str:
+    parts = [f"CASE WHEN {prefix}{k} = 'unknown' THEN '' ELSE {prefix}{k} END" for k in ("category1", "category2", "style", "occasion")]
+    return "concat_ws(' ', " + ", ".join(parts) + ")"
+
+
+MASKED_CONCAT = "WITH " + PIPELINE_CTES + f"""
+SELECT prd_id, trait_side, {_masked()} AS trait_doc FROM integrated
+"""
+
+ENTITY_DOCUMENTS = "WITH " + PIPELINE_CTES + f""",
+docs AS (
+    SELECT prd_id, 'product_name' AS prd_tag, min(prd_name) AS prd_text FROM integrated GROUP BY prd_id
+    UNION
+    SELECT DISTINCT prd_id, CASE WHEN trait_side = 'text' THEN 'product_text' ELSE 'product_image' END AS prd_tag,
+           {_masked()} AS prd_text
+    FROM integrated
+)
+SELECT prd_id, prd_tag, prd_text,
+       'Instruct: 패션 의류 및 아이템 상품 유사도 분류' || chr(10) || 'Query: ' || prd_text AS prompt
+FROM docs
+"""
+
+DISTINCT_PRODUCTS = "WITH " + PIPELINE_CTES + """
+SELECT prd_id,
+       count(*) FILTER (WHERE trait_side = 'text') AS n_text,
+       count(*) FILTER (WHERE trait_side = 'image') AS n_image,
+       count(*) FILTER (WHERE trait_side = 'text') * count(*) FILTER (WHERE trait_side = 'image') AS n_pairs
+FROM integrated
+GROUP BY prd_id
+"""
+
+_CAST_REJECTS = "\nUNION ALL\n".join(
+    f"SELECT 'catalog' AS stage, prd_id, 'cast_decimal' AS rule, '{c}' AS column_name, nullif({c}_text, '') AS detail "
+    f"FROM cleaned WHERE nullif({c}_text, '') IS NOT NULL AND {c} IS NULL"
+    for c in ("price", "review", "review_rating")
+)
+
+QUALITY_REJECTS = "WITH " + PIPELINE_CTES + f"""
+{_CAST_REJECTS}
+UNION ALL
+{_rule_rejects('cleaned', 'catalog', RULES['product_raw'])}
+UNION ALL
+SELECT 'traits_text', prd_id, 'model_error', NULL, error FROM replies_text WHERE NOT status
+UNION ALL
+{_rule_rejects('parsed_text', 'traits_text', RULES['products_trait_text'])}
+UNION ALL
+SELECT 'traits_image', prd_id, 'model_error', NULL, error FROM replies_image WHERE NOT status
+UNION ALL
+{_rule_rejects('parsed_image', 'traits_image', RULES['products_trait_image'])}
+UNION ALL
+{_rule_rejects('joined', 'integrate', RULES['products_trait_information'])}
+"""
+
+REQUESTS_TEXT = "WITH " + PIPELINE_CTES + """
+SELECT prd_id,
+       'trait-model' AS model,
+       'What can you tell me about "' || prd_name || '" ?' AS user_text,
+       CAST(2 AS INTEGER) AS n_messages
+FROM product_raw
+WHERE prd_img IS NOT NULL
+"""
+
+ORACLE_SQL.update(
+    {
+        "integrate_traits": INTEGRATE_TRAITS,
+        "masked_concat": MASKED_CONCAT,
+        "entity_documents": ENTITY_DOCUMENTS,
+        "distinct_products": DISTINCT_PRODUCTS,
+        "quality_rejects": QUALITY_REJECTS,
+        "requests_text": REQUESTS_TEXT,
+    }
+)

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.jsonx import extract_json_objects
-from ..operators import catalog, similarity, traits
+from ..operators import catalog, entities, integrate, requests, similarity, traits
 from . import fixtures as fx
 
 ROUND = 6
@@ -122,3 +122,64 @@ QUERIES.update(
         "insert_ignore": q_insert_ignore,
     }
 )
+
+
+# --- integration, documents, rejects, requests ----------------------------------
+
+def _pipeline(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The batch stages 1-5 over the part-derived inputs, lazily."""
+    part = _part(spark, sf_dir)
+    raw, catalog_rejects = _clean(fx.raw_catalog(part))
+    text, text_rejects = traits.extract_traits(fx.replies(part, "text"), "text")
+    image, image_rejects = traits.extract_traits(fx.replies(part, "image"), "image")
+    integrated, integrate_rejects = integrate.integrate_traits(raw, text, image)
+    return {
+        "product_raw": raw,
+        "integrated": integrated,
+        "rejects": catalog_rejects.unionByName(text_rejects)
+        .unionByName(image_rejects)
+        .unionByName(integrate_rejects),
+    }
+
+
+def q_integrate_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pipeline(spark, sf_dir)["integrated"]
+
+
+def q_masked_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    integrated = _pipeline(spark, sf_dir)["integrated"]
+    return integrated.select("prd_id", "trait_side", entities.trait_document().alias("trait_doc"))
+
+
+def q_entity_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return entities.entity_documents(_pipeline(spark, sf_dir)["integrated"])
+
+
+def q_distinct_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return integrate.pair_counts(_pipeline(spark, sf_dir)["integrated"])
+
+
+def q_quality_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pipeline(spark, sf_dir)["rejects"]
+
+
+def q_requests_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reqs = requests.text_requests(_pipeline(spark, sf_dir)["product_raw"], requests.ChatSettings(model="trait-model"))
+    return reqs.select(
+        "prd_id",
+        F.get_json_object("request", "$.model").alias("model"),
+        F.get_json_object("request", "$.messages[1].content[0].text").alias("user_text"),
+        F.json_array_length(F.get_json_object("request", "$.messages")).alias("n_messages"),
+    )
+
+
+QUERIES.update(
+    {
+        "integrate_traits": q_integrate_traits,
+        "masked_concat": q_masked_concat,
+        "entity_documents": q_entity_documents,
+        "distinct_products": q_distinct_products,
+        "quality_rejects": q_quality_rejects,
+        "requests_text": q_requests_text,
+    }
+)
