@@ -393,3 +393,35 @@ ORACLE_SQL.update(
         "requests_text": REQUESTS_TEXT,
     }
 )
+
+
+# --- model jobs with the deterministic doubles ---------------------------------
+
+INFER_TRAITS = "WITH " + PIPELINE_CTES + """,
+echoed AS (
+    SELECT prd_id, prd_name, string_split(prd_name, ' ') AS words
+    FROM product_raw
+    WHERE prd_img IS NOT NULL
+)
+SELECT words[-1] AS category1, CAST(NULL AS VARCHAR) AS category2, words[1] AS color,
+       prd_name AS style, CAST(NULL AS VARCHAR) AS material, 'unknown' AS occasion, prd_id
+FROM echoed
+WHERE words[1] <> 'hot'
+  AND coalesce(length(words[-1]) <= 30, true) AND coalesce(length(words[1]) <= 50, true)
+  AND coalesce(length(prd_name) <= 50, true) AND length(prd_id) <= 30
+"""
+
+ENCODE_ENTITIES = "WITH " + PIPELINE_CTES + f""",
+docs AS (
+    SELECT prd_id, 'product_name' AS prd_tag, min(prd_name) AS prd_text FROM integrated GROUP BY prd_id
+    UNION
+    SELECT DISTINCT prd_id, CASE WHEN trait_side = 'text' THEN 'product_text' ELSE 'product_image' END AS prd_tag,
+           {_masked()} AS prd_text
+    FROM integrated
+)
+SELECT prd_id, prd_tag, prd_text, CAST(64 AS BIGINT) AS dim
+FROM docs
+WHERE length(prd_id) <= 50 AND length(prd_text) <= 500
+"""
+
+ORACLE_SQL.update({"infer_traits": INFER_TRAITS, "encode_entities": ENCODE_ENTITIES})

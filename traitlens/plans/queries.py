@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.jsonx import extract_json_objects
-from ..operators import catalog, entities, integrate, requests, similarity, traits
+from ..operators import catalog, entities, inference, integrate, requests, similarity, traits
+from . import doubles
 from . import fixtures as fx
 
 ROUND = 6
@@ -183,3 +184,49 @@ QUERIES.update(
         "requests_text": q_requests_text,
     }
 )
+
+
+# --- model jobs (plugged with deterministic doubles) ------------------------------
+
+ENCODE_DIM = 64
+
+
+def _inferred_text_traits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    raw = _pipeline(spark, sf_dir)["product_raw"]
+    reqs = requests.text_requests(raw, requests.ChatSettings(model="trait-model"))
+    replies = inference.run_chat_job(reqs, doubles.echo_trait_client_factory, max_in_flight=4)
+    return traits.extract_traits(replies, "text")
+
+
+def q_infer_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    valid, _ = _inferred_text_traits(spark, sf_dir)
+    return valid
+
+
+def _encoded_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = entities.entity_documents(_pipeline(spark, sf_dir)["integrated"])
+    encoded = inference.hashing_encode(docs, ENCODE_DIM, text_col="prd_text")
+    valid, _ = entities.to_entities(encoded, ENCODE_DIM)
+    return valid
+
+
+def q_encode_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ent = _encoded_entities(spark, sf_dir)
+    return ent.select("prd_id", "prd_tag", "prd_text", F.size("embedding").cast("long").alias("dim"))
+
+
+def q_pipeline_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores, _ = similarity.similarity_inner(_encoded_entities(spark, sf_dir))
+    return scores.select(
+        "prd_id",
+        *[F.round(c, ROUND).alias(c) for c in ("similarity_name_text", "similarity_name_image", "similarity_text_image")],
+    )
+
+
+QUERIES.update(
+    {
+        "infer_traits": q_infer_traits,
+        "encode_entities": q_encode_entities,
+        "pipeline_scores": q_pipeline_scores,
+    }
+)

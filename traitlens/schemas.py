@@ -142,7 +142,7 @@ RULES = {
 
 
 def embedding_rules(dim: int) -> list[Rule]:
-    return RULES["product_embedding"] + [Rule("embedding", "dim", dim)]
+    return RULES["product_embedding"] + [Rule("embedding", "not_null"), Rule("embedding", "dim", dim)]
 
 
 # DDL for managed tables (idempotent creation).
