@@ -24,6 +24,7 @@ from ..constants import (
     REVIEW_STRIP_CHARS,
 )
 from ..schemas import CATALOG_DECIMAL, PRODUCT_RAW, RULES
+from ..session import cut_lineage
 from .quality import reject_frame, validate
 
 CATALOG_COLUMNS = [f.name for f in PRODUCT_RAW.fields]
@@ -60,6 +61,7 @@ def clean_catalog(
     category_map: Mapping[str, str] = DEFAULT_CATEGORY_MAP,
     na_tokens: Sequence[str] = NA_TOKENS,
     strip_thousands_in_review: bool = False,
+    materialize: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """Raw scraped frame (original headers, all strings) -> (product rows, rejects).
 
@@ -83,6 +85,8 @@ def clean_catalog(
     for name in NUMERIC_COLUMNS:
         projected = projected.withColumn(name, F.col(f"{name}_text").try_cast(CATALOG_DECIMAL))
     keep = CATALOG_COLUMNS + ([ORDINAL] if ORDINAL in raw.columns else [])
+    if materialize:  # both outputs below read the projection: compute it once
+        projected = cut_lineage(projected, "catalog")
     cast_rejects = None
     for name in NUMERIC_COLUMNS:
         bad = projected.where(F.col(f"{name}_text").isNotNull() & F.col(name).isNull())

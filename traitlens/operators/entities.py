@@ -74,7 +74,7 @@ def entity_id(tag: Column, prd_id: Column, text: Column) -> Column:
     return F.xxhash64(tag, prd_id, text)
 
 
-def to_entities(encoded: DataFrame, dim: int) -> tuple[DataFrame, DataFrame]:
+def to_entities(encoded: DataFrame, dim: int, materialize: bool = False) -> tuple[DataFrame, DataFrame]:
     """Encoded documents (with ``embedding``) -> entity rows + rejects (V1-V3)."""
     ent = encoded.select(
         entity_id(F.col("prd_tag"), F.col("prd_id"), F.col("prd_text")).alias("id"),
@@ -83,4 +83,4 @@ def to_entities(encoded: DataFrame, dim: int) -> tuple[DataFrame, DataFrame]:
         "prd_tag",
         F.col("embedding").cast("array<float>").alias("embedding"),
     ).withColumn("norm", norm("embedding"))
-    return validate(ent, embedding_rules(dim), "embed")
+    return validate(ent, embedding_rules(dim), "embed", materialize=materialize)

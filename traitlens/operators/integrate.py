@@ -33,6 +33,7 @@ def integrate_traits(
     text_traits: DataFrame,
     image_traits: DataFrame,
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
+    materialize: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(integrated rows, rejects).  Rejects: rows breaking NOT NULL / width rules
     (e.g. a product whose category link was not in the dictionary)."""
@@ -43,7 +44,9 @@ def integrate_traits(
         image_traits.withColumn("trait_side", F.lit("image"))
     )
     joined = per_key_join(rows, base, "prd_id", ["trait_side", *TRAIT_KEYS], min_rows=hot_key_rows)
-    return validate(joined.select(*INFO_COLUMNS), RULES["products_trait_information"], "integrate")
+    return validate(
+        joined.select(*INFO_COLUMNS), RULES["products_trait_information"], "integrate", materialize=materialize
+    )
 
 
 def pair_counts(integrated: DataFrame) -> DataFrame:

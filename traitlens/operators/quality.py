@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import Rule
+from ..session import cut_lineage
 
 VIOLATIONS = "_violations"
 
@@ -57,10 +58,17 @@ def split_tagged(tagged: DataFrame, stage: str, id_col: str = "prd_id") -> tuple
 
 
 def validate(
-    df: DataFrame, rules: Sequence[Rule], stage: str, id_col: str = "prd_id"
+    df: DataFrame, rules: Sequence[Rule], stage: str, id_col: str = "prd_id", materialize: bool = False
 ) -> tuple[DataFrame, DataFrame]:
-    """Split ``df`` into rows meeting every rule and one reject row per violation."""
-    return split_tagged(tag_violations(df, rules), stage, id_col)
+    """Split ``df`` into rows meeting every rule and one reject row per violation.
+
+    With ``materialize`` the tagged frame is written once to the shared
+    staging folder, so writing both outputs does not compute ``df`` twice.
+    """
+    tagged = tag_violations(df, rules)
+    if materialize:
+        tagged = cut_lineage(tagged, stage)
+    return split_tagged(tagged, stage, id_col)
 
 
 def reject_frame(df: DataFrame, stage: str, rule: str, column: str | None, detail: Column) -> DataFrame:

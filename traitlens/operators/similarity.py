@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from ..constants import TAG_IMAGE, TAG_NAME, TAG_TEXT
 from ..functions.vectors import cosine, norm
+from ..session import cut_lineage
 from .skew import DEFAULT_HOT_KEY_ROWS, per_key_join
 
 # (output column, query tag, candidate tag) — the three product-local measures.
@@ -77,7 +78,7 @@ def _pair_cosine(query_tag: str, cand_tag: str):
 
 
 def similarity_inner(
-    entities: DataFrame, hot_key_rows: int = DEFAULT_HOT_KEY_ROWS
+    entities: DataFrame, hot_key_rows: int = DEFAULT_HOT_KEY_ROWS, materialize: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Scores of how well a product's name, text traits and image traits agree.
 
@@ -95,6 +96,8 @@ def similarity_inner(
     for name, _, _ in SCORE_PAIRS:
         complete = complete & F.col(name).isNotNull()
     scores = scored.where(complete)
+    if materialize:  # the rejects below read the scores: compute them once
+        scores = cut_lineage(scores, "similarity")
     products = entities.select("prd_id").distinct()
     rejects = products.join(scores.select("prd_id"), "prd_id", "left_anti").select(
         F.lit("similarity").alias("stage"),

@@ -37,7 +37,7 @@ def object_counts(replies: DataFrame) -> DataFrame:
     return replies.select("prd_id", count_json_objects(F.col("content")).alias("n_objects"))
 
 
-def extract_traits(replies: DataFrame, side: str) -> tuple[DataFrame, DataFrame]:
+def extract_traits(replies: DataFrame, side: str, materialize: bool = False) -> tuple[DataFrame, DataFrame]:
     """Replies of one side (``text`` or ``image``) -> valid trait rows and rejects.
 
     Rejects: failed model calls, and trait rows breaking the declared widths
@@ -46,5 +46,5 @@ def extract_traits(replies: DataFrame, side: str) -> tuple[DataFrame, DataFrame]
     stage = f"traits_{side}"
     ok, failed = split_replies(replies, stage)
     rows = trait_objects(ok)
-    valid, bad = validate(rows, RULES[f"products_trait_{side}"], stage)
+    valid, bad = validate(rows, RULES[f"products_trait_{side}"], stage, materialize=materialize)
     return valid, failed.unionByName(bad)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -72,7 +73,20 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     return path
 
 
-def cut_lineage(df):
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss)."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def staging_path(spark: SparkSession, name: str) -> str:
+    """A fresh folder for an intermediate table under the shared checkpoint folder."""
+    root = ensure_checkpoint_dir(spark).rstrip("/")
+    return f"{root}/traitlens-staging/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df, name: str = "stage"):
+    """Write ``df`` once as Parquet in the shared checkpoint folder and read it back.
+
+    The plan is computed exactly once (an eager RDD checkpoint of an unpersisted
+    frame computes it twice), the files survive executor loss, and later
+    consumers of the returned frame re-read files instead of recomputing.
+    """
+    spark = df.sparkSession
+    path = staging_path(spark, name)
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
