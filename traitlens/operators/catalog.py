@@ -52,7 +52,9 @@ def category_lookup(link: Column, mapping: Mapping[str, str]) -> Column:
 
 
 def image_path(prd_id: Column, image_dir: str) -> Column:
-    return F.concat(F.lit(image_dir), F.lit("prd_img/"), prd_id, F.lit(".jpg"))
+    """``{image_dir}/prd_img/{prd_id}.jpg``; a null id gives a null path."""
+    base = image_dir if image_dir.endswith("/") else image_dir + "/"
+    return F.concat(F.lit(base), F.lit("prd_img/"), prd_id, F.lit(".jpg"))
 
 
 def clean_catalog(
