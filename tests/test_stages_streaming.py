@@ -103,7 +103,13 @@ def test_bucketed_entities_remove_scoring_exchanges(spark, layout):
         plan = similarity_inner(ent)[0]._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "Exchange hashpartitioning" not in plan
+    # Bucketed by product: the join and the first-vector aggregate need no
+    # exchange; the only one left moves partial maxima, never vectors.
+    lines = plan.splitlines()
+    exchanges = [i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line]
+    assert len(exchanges) <= 1
+    for i in exchanges:
+        assert "partial_max" in lines[i + 1] and "embedding" not in lines[i + 1]
     assert store.read("products_similarity_score_inner").count() == 2
 
 

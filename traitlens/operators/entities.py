@@ -52,21 +52,20 @@ def encoder_prompt(text: Column, instruct: str = DEFAULT_ENCODER_INSTRUCT) -> Co
 def entity_documents(integrated: DataFrame, instruct: str = DEFAULT_ENCODER_INSTRUCT) -> DataFrame:
     """``(prd_id, prd_tag, prd_text, prompt)``, one row per distinct document.
 
-    Name documents: one per product (the name is functionally dependent on
-    the product key, so ``min`` picks the same name any row would).
+    One pass: every integrated row emits its product's name document and its
+    own trait document, and a single ``distinct`` (combined map-side before
+    the shuffle) removes the repeats.  The name is functionally dependent on
+    the product key, so exactly one name document per product remains.
     """
-    names = integrated.groupBy("prd_id").agg(F.min("prd_name").alias("prd_text")).withColumn(
-        "prd_tag", F.lit(TAG_NAME)
-    )
-    traits = (
-        integrated.select(
-            "prd_id",
-            F.when(F.col("trait_side") == "text", F.lit(TAG_TEXT)).otherwise(F.lit(TAG_IMAGE)).alias("prd_tag"),
-            trait_document().alias("prd_text"),
-        )
+    side_tag = F.when(F.col("trait_side") == "text", F.lit(TAG_TEXT)).otherwise(F.lit(TAG_IMAGE))
+    doc = F.struct(F.lit("").alias("prd_tag"), F.lit("").alias("prd_text"))
+    name_doc = doc.withField("prd_tag", F.lit(TAG_NAME)).withField("prd_text", F.col("prd_name"))
+    trait_doc = doc.withField("prd_tag", side_tag).withField("prd_text", trait_document())
+    docs = (
+        integrated.select("prd_id", F.explode(F.array(name_doc, trait_doc)).alias("d"))
+        .select("prd_id", "d.prd_tag", "d.prd_text")
         .distinct()
     )
-    docs = names.select("prd_id", "prd_tag", "prd_text").unionByName(traits)
     return docs.withColumn("prompt", encoder_prompt(F.col("prd_text"), instruct))
 
 

@@ -69,11 +69,38 @@ def _pair_frame(entities: DataFrame, hot_key_rows: int) -> DataFrame:
     return per_key_join(cands, queries, "prd_id", ["id"], min_rows=hot_key_rows)
 
 
-def _pair_cosine(query_tag: str, cand_tag: str):
-    q = F.col(f"q_{query_tag}")
-    return F.when(
-        F.col("prd_tag") == F.lit(cand_tag),
-        cosine(q["embedding"], F.col("embedding"), q["norm"], F.col("norm")),
+def _search_hits(pairs: DataFrame, searches=SCORE_PAIRS) -> DataFrame:
+    """One row per (candidate, search it takes part in), with its cosine.
+
+    A text candidate is in one search, an image candidate in two; the query
+    vector is chosen per row before the cosine, so each pair is computed once
+    (a vector kernel inside CASE WHEN would run for every row anyway).
+    """
+    items = [
+        F.when(
+            F.col("prd_tag") == F.lit(c),
+            F.struct(
+                F.lit(name.replace("similarity_", "")).alias("search"),
+                F.col(f"q_{q}")["embedding"].alias("qv"),
+                F.col(f"q_{q}")["norm"].alias("qn"),
+            ),
+        )
+        for name, q, c in searches
+    ]
+    rows = pairs.select(
+        "prd_id",
+        "id",
+        "prd_tag",
+        "embedding",
+        "norm",
+        F.explode(F.filter(F.array(*items), lambda s: s.isNotNull() & s["qv"].isNotNull())).alias("s"),
+    )
+    return rows.select(
+        "prd_id",
+        F.col("s.search").alias("search"),
+        "id",
+        "prd_tag",
+        cosine(F.col("s.qv"), F.col("embedding"), F.col("s.qn"), F.col("norm")).alias("similarity"),
     )
 
 
@@ -89,9 +116,12 @@ def similarity_inner(
     Returns ``(scores, rejects)``; a product lacking a tag (or whose vectors
     all have zero length) cannot be scored and is a reject, not an error.
     """
-    pairs = _pair_frame(entities, hot_key_rows)
-    aggs = [F.max(_pair_cosine(q, c)).alias(name) for name, q, c in SCORE_PAIRS]
-    scored = pairs.groupBy("prd_id").agg(*aggs)
+    hits = _search_hits(_pair_frame(entities, hot_key_rows))
+    aggs = [
+        F.max(F.when(F.col("search") == F.lit(name.replace("similarity_", "")), F.col("similarity"))).alias(name)
+        for name, _, _ in SCORE_PAIRS
+    ]
+    scored = hits.groupBy("prd_id").agg(*aggs)
     complete = F.lit(True)
     for name, _, _ in SCORE_PAIRS:
         complete = complete & F.col(name).isNotNull()
@@ -122,18 +152,7 @@ def topk_inner(
     vector, descending, ties by entity id; ranks 1..k are kept (the limit is
     the feature).  Spark plans a partial per-product limit before the shuffle.
     """
-    pairs = _pair_frame(entities, hot_key_rows)
-    # One pass over the joined pairs: a text candidate feeds one search, an
-    # image candidate two; each candidate row emits only its own hits.
-    items = [
-        F.struct(F.lit(name.replace("similarity_", "")).alias("search"), _pair_cosine(q, c).alias("similarity"))
-        for name, q, c in searches
-    ]
-    hits = pairs.select(
-        "prd_id",
-        "id",
-        "prd_tag",
-        F.explode(F.filter(F.array(*items), lambda h: h["similarity"].isNotNull())).alias("h"),
-    ).select("prd_id", "h.search", "id", "prd_tag", "h.similarity")
+    hits = _search_hits(_pair_frame(entities, hot_key_rows), searches)
+    hits = hits.where(F.col("similarity").isNotNull())
     order = Window.partitionBy("prd_id", "search").orderBy(F.desc("similarity"), F.asc("id"))
     return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)

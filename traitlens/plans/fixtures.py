@@ -36,7 +36,21 @@ FIXTURE_IMAGE_DIR = "/data/catalog/"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Scan one test table; a scan with fewer splits than cores is spread out.
+
+    A small table is one Parquet split, which would run all of the per-row
+    work (JSON parsing, cosine) in a single task.  Large inputs already have
+    far more splits than cores and are left untouched (no extra shuffle).
+    """
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_input(df)
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
 
 
 def entities_from_embeddings(embeddings: DataFrame) -> DataFrame:

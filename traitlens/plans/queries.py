@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.jsonx import extract_json_objects
 from ..operators import catalog, entities, inference, integrate, requests, similarity, traits
+from ..session import cut_lineage
 from . import doubles
 from . import fixtures as fx
 
@@ -216,7 +217,10 @@ def q_encode_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_pipeline_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scores, _ = similarity.similarity_inner(_encoded_entities(spark, sf_dir))
+    # Stage boundary as in the pipeline: the entity table is written once (to
+    # the shared checkpoint folder) and both scoring branches read the files.
+    ent = cut_lineage(_encoded_entities(spark, sf_dir), "pipeline_entities")
+    scores, _ = similarity.similarity_inner(ent)
     return scores.select(
         "prd_id",
         *[F.round(c, ROUND).alias(c) for c in ("similarity_name_text", "similarity_name_image", "similarity_text_image")],
