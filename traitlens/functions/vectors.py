@@ -65,18 +65,38 @@ def _norm_kernel(x: pa.Array) -> pa.Array:
     return pa.array(out, mask=np.isnan(out), type=pa.float64())
 
 
-_arrow_dot = None
-_arrow_norm = None
+def _cosine_kernel(x: pa.Array, y: pa.Array) -> pa.Array:
+    """dot / (|x| |y|) in one pass over each batch; null for zero length."""
+    n = len(x)
+    out = np.full(n, np.nan)
+    lx = pc.list_value_length(x).to_numpy(zero_copy_only=False)
+    ly = pc.list_value_length(y).to_numpy(zero_copy_only=False)
+    ok = np.nan_to_num(lx.astype(float), nan=-1) == np.nan_to_num(ly.astype(float), nan=-2)
+    idx = np.nonzero(ok)[0]
+    for dim in np.unique(lx[idx]) if len(idx) else []:
+        rows = idx[lx[idx] == dim]
+        a, b = _matrix(x, rows, int(dim)), _matrix(y, rows, int(dim))
+        denom = np.sqrt(np.einsum("ij,ij->i", a, a)) * np.sqrt(np.einsum("ij,ij->i", b, b))
+        with np.errstate(divide="ignore", invalid="ignore"):
+            out[rows] = np.where(denom > 0, np.einsum("ij,ij->i", a, b) / denom, np.nan)
+    return pa.array(out, mask=np.isnan(out), type=pa.float64())
+
+
+_arrow_udfs: dict = {}
 
 
 def _udfs():
-    global _arrow_dot, _arrow_norm
-    if _arrow_dot is None:
+    if not _arrow_udfs:
         from pyspark.sql.functions import arrow_udf
 
-        _arrow_dot = arrow_udf(_dot_kernel, "double")
-        _arrow_norm = arrow_udf(_norm_kernel, "double")
-    return _arrow_dot, _arrow_norm
+        _arrow_udfs["dot"] = arrow_udf(_dot_kernel, "double")
+        _arrow_udfs["norm"] = arrow_udf(_norm_kernel, "double")
+        _arrow_udfs["cosine"] = arrow_udf(_cosine_kernel, "double")
+    return _arrow_udfs["dot"], _arrow_udfs["norm"], _arrow_udfs["cosine"]
+
+
+def resolve_impl(impl: str | None = None) -> str:
+    return impl or DEFAULT_IMPL
 
 
 # --- public column functions ---------------------------------------------------------
@@ -104,8 +124,13 @@ def norm(a, impl: str | None = None) -> Column:
 def cosine(a, b, norm_a=None, norm_b=None, impl: str | None = None) -> Column:
     """Cosine similarity (higher is closer).  Zero-length vectors give null.
 
-    Pass precomputed norms so only the dot product is evaluated per pair.
+    The Arrow kernel computes dot product and both norms in one pass over the
+    batch (the vectors are in Python memory anyway, so stored norms would save
+    nothing).  The native kernel uses precomputed norms when given, so only the
+    dot product is evaluated per pair.
     """
+    if resolve_impl(impl) == "arrow":
+        return _udfs()[2](_col(a), _col(b))
     na = _col(norm_a) if norm_a is not None else norm(a, impl)
     nb = _col(norm_b) if norm_b is not None else norm(b, impl)
     denom = na * nb

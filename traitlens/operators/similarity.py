@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..constants import TAG_IMAGE, TAG_NAME, TAG_TEXT
-from ..functions.vectors import cosine, norm
+from ..functions.vectors import cosine, norm, resolve_impl
 from ..session import cut_lineage
 from .skew import DEFAULT_HOT_KEY_ROWS, per_key_join
 
@@ -32,11 +32,25 @@ SCORE_PAIRS = (
 )
 
 
-def with_norm(entities: DataFrame) -> DataFrame:
+def with_norm(entities: DataFrame, impl: str | None = None) -> DataFrame:
     """Add the vector norm once per entity unless it is already stored."""
     if "norm" in entities.columns:
         return entities
-    return entities.withColumn("norm", norm("embedding"))
+    return entities.withColumn("norm", norm("embedding", impl))
+
+
+def _scoring_input(entities: DataFrame) -> DataFrame:
+    """Entities as the scoring plan reads them.
+
+    Native kernel: a norm per entity (stored or computed once) so each pair
+    only needs a dot product.  Arrow kernel: norms come out of the same batch
+    pass as the dot product, so none is computed on the scan side.
+    """
+    if resolve_impl() == "native":
+        return with_norm(entities, "native")
+    if "norm" in entities.columns:
+        return entities
+    return entities.withColumn("norm", F.lit(None).cast("double"))
 
 
 def lookup(entities: DataFrame, tags=(TAG_NAME, TAG_TEXT)) -> DataFrame:
@@ -50,7 +64,7 @@ def first_vectors(entities: DataFrame, tags=(TAG_NAME, TAG_TEXT)) -> DataFrame:
     Columns ``prd_id`` and ``q_<tag>`` = struct(id, embedding, norm), null when
     the product has no entity of that tag.
     """
-    ent = with_norm(entities).where(F.col("prd_tag").isin(list(tags)))
+    ent = _scoring_input(entities).where(F.col("prd_tag").isin(list(tags)))
     aggs = []
     for tag in tags:
         is_tag = F.col("prd_tag") == F.lit(tag)
@@ -61,7 +75,7 @@ def first_vectors(entities: DataFrame, tags=(TAG_NAME, TAG_TEXT)) -> DataFrame:
 
 def _pair_frame(entities: DataFrame, hot_key_rows: int) -> DataFrame:
     """Candidates (text and image entities) joined with their product's query vectors."""
-    ent = with_norm(entities)
+    ent = _scoring_input(entities)
     queries = first_vectors(ent, (TAG_NAME, TAG_TEXT))
     cands = ent.where(F.col("prd_tag").isin(TAG_TEXT, TAG_IMAGE)).select(
         "prd_id", "id", "prd_tag", "embedding", "norm"
