@@ -124,3 +124,13 @@ def test_topk_max_equals_score_and_limit(spark):
     full = similarity.topk_inner(ent, k=10)
     per = full.groupBy("prd_id", "search").agg(F.max("rank").alias("m")).collect()
     assert all(r.m == (2 if r.search else 0) for r in per)
+
+
+def test_topk_salted_equals_plain(spark):
+    ent = _entities(spark)
+    hot = ent.withColumn("prd_id", F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise(F.col("prd_id")))
+    cols = ["prd_id", "search", "rank", "id"]
+    plain = sorted(tuple(r) for r in similarity.topk_inner(hot, k=4).select(*cols).collect())
+    salted = sorted(tuple(r) for r in similarity.topk_inner(hot, k=4, hot_key_rows=10).select(*cols).collect())
+    assert plain == salted
+    assert max(r[2] for r in plain if r[0] == "HOT") == 4  # the limit is applied to the hot product too

@@ -93,3 +93,12 @@ def test_to_entities_ids_norms_and_dimension_rule(spark):
     again = entities.to_entities(enc, dim=2)[0].first()
     assert again.id == v[0].id  # deterministic id
     assert sorted((r.rule, r.column_name) for r in rejects.collect()) == [("dim", "embedding"), ("not_null", "embedding")]
+
+
+def test_integrate_salted_equals_plain(spark):
+    raw = spark.createDataFrame([(f"p{i}", "c", f"n{i}") for i in range(5)], "prd_id string, category string, prd_name string")
+    text = _trait_rows(spark, [(f"t{j}", None, None, None, None, None, "p0") for j in range(40)] + [("a", None, None, None, None, None, "p1")])
+    image = _trait_rows(spark, [(f"i{j}", None, None, None, None, None, "p0") for j in range(30)] + [("b", None, None, None, None, None, "p1")])
+    plain = sorted(tuple(r) for r in integrate.integrate_traits(raw, text, image)[0].collect())
+    salted = sorted(tuple(r) for r in integrate.integrate_traits(raw, text, image, hot_key_rows=8)[0].collect())
+    assert plain == salted and len(plain) == 72

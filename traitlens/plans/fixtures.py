@@ -46,9 +46,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spread_small_input(df)
 
 
+SPREAD_SMALL_INPUTS = True
+
+
 def spread_small_input(df: DataFrame) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    if SPREAD_SMALL_INPUTS and df.rdd.getNumPartitions() < cores:
         return df.repartition(cores)
     return df
 
