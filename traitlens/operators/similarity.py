@@ -167,6 +167,10 @@ def topk_inner(
     the feature).  Spark plans a partial per-product limit before the shuffle.
     """
     hits = _search_hits(_pair_frame(entities, hot_key_rows), searches)
-    hits = hits.where(F.col("similarity").isNotNull())
-    order = Window.partitionBy("prd_id", "search").orderBy(F.desc("similarity"), F.asc("id"))
-    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    order = Window.partitionBy("prd_id", "search").orderBy(F.desc_nulls_last("similarity"), F.asc("id"))
+    ranked = hits.withColumn("rank", F.row_number().over(order))
+    # Undefined similarities (zero-length vectors) rank after every defined one,
+    # so dropping them after ranking leaves the ranks of the others unchanged.
+    # Filtering before the window would be pushed below the projection and make
+    # Spark evaluate the vector kernel twice.
+    return ranked.where((F.col("rank") <= k) & F.col("similarity").isNotNull())
