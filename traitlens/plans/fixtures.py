@@ -50,10 +50,15 @@ SPREAD_SMALL_INPUTS = True
 
 
 def spread_small_input(df: DataFrame) -> DataFrame:
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if SPREAD_SMALL_INPUTS and df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    """Round-robin a scan over the cores when it has fewer splits than cores (plan-time check)."""
+    if not SPREAD_SMALL_INPUTS:
+        return df
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # e.g. a client session without RDD access: leave the scan as is
+        return df
+    return df.repartition(cores) if splits < cores else df
 
 
 def entities_from_embeddings(embeddings: DataFrame) -> DataFrame:
