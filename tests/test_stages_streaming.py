@@ -128,3 +128,13 @@ def test_streaming_parse_equals_batch(spark, tmpdir_path):
     valid, rejects = traits.extract_traits(replies, "text")
     assert got == sorted((r.prd_id, r.category1) for r in valid.collect())
     assert spark.read.parquet(rej).count() == rejects.count() == 10
+
+
+def test_cli_runs_model_free_stages(spark, layout):
+    from traitlens.__main__ import main
+
+    csv, img_dir, root = layout
+    main(["--root", root, "--image-dir", img_dir, "--csv", csv, "--stages", "catalog_load,trait_requests"])
+    assert spark.read.parquet(f"{root}/product_raw").count() == 3
+    assert spark.read.parquet(f"{root}/requests_text").count() == 3
+    assert spark.read.parquet(f"{root}/requests_image").count() == 2

@@ -10,8 +10,12 @@ Plan shape (no broadcast of products, ever):
      tag (partial aggregation before the exchange, so a hot product is
      combined map-side);
   2. join the candidates on prd_id (``per_key_join`` salts hot products);
-  3. cosine per pair with precomputed norms, then conditional ``max`` per
-     product (again partial before the exchange).
+  3. one cosine per (candidate, search it belongs to) — text candidates take
+     part in one search, image candidates in two — then a conditional ``max``
+     per product (again partial before the exchange).
+
+With entities written bucketed and sorted by prd_id (``TableStore.
+write_entities``) steps 1 and 2 need no exchange at all.
 """
 
 from __future__ import annotations
