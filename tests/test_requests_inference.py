@@ -89,3 +89,15 @@ def test_hashing_encoder_unit_vectors(spark):
     assert np.linalg.norm(out["a"]) == pytest.approx(1.0, abs=1e-6)
     assert np.allclose(out["a"], out["b"])
     assert not out["c"].any()
+
+
+def test_shared_image_path_is_salted_and_exact(spark, tmpdir_path):
+    img_dir = os.path.join(tmpdir_path, "prd_img")
+    os.makedirs(img_dir)
+    with open(os.path.join(img_dir, "shared.jpg"), "wb") as fh:
+        fh.write(b"\xff\xd8shared")
+    rows = [(str(i), f"n{i}", f"{img_dir}/shared.jpg") for i in range(60)] + [("x", "nx", f"{img_dir}/none.jpg")]
+    raw = _raw(spark, rows)
+    present, missing = requests.attach_images(raw, read_images(spark, tmpdir_path), hot_key_rows=10)
+    assert sorted(r.prd_id for r in present.collect()) == sorted(str(i) for i in range(60))
+    assert [r.prd_id for r in missing.collect()] == ["x"]

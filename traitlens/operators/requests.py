@@ -22,6 +22,7 @@ from ..constants import (
     TEXT_QUESTION_SUFFIX,
 )
 from .quality import reject_frame
+from .skew import DEFAULT_HOT_KEY_ROWS, per_key_join
 
 # Default role prompt (our own wording; users supply theirs).
 DEFAULT_ROLE_PROMPT = (
@@ -86,15 +87,18 @@ def normalise_path(path: Column) -> Column:
     return F.regexp_replace(path, r"^file:(//)?", "")
 
 
-def attach_images(product_raw: DataFrame, images: DataFrame) -> tuple[DataFrame, DataFrame]:
+def attach_images(
+    product_raw: DataFrame, images: DataFrame, hot_key_rows: int = DEFAULT_HOT_KEY_ROWS
+) -> tuple[DataFrame, DataFrame]:
     """Join catalog rows to image bytes by path; missing files -> rejects.
 
-    ``images`` is a ``binaryFile`` scan (``path``, ``content``, ...).  Both
-    sides shuffle on the path; image bytes are read once.
+    ``images`` is a ``binaryFile`` scan (``path``, ``content``, ...); image
+    bytes are read once.  Many products may share one path (a placeholder
+    picture): such a path is salted so its rows spread over several tasks.
     """
     files = images.select(normalise_path(F.col("path")).alias("prd_img"), F.col("content"))
     rows = product_raw.where(F.col("prd_img").isNotNull()).select("prd_id", "prd_img")
-    joined = rows.join(files, "prd_img", "left")
+    joined = per_key_join(rows, files, "prd_img", ["prd_id"], min_rows=hot_key_rows, how="left")
     present = joined.where(F.col("content").isNotNull())
     missing = joined.where(F.col("content").isNull())
     return present, reject_frame(missing, "image_requests", "missing_image", "prd_img", F.col("prd_img"))
