@@ -24,7 +24,9 @@ from pyspark.sql import SparkSession
 
 from ..constants import DEFAULT_CATEGORY_MAP, DEFAULT_ENCODER_INSTRUCT
 from ..operators import catalog, entities, inference, integrate, requests, similarity, traits
+from ..operators.quality import validate
 from ..operators.skew import DEFAULT_HOT_KEY_ROWS
+from ..schemas import RULES
 from ..sources.catalog_csv import read_catalog_csv
 from ..sources.images import read_images
 from ..sources.tables import TableStore
@@ -107,8 +109,10 @@ def score(spark: SparkSession, cfg: PipelineConfig, store: TableStore) -> None:
     scores, rejects = similarity.similarity_inner(
         store.read("product_embedding"), hot_key_rows=cfg.hot_key_rows, materialize=True
     )
-    store.write(scores, "products_similarity_score_inner")
-    store.write_rejects(rejects, "score")
+    # declared constraints of the score table (the scores are already written once, so this is a cheap read)
+    valid, rule_rejects = validate(scores, RULES["products_similarity_score_inner"], "score")
+    store.write(valid, "products_similarity_score_inner")
+    store.write_rejects(rejects.unionByName(rule_rejects), "score")
 
 
 def run(spark: SparkSession, cfg: PipelineConfig, stages=STAGES, csv_path: str | None = None) -> TableStore:
