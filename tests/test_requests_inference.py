@@ -6,7 +6,6 @@ import os
 
 import numpy as np
 import pytest
-from pyspark.sql import functions as F
 
 from traitlens.operators import inference, requests, traits
 from traitlens.plans.doubles import echo_trait_client_factory

@@ -4,7 +4,6 @@ import json
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
 from traitlens.constants import DEFAULT_CATEGORY_MAP
 from traitlens.operators import requests, traits

@@ -1,7 +1,6 @@
 """G3/P18/F4/K8 trait rows and reply routing; J1 (long form), P9-P13, A2/A3, B1."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from traitlens.operators import entities, integrate, traits
 
