@@ -100,3 +100,26 @@ def test_shared_image_path_is_salted_and_exact(spark, tmpdir_path):
     present, missing = requests.attach_images(raw, read_images(spark, tmpdir_path), hot_key_rows=10)
     assert sorted(r.prd_id for r in present.collect()) == sorted(str(i) for i in range(60))
     assert [r.prd_id for r in missing.collect()] == ["x"]
+
+
+def test_chat_job_retries_transient_errors(spark):
+    def make_factory():
+        def factory():
+            calls = {}
+
+            def client(req):
+                calls[req] = calls.get(req, 0) + 1
+                if calls[req] < 2:  # every request fails once, then succeeds
+                    raise TimeoutError("transient")
+                return '{"category1": "ok"}'
+
+            return client
+
+        return factory
+
+    raw = _raw(spark, [("1", "a b", "/p"), ("2", "c d", "/p")])
+    reqs = requests.text_requests(raw, SETTINGS).coalesce(1)
+    without = inference.run_chat_job(reqs, make_factory()).collect()
+    assert all(r.status is False and "transient" in r.error for r in without)
+    with_retry = inference.run_chat_job(reqs, make_factory(), retries=2, backoff_seconds=0.01).collect()
+    assert all(r.status is True for r in with_retry)

@@ -33,6 +33,7 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--temperature", type=float, default=0.0)
     p.add_argument("--chat-tasks", type=int, help="partitions (concurrent tasks) talking to the endpoint")
     p.add_argument("--max-in-flight", type=int, default=1, help="open requests per task")
+    p.add_argument("--chat-retries", type=int, default=2, help="retries per failed model call")
     p.add_argument("--encoder-model", help="sentence-embedding model name (optional dependency)")
     p.add_argument("--dim", type=int, default=1024)
     p.add_argument("--hot-key-rows", type=int, default=stages.DEFAULT_HOT_KEY_ROWS)
@@ -56,6 +57,7 @@ def main(argv=None) -> None:
         dim=args.dim,
         chat_tasks=args.chat_tasks,
         max_in_flight=args.max_in_flight,
+        chat_retries=args.chat_retries,
         hot_key_rows=args.hot_key_rows,
         database=args.database,
         entity_buckets=args.entity_buckets,

@@ -37,23 +37,33 @@ def run_chat_job(
     client_factory: Callable[[], ChatClient],
     max_in_flight: int = 1,
     tasks: int | None = None,
+    retries: int = 0,
+    backoff_seconds: float = 1.0,
 ) -> DataFrame:
     """Send every request to the model; capture each reply or error per row.
 
     ``tasks`` bounds how many partitions (hence concurrent tasks) talk to the
     endpoint; ``max_in_flight`` is the number of requests one task keeps open.
+    A failed call is retried up to ``retries`` times with exponential backoff
+    before it becomes a reject row.
     """
 
     def job(batches: Iterator) -> Iterator:
+        import time
+
         import pandas as pd
 
         client = client_factory()
 
         def call(req: str):
-            try:
-                return True, client(req), None
-            except Exception as exc:  # one bad row is one reject
-                return False, None, f"{type(exc).__name__}: {exc}"
+            for attempt in range(retries + 1):
+                try:
+                    return True, client(req), None
+                except Exception as exc:  # one bad row is one reject
+                    error = f"{type(exc).__name__}: {exc}"
+                    if attempt < retries:
+                        time.sleep(backoff_seconds * (2**attempt))
+            return False, None, error
 
         pool = ThreadPoolExecutor(max_workers=max_in_flight) if max_in_flight > 1 else None
         try:

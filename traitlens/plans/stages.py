@@ -47,6 +47,7 @@ class PipelineConfig:
     category_map: Mapping[str, str] = field(default_factory=lambda: dict(DEFAULT_CATEGORY_MAP))
     chat_tasks: int | None = None
     max_in_flight: int = 1
+    chat_retries: int = 2
     hot_key_rows: int = DEFAULT_HOT_KEY_ROWS
     database: str | None = None
     entity_buckets: int | None = None
@@ -71,7 +72,9 @@ def trait_inference(spark: SparkSession, cfg: PipelineConfig, store: TableStore,
     if cfg.chat_factory is None:
         raise ValueError("trait_inference needs a chat_factory (a model endpoint supplied by the user)")
     reqs = store.read(f"requests_{side}")
-    replies = inference.run_chat_job(reqs, cfg.chat_factory, cfg.max_in_flight, cfg.chat_tasks)
+    replies = inference.run_chat_job(
+        reqs, cfg.chat_factory, cfg.max_in_flight, cfg.chat_tasks, retries=cfg.chat_retries
+    )
     store.write(replies, f"replies_{side}")
 
 
