@@ -63,6 +63,8 @@ FROM ranked
 WHERE rank <= 10
 """
 
+VECTOR_TOP1_FILTERED = VECTOR_TOPK_FILTERED.replace("WHERE rank <= 10", "WHERE rank <= 1")
+
 VECTOR_LOOKUP = "WITH " + ENTITIES + """
 SELECT prd_id, prd_tag, id, CAST(len(v) AS BIGINT) AS dim,
        round(sqrt(list_dot_product(v, v)), 6) AS norm
@@ -73,6 +75,7 @@ WHERE prd_tag IN ('product_name', 'product_text')
 ORACLE_SQL: dict[str, str] = {
     "similarity_scores": SIMILARITY_SCORES,
     "vector_topk_filtered": VECTOR_TOPK_FILTERED,
+    "vector_top1_filtered": VECTOR_TOP1_FILTERED,
     "vector_lookup": VECTOR_LOOKUP,
 }
 

@@ -38,6 +38,12 @@ def q_vector_topk_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("prd_id", "search", "rank", "id", "prd_tag", F.round("similarity", ROUND).alias("similarity"))
 
 
+def q_vector_top1_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """k = 1: each search keeps only its best candidate, so the limit is exercised."""
+    hits = similarity.topk_inner(_entities(spark, sf_dir), k=1)
+    return hits.select("prd_id", "search", "rank", "id", "prd_tag", F.round("similarity", ROUND).alias("similarity"))
+
+
 def q_vector_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     ent = similarity.with_norm(_entities(spark, sf_dir))
     found = similarity.lookup(ent)
@@ -53,6 +59,7 @@ def q_vector_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "similarity_scores": q_similarity_scores,
     "vector_topk_filtered": q_vector_topk_filtered,
+    "vector_top1_filtered": q_vector_top1_filtered,
     "vector_lookup": q_vector_lookup,
 }
 
