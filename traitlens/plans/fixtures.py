@@ -82,6 +82,29 @@ def entities_from_embeddings(embeddings: DataFrame) -> DataFrame:
     )
 
 
+def entities_by_label(embeddings: DataFrame) -> DataFrame:
+    """Vector entities whose tag follows the data's ``label`` column.
+
+    ``prd_id = vec_id div 5``; label 0-1: name vector, 2-5: text vector,
+    6-9: image vector.  Products then hold 0..5 vectors of a tag, so some have
+    several name vectors (the lowest id is the query) and some lack a tag
+    entirely (they cannot be scored and become rejects).
+    """
+    label = F.col("label")
+    tag = (
+        F.when(label <= 1, F.lit(TAG_NAME))
+        .when(label <= 5, F.lit(TAG_TEXT))
+        .otherwise(F.lit(TAG_IMAGE))
+    )
+    return embeddings.select(
+        F.col("vec_id").alias("id"),
+        F.expr("vec_id div 5").cast("string").alias("prd_id"),
+        tag.alias("prd_tag"),
+        F.concat(F.lit("v"), F.col("vec_id").cast("string")).alias("prd_text"),
+        F.col("embedding"),
+    )
+
+
 def _word(col: Column, i: int) -> Column:
     return F.split_part(col, F.lit(" "), F.lit(i))
 

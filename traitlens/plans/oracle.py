@@ -63,6 +63,31 @@ FROM ranked
 WHERE rank <= 10
 """
 
+ENTITIES_BY_LABEL = """
+entities AS (
+    SELECT vec_id AS id,
+           CAST(vec_id // 5 AS VARCHAR) AS prd_id,
+           CASE WHEN label <= 1 THEN 'product_name'
+                WHEN label <= 5 THEN 'product_text'
+                ELSE 'product_image' END AS prd_tag,
+           CAST(embedding AS DOUBLE[]) AS v
+    FROM embeddings
+)"""
+
+SIMILARITY_SCORES_BY_LABEL = SIMILARITY_SCORES.replace(ENTITIES, ENTITIES_BY_LABEL)
+
+SIMILARITY_REJECTS = "WITH " + PAIRS.replace(ENTITIES, ENTITIES_BY_LABEL) + """,
+scored AS (
+    SELECT prd_id FROM pairs GROUP BY prd_id
+    HAVING max(similarity) FILTER (WHERE search = 'name_text') IS NOT NULL
+       AND max(similarity) FILTER (WHERE search = 'name_image') IS NOT NULL
+       AND max(similarity) FILTER (WHERE search = 'text_image') IS NOT NULL
+)
+SELECT DISTINCT 'similarity' AS stage, prd_id, 'missing_tag' AS rule, 'prd_tag' AS column_name
+FROM entities
+WHERE prd_id NOT IN (SELECT prd_id FROM scored)
+"""
+
 VECTOR_TOP1_FILTERED = VECTOR_TOPK_FILTERED.replace("WHERE rank <= 10", "WHERE rank <= 1")
 
 VECTOR_LOOKUP = "WITH " + ENTITIES + """
@@ -76,6 +101,8 @@ ORACLE_SQL: dict[str, str] = {
     "similarity_scores": SIMILARITY_SCORES,
     "vector_topk_filtered": VECTOR_TOPK_FILTERED,
     "vector_top1_filtered": VECTOR_TOP1_FILTERED,
+    "similarity_scores_by_label": SIMILARITY_SCORES_BY_LABEL,
+    "similarity_rejects": SIMILARITY_REJECTS,
     "vector_lookup": VECTOR_LOOKUP,
 }
 

@@ -38,6 +38,21 @@ def q_vector_topk_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hits.select("prd_id", "search", "rank", "id", "prd_tag", F.round("similarity", ROUND).alias("similarity"))
 
 
+def q_similarity_scores_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ent = fx.entities_by_label(fx.read_table(spark, sf_dir, "embeddings"))
+    scores, _ = similarity.similarity_inner(ent)
+    return scores.select(
+        "prd_id",
+        *[F.round(c, ROUND).alias(c) for c in ("similarity_name_text", "similarity_name_image", "similarity_text_image")],
+    )
+
+
+def q_similarity_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ent = fx.entities_by_label(fx.read_table(spark, sf_dir, "embeddings"))
+    _, rejects = similarity.similarity_inner(ent)
+    return rejects.select("stage", "prd_id", "rule", "column_name")
+
+
 def q_vector_top1_filtered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """k = 1: each search keeps only its best candidate, so the limit is exercised."""
     hits = similarity.topk_inner(_entities(spark, sf_dir), k=1)
@@ -60,6 +75,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "similarity_scores": q_similarity_scores,
     "vector_topk_filtered": q_vector_topk_filtered,
     "vector_top1_filtered": q_vector_top1_filtered,
+    "similarity_scores_by_label": q_similarity_scores_by_label,
+    "similarity_rejects": q_similarity_rejects,
     "vector_lookup": q_vector_lookup,
 }
 
