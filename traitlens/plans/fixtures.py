@@ -47,6 +47,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 SPREAD_SMALL_INPUTS = True
+# A scan with fewer splits than this is small (each split is at most
+# spark.sql.files.maxPartitionBytes); more pieces would only add empty tasks.
+SPREAD_MAX_PARTITIONS = 64
 
 
 def spread_small_input(df: DataFrame) -> DataFrame:
@@ -54,11 +57,11 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     if not SPREAD_SMALL_INPUTS:
         return df
     try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
+        target = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_MAX_PARTITIONS)
         splits = df.rdd.getNumPartitions()
     except Exception:  # e.g. a client session without RDD access: leave the scan as is
         return df
-    return df.repartition(cores) if splits < cores else df
+    return df.repartition(target) if splits < target else df
 
 
 def entities_from_embeddings(embeddings: DataFrame) -> DataFrame:
