@@ -137,3 +137,13 @@ def test_cli_runs_model_free_stages(spark, layout):
     assert spark.read.parquet(f"{root}/product_raw").count() == 3
     assert spark.read.parquet(f"{root}/requests_text").count() == 3
     assert spark.read.parquet(f"{root}/requests_image").count() == 2
+
+
+def test_stage_report_counts_outputs_and_rejects(spark, layout):
+    from traitlens.sources.tables import TableStore
+
+    csv, img_dir, root = layout
+    cfg = stages.PipelineConfig(root=root, image_dir=img_dir, chat=requests.ChatSettings(model="m"))
+    stages.run(spark, cfg, stages=("catalog_load", "trait_requests"), csv_path=csv)
+    report = stages.stage_report(TableStore(spark, root), "trait_requests")
+    assert report == {"requests_text": 3, "requests_image": 2, "rejects[image_requests]": 1}

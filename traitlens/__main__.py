@@ -13,6 +13,7 @@ from the named environment variable on the executors.  Without
 from __future__ import annotations
 
 import argparse
+import logging
 
 from .operators.inference import http_chat_factory, sentence_encoder_factory
 from .operators.requests import DEFAULT_ROLE_PROMPT, ChatSettings
@@ -44,6 +45,7 @@ def parse_args(argv=None) -> argparse.Namespace:
 
 def main(argv=None) -> None:
     args = parse_args(argv)
+    logging.basicConfig(level=logging.INFO, format="%(asctime)s %(name)s %(message)s")
     role = DEFAULT_ROLE_PROMPT
     if args.role_prompt_file:
         with open(args.role_prompt_file, encoding="utf-8") as fh:

@@ -17,6 +17,7 @@ Stages, in order:
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
@@ -31,6 +32,19 @@ from ..sources.catalog_csv import read_catalog_csv
 from ..sources.images import read_images
 from ..sources.tables import TableStore
 
+log = logging.getLogger("traitlens.stages")
+
+# Tables each stage writes, and the reject partitions it owns (for the run log).
+STAGE_OUTPUTS = {
+    "catalog_load": (["product_raw"], ["catalog"]),
+    "trait_requests": (["requests_text", "requests_image"], ["image_requests"]),
+    "trait_inference": (["replies_text", "replies_image"], []),
+    "trait_extract": (["products_trait_text", "products_trait_image"], ["traits_text", "traits_image"]),
+    "integrate": (["products_trait_information"], ["integrate"]),
+    "embed": (["product_embedding"], ["embed"]),
+    "score": (["products_similarity_score_inner"], ["score"]),
+}
+
 STAGES = ("catalog_load", "trait_requests", "trait_inference", "trait_extract", "integrate", "embed", "score")
 SIDES = ("text", "image")
 
@@ -118,6 +132,17 @@ def score(spark: SparkSession, cfg: PipelineConfig, store: TableStore) -> None:
     store.write_rejects(rejects.unionByName(rule_rejects), "score")
 
 
+def stage_report(store: TableStore, stage: str) -> dict[str, int]:
+    """Row counts of a stage's outputs and rejects (Parquet counts read file footers)."""
+    tables, reject_parts = STAGE_OUTPUTS[stage]
+    report = {t: store.read(t).count() for t in tables if store.exists(t)}
+    for part in reject_parts:
+        path = f"{store.path('rejects')}/stage={part}"
+        if store.exists(f"rejects/stage={part}"):
+            report[f"rejects[{part}]"] = store.spark.read.parquet(path).count()
+    return report
+
+
 def run(spark: SparkSession, cfg: PipelineConfig, stages=STAGES, csv_path: str | None = None) -> TableStore:
     store = TableStore(spark, cfg.root, cfg.database)
     store.create_all()
@@ -142,4 +167,6 @@ def run(spark: SparkSession, cfg: PipelineConfig, stages=STAGES, csv_path: str |
             score(spark, cfg, store)
         else:
             raise ValueError(f"unknown stage {stage!r}")
+        if log.isEnabledFor(logging.INFO):
+            log.info("stage %s done: %s", stage, stage_report(store, stage))
     return store
