@@ -147,3 +147,22 @@ def test_stage_report_counts_outputs_and_rejects(spark, layout):
     stages.run(spark, cfg, stages=("catalog_load", "trait_requests"), csv_path=csv)
     report = stages.stage_report(TableStore(spark, root), "trait_requests")
     assert report == {"requests_text": 3, "requests_image": 2, "rejects[image_requests]": 1}
+
+
+def test_stage_runner_removes_its_staging_data(spark, layout):
+    import os as _os
+
+    from traitlens.session import ensure_checkpoint_dir, staged_paths
+
+    csv, img_dir, root = layout
+    staging = _os.path.join(ensure_checkpoint_dir(spark).replace("file:", ""), "traitlens-staging")
+
+    def listing():
+        return set(_os.listdir(staging)) if _os.path.isdir(staging) else set()
+
+    before_paths, before_dirs = staged_paths(), listing()
+    cfg = stages.PipelineConfig(root=root, image_dir=img_dir, chat=requests.ChatSettings(model="m"))
+    stages.run(spark, cfg, stages=("catalog_load",), csv_path=csv)  # catalog_load stages its projection
+    assert staged_paths() == before_paths
+    assert listing() <= before_dirs
+    assert spark.read.parquet(f"{root}/product_raw").count() == 3

@@ -28,6 +28,7 @@ from ..operators import catalog, entities, inference, integrate, requests, simil
 from ..operators.quality import validate
 from ..operators.skew import DEFAULT_HOT_KEY_ROWS
 from ..schemas import RULES
+from ..session import drop_staging, staged_paths
 from ..sources.catalog_csv import read_catalog_csv
 from ..sources.images import read_images
 from ..sources.tables import TableStore
@@ -147,6 +148,7 @@ def run(spark: SparkSession, cfg: PipelineConfig, stages=STAGES, csv_path: str |
     store = TableStore(spark, cfg.root, cfg.database)
     store.create_all()
     for stage in stages:
+        staged_before = len(staged_paths())
         if stage == "catalog_load":
             if not csv_path:
                 raise ValueError("catalog_load needs csv_path")
@@ -167,6 +169,8 @@ def run(spark: SparkSession, cfg: PipelineConfig, stages=STAGES, csv_path: str |
             score(spark, cfg, store)
         else:
             raise ValueError(f"unknown stage {stage!r}")
+        # the stage's tables are written: its intermediate staging data is no longer read
+        drop_staging(spark, staged_before)
         if log.isEnabledFor(logging.INFO):
             log.info("stage %s done: %s", stage, stage_report(store, stage))
     return store

@@ -107,4 +107,29 @@ def cut_lineage(df, name: str = "stage"):
     spark = df.sparkSession
     path = staging_path(spark, name)
     df.write.mode("errorifexists").parquet(path)
+    _STAGED.append(path)
     return spark.read.parquet(path)
+
+
+# Staging folders written by ``cut_lineage`` in this driver process, in order.
+_STAGED: list[str] = []
+
+
+def staged_paths() -> list[str]:
+    return list(_STAGED)
+
+
+def drop_staging(spark: SparkSession, since: int = 0) -> int:
+    """Delete the staging folders created after position ``since`` of ``staged_paths()``.
+
+    Call it only once nothing reads them any more (the stage runner does so
+    after a stage's tables are written).  Returns how many were removed.
+    """
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    removed = 0
+    while len(_STAGED) > since:
+        p = jvm.org.apache.hadoop.fs.Path(_STAGED.pop())
+        if p.getFileSystem(conf).delete(p, True):
+            removed += 1
+    return removed
