@@ -134,3 +134,21 @@ def test_topk_salted_equals_plain(spark):
     salted = sorted(tuple(r) for r in similarity.topk_inner(hot, k=4, hot_key_rows=10).select(*cols).collect())
     assert plain == salted
     assert max(r[2] for r in plain if r[0] == "HOT") == 4  # the limit is applied to the hot product too
+
+
+def test_native_kernel_fills_missing_stored_norms(spark):
+    import traitlens.functions.vectors as V
+
+    rows = [
+        (1, "p", "product_name", [1.0, 0.0], None),
+        (2, "p", "product_text", [1.0, 1.0], 1.4142135623730951),
+        (3, "p", "product_image", [0.0, 2.0], None),
+    ]
+    df = spark.createDataFrame(rows, "id long, prd_id string, prd_tag string, embedding array<float>, norm double")
+    old = V.DEFAULT_IMPL
+    V.DEFAULT_IMPL = "native"
+    try:
+        r = similarity.similarity_inner(df)[0].first()
+    finally:
+        V.DEFAULT_IMPL = old
+    assert r.similarity_name_image == pytest.approx(0.0) and r.similarity_text_image == pytest.approx(2**-0.5)

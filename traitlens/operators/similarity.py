@@ -37,9 +37,9 @@ SCORE_PAIRS = (
 
 
 def with_norm(entities: DataFrame, impl: str | None = None) -> DataFrame:
-    """Add the vector norm once per entity unless it is already stored."""
+    """Add the vector norm once per entity; a stored norm is kept, a missing one computed."""
     if "norm" in entities.columns:
-        return entities
+        return entities.withColumn("norm", F.coalesce(F.col("norm"), norm("embedding", impl)))
     return entities.withColumn("norm", norm("embedding", impl))
 
 
