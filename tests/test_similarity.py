@@ -152,3 +152,20 @@ def test_native_kernel_fills_missing_stored_norms(spark):
     finally:
         V.DEFAULT_IMPL = old
     assert r.similarity_name_image == pytest.approx(0.0) and r.similarity_text_image == pytest.approx(2**-0.5)
+
+
+def test_hot_key_table_over_broadcast_limit_is_shuffle_joined(spark):
+    from traitlens.operators.skew import per_key_join
+
+    big = spark.range(400).selectExpr("cast(id % 8 as string) as k", "id")
+    small = spark.range(8).selectExpr("cast(id as string) as k", "id * 10 as v")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only explicit hints may broadcast
+    try:
+        out = per_key_join(big, small, "k", ["id"], min_rows=10, max_broadcast_keys=2)
+        assert "BroadcastExchange" not in out._jdf.queryExecution().executedPlan().toString()
+        hinted = per_key_join(big, small, "k", ["id"], min_rows=10)
+        assert "BroadcastExchange" in hinted._jdf.queryExecution().executedPlan().toString()
+        got = sorted((r.k, r.id, r.v) for r in out.collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert got == sorted((str(i % 8), i, (i % 8) * 10) for i in range(400))

@@ -8,8 +8,9 @@ rows of the large side over several salt buckets while the single matching row
 of the small side is replicated once per bucket.  Nothing is dropped or capped:
 every row of the large side meets its partner exactly once.
 
-The hot-key table is broadcast.  Its size is bounded by construction: at most
-``rows / min_rows`` keys, each a key plus one int.  A hot key gets
+The hot-key table is broadcast after its size is checked (counted); it holds
+at most ``rows / min_rows`` keys, each a key plus one int, and beyond
+``max_broadcast_keys`` it is shuffle-joined instead.  A hot key gets
 ``ceil(count / min_rows)`` buckets, so every bucket holds about ``min_rows``
 rows however hot the key is, and the partner rows replicated in total number
 at most ``rows / min_rows`` plus one per hot key.  (Default: 200,000 rows,
@@ -24,6 +25,8 @@ from pyspark.sql import functions as F
 
 DEFAULT_HOT_KEY_ROWS = 200_000
 DEFAULT_MAX_SALT = 1 << 16
+# Broadcast the hot-key table (key + int, well under 100 MB) up to this many keys.
+DEFAULT_MAX_BROADCAST_KEYS = 1_000_000
 SALT = "_salt"
 N_SALT = "_n_salt"
 
@@ -43,6 +46,7 @@ def per_key_join(
     min_rows: int = DEFAULT_HOT_KEY_ROWS,
     max_salt: int = DEFAULT_MAX_SALT,
     how: str = "inner",
+    max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
 ) -> DataFrame:
     """Equi-join ``big`` with ``small`` (unique on ``key``), robust to hot keys.
 
@@ -51,11 +55,14 @@ def per_key_join(
     retries recompute identical output).
     """
     hot = hot_keys(big, key, min_rows, max_salt)
-    # One scalar reaches the driver: whether any key is hot.  The plan without
-    # salting keeps the small side's existing partitioning (fewer exchanges).
-    if hot.limit(1).count() == 0:
+    # One scalar reaches the driver: how many keys are hot.  Without hot keys
+    # the plan keeps the small side's existing partitioning (fewer exchanges);
+    # the hot-key table is broadcast only when that count is below the limit,
+    # otherwise it is joined with a shuffle like any other table.
+    n_hot = hot.count()
+    if n_hot == 0:
         return big.join(small, key, how)
-    hot_b = F.broadcast(hot)
+    hot_b = F.broadcast(hot) if n_hot <= max_broadcast_keys else hot
     bucket = F.pmod(F.xxhash64(*[F.col(c) for c in salt_by]), F.col(N_SALT))
     big_s = (
         big.join(hot_b, key, "left")
