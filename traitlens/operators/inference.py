@@ -82,10 +82,19 @@ def run_chat_job(
             if pool:
                 pool.shutdown()
 
-    src = requests_df.select("prd_id", "request")
-    if tasks:
-        src = src.repartition(tasks)
-    return src.mapInPandas(job, REPLIES)
+    return _with_tasks(requests_df.select("prd_id", "request"), tasks).mapInPandas(job, REPLIES)
+
+
+def _with_tasks(df: DataFrame, tasks: int | None) -> DataFrame:
+    """Bound the number of tasks: merge partitions without a shuffle (``coalesce``)
+    when fewer are wanted; spread with ``repartition`` only when more are."""
+    if not tasks:
+        return df
+    try:
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (client session): shuffle to be safe
+        return df.repartition(tasks)
+    return df.coalesce(tasks) if tasks <= current else df.repartition(tasks)
 
 
 def encode_documents(
