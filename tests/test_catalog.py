@@ -70,3 +70,11 @@ def test_strip_thousands_option(spark, tmpdir_path):
     valid, _ = catalog.clean_catalog(raw, "/imgs/", strip_thousands_in_review=True)
     r = valid.where((F.col("prd_id") == "1") & (F.col("prd_name") == "셔츠 (오버핏)")).first()
     assert r.review == Decimal("1234.0000")
+
+
+def test_missing_header_is_a_clear_error(spark):
+    import pytest
+
+    raw = spark.createDataFrame([("1", "x")], "`web-scraper-order` string, name string")
+    with pytest.raises(ValueError, match="price3"):
+        catalog.clean_catalog(raw, "/imgs/")

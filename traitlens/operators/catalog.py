@@ -70,6 +70,10 @@ def clean_catalog(
     The ordinal column ``_ord``, when present, is carried through for
     ``insert_ignore``.
     """
+    required = ["web-scraper-order", CATEGORY_LINK_COLUMN] + [_src(t) for t in ("prd_name", "price", "review", "review_rating")]
+    missing = [c for c in required if c not in raw.columns]
+    if missing:
+        raise ValueError(f"catalog input lacks the column(s) {missing}; found {raw.columns}")
     cols = {c: na_to_null(F.col(f"`{c}`"), na_tokens) for c in raw.columns if c != ORDINAL}
     review_chars = REVIEW_STRIP_CHARS + ("," if strip_thousands_in_review else "")
     out = {
