@@ -38,7 +38,7 @@ def test_entry_runs_with_stable_schema(spark):
 
 def test_rows_only_query_is_deterministic(spark):
     """Recomputing (as after a lost executor) gives identical rows, ids included."""
-    fn = entry_mod.queries()["pipeline_scores"]
+    fn = entry_mod.queries()["end_to_end_scores"]
     first = sorted(tuple(r) for r in fn(spark, SF_SMALL).collect())
     second = sorted(tuple(r) for r in fn(spark, SF_SMALL).collect())
     assert first == second and len(first) > 0

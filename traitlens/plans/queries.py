@@ -152,7 +152,7 @@ QUERIES.update(
 
 # --- integration, documents, rejects, requests ----------------------------------
 
-def _pipeline(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _stages_lazily(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The batch stages 1-5 over the part-derived inputs, lazily."""
     part = _part(spark, sf_dir)
     raw, catalog_rejects = _clean(fx.raw_catalog(part))
@@ -169,28 +169,28 @@ def _pipeline(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
 
 
 def q_integrate_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pipeline(spark, sf_dir)["integrated"]
+    return _stages_lazily(spark, sf_dir)["integrated"]
 
 
 def q_masked_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    integrated = _pipeline(spark, sf_dir)["integrated"]
+    integrated = _stages_lazily(spark, sf_dir)["integrated"]
     return integrated.select("prd_id", "trait_side", entities.trait_document().alias("trait_doc"))
 
 
 def q_entity_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entities.entity_documents(_pipeline(spark, sf_dir)["integrated"])
+    return entities.entity_documents(_stages_lazily(spark, sf_dir)["integrated"])
 
 
 def q_distinct_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return integrate.pair_counts(_pipeline(spark, sf_dir)["integrated"])
+    return integrate.pair_counts(_stages_lazily(spark, sf_dir)["integrated"])
 
 
 def q_quality_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _pipeline(spark, sf_dir)["rejects"]
+    return _stages_lazily(spark, sf_dir)["rejects"]
 
 
 def q_requests_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reqs = requests.text_requests(_pipeline(spark, sf_dir)["product_raw"], requests.ChatSettings(model="trait-model"))
+    reqs = requests.text_requests(_stages_lazily(spark, sf_dir)["product_raw"], requests.ChatSettings(model="trait-model"))
     return reqs.select(
         "prd_id",
         F.get_json_object("request", "$.model").alias("model"),
@@ -217,7 +217,7 @@ ENCODE_DIM = 64
 
 
 def _inferred_text_traits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    raw = _pipeline(spark, sf_dir)["product_raw"]
+    raw = _stages_lazily(spark, sf_dir)["product_raw"]
     reqs = requests.text_requests(raw, requests.ChatSettings(model="trait-model"))
     replies = inference.run_chat_job(reqs, doubles.echo_trait_client_factory, max_in_flight=4)
     return traits.extract_traits(replies, "text")
@@ -229,7 +229,7 @@ def q_infer_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _encoded_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = entities.entity_documents(_pipeline(spark, sf_dir)["integrated"])
+    docs = entities.entity_documents(_stages_lazily(spark, sf_dir)["integrated"])
     encoded = inference.hashing_encode(docs, ENCODE_DIM, text_col="prd_text")
     valid, _ = entities.to_entities(encoded, ENCODE_DIM)
     return valid
@@ -240,10 +240,10 @@ def q_encode_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ent.select("prd_id", "prd_tag", "prd_text", F.size("embedding").cast("long").alias("dim"))
 
 
-def q_pipeline_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+def q_end_to_end_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Stage boundary as in the pipeline: the entity table is written once (to
     # the shared checkpoint folder) and both scoring branches read the files.
-    ent = cut_lineage(_encoded_entities(spark, sf_dir), "pipeline_entities")
+    ent = cut_lineage(_encoded_entities(spark, sf_dir), "end_to_end_entities")
     scores, _ = similarity.similarity_inner(ent)
     return scores.select(
         "prd_id",
@@ -255,6 +255,6 @@ QUERIES.update(
     {
         "infer_traits": q_infer_traits,
         "encode_entities": q_encode_entities,
-        "pipeline_scores": q_pipeline_scores,
+        "end_to_end_scores": q_end_to_end_scores,
     }
 )
