@@ -81,6 +81,19 @@ def test_encoder_job_batches_and_isolates_failures(spark):
     assert out["a"] == [3.0, 1.0] and out["c"] == [2.0, 1.0] and out["b"] is None
 
 
+def test_encoder_sees_bounded_batches(spark):
+    def factory():
+        def enc(texts):
+            assert len(texts) <= 7
+            return np.array([[float(len(texts))] for _ in texts])
+
+        return enc
+
+    docs = spark.range(50).selectExpr("cast(id as string) as prd_id", "cast(id as string) as prompt").coalesce(1)
+    sizes = [r.embedding[0] for r in inference.encode_documents(docs, factory, batch_size=7).collect()]
+    assert len(sizes) == 50 and max(sizes) == 7.0
+
+
 def test_hashing_encoder_unit_vectors(spark):
     docs = spark.createDataFrame([("a", "red shirt"), ("b", "Red  SHIRT"), ("c", "")], "prd_id string, prd_text string")
     out = {r.prd_id: np.array(r.embedding) for r in inference.hashing_encode(docs, 32).collect()}

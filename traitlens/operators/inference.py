@@ -101,12 +101,14 @@ def encode_documents(
     docs: DataFrame,
     encoder_factory: Callable[[], Encoder],
     text_col: str = "prompt",
+    batch_size: int = 1000,
 ) -> DataFrame:
     """Add ``embedding`` (array<float>) computed by the plugged-in encoder.
 
-    The encoder receives a list of strings and returns an (n, dim) array-like.
-    If a batch fails, its rows are encoded one by one so only the failing rows
-    get a null embedding (rejected later by the not-null rule).
+    The encoder receives lists of at most ``batch_size`` strings (the original
+    encodes 1,000 at a time) and returns an (n, dim) array-like.  If a batch
+    fails, its rows are encoded one by one so only the failing rows get a null
+    embedding (rejected later by the not-null rule).
     """
     out_schema = T.StructType(docs.schema.fields + [T.StructField("embedding", T.ArrayType(T.FloatType()))])
 
@@ -121,12 +123,17 @@ def encode_documents(
             except Exception:
                 return None
 
-        for pdf in batches:
-            texts = pdf[text_col].tolist()
+        def encode(texts):
             try:
-                vecs = [v.tolist() for v in np.asarray(encoder(texts), dtype=np.float32)]
+                return [v.tolist() for v in np.asarray(encoder(texts), dtype=np.float32)]
             except Exception:
-                vecs = [one(t) for t in texts]
+                return [one(t) for t in texts]
+
+        for pdf in batches:
+            texts = pdf[text_col].tolist()
+            vecs = []
+            for start in range(0, len(texts), batch_size):
+                vecs.extend(encode(texts[start : start + batch_size]))
             pdf = pdf.copy()
             pdf["embedding"] = vecs
             yield pdf
