@@ -40,3 +40,12 @@ def test_materialized_validate_same_result(spark):
     v2, r2 = validate(df, RULES["product_raw"], "catalog", materialize=True)
     assert sorted(v1.collect()) == sorted(v2.collect())
     assert sorted(r1.collect()) == sorted(r2.collect())
+
+
+def test_cluster_partition_sizing():
+    from traitlens.session import cluster_sql_conf
+
+    conf = cluster_sql_conf(100 * 2**40)
+    assert conf["spark.sql.shuffle.partitions"] == "409600"
+    assert conf["spark.sql.files.maxPartitionBytes"] == str(256 << 20)
+    assert cluster_sql_conf(1)["spark.sql.shuffle.partitions"] == "200"
