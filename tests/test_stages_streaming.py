@@ -166,3 +166,21 @@ def test_stage_runner_removes_its_staging_data(spark, layout):
     assert staged_paths() == before_paths
     assert listing() <= before_dirs
     assert spark.read.parquet(f"{root}/product_raw").count() == 3
+
+
+def test_streaming_restart_resumes_without_duplicates(spark, tmpdir_path):
+    schema = "prd_id string, status boolean, content string, error string"
+    src, out, rej, ckpt = (os.path.join(tmpdir_path, d) for d in ("replies", "out", "rej", "ckpt"))
+
+    def add_file(start):
+        rows = [(str(i), True, f'{{"category1": "c{i}"}}', None) for i in range(start, start + 10)]
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(src)
+
+    add_file(0)
+    stream_trait_extract(spark, src, "text", out, rej, ckpt).awaitTermination(120)
+    add_file(10)  # new replies arrive; the restarted query must only parse these
+    stream_trait_extract(spark, src, "text", out, rej, ckpt).awaitTermination(120)
+    got = sorted(r.prd_id for r in spark.read.parquet(out).collect())
+    assert got == sorted(str(i) for i in range(20))
+    batches = sorted({r.batch_id for r in spark.read.parquet(out).select("batch_id").collect()})
+    assert len(batches) == 2
