@@ -35,16 +35,36 @@ def test_flagship_reads_two_columns_and_shuffles_by_product(plans):
         assert schema == "struct<vec_id:bigint,embedding:array<float>>"
     keys = re.findall(r"Exchange hashpartitioning\(([^,]+)#\d+, \d+\)", p)
     assert keys and set(keys) == {"prd_id"}
-    assert _count(p, r"Exchange hashpartitioning") == 3
-    assert "BroadcastExchange" not in p
+    # one scan and one shuffle of the vectors, then a shuffle of partial maxima only
+    assert _count(p, r"FileScan parquet") == 1
+    assert _count(p, r"Exchange hashpartitioning") == 2
+    assert "BroadcastExchange" not in p and "Join" not in p
     assert _count(p, r"ArrowEvalPython") == 1
-    assert "partial_max" in p and "partial_min_by" in p
+    assert "partial_max" in p and "Window" in p
 
 
-def test_topk_has_partial_limit_and_one_kernel(plans):
+def test_topk_has_limit_and_one_kernel(plans):
     p = plans["vector_topk_filtered"]
-    assert "WindowGroupLimit" in p and "Partial" in p
     assert _count(p, r"ArrowEvalPython") == 1
+    # the vectors move once; the ranking exchange comes after a partial per-product limit
+    assert _count(p, r"Exchange hashpartitioning") == 2
+    lines = p.splitlines()
+    i = max(n for n, line in enumerate(lines) if "Exchange hashpartitioning" in line and "search" in line)
+    assert "WindowGroupLimit" in lines[i + 1] and "Partial" in lines[i + 1]
+
+
+def test_hot_products_switch_to_salted_join(spark):
+    from tests.conftest import SF_SMALL
+    from traitlens.operators import similarity
+    from traitlens.plans import fixtures as fx
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        ent = fx.entities_from_embeddings(fx.read_table(spark, SF_SMALL, "embeddings"))
+        p = similarity.similarity_inner(ent, hot_key_rows=3)[0]._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in p and "_salt" in p and "partial_min_by" in p
 
 
 def test_row_local_operators_do_not_shuffle(plans):

@@ -5,17 +5,19 @@ comparison stays inside one product: the query vectors of a product are only
 compared with that product's own entities, so the work is linear in the number
 of entities (one query vector per product and tag, never all pairs).
 
-Plan shape (no broadcast of products, ever):
-  1. first vectors: group by prd_id with one conditional ``min_by`` per query
-     tag (partial aggregation before the exchange, so a hot product is
-     combined map-side);
-  2. join the candidates on prd_id (``per_key_join`` salts hot products);
-  3. one cosine per (candidate, search it belongs to) — text candidates take
-     part in one search, image candidates in two — then a conditional ``max``
-     per product (again partial before the exchange).
-
-With entities written bucketed and sorted by prd_id (``TableStore.
-write_entities``) steps 1 and 2 need no exchange at all.
+Plan shape (no broadcast of products, ever), chosen after counting hot keys:
+
+* no hot product: one ordered pass — shuffle the entities once by prd_id,
+  sort each product's rows (name, text, image, then id) and let a running
+  ``first(..., ignorenulls)`` hand each candidate its first name and first
+  text vector; one scan, one vector shuffle (none when the table is bucketed
+  by prd_id), no join;
+* hot products: first vectors by a conditional ``min_by`` (combined map-side
+  before the shuffle), then a join with the candidates salted on hot prd_ids.
+
+Either way each (candidate, search it belongs to) gets one cosine — text
+candidates take part in one search, image candidates in two — followed by a
+conditional ``max`` per product, partial before its (tiny) exchange.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import functions as F
 from ..constants import TAG_IMAGE, TAG_NAME, TAG_TEXT
 from ..functions.vectors import cosine, norm, resolve_impl
 from ..session import cut_lineage
-from .skew import DEFAULT_HOT_KEY_ROWS, per_key_join
+from .skew import DEFAULT_HOT_KEY_ROWS, detect_hot_keys, per_key_join
 
 # (output column, query tag, candidate tag) — the three product-local measures.
 SCORE_PAIRS = (
@@ -77,14 +79,48 @@ def first_vectors(entities: DataFrame, tags=(TAG_NAME, TAG_TEXT)) -> DataFrame:
     return ent.groupBy("prd_id").agg(*aggs)
 
 
+def _ordered_pairs(ent: DataFrame) -> DataFrame:
+    """Candidates with their product's query vectors, in one ordered pass (no join).
+
+    Within a product, rows are ordered name, text, image, then by id; a running
+    ``first(..., ignorenulls)`` therefore hands every text row the first name
+    vector and every image row the first name and the first text vector.  One
+    scan, one shuffle (none on a table bucketed by prd_id) and one sort.  A
+    window cannot split a product, so this is used only when no key is hot.
+    """
+    tag_order = (
+        F.when(F.col("prd_tag") == F.lit(TAG_NAME), F.lit(0))
+        .when(F.col("prd_tag") == F.lit(TAG_TEXT), F.lit(1))
+        .otherwise(F.lit(2))
+    )
+    running = (
+        Window.partitionBy("prd_id")
+        .orderBy(tag_order, F.col("id"))
+        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    payload = F.struct(F.col("id"), F.col("embedding"), F.col("norm"))
+    queries = [
+        F.first(F.when(F.col("prd_tag") == F.lit(tag), payload), ignorenulls=True).over(running).alias(f"q_{tag}")
+        for tag in (TAG_NAME, TAG_TEXT)
+    ]
+    cols = ["prd_id", "id", "prd_tag", "embedding", "norm"]
+    ranked = ent.select(*cols, *queries)
+    return ranked.where(F.col("prd_tag").isin(TAG_TEXT, TAG_IMAGE))
+
+
 def _pair_frame(entities: DataFrame, hot_key_rows: int) -> DataFrame:
-    """Candidates (text and image entities) joined with their product's query vectors."""
-    ent = _scoring_input(entities)
+    """Candidates (text and image entities) with their product's query vectors.
+
+    No hot product: one ordered pass (``_ordered_pairs``).  Hot products: first
+    vectors by a map-side combined ``min_by``, then a salted join on prd_id.
+    """
+    ent = _scoring_input(entities).select("prd_id", "id", "prd_tag", "embedding", "norm")
+    detected = detect_hot_keys(ent, "prd_id", hot_key_rows)
+    if detected[1] == 0:
+        return _ordered_pairs(ent)
     queries = first_vectors(ent, (TAG_NAME, TAG_TEXT))
-    cands = ent.where(F.col("prd_tag").isin(TAG_TEXT, TAG_IMAGE)).select(
-        "prd_id", "id", "prd_tag", "embedding", "norm"
-    )
-    return per_key_join(cands, queries, "prd_id", ["id"], min_rows=hot_key_rows)
+    cands = ent.where(F.col("prd_tag").isin(TAG_TEXT, TAG_IMAGE))
+    return per_key_join(cands, queries, "prd_id", ["id"], min_rows=hot_key_rows, detected=detected)
 
 
 def _search_hits(pairs: DataFrame, searches=SCORE_PAIRS) -> DataFrame:

@@ -38,6 +38,14 @@ def hot_keys(df: DataFrame, key: str, min_rows: int, max_salt: int = DEFAULT_MAX
     return counts.where(F.col("count") >= min_rows).select(key, buckets.alias(N_SALT))
 
 
+def detect_hot_keys(
+    df: DataFrame, key: str, min_rows: int, max_salt: int = DEFAULT_MAX_SALT
+) -> tuple[DataFrame, int]:
+    """The hot-key table and its size.  One scalar reaches the driver: the count."""
+    hot = hot_keys(df, key, min_rows, max_salt)
+    return hot, hot.count()
+
+
 def per_key_join(
     big: DataFrame,
     small: DataFrame,
@@ -47,19 +55,19 @@ def per_key_join(
     max_salt: int = DEFAULT_MAX_SALT,
     how: str = "inner",
     max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
+    detected: tuple[DataFrame, int] | None = None,
 ) -> DataFrame:
     """Equi-join ``big`` with ``small`` (unique on ``key``), robust to hot keys.
 
     ``salt_by`` are columns of ``big`` that spread a hot key's rows
     deterministically (the same row always lands in the same bucket, so task
-    retries recompute identical output).
+    retries recompute identical output).  ``detected`` passes the result of
+    ``detect_hot_keys`` when the caller already ran it.
     """
-    hot = hot_keys(big, key, min_rows, max_salt)
-    # One scalar reaches the driver: how many keys are hot.  Without hot keys
-    # the plan keeps the small side's existing partitioning (fewer exchanges);
-    # the hot-key table is broadcast only when that count is below the limit,
-    # otherwise it is joined with a shuffle like any other table.
-    n_hot = hot.count()
+    hot, n_hot = detected if detected is not None else detect_hot_keys(big, key, min_rows, max_salt)
+    # Without hot keys the plan keeps the small side's existing partitioning
+    # (fewer exchanges); the hot-key table is broadcast only when its count is
+    # below the limit, otherwise it is joined with a shuffle like any other table.
     if n_hot == 0:
         return big.join(small, key, how)
     hot_b = F.broadcast(hot) if n_hot <= max_broadcast_keys else hot
