@@ -55,6 +55,15 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _TABLES
 
 
+def range_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hash of the bytes of each range: prefix sums of position-weighted byte codes, shifted back and mixed."""
+    power, inverse = _powers(len(buf))
+    total = np.zeros(len(buf) + 1, np.uint64)
+    np.cumsum(_BYTE[buf] * power[: len(buf)], out=total[1:])
+    value = (total[end] - total[start]) * inverse[start]
+    return mix(value + (end - start).astype(np.uint64))
+
+
 class Words:
     """Words of a slice of texts: byte ranges, owner text, and first word of each text."""
 
@@ -78,14 +87,10 @@ class Words:
         self.inside = inside
 
     def hashes(self) -> np.ndarray:
-        """64-bit hash of each word's bytes (position-weighted byte codes, then mixed)."""
+        """64-bit hash of each word's bytes."""
         if not len(self.start):
             return np.zeros(0, np.uint64)
-        power, inverse = _powers(len(self.buf))
-        total = np.zeros(len(self.buf) + 1, np.uint64)
-        np.cumsum(_BYTE[self.buf] * power[: len(self.buf)], out=total[1:])
-        value = (total[self.end] - total[self.start]) * inverse[self.start]
-        return mix(value + (self.end - self.start).astype(np.uint64))
+        return range_hashes(self.buf, self.start, self.end)
 
     def strings(self, which: np.ndarray) -> pa.Array:
         """The words at the given positions as an Arrow string array."""
