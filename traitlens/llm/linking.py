@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 from .textvec import NON_SPACE, Words, slices
 
-BLOCK = 256
+BLOCK = 1024
 MARGIN = 5.0
 SHINGLE = 5
 
@@ -84,29 +84,32 @@ def _verifier(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     return verify
 
 
+def _close(block: pa.Table, percent: int):
+    """For every member of the lower slot, the members of the upper slot (later ones of the same slot) that are of another
+    component, of a size that allows a link, and alike by sketch."""
+    sketch = np.frombuffer(b"".join(block["sketch"].to_pylist()), np.uint8).reshape(len(block), -1)
+    comp, n, slot = (block[c].to_numpy() for c in ("comp", "n", "slot"))
+    width, t = sketch.shape[1], percent / 100
+    least = width * (t - MARGIN * np.sqrt(t * (1 - t) / width))
+    left, right = np.flatnonzero(slot == slot.min()), np.flatnonzero(slot == slot.max())
+    for i in left:
+        j = right[(comp[right] != comp[i]) & (np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * percent)]
+        if slot[i] == slot.max():
+            j = j[j > i]
+        j = j[np.count_nonzero(sketch[j] == sketch[i], axis=1) >= least]
+        if len(j):
+            yield i, j
+
+
 def _suspects(percent: int) -> Callable[[pa.Table], pa.Table]:
     """Members of a block that have, by sketch, a possible partner in another component."""
 
     def find(block: pa.Table) -> pa.Table:
-        sketch = np.array([np.frombuffer(x, np.uint8) for x in block["sketch"].to_pylist()], np.uint8)
-        comp, n, slot = (block[c].to_numpy() for c in ("comp", "n", "slot"))
-        width = sketch.shape[1]
-        t = percent / 100
-        least = width * (t - MARGIN * np.sqrt(t * (1 - t) / width))
-        left = np.flatnonzero(slot == slot.min())
-        right = np.flatnonzero(slot == slot.max())
-        hit = np.zeros(len(comp), bool)
-        for i in left:
-            near = (
-                (comp[right] != comp[i])
-                & (np.minimum(n[right], n[i]) * 100 >= np.maximum(n[right], n[i]) * percent)
-            )
-            j = right[near]
-            j = j[np.count_nonzero(sketch[j] == sketch[i], axis=1) >= least]
-            if len(j):
-                hit[i] = True
-                hit[j] = True
-        return block.filter(pa.array(hit)).drop_columns(["sketch"])
+        hit = np.zeros(len(block), bool)
+        for i, j in _close(block, percent):
+            hit[i] = True
+            hit[j] = True
+        return block.filter(pa.array(hit))
 
     return find
 
@@ -115,13 +118,12 @@ def _block_links(percent: int) -> Callable[[pa.Table], pa.Table]:
     """Links between different components of a block, each found component joined at once (a forest, not all links)."""
 
     def check(block: pa.Table) -> pa.Table:
-        ids, slot = block["id"].to_numpy(), block["slot"].to_numpy()
+        ids = block["id"].to_numpy()
         group = np.unique(block["comp"].to_numpy(), return_inverse=True)[1]
         sets = shingle_sets(block["text"].combine_chunks())
-        left, right = np.flatnonzero(slot == slot.min()), np.flatnonzero(slot == slot.max())
         a, b = [], []
-        for i in left:
-            for j in right:
+        for i, near in _close(block, percent):
+            for j in near:
                 if group[i] != group[j] and similar(sets[i], sets[j], percent):
                     a.append(ids[i])
                     b.append(ids[j])
@@ -200,14 +202,14 @@ def link(items: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int
         .join(items.select("id", "n", "sketch"), "id")
     )
     block = ["key", "u", "v"]
-    fields = "key long, u long, v long, slot long, id long, comp long"
+    fields = ["slot", "id", "comp", "n", "sketch"]
     suspects = cut_lineage(
-        dealt.select(*block, "slot", "id", "comp", "n", "sketch").groupBy(*block)
-        .applyInArrow(_suspects(percent), fields + ", n long"),
+        dealt.select(*block, *fields).groupBy(*block)
+        .applyInArrow(_suspects(percent), "key long, u long, v long, slot long, id long, comp long, n long, sketch binary"),
         "suspects",
     )
     late = cut_lineage(
-        suspects.join(texts, "id").select(*block, "slot", "id", "comp", "text").groupBy(*block)
+        suspects.join(texts, "id").select(*block, *fields, "text").groupBy(*block)
         .applyInArrow(_block_links(percent), "a long, b long"),
         "links",
     )
