@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, licenses, pieces, pseudonyms, quality, toxicity
+from . import chat, decontaminate, licenses, paragraphs, pieces, pseudonyms, quality, toxicity
 from .neardup import near_duplicates
 
 
@@ -26,6 +26,10 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.measure(table(spark, sf_dir, "documents"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return paragraphs.paragraph_dedup(table(spark, sf_dir, "documents"))
+
+
 def op5_sentencepiece(spark: SparkSession, sf_dir: str, model_path: str | None = None) -> DataFrame:
     return pieces.encode(table(spark, sf_dir, "documents"), model_path or public_tokenizers.path("piece_bpe_32k.model"))
 
@@ -55,6 +59,7 @@ QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_toxicity": op2_toxicity,
     "op3_quality_rules": op3_quality_rules,
+    "op4_substring_dedup": op4_substring_dedup,
     "op5_sentencepiece": op5_sentencepiece,
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_pii": op7_pii,
