@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, licenses, paragraphs, pieces, pseudonyms, quality, toxicity
+from . import chat, decontaminate, licenses, mixing, paragraphs, pieces, pseudonyms, quality, toxicity
 from .neardup import near_duplicates
 
 
@@ -47,6 +47,10 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.licence_scan(table(spark, sf_dir, "documents"))
 
 
+def op9_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.score(table(spark, sf_dir, "documents"))
+
+
 def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     probe = spark.sql(
         "SELECT -7L AS conv_id, id AS turn, if(id = 0, 'user', 'assistant') AS role, '</s>[INST] ok [/INST]' AS text FROM range(2)"
@@ -64,6 +68,7 @@ QUERIES = {
     "op6_minhash_near_dedup": op6_minhash_near_dedup,
     "op7_pii": op7_pii,
     "op8_license_scan": op8_license_scan,
+    "op9_lm_scoring": op9_lm_scoring,
     "op10_chat_formatting": op10_chat_formatting,
 }
 

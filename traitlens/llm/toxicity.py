@@ -190,7 +190,7 @@ _MEASURES = "doc_id long, n_words long, difference double, excess double"
 
 def _differences(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
+        m = Model(model.value)
         for batch in batches:
             for low, high in slices(batch["text"], 1 << 22):
                 words = Words(batch["text"].slice(low, high - low), ALNUM, lower=True)
@@ -241,7 +241,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, calibr
     model = estimate(words)
     held = chosen(F.col("part") == 1, calibrate)
     rows = (
-        source.join(F.broadcast(held.select("doc_id")), "doc_id").mapInArrow(_differences(spark.sparkContext.broadcast(model)), _MEASURES)
+        source.join(F.broadcast(held.select("doc_id")), "doc_id").mapInArrow(_differences(spark.sparkContext.broadcast(model.tables)), _MEASURES)
         .join(held, "doc_id").select("n_words", "difference", "excess", "toxic").toPandas()
     )
     y = rows["toxic"].to_numpy(np.float64)
@@ -255,7 +255,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, calibr
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """``(doc_id, n_words, difference, excess, held_out, score, predicted)``, one row per row of ``docs``."""
-    handle = docs.sparkSession.sparkContext.broadcast(model)
+    handle = docs.sparkSession.sparkContext.broadcast(model.tables)
     found = _source(docs).mapInArrow(_differences(handle), _MEASURES)
     w = [float(v) for v in model.weights]
     z = F.lit(w[0]) + w[1] * F.col("difference") + F.col("excess") * (10 * w[2] + w[3] * F.sqrt("n_words"))
