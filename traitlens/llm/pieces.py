@@ -33,7 +33,7 @@ from .textvec import range_hashes, slices
 
 MARK = "▁"
 THREADS = 2
-BATCH_BYTES = 16 << 20  # the more text in a batch, the fewer chunks are encoded twice
+BATCH_BYTES = 2 << 20  # more text in a batch saves encoding chunks again, at about 50 bytes of memory a byte
 PART = 1 << 17  # chunks hashed at a time
 # Fixed values of the model format: piece types and model types.
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
