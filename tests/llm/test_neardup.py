@@ -1,0 +1,110 @@
+from __future__ import annotations
+
+import random
+import re
+
+from traitlens.llm import linking, paragraphs
+from traitlens.llm.neardup import near_duplicates
+
+
+
+def shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))
+    if len(words) < 5:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def brute(rows):
+    sets = [(i, shingles(t)) for i, t in rows]
+    parent = {i: i for i, _ in rows}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, (i, x) in enumerate(sets):
+        for j, y in sets[:a]:
+            if x and y and 100 * len(x & y) >= 75 * len(x | y):
+                p, q = sorted((find(i), find(j)))
+                parent[q] = p
+    return {i: (len(x), find(i), find(i) == i) for i, x in sets}
+
+
+def corpus(seed=3, groups=25, copies=9):
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(4))
+    rows = []
+    for _ in range(groups):
+        base = [word() for _ in range(rng.choice([6, 30, 120]))]
+        for _ in range(copies):
+            own = list(base)
+            for _ in range(rng.choice([0, 0, 1, 2, 4])):
+                own[rng.randrange(len(own))] = word()
+            rows.append((len(rows), " ".join(own)))
+    rng.shuffle(rows)
+    return rows
+
+
+def result(df):
+    return {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in df.collect()}
+
+
+def test_components_match_brute_force(spark, make_docs, monkeypatch):
+    rows = corpus()
+    assert result(near_duplicates(make_docs(rows))) == brute(rows)
+    monkeypatch.setattr(linking, "BLOCK", 3)  # leftover pairs spread over many small blocks give the same
+    assert result(near_duplicates(make_docs(rows).repartition(5))) == brute(rows)
+
+
+def test_given_documents_match_brute_force_for_links(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.select("doc_id", "text").collect()]
+    assert result(near_duplicates(docs)) == brute(rows)
+
+
+def test_nulls_empty_repeats_and_long_texts(spark, make_docs):
+    long = " ".join(f"w{i}" for i in range(60_000))
+    rows = [(5, "a b c d e f"), (3, "A b c\td e f"), (4, None), (6, ""), (7, " \n"), (8, "x"), (9, "X"), (8, "x"), (None, "a b c d e f"), (None, "only here now"), (11, long), (10, long)]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_duplicates(make_docs(rows)).collect()), key=str)
+    assert got == sorted(
+        [(5, 2, 3, False), (3, 2, 3, True), (4, 0, 4, True), (6, 0, 6, True), (7, 0, 7, True), (8, 1, 8, True), (9, 1, 8, False), (8, 1, 8, True),
+         (None, 2, 3, False), (None, 1, None, True), (11, 59_996, 10, False), (10, 59_996, 10, True)], key=str,
+    )
+
+
+def test_empty_table(spark, make_docs):
+    assert near_duplicates(make_docs([]).limit(0)).collect() == []
+    assert paragraphs.paragraph_dedup(make_docs([]).limit(0)).collect() == []
+
+
+def test_bands_reach_the_wanted_recall():
+    n = paragraphs.tune(0.75, 1e-4)
+    assert (1 - 0.75**2) ** n <= 1e-4 < (1 - 0.75**2) ** (n - 1)
+
+
+def test_paragraphs_match_brute_force(spark, make_docs):
+    rng = random.Random(4)
+    lines = [t for _, t in corpus(7, 12, 4)]
+    rows = [(i, "\n".join(rng.choice(lines) for _ in range(rng.randrange(0, 5)))) for i in range(40)] + [(40, None), (41, "")]
+    units = [(i, j, t, len(t.split())) for i, text in rows for j, t in enumerate((text or "").split("\n")) if len(t.split()) >= paragraphs.MIN_WORDS]
+    links = brute([(u, t) for u, (_, _, t, _) in enumerate(units)])
+    clusters = {}
+    for u, unit in enumerate(units):
+        clusters.setdefault(links[u][1], []).append(unit)
+    expected = {i: [0, 0, 0, 0, 0, set()] for i, _ in rows}
+    for members in clusters.values():
+        across, first = len({m[0] for m in members}) > 1, min(m[:2] for m in members)
+        for i, j, _, n in members:
+            e = expected[i]
+            e[0] += 1
+            if across:
+                e[1] += 1
+                e[2] += n
+                e[5].add(first[0])
+            if (i, j) != first:
+                e[3] += 1
+                e[4] += n
+    got = {r.doc_id: [r.n_paragraphs, r.n_repeated, r.repeated_words, r.n_removed, r.removed_words, set(r.first_doc_ids)] for r in paragraphs.paragraph_dedup(make_docs(rows)).collect()}
+    assert got == expected

@@ -102,7 +102,7 @@ class Words:
     def grams(self, words: np.ndarray, k: int) -> np.ndarray:
         """Hash of the ``k`` words from each position; positions too near their text's end are wrong (see ``whole``)."""
         out = np.zeros(len(words), np.uint64)
-        for j in range(k):
+        for j in range(min(k, len(words))):
             out[: len(words) - j] += words[j:] * _powers(k + 2)[0][j + 1]
         return mix(out)
 

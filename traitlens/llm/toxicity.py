@@ -18,7 +18,7 @@ Rows whose ``crc32(doc_id as text) mod 5`` is 0 are never learnt from.  Labels,
 of a score.
 
 Defined results: null, empty and word-less texts have difference 0 and get the score of that; a document with several
-labels is toxic if any says so, null labels are ignored; without training texts of both classes every difference is 0;
+labels is toxic if any says so, null labels are ignored; without labels every text gets the same score below 0.5;
 every input row gives one row, with held_out false for a null doc_id.
 """
 
@@ -47,6 +47,9 @@ CLIP = 8.0
 
 def _spelled(words: pa.Array) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
     """Per order the hashes of event and context of every byte of `` word ``, and the first event of each word."""
+    if not len(words):
+        none = np.zeros(0, np.uint64)
+        return [(none, none) for _ in ORDERS], np.zeros(1, np.int64)
     side = pa.scalar(" ", pa.large_string())
     joined = pc.binary_join_element_wise(side, words.cast(pa.large_string()), side, pa.scalar("", pa.large_string()))
     off = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset : joined.offset + len(joined) + 1]
@@ -249,7 +252,7 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, calibr
     # Weights bring the chosen rows back to the classes' shares among all labelled rows.
     taken = [max(1.0, float((y == k).sum())) for k in (0, 1)]
     weight = np.where(y == 1, share.get(1, 0) / taken[1], share.get(0, 0) / taken[0])
-    model.weights = fit_logistic(x, y, weight / max(weight.mean(), 1e-12)) if len(y) else np.zeros(4)
+    model.weights = fit_logistic(x, y, weight / max(weight.mean(), 1e-12)) if len(y) else np.array([-1.0, 0, 0, 0])
     return model
 
 
