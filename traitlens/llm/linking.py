@@ -3,8 +3,8 @@
 Input: one row per vertex ``(id, n, sketch, bands)``: set size, one byte per signature position, band keys.
 
 1. Each bucket (vertices sharing a band key) has two pivots: its least id and its least id by a hash that changes with
-   the bucket, so a vertex meets different pivots in different bands.  Every member is compared with both on the full
-   shingle sets; the links give first components.  That is linear in the bucket.
+   the bucket, so a vertex meets different pivots in different bands.  Every member is compared with the first on the full
+   shingle sets, and with the second unless the links so far join the two already.  That is linear in the bucket.
 2. What is left are pairs of one bucket whose ends lie in different components.  Buckets where all other members are
    one component are done.  In the rest, members are dealt into slots of about ``BLOCK`` and compared slot by slot
    inside tasks, first by sketch (a margin of ``MARGIN`` standard errors below the threshold), then on full sets, so a
@@ -151,6 +151,22 @@ def components(edges: DataFrame) -> DataFrame:
             return labels
 
 
+def _named(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """``links(a, b)`` with the components of their ends."""
+    ends = labels.select("id", "comp")
+    return (
+        links.join(ends.toDF("a", "ca"), "a", "left").join(ends.toDF("b", "cb"), "b", "left")
+        .select("a", "b", F.coalesce("ca", "a").alias("ca"), F.coalesce("cb", "b").alias("cb"))
+    )
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """``labels(id, comp)`` after further links, for all ids of either."""
+    later = components(_named(links, labels).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    old = labels.join(later.toDF("comp", "to"), "comp", "left").select("id", F.coalesce("to", "comp").alias("comp"))
+    return cut_lineage(old.unionByName(later.join(labels.select("id"), "id", "left_anti")), "labels")
+
+
 def link(items: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
     """``(id, comp)`` for every row of ``items(id, n, sketch, bands)``.
 
@@ -165,22 +181,26 @@ def link(items: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int
         "buckets",
     )
     inside = cut_lineage(members.join(buckets, "key"), "members")
-    pivots = inside.select("id", "n", F.explode(F.array("first", "second")).alias("p"))
-    pairs = (
-        pivots.where((F.col("p.id") != F.col("id")) & _ratio_ok(F.col("n"), F.col("p.n"), percent))
-        .select(F.col("p.id").alias("a"), F.col("id").alias("b"))
-        .select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        .distinct()
-    )
     texts = cut_lineage(fetch(inside.select("id").distinct()), "texts")
-    stars = cut_lineage(
-        pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
-        .join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
-        .select("a", "b", "text_a", "text_b")
-        .mapInArrow(_verifier(percent), "a long, b long"),
-        "links",
-    )
-    first = components(stars)
+
+    def pairs(pivot: str) -> DataFrame:
+        p = F.col(pivot)
+        near = inside.where((p["id"] != F.col("id")) & _ratio_ok(F.col("n"), p["n"], percent))
+        return near.select(F.least("id", p["id"]).alias("a"), F.greatest("id", p["id"]).alias("b")).distinct()
+
+    def verified(asked: DataFrame) -> DataFrame:
+        return cut_lineage(
+            asked.join(texts.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
+            .join(texts.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
+            .select("a", "b", "text_a", "text_b")
+            .mapInArrow(_verifier(percent), "a long, b long"),
+            "links",
+        )
+
+    first = components(verified(pairs("first")))
+    # The second pivots only matter between components.
+    asked = _named(pairs("second"), first).where("ca != cb").select("a", "b")
+    first = merged(first, verified(asked))
 
     rest = cut_lineage(
         inside.where((F.col("id") != F.col("first.id")) & (F.col("id") != F.col("second.id")))
@@ -213,14 +233,4 @@ def link(items: DataFrame, fetch: Callable[[DataFrame], DataFrame], percent: int
         .applyInArrow(_block_links(percent), "a long, b long"),
         "links",
     )
-    ends = first.select(F.col("id"), F.col("comp"))
-    joined = (
-        late.join(ends.toDF("a", "ca"), "a", "left").join(ends.toDF("b", "cb"), "b", "left")
-        .select(F.coalesce("ca", "a").alias("a"), F.coalesce("cb", "b").alias("b"))
-    )
-    second = components(joined)
-    return (
-        items.select("id").join(first, "id", "left").select("id", F.coalesce("comp", "id").alias("one"))
-        .join(second.toDF("one", "two"), "one", "left")
-        .select("id", F.coalesce("two", "one").alias("comp"))
-    )
+    return items.select("id").join(merged(first, late), "id", "left").select("id", F.coalesce("comp", "id").alias("comp"))
