@@ -170,8 +170,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     lengths = sorted(r[0] for r in index.where("width < 0").select("width").distinct().collect())
     slot = F.col("fp").bitwiseAND(F.lit(FILTER_BITS - 1))
     bits = np.zeros(FILTER_BITS // 64, np.int64)
-    for word, mask in index.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(fp & 63 as int))"))).collect():
-        bits[word] = mask
+    filled = index.groupBy(F.shiftright(slot, 6).alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(fp & 63 as int))")).alias("mask")).toArrow()
+    bits[filled["word"].to_numpy()] = filled["mask"].to_numpy()
     table = spark.sparkContext.broadcast(bits.tobytes())
     found = cut_lineage(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(

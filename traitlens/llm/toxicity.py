@@ -157,9 +157,9 @@ def estimate(words: DataFrame) -> Model:
         def dense(column: str, value) -> np.ndarray:
             """At most two classes times SLOTS rows reach the driver."""
             slot = F.col(column).bitwiseAND(F.lit(SLOTS - 1)).cast("int")
-            table = rows.groupBy("k", slot.alias("slot")).agg(value.cast("float").alias("v")).toPandas()
+            table = rows.groupBy("k", slot.alias("slot")).agg(value.cast("float").alias("v")).toArrow()
             out = np.zeros((2, SLOTS), np.float32)
-            out[table["k"].to_numpy(int), table["slot"].to_numpy(int)] = table["v"].to_numpy(np.float32)
+            out[table["k"].to_numpy(), table["slot"].to_numpy()] = table["v"].to_numpy()
             return out
 
         count, total, removed = dense(event, F.sum(F.col("n") - d)), dense(context, F.sum("n")), dense(context, F.sum(d))
@@ -245,10 +245,10 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, calibr
     held = chosen(F.col("part") == 1, calibrate)
     rows = (
         source.join(F.broadcast(held.select("doc_id")), "doc_id").mapInArrow(_differences(spark.sparkContext.broadcast(model.tables)), _MEASURES)
-        .join(held, "doc_id").select("n_words", "difference", "excess", "toxic").toPandas()
+        .join(held, "doc_id").select("n_words", "difference", "excess", "toxic").toArrow()
     )
-    y = rows["toxic"].to_numpy(np.float64)
-    x = _features(*(rows[c].to_numpy(np.float64) for c in ("difference", "excess", "n_words")))
+    y = rows["toxic"].to_numpy().astype(np.float64)
+    x = _features(*(rows[c].to_numpy().astype(np.float64) for c in ("difference", "excess", "n_words")))
     # Weights bring the chosen rows back to the classes' shares among all labelled rows.
     taken = [max(1.0, float((y == k).sum())) for k in (0, 1)]
     weight = np.where(y == 1, share.get(1, 0) / taken[1], share.get(0, 0) / taken[0])
