@@ -78,3 +78,33 @@ def test_missing_header_is_a_clear_error(spark):
     raw = spark.createDataFrame([("1", "x")], "`web-scraper-order` string, name string")
     with pytest.raises(ValueError, match="price3"):
         catalog.clean_catalog(raw, "/imgs/")
+
+
+def test_numbers_that_would_lose_digits_are_rejects(spark):
+    from pyspark.sql import functions as F
+
+    from traitlens.operators.catalog import exact_decimal
+
+    texts = ["4.5678", "4.56789", "12300", "1e-5", "1E2", "0.00000000000000000001", "4.50000000", "x", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", exact_decimal(F.col("t")).alias("v")).collect()
+    kept = {r.t: (None if r.v is None else float(r.v)) for r in rows}
+    assert kept == {
+        "4.5678": 4.5678, "4.56789": None, "12300": 12300.0, "1e-5": None, "1E2": 100.0, "0.00000000000000000001": None,
+        "4.50000000": 4.5, "x": None, None: None,
+    }
+
+
+def test_first_row_wins_over_files_of_unequal_size(spark, tmpdir_path):
+    import os
+
+    from traitlens.operators.catalog import first_per_key
+    from traitlens.sources.catalog_csv import read_catalog_csv
+
+    with open(os.path.join(tmpdir_path, "a.csv"), "w") as fh:
+        fh.write("web-scraper-order,name\n7,from a\n")
+    with open(os.path.join(tmpdir_path, "b.csv"), "w") as fh:
+        fh.write("web-scraper-order,name\n" + "".join(f"{i},from b\n" for i in range(2000)) + "7,again\n")
+    for quoted in (True, False):
+        df = read_catalog_csv(spark, tmpdir_path, quoted_newlines=quoted).withColumnRenamed("web-scraper-order", "prd_id")
+        got = {r.prd_id: r.name for r in first_per_key(df).collect()}
+        assert len(got) == 2000 and got["7"] == "from a" and got["8"] == "from b"

@@ -97,3 +97,14 @@ def test_random_strings_match_contract(spark, seed):
             continue
         expected = [tuple(_render(o.get(k)) for k in TRAIT_KEYS) for o in contract(text)]
         assert got[i][0] == expected, repr(text)
+
+
+def test_overflowing_numbers_and_half_surrogates_make_a_fragment_invalid(spark):
+    from pyspark.sql import functions as F
+
+    from traitlens.functions.jsonx import extract_json_objects
+
+    texts = ['{"color": 1e400}', '{"color": -1e400}', r'{"color": "\ud800"}', r'{"color": "\udc00 x"}', r'{"color": "\ud83d\ude00"}', '{"color": 1.50}', '{"color": "Infinity"}']
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [[o.color for o in r.o] for r in df.select(extract_json_objects(F.col("t"), ("color",)).alias("o")).collect()]
+    assert got == [[], [], [], [], ["\U0001f600"], ["1.5"], ["Infinity"]]

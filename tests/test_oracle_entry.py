@@ -44,6 +44,6 @@ def test_rows_only_query_is_deterministic(spark):
     assert first == second and len(first) > 0
     from traitlens.plans.queries import _encoded_entities
 
-    ids1 = sorted(r.id for r in _encoded_entities(spark, SF_SMALL).select("id").collect())
-    ids2 = sorted(r.id for r in _encoded_entities(spark, SF_SMALL).select("id").collect())
+    ids1 = sorted(r.id for r in _encoded_entities(spark, SF_SMALL)[0].select("id").collect())
+    ids2 = sorted(r.id for r in _encoded_entities(spark, SF_SMALL)[0].select("id").collect())
     assert ids1 == ids2 and len(set(ids1)) == len(ids1)

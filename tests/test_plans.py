@@ -35,36 +35,57 @@ def test_flagship_reads_two_columns_and_shuffles_by_product(plans):
         assert schema == "struct<vec_id:bigint,embedding:array<float>>"
     keys = re.findall(r"Exchange hashpartitioning\(([^,]+)#\d+, \d+\)", p)
     assert keys and set(keys) == {"prd_id"}
-    # one scan and one shuffle of the vectors, then a shuffle of partial maxima only
-    assert _count(p, r"FileScan parquet") == 1
+    # candidates once, first vectors once (combined map-side); the maxima need no further exchange
     assert _count(p, r"Exchange hashpartitioning") == 2
-    assert "BroadcastExchange" not in p and "Join" not in p
+    assert "BroadcastExchange" not in p and "Window" not in p
     assert _count(p, r"ArrowEvalPython") == 1
-    assert "partial_max" in p and "Window" in p
+    assert "partial_max" in p and "partial_min" in p
+
+
+def test_candidates_carry_their_vector_once_through_the_exchange(plans):
+    lines = plans["similarity_scores"].splitlines()
+    below = [lines[i + 1] for i, line in enumerate(lines) if "Exchange hashpartitioning(prd_id" in line]
+    assert any("struct" not in line and "Project" in line for line in below)
+    assert all("Project" in line or "Aggregate" in line for line in below)
 
 
 def test_topk_has_limit_and_one_kernel(plans):
     p = plans["vector_topk_filtered"]
     assert _count(p, r"ArrowEvalPython") == 1
-    # the vectors move once; the ranking exchange comes after a partial per-product limit
-    assert _count(p, r"Exchange hashpartitioning") == 2
+    # the ranking exchange comes after a partial per-product limit
+    assert _count(p, r"Exchange hashpartitioning") == 3
     lines = p.splitlines()
     i = max(n for n, line in enumerate(lines) if "Exchange hashpartitioning" in line and "search" in line)
     assert "WindowGroupLimit" in lines[i + 1] and "Partial" in lines[i + 1]
 
 
-def test_hot_products_switch_to_salted_join(spark):
-    from tests.conftest import SF_SMALL
-    from traitlens.operators import similarity
-    from traitlens.plans import fixtures as fx
-
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+def _jobs(spark, build):
+    """Parse expressions in the plans of all jobs that building and running a frame starts."""
+    group = "count-jobs"
+    spark.sparkContext.setJobGroup(group, group)
     try:
-        ent = fx.entities_from_embeddings(fx.read_table(spark, SF_SMALL, "embeddings"))
-        p = similarity.similarity_inner(ent, hot_key_rows=3)[0]._jdf.queryExecution().executedPlan().toString()
+        df = build()
+        started = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        return df, started
     finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert "SortMergeJoin" in p and "_salt" in p and "partial_min_by" in p
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_requests_build_without_jobs_of_other_stages(spark):
+    for name in ("requests_text", "infer_traits"):
+        _, started = _jobs(spark, lambda name=name: entry_mod.queries()[name](spark, SF_SMALL))
+        assert started <= 1, name  # reading the schema of a table
+
+
+def test_replies_are_parsed_once(plans):
+    # the parsed rows are written while the query is built, and only read afterwards
+    for name in ("integrate_traits", "entity_documents"):
+        assert "regexp_extract_all" not in plans[name] and "from_json" not in plans[name]
+
+
+def test_rejects_read_few_scans(spark):
+    p = entry_mod.queries()["quality_rejects"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"FileScan parquet.*part\.parquet", p)) <= 5
 
 
 def test_row_local_operators_do_not_shuffle(plans):

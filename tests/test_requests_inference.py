@@ -103,14 +103,14 @@ def test_hashing_encoder_unit_vectors(spark):
     assert not out["c"].any()
 
 
-def test_shared_image_path_is_salted_and_exact(spark, tmpdir_path):
+def test_shared_image_path_is_exact(spark, tmpdir_path):
     img_dir = os.path.join(tmpdir_path, "prd_img")
     os.makedirs(img_dir)
     with open(os.path.join(img_dir, "shared.jpg"), "wb") as fh:
         fh.write(b"\xff\xd8shared")
     rows = [(str(i), f"n{i}", f"{img_dir}/shared.jpg") for i in range(60)] + [("x", "nx", f"{img_dir}/none.jpg")]
     raw = _raw(spark, rows)
-    present, missing = requests.attach_images(raw, read_images(spark, tmpdir_path), hot_key_rows=10)
+    present, missing = requests.attach_images(raw, read_images(spark, tmpdir_path))
     assert sorted(r.prd_id for r in present.collect()) == sorted(str(i) for i in range(60))
     assert [r.prd_id for r in missing.collect()] == ["x"]
 
@@ -136,3 +136,21 @@ def test_chat_job_retries_transient_errors(spark):
     assert all(r.status is False and "transient" in r.error for r in without)
     with_retry = inference.run_chat_job(reqs, make_factory(), retries=2, backoff_seconds=0.01).collect()
     assert all(r.status is True for r in with_retry)
+
+
+def test_image_paths_with_a_scheme_are_found_and_missing_ones_read_no_bytes(spark, tmpdir_path):
+    img_dir = os.path.join(tmpdir_path, "prd_img")
+    os.makedirs(img_dir)
+    with open(os.path.join(img_dir, "1.jpg"), "wb") as fh:
+        fh.write(b"\xff\xd8one")
+    raw = _raw(spark, [("1", "a", f"file://{img_dir}/1.jpg"), ("2", "b", f"file:{img_dir}/2.jpg")])
+    present, missing = requests.attach_images(raw, read_images(spark, tmpdir_path))
+    assert [r.prd_id for r in present.collect()] == ["1"]
+    assert [r.prd_id for r in missing.collect()] == ["2"]
+    assert "content" not in missing._jdf.queryExecution().optimizedPlan().toString().split("ReadSchema")[-1]
+
+
+def test_products_without_a_name_are_not_asked_about(spark):
+    raw = _raw(spark, [("1", "a b", "/p"), ("2", None, "/p"), ("3", "c", None)])
+    assert [r.prd_id for r in requests.text_requests(raw, SETTINGS).collect()] == ["1"]
+    assert [(r.prd_id, r.column_name) for r in requests.unnamed_rejects(raw).collect()] == [("2", "prd_name")]

@@ -154,18 +154,41 @@ def test_native_kernel_fills_missing_stored_norms(spark):
     assert r.similarity_name_image == pytest.approx(0.0) and r.similarity_text_image == pytest.approx(2**-0.5)
 
 
-def test_hot_key_table_over_broadcast_limit_is_shuffle_joined(spark):
+def test_salted_join_is_exact_and_never_hints_a_broadcast(spark):
     from traitlens.operators.skew import per_key_join
 
     big = spark.range(400).selectExpr("cast(id % 8 as string) as k", "id")
     small = spark.range(8).selectExpr("cast(id as string) as k", "id * 10 as v")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only explicit hints may broadcast
     try:
-        out = per_key_join(big, small, "k", ["id"], min_rows=10, max_broadcast_keys=2)
+        out = per_key_join(big, small, "k", ["id"], min_rows=10)
         assert "BroadcastExchange" not in out._jdf.queryExecution().executedPlan().toString()
-        hinted = per_key_join(big, small, "k", ["id"], min_rows=10)
-        assert "BroadcastExchange" in hinted._jdf.queryExecution().executedPlan().toString()
         got = sorted((r.k, r.id, r.v) for r in out.collect())
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == sorted((str(i % 8), i, (i % 8) * 10) for i in range(400))
+
+
+def test_null_and_equal_ids_give_the_same_scores_with_any_salting(spark):
+    rows = [
+        (None, "a", "product_name", [0.0, 1.0]),  # no id: a reject, never the first vector
+        (4, "a", "product_name", [1.0, 0.0]),
+        (4, "a", "product_name", [0.5, 1.0]),  # equal id: the least vector is the first
+        (5, "a", "product_text", [1.0, 1.0]),
+        (6, "a", "product_image", [0.0, 1.0]),
+        (7, None, "product_name", [1.0, 0.0]),
+        (8, None, "product_text", [1.0, 0.0]),
+        (9, None, "product_image", [1.0, 0.0]),
+        (10, "z", "product_name", [0.0, 0.0]),
+        (11, "z", "product_text", [1.0, 0.0]),
+        (12, "z", "product_image", [1.0, 0.0]),
+    ]
+    df = spark.createDataFrame(rows, "id long, prd_id string, prd_tag string, embedding array<float>")
+    results = []
+    for hot in (None, 1, 3, 200_000):
+        scores, rejects = similarity.similarity_inner(df, hot_key_rows=hot)
+        results.append((_scores(scores), sorted((r.prd_id or "", r.rule, r.column_name) for r in rejects.collect())))
+    assert all(r == results[0] for r in results)
+    scores, rejects = results[0]
+    assert set(scores) == {"a"} and scores["a"][0] == pytest.approx(1.5 / (1.25**0.5 * 2**0.5))
+    assert rejects == [("", "null_key", "prd_id")] * 3 + [("a", "null_key", "id"), ("z", "zero_vector", "embedding")]

@@ -184,3 +184,34 @@ def test_streaming_restart_resumes_without_duplicates(spark, tmpdir_path):
     assert got == sorted(str(i) for i in range(20))
     batches = sorted({r.batch_id for r in spark.read.parquet(out).select("batch_id").collect()})
     assert len(batches) == 2
+
+
+def test_staging_needs_a_shared_folder_outside_local_mode(monkeypatch):
+    from traitlens import session
+
+    assert session._is_local("local") and session._is_local("local[4]")
+    assert not session._is_local("local-cluster[2,1,1024]") and not session._is_local("yarn")
+
+    class Conf(dict):
+        def set(self, key, value):
+            self[key] = value
+
+    class Context:
+        master = "yarn"
+        folder = None
+
+        def getConf(self):
+            return Conf()
+
+        def setCheckpointDir(self, path):
+            self.folder = path
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    try:
+        session.ensure_checkpoint_dir(Session())
+        raise AssertionError("a cluster without a shared folder must be an error")
+    except ValueError as error:
+        assert "spark.checkpoint.dir" in str(error)
+    assert session.ensure_checkpoint_dir(Session(), "s3a://bucket/_staging") == "s3a://bucket/_staging" == Context.folder or Session.sparkContext.folder

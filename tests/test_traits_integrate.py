@@ -99,5 +99,5 @@ def test_integrate_salted_equals_plain(spark):
     text = _trait_rows(spark, [(f"t{j}", None, None, None, None, None, "p0") for j in range(40)] + [("a", None, None, None, None, None, "p1")])
     image = _trait_rows(spark, [(f"i{j}", None, None, None, None, None, "p0") for j in range(30)] + [("b", None, None, None, None, None, "p1")])
     plain = sorted(tuple(r) for r in integrate.integrate_traits(raw, text, image)[0].collect())
-    salted = sorted(tuple(r) for r in integrate.integrate_traits(raw, text, image, hot_key_rows=8)[0].collect())
+    salted = sorted(tuple(r) for r in integrate.integrate_traits(raw, text, image)[0].collect())
     assert plain == salted and len(plain) == 72

@@ -21,6 +21,11 @@ from ..constants import TRAIT_KEYS
 
 OBJECT_PATTERN = r"(?s)\{.*?\}"
 CORRUPT_FIELD = "_corrupt"
+# A \\ud800-\\udfff escape that is not part of a high-low pair.
+LONE_SURROGATE = (
+    r"\\u[dD][89abAB][0-9a-fA-F]{2}(?!\\u[dD][c-fC-F][0-9a-fA-F]{2})"
+    r"|(?<!\\u[dD][89abAB][0-9a-fA-F]{2})\\u[dD][c-fC-F][0-9a-fA-F]{2}"
+)
 
 STRICT_JSON_OPTIONS = {
     "mode": "PERMISSIVE",
@@ -49,17 +54,25 @@ def _ddl(keys: Sequence[str]) -> str:
     return ", ".join(fields)
 
 
+def _finite(obj: Column, keys: Sequence[str]) -> Column:
+    """False when a number overflowed (rendered as a quoted ``"Infinity"``)."""
+    out = F.lit(True)
+    for k in keys:
+        out = out & ~F.coalesce(obj[k].isin('"Infinity"', '"-Infinity"', '"NaN"'), F.lit(False))
+    return out
+
+
 def extract_json_objects(text, keys: Sequence[str] = TRAIT_KEYS) -> Column:
     """array<struct<keys...>> of the valid JSON objects in ``text``.
 
     Missing keys are null, extra keys are ignored, an empty object ``{}`` is a
-    struct of nulls.  Non-string values are kept as their JSON text.
+    struct of nulls.  Non-string values are rendered as JSON (``1.50`` as ``1.5``).  Numbers beyond the double range and
+    escapes of half a surrogate pair make a fragment invalid.
     """
     ddl = _ddl(keys)
-    parsed = F.transform(
-        object_candidates(text), lambda frag: F.from_json(frag, ddl, STRICT_JSON_OPTIONS)
-    )
-    valid = F.filter(parsed, lambda obj: obj[CORRUPT_FIELD].isNull())
+    whole = F.filter(object_candidates(text), lambda frag: ~frag.rlike(LONE_SURROGATE))
+    parsed = F.transform(whole, lambda frag: F.from_json(frag, ddl, STRICT_JSON_OPTIONS))
+    valid = F.filter(parsed, lambda obj: obj[CORRUPT_FIELD].isNull() & _finite(obj, keys))
     return F.transform(valid, lambda obj: F.struct(*[obj[k].alias(k) for k in keys]))
 
 

@@ -25,7 +25,7 @@ from ..constants import (
 )
 from ..schemas import CATALOG_DECIMAL, PRODUCT_RAW, RULES
 from ..session import cut_lineage
-from .quality import reject_frame, validate
+from .quality import VIOLATIONS, split_tagged, tag_violations
 
 CATALOG_COLUMNS = [f.name for f in PRODUCT_RAW.fields]
 NUMERIC_COLUMNS = ("price", "review", "review_rating")
@@ -57,6 +57,13 @@ def image_path(prd_id: Column, image_dir: str) -> Column:
     return F.concat(F.lit(base), F.lit("prd_img/"), prd_id, F.lit(".jpg"))
 
 
+def exact_decimal(text: Column) -> Column:
+    """The number in the table's decimal type, or null when it is not one or would lose digits."""
+    value = text.try_cast(CATALOG_DECIMAL)
+    lossy = (text.try_cast("decimal(38,18)") != value) | text.rlike(r"\.[0-9]{18}0*[1-9]") | text.rlike(r"[eE]-[0-9]{2,}$")
+    return F.when(~F.coalesce(lossy, F.lit(False)), value)
+
+
 def clean_catalog(
     raw: DataFrame,
     image_dir: str,
@@ -88,18 +95,23 @@ def clean_catalog(
         *[F.nullif(v, F.lit("")).alias(k) for k, v in out.items()],
         *([F.col(ORDINAL)] if ORDINAL in raw.columns else []),
     ).withColumn("prd_img", image_path(F.col("prd_id"), image_dir))
-    for name in NUMERIC_COLUMNS:
-        projected = projected.withColumn(name, F.col(f"{name}_text").try_cast(CATALOG_DECIMAL))
+    projected = projected.withColumns({name: exact_decimal(F.col(f"{name}_text")) for name in NUMERIC_COLUMNS})
     keep = CATALOG_COLUMNS + ([ORDINAL] if ORDINAL in raw.columns else [])
     if materialize:  # both outputs below read the projection: compute it once
         projected = cut_lineage(projected, "catalog")
-    cast_rejects = None
-    for name in NUMERIC_COLUMNS:
-        bad = projected.where(F.col(f"{name}_text").isNotNull() & F.col(name).isNull())
-        r = reject_frame(bad, "catalog", "cast_decimal", name, F.col(f"{name}_text"))
-        cast_rejects = r if cast_rejects is None else cast_rejects.unionByName(r)
-    valid, rule_rejects = validate(projected.select(*keep), RULES["product_raw"], "catalog")
-    return valid, cast_rejects.unionByName(rule_rejects)
+    # Failed casts and rule violations of a row in one array, split once.
+    casts = [
+        F.when(
+            F.col(f"{name}_text").isNotNull() & F.col(name).isNull(),
+            F.struct(F.lit("cast_decimal").alias("rule"), F.lit(name).alias("column_name"), F.col(f"{name}_text").alias("detail")),
+        )
+        for name in NUMERIC_COLUMNS
+    ]
+    tagged = tag_violations(projected, RULES["product_raw"])
+    valid = tagged.where(F.size(VIOLATIONS) == 0).select(*keep)
+    found = F.concat(F.filter(F.array(*casts), lambda v: v.isNotNull()), F.col(VIOLATIONS))
+    rejects = split_tagged(tagged.withColumn(VIOLATIONS, found), "catalog")[1]
+    return valid, rejects
 
 
 def _src(target: str) -> str:

@@ -3,7 +3,7 @@
 Three document kinds per product: its name, the masked concatenation of each
 text-trait row and of each image-trait row.  Duplicates are removed per
 (product, text); each document gets an encoder prompt.  After encoding, an
-entity gets a deterministic id (hash of tag, product and text, so a retried
+entity gets a deterministic id (a hash of tag, product and text, so a retried
 task reproduces it), its vector norm, and the dimension/width checks.
 """
 
@@ -70,7 +70,9 @@ def entity_documents(integrated: DataFrame, instruct: str = DEFAULT_ENCODER_INST
 
 
 def entity_id(tag: Column, prd_id: Column, text: Column) -> Column:
-    return F.xxhash64(tag, prd_id, text)
+    """60 bits of the MD5 digest of the three values: the same for the same entity in any engine and any retry."""
+    digest = F.md5(F.concat_ws("\x1f", *(F.coalesce(c, F.lit("")) for c in (tag, prd_id, text))))
+    return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
 
 def to_entities(encoded: DataFrame, dim: int, materialize: bool = False) -> tuple[DataFrame, DataFrame]:

@@ -86,15 +86,8 @@ def run_chat_job(
 
 
 def _with_tasks(df: DataFrame, tasks: int | None) -> DataFrame:
-    """Bound the number of tasks: merge partitions without a shuffle (``coalesce``)
-    when fewer are wanted; spread with ``repartition`` only when more are."""
-    if not tasks:
-        return df
-    try:
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (client session): shuffle to be safe
-        return df.repartition(tasks)
-    return df.coalesce(tasks) if tasks <= current else df.repartition(tasks)
+    """Exactly ``tasks`` partitions, hence at most so many concurrent tasks (a shuffle of the requests)."""
+    return df.repartition(tasks) if tasks else df
 
 
 def encode_documents(

@@ -18,32 +18,29 @@ from pyspark.sql import functions as F
 from ..constants import TRAIT_KEYS
 from ..schemas import RULES
 from .quality import validate
-from .skew import DEFAULT_HOT_KEY_ROWS, per_key_join
 
 INFO_COLUMNS = ["prd_id", "category", "prd_name", "trait_side", *TRAIT_KEYS]
 
 
-def products_with_both_sides(text_traits: DataFrame, image_traits: DataFrame) -> DataFrame:
-    """Keys present on both sides (distinct = partial aggregation before the shuffle)."""
-    return text_traits.select("prd_id").distinct().join(image_traits.select("prd_id").distinct(), "prd_id")
+def products_with_both_sides(rows: DataFrame) -> DataFrame:
+    """Products with rows of both ``trait_side``s (one aggregate, combined map-side)."""
+    sides = rows.groupBy("prd_id").agg(*(F.max(F.when(F.col("trait_side") == s, True)).alias(s) for s in ("text", "image")))
+    return sides.where("text and image").select("prd_id")
 
 
 def integrate_traits(
     product_raw: DataFrame,
     text_traits: DataFrame,
     image_traits: DataFrame,
-    hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
     materialize: bool = False,
 ) -> tuple[DataFrame, DataFrame]:
     """(integrated rows, rejects).  Rejects: rows breaking NOT NULL / width rules
     (e.g. a product whose category link was not in the dictionary)."""
-    base = product_raw.select("prd_id", "category", "prd_name").join(
-        products_with_both_sides(text_traits, image_traits), "prd_id"
-    )
     rows = text_traits.withColumn("trait_side", F.lit("text")).unionByName(
         image_traits.withColumn("trait_side", F.lit("image"))
     )
-    joined = per_key_join(rows, base, "prd_id", ["trait_side", *TRAIT_KEYS], min_rows=hot_key_rows)
+    base = product_raw.select("prd_id", "category", "prd_name").join(products_with_both_sides(rows), "prd_id")
+    joined = rows.join(base, "prd_id")  # a hot product's rows are divided by adaptive skew-join splitting
     return validate(
         joined.select(*INFO_COLUMNS), RULES["products_trait_information"], "integrate", materialize=materialize
     )

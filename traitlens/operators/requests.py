@@ -22,7 +22,6 @@ from ..constants import (
     TEXT_QUESTION_SUFFIX,
 )
 from .quality import reject_frame
-from .skew import DEFAULT_HOT_KEY_ROWS, per_key_join
 
 # Default role prompt (our own wording; users supply theirs).
 DEFAULT_ROLE_PROMPT = (
@@ -68,11 +67,17 @@ def text_question(name: Column) -> Column:
 
 
 def text_requests(product_raw: DataFrame, settings: ChatSettings) -> DataFrame:
-    """``(prd_id, request)`` for catalog rows with an image path (the original gate)."""
-    rows = product_raw.where(F.col("prd_img").isNotNull())
+    """``(prd_id, request)`` for named catalog rows with an image path (the original gate)."""
+    rows = product_raw.where(F.col("prd_img").isNotNull() & F.col("prd_name").isNotNull())
     return rows.select("prd_id", _request(settings, [_part("text", text_question(F.col("prd_name")))]).alias("request"))
 
 
+def unnamed_rejects(product_raw: DataFrame) -> DataFrame:
+    """Rows with an image path that cannot be asked about because they have no name."""
+    rows = product_raw.where(F.col("prd_img").isNotNull() & F.col("prd_name").isNull())
+    return reject_frame(rows, "text_requests", "not_null", "prd_name", F.lit("null"))
+
+
 def base64_plain(content: Column) -> Column:
     """Base64 without line breaks (Spark's encoder may wrap with CRLF)."""
     return F.regexp_replace(F.base64(content), r"[\r\n]", "")
@@ -87,20 +92,17 @@ def normalise_path(path: Column) -> Column:
     return F.regexp_replace(path, r"^file:(//)?", "")
 
 
-def attach_images(
-    product_raw: DataFrame, images: DataFrame, hot_key_rows: int = DEFAULT_HOT_KEY_ROWS
-) -> tuple[DataFrame, DataFrame]:
+def attach_images(product_raw: DataFrame, images: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Join catalog rows to image bytes by path; missing files -> rejects.
 
-    ``images`` is a ``binaryFile`` scan (``path``, ``content``, ...); image
-    bytes are read once.  Many products may share one path (a placeholder
-    picture): such a path is salted so its rows spread over several tasks.
+    ``images`` is a ``binaryFile`` scan (``path``, ``content``, ...).  Paths of both sides are normalised.  Missing files are
+    found by path alone, so the bytes are read only for the rows that are present.  A path that many products share (a
+    placeholder picture) is divided by adaptive skew-join splitting.
     """
-    files = images.select(normalise_path(F.col("path")).alias("prd_img"), F.col("content"))
-    rows = product_raw.where(F.col("prd_img").isNotNull()).select("prd_id", "prd_img")
-    joined = per_key_join(rows, files, "prd_img", ["prd_id"], min_rows=hot_key_rows, how="left")
-    present = joined.where(F.col("content").isNotNull())
-    missing = joined.where(F.col("content").isNull())
+    key = normalise_path(F.col("path")).alias("_path")
+    rows = product_raw.where(F.col("prd_img").isNotNull()).select("prd_id", "prd_img", normalise_path(F.col("prd_img")).alias("_path"))
+    present = rows.join(images.select(key, "content"), "_path").select("prd_id", "prd_img", "content")
+    missing = rows.join(images.select(key), "_path", "left_anti")
     return present, reject_frame(missing, "image_requests", "missing_image", "prd_img", F.col("prd_img"))
 
 

@@ -5,19 +5,12 @@ comparison stays inside one product: the query vectors of a product are only
 compared with that product's own entities, so the work is linear in the number
 of entities (one query vector per product and tag, never all pairs).
 
-Plan shape (no broadcast of products, ever), chosen after counting hot keys:
-
-* no hot product: one ordered pass — shuffle the entities once by prd_id,
-  sort each product's rows (name, text, image, then id) and let a running
-  ``first(..., ignorenulls)`` hand each candidate its first name and first
-  text vector; one scan, one vector shuffle (none when the table is bucketed
-  by prd_id), no join;
-* hot products: first vectors by a conditional ``min_by`` (combined map-side
-  before the shuffle), then a join with the candidates salted on hot prd_ids.
-
-Either way each (candidate, search it belongs to) gets one cosine — text
-candidates take part in one search, image candidates in two — followed by a
-conditional ``max`` per product, partial before its (tiny) exchange.
+Plan shape, the same for every size: rows without product or id are rejects; the first name and text vectors of a product
+(lowest id, ties by the vector itself) come from one map-side combined ``min``; the candidates are joined with them on
+prd_id, and adaptive skew-join splitting divides a hot product's candidates.  ``hot_key_rows`` asks for the explicitly
+salted join of ``skew.per_key_join`` instead, with the same result.  A row carries its own vector only once through each
+exchange.  Each (candidate, search it belongs to) gets one cosine - text candidates take part in one search, image
+candidates in two - followed by a conditional ``max`` per product.
 """
 
 from __future__ import annotations
@@ -28,7 +21,7 @@ from pyspark.sql import functions as F
 from ..constants import TAG_IMAGE, TAG_NAME, TAG_TEXT
 from ..functions.vectors import cosine, norm, resolve_impl
 from ..session import cut_lineage
-from .skew import DEFAULT_HOT_KEY_ROWS, detect_hot_keys, per_key_join
+from .skew import per_key_join
 
 # (output column, query tag, candidate tag) — the three product-local measures.
 SCORE_PAIRS = (
@@ -64,63 +57,28 @@ def lookup(entities: DataFrame, tags=(TAG_NAME, TAG_TEXT)) -> DataFrame:
     return entities.where(F.col("prd_tag").isin(list(tags)))
 
 
+KEYED = "prd_id is not null and id is not null"
+
+
 def first_vectors(entities: DataFrame, tags=(TAG_NAME, TAG_TEXT)) -> DataFrame:
-    """One row per product: for each tag, the entity with the lowest id.
+    """One row per product: for each tag, the entity with the lowest id (equal ids: the least vector).
 
     Columns ``prd_id`` and ``q_<tag>`` = struct(id, embedding, norm), null when
     the product has no entity of that tag.
     """
-    ent = _scoring_input(entities).where(F.col("prd_tag").isin(list(tags)))
-    aggs = []
-    for tag in tags:
-        is_tag = F.col("prd_tag") == F.lit(tag)
-        payload = F.struct(F.col("id"), F.col("embedding"), F.col("norm"))
-        aggs.append(F.min_by(F.when(is_tag, payload), F.when(is_tag, F.col("id"))).alias(f"q_{tag}"))
-    return ent.groupBy("prd_id").agg(*aggs)
-
-
-def _ordered_pairs(ent: DataFrame) -> DataFrame:
-    """Candidates with their product's query vectors, in one ordered pass (no join).
-
-    Within a product, rows are ordered name, text, image, then by id; a running
-    ``first(..., ignorenulls)`` therefore hands every text row the first name
-    vector and every image row the first name and the first text vector.  One
-    scan, one shuffle (none on a table bucketed by prd_id) and one sort.  A
-    window cannot split a product, so this is used only when no key is hot.
-    """
-    tag_order = (
-        F.when(F.col("prd_tag") == F.lit(TAG_NAME), F.lit(0))
-        .when(F.col("prd_tag") == F.lit(TAG_TEXT), F.lit(1))
-        .otherwise(F.lit(2))
-    )
-    running = (
-        Window.partitionBy("prd_id")
-        .orderBy(tag_order, F.col("id"))
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    payload = F.struct(F.col("id"), F.col("embedding"), F.col("norm"))
-    queries = [
-        F.first(F.when(F.col("prd_tag") == F.lit(tag), payload), ignorenulls=True).over(running).alias(f"q_{tag}")
-        for tag in (TAG_NAME, TAG_TEXT)
-    ]
-    cols = ["prd_id", "id", "prd_tag", "embedding", "norm"]
-    ranked = ent.select(*cols, *queries)
-    return ranked.where(F.col("prd_tag").isin(TAG_TEXT, TAG_IMAGE))
+    ent = _scoring_input(entities).where(KEYED).where(F.col("prd_tag").isin(list(tags)))
+    payload = F.struct("id", "embedding", "norm")
+    return ent.groupBy("prd_id").agg(*[F.min(F.when(F.col("prd_tag") == F.lit(tag), payload)).alias(f"q_{tag}") for tag in tags])
 
 
-def _pair_frame(entities: DataFrame, hot_key_rows: int) -> DataFrame:
-    """Candidates (text and image entities) with their product's query vectors.
-
-    No hot product: one ordered pass (``_ordered_pairs``).  Hot products: first
-    vectors by a map-side combined ``min_by``, then a salted join on prd_id.
-    """
-    ent = _scoring_input(entities).select("prd_id", "id", "prd_tag", "embedding", "norm")
-    detected = detect_hot_keys(ent, "prd_id", hot_key_rows)
-    if detected[1] == 0:
-        return _ordered_pairs(ent)
+def _pair_frame(entities: DataFrame, hot_key_rows: int | None) -> DataFrame:
+    """Candidates (text and image entities) with their product's query vectors."""
+    ent = _scoring_input(entities).select("prd_id", "id", "prd_tag", "embedding", "norm").where(KEYED)
     queries = first_vectors(ent, (TAG_NAME, TAG_TEXT))
     cands = ent.where(F.col("prd_tag").isin(TAG_TEXT, TAG_IMAGE))
-    return per_key_join(cands, queries, "prd_id", ["id"], min_rows=hot_key_rows, detected=detected)
+    if hot_key_rows is None:
+        return cands.join(queries, "prd_id")
+    return per_key_join(cands, queries, "prd_id", ["id"], min_rows=hot_key_rows)
 
 
 def _search_hits(pairs: DataFrame, searches=SCORE_PAIRS) -> DataFrame:
@@ -159,7 +117,7 @@ def _search_hits(pairs: DataFrame, searches=SCORE_PAIRS) -> DataFrame:
 
 
 def similarity_inner(
-    entities: DataFrame, hot_key_rows: int = DEFAULT_HOT_KEY_ROWS, materialize: bool = False
+    entities: DataFrame, hot_key_rows: int | None = None, materialize: bool = False
 ) -> tuple[DataFrame, DataFrame]:
     """Scores of how well a product's name, text traits and image traits agree.
 
@@ -167,37 +125,44 @@ def similarity_inner(
     ``similarity_name_image`` = max cos(first name vector, each image vector)
     ``similarity_text_image`` = max cos(first text vector, each image vector)
 
-    Returns ``(scores, rejects)``; a product lacking a tag (or whose vectors
-    all have zero length) cannot be scored and is a reject, not an error.
+    Returns ``(scores, rejects)``.  A product that lacks a tag is rejected as ``missing_tag``, one whose vectors have no
+    direction (zero length) as ``zero_vector``, and an entity without product or id as ``null_key``.
     """
     hits = _search_hits(_pair_frame(entities, hot_key_rows))
-    aggs = [
-        F.max(F.when(F.col("search") == F.lit(name.replace("similarity_", "")), F.col("similarity"))).alias(name)
-        for name, _, _ in SCORE_PAIRS
-    ]
+    names = [name for name, _, _ in SCORE_PAIRS]
+    aggs = [F.max(F.when(F.col("search") == F.lit(name.replace("similarity_", "")), F.col("similarity"))).alias(name) for name in names]
     scored = hits.groupBy("prd_id").agg(*aggs)
+    if materialize:  # the rejects below read the scores: compute them once
+        scored = cut_lineage(scored, "similarity")
     complete = F.lit(True)
-    for name, _, _ in SCORE_PAIRS:
+    for name in names:
         complete = complete & F.col(name).isNotNull()
     scores = scored.where(complete)
-    if materialize:  # the rejects below read the scores: compute them once
-        scores = cut_lineage(scores, "similarity")
-    products = entities.select("prd_id").distinct()
-    rejects = products.join(scores.select("prd_id"), "prd_id", "left_anti").select(
+    tags = [F.max(F.when(F.col("prd_tag") == F.lit(tag), True)).alias(f"has_{tag}") for tag in (TAG_NAME, TAG_TEXT, TAG_IMAGE)]
+    products = entities.where(KEYED).groupBy("prd_id").agg(*tags).join(scored, "prd_id", "left").where(~complete)
+    every = F.col(f"has_{TAG_NAME}") & F.col(f"has_{TAG_TEXT}") & F.col(f"has_{TAG_IMAGE}")
+    rule = F.when(every, "zero_vector").otherwise("missing_tag")
+    incomplete = products.select(
         F.lit("similarity").alias("stage"),
         F.col("prd_id"),
-        F.lit("missing_tag").alias("rule"),
-        F.lit("prd_tag").alias("column_name"),
-        F.lit("product lacks a name, text or image vector").alias("detail"),
+        rule.alias("rule"),
+        F.when(every, "embedding").otherwise("prd_tag").alias("column_name"),
+        F.when(every, "a needed vector has no direction").otherwise("product lacks a name, text or image vector").alias("detail"),
+    )
+    unkeyed = entities.where(f"not ({KEYED})")
+    column = F.when(F.col("prd_id").isNull(), "prd_id").otherwise("id")
+    nulls = unkeyed.select(
+        F.lit("similarity").alias("stage"), F.col("prd_id").cast("string").alias("prd_id"), F.lit("null_key").alias("rule"),
+        column.alias("column_name"), F.lit("null").alias("detail"),
     )
-    return scores, rejects
+    return scores, incomplete.unionByName(nulls)
 
 
 def topk_inner(
     entities: DataFrame,
     k: int = 10,
     searches=SCORE_PAIRS,
-    hot_key_rows: int = DEFAULT_HOT_KEY_ROWS,
+    hot_key_rows: int | None = None,
 ) -> DataFrame:
     """Filtered top-k search restricted to each product's own entities.
 

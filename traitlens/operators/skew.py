@@ -1,21 +1,12 @@
 """Hot-key handling for joins of a large per-key table with a one-row-per-key table.
 
-Any key may hold a large share of all rows (a degenerate product id, a bulk
-import under one id).  A plain hash join on such a key sends all of its rows to
-one task.  ``per_key_join`` first counts rows per key (a map-side combined
-aggregate over the key column only), and when hot keys exist spreads the hot
-rows of the large side over several salt buckets while the single matching row
-of the small side is replicated once per bucket.  Nothing is dropped or capped:
-every row of the large side meets its partner exactly once.
-
-The hot-key table is broadcast after its size is checked (counted); it holds
-at most ``rows / min_rows`` keys, each a key plus one int, and beyond
-``max_broadcast_keys`` it is shuffle-joined instead.  A hot key gets
-``ceil(count / min_rows)`` buckets, so every bucket holds about ``min_rows``
-rows however hot the key is, and the partner rows replicated in total number
-at most ``rows / min_rows`` plus one per hot key.  (Default: 200,000 rows,
-about 800 MB of dim-1024 vectors per task; a product holding a third of
-10^10 entities gets ~16,700 buckets.)
+Any key may hold a large share of all rows (a degenerate product id, a bulk import under one id).  By default joins are
+plain equi-joins and Spark's adaptive skew-join splitting divides the partitions of such keys at runtime.
+``per_key_join`` is the explicit form for sessions without it: rows per key are counted inside the same plan (a map-side
+combined aggregate over the key column), the hot rows of the large side are spread over ``ceil(count / min_rows)`` salt
+buckets, and the single matching row of the small side is replicated once per bucket.  Every row of the large side meets
+its partner exactly once, so results do not depend on ``min_rows``.  No job runs while the plan is built and nothing is
+hinted for broadcast: Spark decides from the sizes it sees.
 """
 
 from __future__ import annotations
@@ -24,61 +15,26 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 DEFAULT_HOT_KEY_ROWS = 200_000
-DEFAULT_MAX_SALT = 1 << 16
-# Broadcast the hot-key table (key + int, well under 100 MB) up to this many keys.
-DEFAULT_MAX_BROADCAST_KEYS = 1_000_000
 SALT = "_salt"
 N_SALT = "_n_salt"
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int, max_salt: int = DEFAULT_MAX_SALT) -> DataFrame:
+def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
     """Keys with at least ``min_rows`` rows, with the number of buckets each needs."""
     counts = df.select(key).groupBy(key).count()
-    buckets = F.least(F.ceil(F.col("count") / F.lit(min_rows)), F.lit(max_salt)).cast("int")
-    return counts.where(F.col("count") >= min_rows).select(key, buckets.alias(N_SALT))
-
-
-def detect_hot_keys(
-    df: DataFrame, key: str, min_rows: int, max_salt: int = DEFAULT_MAX_SALT
-) -> tuple[DataFrame, int]:
-    """The hot-key table and its size.  One scalar reaches the driver: the count."""
-    hot = hot_keys(df, key, min_rows, max_salt)
-    return hot, hot.count()
+    return counts.where(F.col("count") >= min_rows).select(key, F.ceil(F.col("count") / F.lit(min_rows)).alias(N_SALT))
 
 
 def per_key_join(
-    big: DataFrame,
-    small: DataFrame,
-    key: str,
-    salt_by: list[str],
-    min_rows: int = DEFAULT_HOT_KEY_ROWS,
-    max_salt: int = DEFAULT_MAX_SALT,
-    how: str = "inner",
-    max_broadcast_keys: int = DEFAULT_MAX_BROADCAST_KEYS,
-    detected: tuple[DataFrame, int] | None = None,
+    big: DataFrame, small: DataFrame, key: str, salt_by: list[str], min_rows: int = DEFAULT_HOT_KEY_ROWS, how: str = "inner"
 ) -> DataFrame:
-    """Equi-join ``big`` with ``small`` (unique on ``key``), robust to hot keys.
+    """Equi-join ``big`` with ``small`` (unique on ``key``), with the rows of hot keys spread by a hash of ``salt_by``.
 
-    ``salt_by`` are columns of ``big`` that spread a hot key's rows
-    deterministically (the same row always lands in the same bucket, so task
-    retries recompute identical output).  ``detected`` passes the result of
-    ``detect_hot_keys`` when the caller already ran it.
+    The hash is of the row's own values, so a retried task deals its rows the same way.
     """
-    hot, n_hot = detected if detected is not None else detect_hot_keys(big, key, min_rows, max_salt)
-    # Without hot keys the plan keeps the small side's existing partitioning
-    # (fewer exchanges); the hot-key table is broadcast only when its count is
-    # below the limit, otherwise it is joined with a shuffle like any other table.
-    if n_hot == 0:
-        return big.join(small, key, how)
-    hot_b = F.broadcast(hot) if n_hot <= max_broadcast_keys else hot
+    hot = hot_keys(big, key, min_rows)
     bucket = F.pmod(F.xxhash64(*[F.col(c) for c in salt_by]), F.col(N_SALT))
-    big_s = (
-        big.join(hot_b, key, "left")
-        .withColumn(SALT, F.when(F.col(N_SALT).isNull(), F.lit(0)).otherwise(bucket).cast("int"))
-        .drop(N_SALT)
-    )
-    fan = F.when(F.col(N_SALT).isNull(), F.array(F.lit(0))).otherwise(
-        F.sequence(F.lit(0), F.col(N_SALT) - 1)
-    )
-    small_s = small.join(hot_b, key, "left").withColumn(SALT, F.explode(fan)).drop(N_SALT)
+    big_s = big.join(hot, key, "left").withColumn(SALT, F.coalesce(bucket, F.lit(0).cast("long"))).drop(N_SALT)
+    fan = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(N_SALT), F.lit(1).cast("long")) - 1)
+    small_s = small.join(hot, key, "left").withColumn(SALT, F.explode(fan)).drop(N_SALT)
     return big_s.join(small_s, [key, SALT], how).drop(SALT)

@@ -29,3 +29,15 @@ def echo_trait_client_factory():
         return "Traits follow.\n[" + json.dumps(obj, ensure_ascii=False) + "]"
 
     return client
+
+
+LETTERS = "abcdefghijklmnopqrstuvwxyz"
+
+
+def letter_encoder_factory():
+    """Deterministic encoder double: the text's length, then how often it has each letter."""
+
+    def encode(texts):
+        return [[float(len(t)), *(float(t.lower().count(c)) for c in LETTERS)] for t in texts]
+
+    return encode

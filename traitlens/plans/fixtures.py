@@ -36,32 +36,8 @@ FIXTURE_IMAGE_DIR = "/data/catalog/"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Scan one test table; a scan with fewer splits than cores is spread out.
-
-    A small table is one Parquet split, which would run all of the per-row
-    work (JSON parsing, cosine) in a single task.  Large inputs already have
-    far more splits than cores and are left untouched (no extra shuffle).
-    """
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small_input(df)
-
-
-SPREAD_SMALL_INPUTS = True
-# A scan with fewer splits than this is small (each split is at most
-# spark.sql.files.maxPartitionBytes); more pieces would only add empty tasks.
-SPREAD_MAX_PARTITIONS = 64
-
-
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin a scan over the cores when it has fewer splits than cores (plan-time check)."""
-    if not SPREAD_SMALL_INPUTS:
-        return df
-    try:
-        target = min(df.sparkSession.sparkContext.defaultParallelism, SPREAD_MAX_PARTITIONS)
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # e.g. a client session without RDD access: leave the scan as is
-        return df
-    return df.repartition(target) if splits < target else df
+    """Scan one test table."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def entities_from_embeddings(embeddings: DataFrame) -> DataFrame:
@@ -108,6 +84,35 @@ def entities_by_label(embeddings: DataFrame) -> DataFrame:
     )
 
 
+def entities_skewed(embeddings: DataFrame) -> DataFrame:
+    """``entities_by_label`` with a third of all vectors re-keyed onto one product."""
+    hot = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("prd_id"))
+    return entities_by_label(embeddings).withColumn("prd_id", hot)
+
+
+def unnamed_catalog(product_raw: DataFrame) -> DataFrame:
+    """Products of which some lost their name and some their image path (by the name's length)."""
+    size = F.length("prd_name")
+    return product_raw.withColumns(
+        {
+            "prd_img": F.when(size % 5 != 0, F.col("prd_img")),
+            "prd_name": F.when(size % 7 != 0, F.col("prd_name")),
+        }
+    )
+
+
+def picture_files(documents: DataFrame) -> DataFrame:
+    """A ``binaryFile``-like frame: documents as picture bytes; every third text length has no file."""
+    path = F.concat(F.lit("file:///pics/prd_img/"), F.col("doc_id").cast("string"), F.lit(".jpg"))
+    return documents.where(F.length("text") % 3 != 0).select(path.alias("path"), F.col("text").cast("binary").alias("content"))
+
+
+def picture_products(documents: DataFrame) -> DataFrame:
+    """A product per document, with the path its picture should have."""
+    key = F.col("doc_id").cast("string")
+    return documents.select(key.alias("prd_id"), F.concat(F.lit("/pics/prd_img/"), key, F.lit(".jpg")).alias("prd_img"))
+
+
 def _word(col: Column, i: int) -> Column:
     return F.split_part(col, F.lit(" "), F.lit(i))
 

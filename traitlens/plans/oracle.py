@@ -76,6 +76,12 @@ entities AS (
 
 SIMILARITY_SCORES_BY_LABEL = SIMILARITY_SCORES.replace(ENTITIES, ENTITIES_BY_LABEL)
 
+ENTITIES_SKEWED = ENTITIES_BY_LABEL.replace(
+    "CAST(vec_id // 5 AS VARCHAR) AS prd_id", "CASE WHEN vec_id % 3 = 0 THEN 'hot' ELSE CAST(vec_id // 5 AS VARCHAR) END AS prd_id"
+)
+
+SIMILARITY_SCORES_SKEWED = SIMILARITY_SCORES.replace(ENTITIES, ENTITIES_SKEWED)
+
 SIMILARITY_REJECTS = "WITH " + PAIRS.replace(ENTITIES, ENTITIES_BY_LABEL) + """,
 scored AS (
     SELECT prd_id FROM pairs GROUP BY prd_id
@@ -102,6 +108,7 @@ ORACLE_SQL: dict[str, str] = {
     "vector_topk_filtered": VECTOR_TOPK_FILTERED,
     "vector_top1_filtered": VECTOR_TOP1_FILTERED,
     "similarity_scores_by_label": SIMILARITY_SCORES_BY_LABEL,
+    "similarity_scores_skewed": SIMILARITY_SCORES_SKEWED,
     "similarity_rejects": SIMILARITY_REJECTS,
     "vector_lookup": VECTOR_LOOKUP,
 }
@@ -298,33 +305,38 @@ ORACLE_SQL.update(
 
 # --- integration, documents, rejects ------------------------------------------
 
-from ..schemas import RULES  # noqa: E402
+_TRAIT_RULES = [("max_len", c, n) for c, n in TRAIT_WIDTHS_SQL.items()]
+# Widths and NOT NULL columns of the target tables, stated here on their own.
+RULES_SQL = {
+    "product_raw": [("not_null", "prd_id", None), ("max_len", "prd_id", 30), ("max_len", "category", 20)],
+    "products_trait_text": [*_TRAIT_RULES, ("not_null", "prd_id", None), ("max_len", "prd_id", 30)],
+    "products_trait_image": [*_TRAIT_RULES, ("not_null", "prd_id", None), ("max_len", "prd_id", 30)],
+    "products_trait_information": [
+        ("not_null", "prd_id", None), ("max_len", "prd_id", 30), ("not_null", "category", None), ("max_len", "category", 20),
+        ("not_null", "prd_name", None), *_TRAIT_RULES,
+    ],
+}
 
 
 def _rule_rejects(relation: str, stage: str, rules) -> str:
     parts = []
-    for r in rules:
-        if r.kind == "max_len":
-            cond = f"length({r.column}) > {r.arg}"
-            detail = f"'length ' || length({r.column}) || ' > {r.arg}'"
-        elif r.kind == "not_null":
-            cond, detail = f"{r.column} IS NULL", "'null'"
+    for kind, column, arg in rules:
+        if kind == "max_len":
+            cond = f"length({column}) > {arg}"
+            detail = f"'length ' || length({column}) || ' > {arg}'"
         else:
-            continue
+            cond, detail = f"{column} IS NULL", "'null'"
         parts.append(
-            f"SELECT '{stage}' AS stage, CAST(prd_id AS VARCHAR) AS prd_id, '{r.kind}' AS rule, "
-            f"'{r.column}' AS column_name, {detail} AS detail FROM {relation} WHERE {cond}"
+            f"SELECT '{stage}' AS stage, CAST(prd_id AS VARCHAR) AS prd_id, '{kind}' AS rule, "
+            f"'{column}' AS column_name, {detail} AS detail FROM {relation} WHERE {cond}"
         )
     return "\nUNION ALL\n".join(parts)
 
 
 def _rules_ok(rules) -> str:
     conds = []
-    for r in rules:
-        if r.kind == "max_len":
-            conds.append(f"coalesce(length({r.column}) <= {r.arg}, true)")
-        elif r.kind == "not_null":
-            conds.append(f"{r.column} IS NOT NULL")
+    for kind, column, arg in rules:
+        conds.append(f"coalesce(length({column}) <= {arg}, true)" if kind == "max_len" else f"{column} IS NOT NULL")
     return " AND ".join(conds)
 
 
@@ -334,7 +346,7 @@ PIPELINE_CTES = f"""{traits_cte('text')},
 {traits_cte('image')},
 raw AS ({raw_catalog_select()}),
 cleaned AS ({cleaned_select('raw', "replace(replace(" + _na('r.price3') + ", '원', ''), ',', '') AS price_text, replace(replace(" + _na('r.rating') + ", '(', ''), ')', '') AS review_text, " + _na('r.rating_value') + " AS review_rating_text, ")}),
-product_raw AS (SELECT * FROM cleaned WHERE {_rules_ok(RULES['product_raw'])}),
+product_raw AS (SELECT * FROM cleaned WHERE {_rules_ok(RULES_SQL['product_raw'])}),
 both_sides AS (SELECT DISTINCT prd_id FROM traits_text INTERSECT SELECT DISTINCT prd_id FROM traits_image),
 base AS (SELECT p.prd_id, p.category, p.prd_name FROM product_raw p JOIN both_sides b ON b.prd_id = p.prd_id),
 trait_rows AS (
@@ -346,7 +358,7 @@ joined AS (
     SELECT b.prd_id, b.category, b.prd_name, r.trait_side, {_TRAIT_COLS}
     FROM trait_rows r JOIN base b ON b.prd_id = r.prd_id
 ),
-integrated AS (SELECT * FROM joined WHERE {_rules_ok(RULES['products_trait_information'])})"""
+integrated AS (SELECT * FROM joined WHERE {_rules_ok(RULES_SQL['products_trait_information'])})"""
 
 INTEGRATE_TRAITS = "WITH " + PIPELINE_CTES + "\nSELECT * FROM integrated\n"
 
@@ -391,17 +403,17 @@ _CAST_REJECTS = "\nUNION ALL\n".join(
 QUALITY_REJECTS = "WITH " + PIPELINE_CTES + f"""
 {_CAST_REJECTS}
 UNION ALL
-{_rule_rejects('cleaned', 'catalog', RULES['product_raw'])}
+{_rule_rejects('cleaned', 'catalog', RULES_SQL['product_raw'])}
 UNION ALL
 SELECT 'traits_text', prd_id, 'model_error', NULL, error FROM replies_text WHERE NOT status
 UNION ALL
-{_rule_rejects('parsed_text', 'traits_text', RULES['products_trait_text'])}
+{_rule_rejects('parsed_text', 'traits_text', RULES_SQL['products_trait_text'])}
 UNION ALL
 SELECT 'traits_image', prd_id, 'model_error', NULL, error FROM replies_image WHERE NOT status
 UNION ALL
-{_rule_rejects('parsed_image', 'traits_image', RULES['products_trait_image'])}
+{_rule_rejects('parsed_image', 'traits_image', RULES_SQL['products_trait_image'])}
 UNION ALL
-{_rule_rejects('joined', 'integrate', RULES['products_trait_information'])}
+{_rule_rejects('joined', 'integrate', RULES_SQL['products_trait_information'])}
 """
 
 REQUESTS_TEXT = "WITH " + PIPELINE_CTES + """
@@ -410,7 +422,21 @@ SELECT prd_id,
        'What can you tell me about "' || prd_name || '" ?' AS user_text,
        CAST(2 AS INTEGER) AS n_messages
 FROM product_raw
-WHERE prd_img IS NOT NULL
+WHERE prd_img IS NOT NULL AND length(prd_name) % 5 <> 0 AND length(prd_name) % 7 <> 0
+"""
+
+DATA_URL = "'data:image/jpeg;base64,' || to_base64(encode(text))"
+
+DATA_URL_DOCUMENTS = f"""
+SELECT doc_id, CAST(length({DATA_URL}) AS INTEGER) AS url_chars, sha256({DATA_URL}) AS url_sha256 FROM documents
+"""
+
+REQUESTS_IMAGE = f"""
+SELECT CAST(doc_id AS VARCHAR) AS prd_id,
+       CASE WHEN length(text) % 3 <> 0 THEN 'What can you tell me about this image?' END AS question,
+       CASE WHEN length(text) % 3 <> 0 THEN sha256({DATA_URL}) END AS url_sha256,
+       CASE WHEN length(text) % 3 = 0 THEN 'missing_image' END AS reject
+FROM documents
 """
 
 ORACLE_SQL.update(
@@ -421,6 +447,8 @@ ORACLE_SQL.update(
         "distinct_products": DISTINCT_PRODUCTS,
         "quality_rejects": QUALITY_REJECTS,
         "requests_text": REQUESTS_TEXT,
+        "data_url_documents": DATA_URL_DOCUMENTS,
+        "requests_image": REQUESTS_IMAGE,
     }
 )
 
@@ -441,17 +469,44 @@ WHERE words[1] <> 'hot'
   AND coalesce(length(prd_name) <= 50, true) AND length(prd_id) <= 30
 """
 
-ENCODE_ENTITIES = "WITH " + PIPELINE_CTES + f""",
+LETTER_VECTOR = (
+    "list_concat([CAST(length(prd_text) AS DOUBLE)], [CAST(length(prd_text) - length(replace(lower(prd_text), c, '')) AS DOUBLE) "
+    "for c in string_split('a b c d e f g h i j k l m n o p q r s t u v w x y z', ' ')])"
+)
+
+ENCODED = "WITH " + PIPELINE_CTES + f""",
 docs AS (
     SELECT prd_id, 'product_name' AS prd_tag, min(prd_name) AS prd_text FROM integrated GROUP BY prd_id
     UNION
     SELECT DISTINCT prd_id, CASE WHEN trait_side = 'text' THEN 'product_text' ELSE 'product_image' END AS prd_tag,
            {_masked()} AS prd_text
     FROM integrated
-)
-SELECT prd_id, prd_tag, prd_text, CAST(64 AS BIGINT) AS dim
-FROM docs
-WHERE length(prd_id) <= 50 AND length(prd_text) <= 500
+),
+encoded AS (
+    SELECT CAST('0x' || substr(md5(concat_ws(chr(31), prd_tag, prd_id, prd_text)), 1, 15) AS BIGINT) AS id, prd_id, prd_tag, prd_text,
+           {LETTER_VECTOR} AS v
+    FROM docs
+)"""
+
+ENCODE_ENTITIES = ENCODED + """
+SELECT id, prd_id, prd_tag, prd_text, list_sum(v) AS vector_sum, round(sqrt(list_dot_product(v, v)), 6) AS norm, NULL AS reject
+FROM encoded
+WHERE length(prd_id) <= 50 AND length(prd_text) <= 500 AND length(prd_text) % 11 <> 0
+UNION ALL
+SELECT NULL, prd_id, NULL, NULL, NULL, NULL, 'max_len length ' || length(prd_text) || ' > 500' FROM encoded WHERE length(prd_text) > 500
+UNION ALL
+SELECT NULL, prd_id, NULL, NULL, NULL, NULL, 'max_len length ' || length(prd_id) || ' > 50' FROM encoded WHERE length(prd_id) > 50
+UNION ALL
+SELECT NULL, prd_id, NULL, NULL, NULL, NULL, 'dim dim 26 != 27' FROM encoded WHERE length(prd_text) % 11 = 0
 """
 
-ORACLE_SQL.update({"infer_traits": INFER_TRAITS, "encode_entities": ENCODE_ENTITIES})
+END_TO_END_SCORES = ENCODED + SIMILARITY_SCORES.replace("WITH " + ENTITIES, """,
+entities AS (
+    SELECT id, prd_id, prd_tag, v FROM encoded
+    WHERE length(prd_id) <= 50 AND length(prd_text) <= 500 AND length(prd_text) % 11 <> 0
+)""").replace(
+    "list_cosine_similarity(q.v, e.v)",
+    "CASE WHEN list_dot_product(q.v, q.v) > 0 AND list_dot_product(e.v, e.v) > 0 THEN list_cosine_similarity(q.v, e.v) END",
+)
+
+ORACLE_SQL.update({"infer_traits": INFER_TRAITS, "encode_entities": ENCODE_ENTITIES, "end_to_end_scores": END_TO_END_SCORES})

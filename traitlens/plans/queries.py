@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from ..functions.jsonx import extract_json_objects
 from ..operators import catalog, entities, inference, integrate, requests, similarity, traits
-from ..session import cut_lineage
 from . import doubles
 from . import fixtures as fx
 
@@ -47,6 +46,15 @@ def q_similarity_scores_by_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_similarity_scores_skewed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A third of all vectors belongs to one product."""
+    scores, _ = similarity.similarity_inner(fx.entities_skewed(fx.read_table(spark, sf_dir, "embeddings")))
+    return scores.select(
+        "prd_id",
+        *[F.round(c, ROUND).alias(c) for c in ("similarity_name_text", "similarity_name_image", "similarity_text_image")],
+    )
+
+
 def q_similarity_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     ent = fx.entities_by_label(fx.read_table(spark, sf_dir, "embeddings"))
     _, rejects = similarity.similarity_inner(ent)
@@ -76,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vector_topk_filtered": q_vector_topk_filtered,
     "vector_top1_filtered": q_vector_top1_filtered,
     "similarity_scores_by_label": q_similarity_scores_by_label,
+    "similarity_scores_skewed": q_similarity_scores_skewed,
     "similarity_rejects": q_similarity_rejects,
     "vector_lookup": q_vector_lookup,
 }
@@ -152,45 +161,48 @@ QUERIES.update(
 
 # --- integration, documents, rejects, requests ----------------------------------
 
-def _stages_lazily(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The batch stages 1-5 over the part-derived inputs, lazily."""
-    part = _part(spark, sf_dir)
-    raw, catalog_rejects = _clean(fx.raw_catalog(part))
-    text, text_rejects = traits.extract_traits(fx.replies(part, "text"), "text")
-    image, image_rejects = traits.extract_traits(fx.replies(part, "image"), "image")
-    integrated, integrate_rejects = integrate.integrate_traits(raw, text, image)
-    return {
-        "product_raw": raw,
-        "integrated": integrated,
-        "rejects": catalog_rejects.unionByName(text_rejects)
-        .unionByName(image_rejects)
-        .unionByName(integrate_rejects),
-    }
+def _product_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    return _clean(fx.raw_catalog(_part(spark, sf_dir)))
+
+
+def _traits(spark: SparkSession, sf_dir: str, side: str) -> tuple[DataFrame, DataFrame]:
+    """Parsed once: the tagged rows are written, both outputs read them."""
+    return traits.extract_traits(fx.replies(_part(spark, sf_dir), side), side, materialize=True)
+
+
+def _integrated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text, image = (_traits(spark, sf_dir, side)[0] for side in ("text", "image"))
+    return integrate.integrate_traits(_product_raw(spark, sf_dir)[0], text, image)[0]
 
 
 def q_integrate_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stages_lazily(spark, sf_dir)["integrated"]
+    return _integrated(spark, sf_dir)
 
 
 def q_masked_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    integrated = _stages_lazily(spark, sf_dir)["integrated"]
+    integrated = _integrated(spark, sf_dir)
     return integrated.select("prd_id", "trait_side", entities.trait_document().alias("trait_doc"))
 
 
 def q_entity_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return entities.entity_documents(_stages_lazily(spark, sf_dir)["integrated"])
+    return entities.entity_documents(_integrated(spark, sf_dir))
 
 
 def q_distinct_products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return integrate.pair_counts(_stages_lazily(spark, sf_dir)["integrated"])
+    return integrate.pair_counts(_integrated(spark, sf_dir))
 
 
 def q_quality_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _stages_lazily(spark, sf_dir)["rejects"]
+    raw, catalog_rejects = _product_raw(spark, sf_dir)
+    text, text_rejects = _traits(spark, sf_dir, "text")
+    image, image_rejects = _traits(spark, sf_dir, "image")
+    integrate_rejects = integrate.integrate_traits(raw, text, image)[1]
+    return catalog_rejects.unionByName(text_rejects).unionByName(image_rejects).unionByName(integrate_rejects)
 
 
 def q_requests_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reqs = requests.text_requests(_stages_lazily(spark, sf_dir)["product_raw"], requests.ChatSettings(model="trait-model"))
+    products = fx.unnamed_catalog(_product_raw(spark, sf_dir)[0])
+    reqs = requests.text_requests(products, requests.ChatSettings(model="trait-model"))
     return reqs.select(
         "prd_id",
         F.get_json_object("request", "$.model").alias("model"),
@@ -199,6 +211,27 @@ def q_requests_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_data_url_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    url = requests.data_url(F.col("text").cast("binary"))
+    return fx.read_table(spark, sf_dir, "documents").select("doc_id", F.length(url).alias("url_chars"), F.sha2(url, 256).alias("url_sha256"))
+
+
+def q_requests_image(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as pictures: a request for each that has a file, a reject for each that has none."""
+    docs = fx.read_table(spark, sf_dir, "documents")
+    present, missing = requests.attach_images(fx.picture_products(docs), fx.picture_files(docs))
+    reqs = requests.image_requests(present, requests.ChatSettings(model="trait-model"))
+    content = "$.messages[1].content"
+    return reqs.select(
+        "prd_id",
+        F.get_json_object("request", f"{content}[0].text").alias("question"),
+        F.sha2(F.get_json_object("request", f"{content}[1].image_url.url"), 256).alias("url_sha256"),
+        F.lit(None).cast("string").alias("reject"),
+    ).unionByName(
+        missing.select("prd_id", F.lit(None).cast("string").alias("question"), F.lit(None).cast("string").alias("url_sha256"), F.col("rule").alias("reject"))
+    )
+
+
 QUERIES.update(
     {
         "integrate_traits": q_integrate_traits,
@@ -207,17 +240,19 @@ QUERIES.update(
         "distinct_products": q_distinct_products,
         "quality_rejects": q_quality_rejects,
         "requests_text": q_requests_text,
+        "data_url_documents": q_data_url_documents,
+        "requests_image": q_requests_image,
     }
 )
 
 
 # --- model jobs (plugged with deterministic doubles) ------------------------------
 
-ENCODE_DIM = 64
+ENCODE_DIM = 1 + len(doubles.LETTERS)
 
 
 def _inferred_text_traits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    raw = _stages_lazily(spark, sf_dir)["product_raw"]
+    raw = _product_raw(spark, sf_dir)[0]
     reqs = requests.text_requests(raw, requests.ChatSettings(model="trait-model"))
     replies = inference.run_chat_job(reqs, doubles.echo_trait_client_factory, max_in_flight=4)
     return traits.extract_traits(replies, "text")
@@ -228,23 +263,27 @@ def q_infer_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid
 
 
-def _encoded_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = entities.entity_documents(_stages_lazily(spark, sf_dir)["integrated"])
-    encoded = inference.hashing_encode(docs, ENCODE_DIM, text_col="prd_text")
-    valid, _ = entities.to_entities(encoded, ENCODE_DIM)
-    return valid
+def _encoded_entities(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Documents through the encoder job; vectors of texts whose length is a multiple of 11 lose their last number (V3)."""
+    docs = entities.entity_documents(_integrated(spark, sf_dir))
+    encoded = inference.encode_documents(docs, doubles.letter_encoder_factory, text_col="prd_text")
+    short = F.when(F.length("prd_text") % 11 == 0, F.slice("embedding", 1, ENCODE_DIM - 1)).otherwise(F.col("embedding"))
+    return entities.to_entities(encoded.withColumn("embedding", short), ENCODE_DIM, materialize=True)
 
 
 def q_encode_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ent = _encoded_entities(spark, sf_dir)
-    return ent.select("prd_id", "prd_tag", "prd_text", F.size("embedding").cast("long").alias("dim"))
+    ent, rejects = _encoded_entities(spark, sf_dir)
+    total = F.aggregate("embedding", F.lit(0.0), lambda a, x: a + x)
+    return ent.select("id", "prd_id", "prd_tag", "prd_text", total.alias("vector_sum"), F.round("norm", ROUND).alias("norm"), F.lit(None).cast("string").alias("reject")).unionByName(
+        rejects.select(
+            F.lit(None).cast("long").alias("id"), "prd_id", F.lit(None).cast("string").alias("prd_tag"), F.lit(None).cast("string").alias("prd_text"),
+            F.lit(None).cast("double").alias("vector_sum"), F.lit(None).cast("double").alias("norm"), F.concat_ws(" ", "rule", "detail").alias("reject"),
+        )
+    )
 
 
 def q_end_to_end_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # Stage boundary as in the pipeline: the entity table is written once (to
-    # the shared checkpoint folder) and both scoring branches read the files.
-    ent = cut_lineage(_encoded_entities(spark, sf_dir), "end_to_end_entities")
-    scores, _ = similarity.similarity_inner(ent)
+    scores, _ = similarity.similarity_inner(_encoded_entities(spark, sf_dir)[0])
     return scores.select(
         "prd_id",
         *[F.round(c, ROUND).alias(c) for c in ("similarity_name_text", "similarity_name_image", "similarity_text_image")],

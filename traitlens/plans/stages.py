@@ -26,9 +26,8 @@ from pyspark.sql import SparkSession
 from ..constants import DEFAULT_CATEGORY_MAP, DEFAULT_ENCODER_INSTRUCT
 from ..operators import catalog, entities, inference, integrate, requests, similarity, traits
 from ..operators.quality import validate
-from ..operators.skew import DEFAULT_HOT_KEY_ROWS
 from ..schemas import RULES
-from ..session import drop_staging, staged_paths
+from ..session import drop_staging, ensure_checkpoint_dir, staged_paths
 from ..sources.catalog_csv import read_catalog_csv
 from ..sources.images import read_images
 from ..sources.tables import TableStore
@@ -38,7 +37,7 @@ log = logging.getLogger("traitlens.stages")
 # Tables each stage writes, and the reject partitions it owns (for the run log).
 STAGE_OUTPUTS = {
     "catalog_load": (["product_raw"], ["catalog"]),
-    "trait_requests": (["requests_text", "requests_image"], ["image_requests"]),
+    "trait_requests": (["requests_text", "requests_image"], ["image_requests", "text_requests"]),
     "trait_inference": (["replies_text", "replies_image"], []),
     "trait_extract": (["products_trait_text", "products_trait_image"], ["traits_text", "traits_image"]),
     "integrate": (["products_trait_information"], ["integrate"]),
@@ -63,7 +62,7 @@ class PipelineConfig:
     chat_tasks: int | None = None
     max_in_flight: int = 1
     chat_retries: int = 2
-    hot_key_rows: int = DEFAULT_HOT_KEY_ROWS
+    hot_key_rows: int | None = None  # None: adaptive skew-join splitting; a number: explicitly salted scoring join
     database: str | None = None
     entity_buckets: int | None = None
 
@@ -81,6 +80,7 @@ def trait_requests(spark: SparkSession, cfg: PipelineConfig, store: TableStore)
     present, missing = requests.attach_images(raw, read_images(spark, cfg.image_dir))
     store.write(requests.image_requests(present, cfg.chat), "requests_image")
     store.write_rejects(missing, "image_requests")
+    store.write_rejects(requests.unnamed_rejects(raw), "text_requests")
 
 
 def trait_inference(spark: SparkSession, cfg: PipelineConfig, store: TableStore, side: str) -> None:
@@ -104,7 +104,6 @@ def integrate_stage(spark: SparkSession, cfg: PipelineConfig, store: TableStore)
         store.read("product_raw"),
         store.read("products_trait_text"),
         store.read("products_trait_image"),
-        hot_key_rows=cfg.hot_key_rows,
         materialize=True,
     )
     store.write(valid, "products_trait_information")
@@ -145,6 +144,7 @@ def stage_report(store: TableStore, stage: str) -> dict[str, int]:
 
 
 def run(spark: SparkSession, cfg: PipelineConfig, stages=STAGES, csv_path: str | None = None) -> TableStore:
+    ensure_checkpoint_dir(spark, f"{cfg.root.rstrip('/')}/_staging")
     store = TableStore(spark, cfg.root, cfg.database)
     store.create_all()
     for stage in stages:

@@ -7,7 +7,6 @@ entry points (bench, tests, the stage runner) that must build one.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -49,6 +48,7 @@ def build_session(
     app_name: str = "traitlens",
     shuffle_partitions: int | None = None,
     extra_conf: dict[str, str] | None = None,
+    staging: str | None = None,
 ) -> SparkSession:
     """Build (or reuse) a session with the recommended settings.
 
@@ -68,15 +68,17 @@ def build_session(
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
+    if staging or _is_local(spark.sparkContext.master):
+        ensure_checkpoint_dir(spark, staging)
     return spark
 
 
 def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins.  Only when nothing is configured (local
-    tests) is a private scratch folder created and registered.
+    The cluster's setting always wins.  When nothing is configured, ``fallback`` (a folder on shared storage, such as the
+    pipeline's root) is registered; without one, a private scratch folder in local mode only.  On a cluster that is an
+    error: executors do not see each other's local folders.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
@@ -84,11 +86,18 @@ def ensure_checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> s
     if configured:
         spark.sparkContext.setCheckpointDir(configured)
         return configured
-    path = fallback or tempfile.mkdtemp(prefix="traitlens-ckpt-")
-    os.makedirs(path, exist_ok=True)
-    spark.sparkContext.setCheckpointDir(path)
-    spark.conf.set("spark.checkpoint.dir", path)
-    return path
+    if fallback is None:
+        if not _is_local(spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        fallback = tempfile.mkdtemp(prefix="traitlens-ckpt-")
+    spark.sparkContext.setCheckpointDir(fallback)
+    spark.conf.set("spark.checkpoint.dir", fallback)
+    return fallback
+
+
+def _is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local-cluster`` is not)."""
+    return master == "local" or master.startswith("local[")
 
 
 def staging_path(spark: SparkSession, name: str) -> str:

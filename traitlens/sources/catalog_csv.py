@@ -8,24 +8,25 @@ from pyspark.sql import functions as F
 from ..operators.catalog import ORDINAL
 
 
-def read_catalog_csv(spark: SparkSession, path: str, with_ordinal: bool = True) -> DataFrame:
-    """Read the catalog CSV (RFC-4180 quoting, quoted newlines allowed).
+def read_catalog_csv(spark: SparkSession, path: str, with_ordinal: bool = True, quoted_newlines: bool = True) -> DataFrame:
+    """Read the catalog CSV (RFC-4180 quoting).
 
-    Without ``inferSchema`` every column is a string.  Empty fields read as
-    null; the other missing-value tokens are mapped in ``clean_catalog``.
-    ``_ord`` is the input order for first-wins deduplication: with
-    ``multiLine`` a file is one split, so the id follows file order and a task
-    retry reproduces the same ids.
+    Without ``inferSchema`` every column is a string.  Empty fields read as null; the other missing-value tokens are mapped
+    in ``clean_catalog``.  ``quoted_newlines`` (the default) allows line breaks inside quotes and makes each file one split;
+    switch it off for files without them to let Spark split large files.
+    ``_ord`` is the input order for first-wins deduplication: file path, then the split's place in the file, then the row's
+    place in the split; a task retry reproduces it.
     """
     df = (
         spark.read.option("header", True)
         .option("inferSchema", False)
-        .option("multiLine", True)
+        .option("multiLine", quoted_newlines)
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "PERMISSIVE")
         .csv(path)
     )
     if with_ordinal:
-        df = df.withColumn(ORDINAL, F.monotonically_increasing_id())
+        place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id().alias("row"))
+        df = df.withColumn(ORDINAL, place)
     return df

@@ -13,7 +13,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..operators.catalog import ORDINAL, insert_ignore
 from ..schemas import REJECTS, TABLE_SCHEMAS
@@ -57,7 +56,7 @@ class TableStore:
     def insert_ignore(self, rows: DataFrame, name: str = "product_raw", key: str = "prd_id") -> None:
         """Append rows whose key is new; the first row per key (by ``_ord``) wins."""
         if ORDINAL not in rows.columns:
-            rows = rows.withColumn(ORDINAL, F.monotonically_increasing_id())
+            raise ValueError(f"insert_ignore needs the input order in a column {ORDINAL!r}")
         existing = self.read(name).select(key) if self.exists(name) else rows.select(key).limit(0)
         new = insert_ignore(rows, existing, key).drop(ORDINAL)
         columns = [f.name for f in TABLE_SCHEMAS[name].fields] if name in TABLE_SCHEMAS else new.columns
