@@ -6,8 +6,8 @@ can match, also the windows of the template's length that its bigrams vote for (
 A template of ``m`` bigrams can reach the least coefficient ``t`` only against units of ``m * t / (2 - t)`` to
 ``m * (2 - t) / t`` bigrams, so other templates are not compared.
 
-Templates are fixed texts of the library (a few kilobytes), not data.  Texts without any of the templates' key words are
-not compared at all; every template holds one, and so does any unit that could match it (checked at import).
+Templates are fixed texts of the library (a few kilobytes), not data.  A unit must hold one of ``KEY_WORDS`` to count as
+a licence statement (every template does); others are not compared.
 
 Defined results: null, empty and word-less texts match nothing; every input row gives one row, repeated rows included;
 equal coefficients are resolved by the template's name.  Other columns of the input are ignored.
