@@ -106,16 +106,18 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{root}/traitlens-staging/{name}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df, name: str = "stage"):
+def cut_lineage(df, name: str = "stage", compression: str | None = None):
     """Write ``df`` once as Parquet in the shared checkpoint folder and read it back.
 
+    ``compression`` names a Parquet codec other than the session's, for tables where size matters more than speed.
+
     The plan is computed exactly once (an eager RDD checkpoint of an unpersisted
     frame computes it twice), the files survive executor loss, and later
     consumers of the returned frame re-read files instead of recomputing.
     """
     spark = df.sparkSession
     path = staging_path(spark, name)
-    df.write.mode("errorifexists").parquet(path)
+    df.write.mode("errorifexists").parquet(path, compression=compression)
     _STAGED.append(path)
     return spark.read.parquet(path)
 
