@@ -35,8 +35,8 @@ def test_flagship_reads_two_columns_and_shuffles_by_product(plans):
         assert schema == "struct<vec_id:bigint,embedding:array<float>>"
     keys = re.findall(r"Exchange hashpartitioning\(([^,]+)#\d+, \d+\)", p)
     assert keys and set(keys) == {"prd_id"}
-    # candidates once, first vectors once (combined map-side); the maxima need no further exchange
-    assert _count(p, r"Exchange hashpartitioning") == 2
+    # candidates once, first vectors once (combined map-side), then partial maxima only
+    assert _count(p, r"Exchange hashpartitioning") == 3
     assert "BroadcastExchange" not in p and "Window" not in p
     assert _count(p, r"ArrowEvalPython") == 1
     assert "partial_max" in p and "partial_min" in p
@@ -59,9 +59,8 @@ def test_topk_has_limit_and_one_kernel(plans):
     assert "WindowGroupLimit" in lines[i + 1] and "Partial" in lines[i + 1]
 
 
-def _jobs(spark, build):
-    """Parse expressions in the plans of all jobs that building and running a frame starts."""
-    group = "count-jobs"
+def _jobs(spark, group, build):
+    """What ``build`` returns, and how many jobs it started."""
     spark.sparkContext.setJobGroup(group, group)
     try:
         df = build()
@@ -73,7 +72,7 @@ def _jobs(spark, build):
 
 def test_requests_build_without_jobs_of_other_stages(spark):
     for name in ("requests_text", "infer_traits"):
-        _, started = _jobs(spark, lambda name=name: entry_mod.queries()[name](spark, SF_SMALL))
+        _, started = _jobs(spark, f"build {name}", lambda name=name: entry_mod.queries()[name](spark, SF_SMALL))
         assert started <= 1, name  # reading the schema of a table
 
 

@@ -146,7 +146,7 @@ def test_stage_report_counts_outputs_and_rejects(spark, layout):
     cfg = stages.PipelineConfig(root=root, image_dir=img_dir, chat=requests.ChatSettings(model="m"))
     stages.run(spark, cfg, stages=("catalog_load", "trait_requests"), csv_path=csv)
     report = stages.stage_report(TableStore(spark, root), "trait_requests")
-    assert report == {"requests_text": 3, "requests_image": 2, "rejects[image_requests]": 1}
+    assert report == {"requests_text": 3, "requests_image": 2, "rejects[image_requests]": 1, "rejects[text_requests]": 0}
 
 
 def test_stage_runner_removes_its_staging_data(spark, layout):
