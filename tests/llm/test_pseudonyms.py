@@ -84,3 +84,31 @@ def test_no_planted_value_survives(spark):
                 assert value not in r.text
         if not re.search("[0-9@]", before[r.doc_id]):
             assert r.text == before[r.doc_id]
+
+
+def test_values_joined_to_more_digits_or_capitals_are_found():
+    card, iban = "4111 1111 1111 1111", "GB82 WEST 1234 5698 7654 32"
+    cases = {
+        f"card {card} 12/25": {"card": (card, 1)},
+        "4111111111111111 123": {"card": ("4111111111111111", 1)},
+        f"no 12 {card}": {"card": (card, 1)},
+        f"row 12 34 56 {card} 99 3782 822463 10005 7": {"card": (card, 2)},
+        f"{card}-{card} 5th": {"card": (card, 2)},
+        f"1234 415-555-7713 and {card} 415 555 7713": {"card": (card, 1), "phone": ("555", 2)},
+        f"{iban} EUR 500": {"iban": (iban, 1)},
+        f"AB12 {iban} EUR 500 BIC {iban}": {"iban": (iban, 2)},
+        f"XX12 {card}": {"card": (card, 1)},
+        "at 2024-01-15T10:30:00Z": {"date": ("2024-01-15", 1)},
+    }
+    for text, kinds in cases.items():
+        new, found = ps.pseudonymise(text)
+        assert found == {kind: n for kind, (_, n) in kinds.items()}, (text, new, found)
+        assert not any(value in new for value, _ in kinds.values()), (text, new)
+    assert ps.pseudonymise(f"x {card} 12/25")[0] == ps.pseudonymise(f"x {card}")[0] + " 12/25"
+    assert ps.pseudonymise(f"{iban} EUR 500")[0] == ps.pseudonymise(iban)[0] + " EUR 500"
+    assert ps.pseudonymise("2024-01-15Tx 4111 1111 1111 111x") == ("2024-01-15Tx 4111 1111 1111 111x", {})
+
+
+def test_long_digit_tables_stay_linear():
+    new, found = ps.pseudonymise("1 " * 20_000)
+    assert len(new) == 40_000 and found.keys() <= {"card"}

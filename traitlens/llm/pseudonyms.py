@@ -16,6 +16,11 @@ across documents, different values stay different, and the pseudonym passes the
 
 Digits, separators, case and padding stay where they were; text outside the found values is never changed.
 
+A value need not stand alone.  Of digits joined by single spaces or hyphens every sub-run of whole groups that is a valid
+card counts; of overlapping ones the one grouped like a card, then like an issued number, then the longest, then the first
+is taken.  Of an IBAN joined to more words the longest valid run of whole words is taken.  A value that fails its
+validation hides no other: the other kinds are tried at its place, and the scan goes on inside it.
+
 Defined results: a null text stays null with no findings; every input row gives one row with all its columns; repeated
 rows give repeated rows.  Only the column named ``text`` is read and replaced; a clashing column of another name is
 carried along untouched.
@@ -52,13 +57,21 @@ PATTERN = re.compile(
       \s{0,3}[=:]\s{0,3}["']?(?:[0-9a-f]{12,}|[0-9A-F]{12,})(?![0-9A-Za-z]) | (?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z]))
   | (?P<iban>(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30}(?![0-9A-Za-z]))
   | (?P<ip>(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9]))
-  | (?P<date>(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?![0-9A-Za-z]|[./-][0-9]))
+  | (?P<date>(?<![0-9A-Za-z./-])(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{1,2}/[0-9]{1,2}/[0-9]{4}|[0-9]{1,2}\.[0-9]{1,2}\.[0-9]{4})(?!(?![Tt](?![A-Za-z]))[0-9A-Za-z]|[./-][0-9]))
   | (?P<ssn>(?<![0-9A-Za-z-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9A-Za-z]|-[0-9]))
   | (?P<phone>(?<![0-9A-Za-z])(?:\+[0-9]{1,3}[ .-]?)?(?:\([0-9]{3}\)[ ]?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9A-Za-z]|[.-][0-9]))
   | (?P<card>(?<![0-9A-Za-z])[0-9](?:[ -]?[0-9]){12,18}(?![0-9A-Za-z]))
     """,
     re.VERBOSE,
 )
+# The kinds that may follow, at the same place, a match of the kind that fails its validation.
+_INSTEAD = {
+    kind: re.compile("|".join(PATTERN.pattern.split("\n  | ")[i + 1 :]), re.VERBOSE)
+    for i, kind in enumerate(["email", "secret", "iban", "ip", "date", "ssn", "phone"])
+}
+_DIGIT_RUN = re.compile("[0-9](?:[ -]?[0-9])*")
+_DIGIT_GROUP = re.compile("[0-9]+")
+_CARD_GROUPS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3)} | {(n,) for n in range(13, 20)}
 
 
 class Permutation:
@@ -128,6 +141,31 @@ def _put_back(shape: str, characters: str) -> str:
     return "".join(next(it) if c.isalnum() else c for c in shape)
 
 
+def card_runs(text: str, at: int) -> tuple[int, dict[int, int]]:
+    """End of the run of joined digit groups at ``at``, and the valid cards in it that do not overlap, as start to end."""
+    end = _DIGIT_RUN.match(text, at).end()
+    groups = [g.span() for g in _DIGIT_GROUP.finditer(text, at, end)]
+    if text[end : end + 1].isascii() and text[end : end + 1].isalnum():
+        groups.pop()  # its last digits belong to a word
+    ranked = []
+    for i, (start, _) in enumerate(groups):
+        digits, sizes = "", []
+        for low, high in groups[i:]:
+            if len(digits) + high - low > 19:
+                break
+            digits += text[low:high]
+            sizes.append(high - low)
+            if len(digits) >= 13 and luhn_digit(digits[:-1]) == digits[-1]:
+                ranked.append((tuple(sizes) not in _CARD_GROUPS, digits[0] not in "23456", -len(digits), start, high))
+    cards: dict[int, int] = {}
+    taken: set[int] = set()
+    for *_, start, high in sorted(ranked):
+        if taken.isdisjoint(range(start, high)):
+            taken.update(range(start, high))
+            cards[start] = high
+    return end, cards
+
+
 def _card(p: Permutation, text: str) -> str | None:
     digits = re.sub(r"[ -]", "", text)
     if luhn_digit(digits[:-1]) != digits[-1]:
@@ -230,21 +268,30 @@ def pseudonymise(text: str, key: str = DEFAULT_KEY) -> tuple[str, dict[str, int]
     """The text with every validated value replaced, and how many of each kind."""
     counts: dict[str, int] = {}
     parts: list[str] = []
-    done = 0
+    done = at = run_end = 0
+    cards: dict[int, int] = {}
     for near in _NEAR.finditer(text):
-        at = max(done, near.start() - _BEFORE)
+        at = max(at, near.start() - _BEFORE)
         while at < near.end():
             match = PATTERN.match(text, at)
-            if match is None:
+            while match is not None:
+                kind, end = match.lastgroup, match.end()
+                if kind == "card":
+                    if at >= run_end:
+                        run_end, cards = card_runs(text, at)
+                    end = cards.get(at, at)
+                new = _pseudonym(key, kind, text[at:end]) if end > at else None
+                while new is None and kind == "iban" and (end := text.rfind(" ", at, end)) > at:
+                    new = _pseudonym(key, kind, text[at:end])
+                if new is not None or kind == "card":
+                    break
+                match = _INSTEAD[kind].match(text, at)
+            if match is None or new is None:
                 at += 1
                 continue
-            kind = match.lastgroup
-            new = _pseudonym(key, kind, match.group())
-            if new is not None:
-                counts[kind] = counts.get(kind, 0) + 1
-                parts += [text[done:at], new]
-                done = match.end()
-            at = match.end()
+            counts[kind] = counts.get(kind, 0) + 1
+            parts += [text[done:at], new]
+            done = at = end
     if not parts:
         return text, counts
     return "".join([*parts, text[done:]]), counts
