@@ -4,6 +4,7 @@ import collections
 import random
 import re
 
+import pyarrow.parquet as pq
 import zstandard
 
 from traitlens.llm import quality
@@ -63,3 +64,32 @@ def test_ratio_is_that_of_the_whole_text():
     raw = ("abc def " * 5000 + "tail").encode()
     ratio, odd, ok = quality.compression(raw, codec)
     assert ratio == len(raw) / len(codec.compress(raw)) and odd == 1.0 and not ok
+
+
+def clean_texts():
+    """Per language, the distinct texts of sf0.1 that pass, as one text."""
+    codec = zstandard.ZstdCompressor(level=quality.LEVEL, write_checksum=False, write_content_size=False)
+    seen, out = set(), collections.defaultdict(list)
+    for row in pq.read_table("/root/testdata/sf0.1/documents.parquet", columns=["text", "lang"]).to_pylist():
+        words = (row["text"] or "").split()
+        grams = {hash(tuple(words[i : i + 8])) for i in range(len(words) - 7)}
+        if len(words) < 50 or len(grams & seen) > 0.05 * len(grams) or not quality.compression(row["text"].encode(), codec)[2]:
+            continue
+        seen |= grams
+        out[row["lang"]].append(row["text"])
+    return {lang: "\n".join(texts) for lang, texts in out.items()}
+
+
+def test_long_clean_texts_pass_whatever_their_length(spark, make_docs):
+    codec = zstandard.ZstdCompressor(level=quality.LEVEL, write_checksum=False, write_content_size=False)
+    whole = clean_texts()
+    assert whole.keys() == {"en", "de", "es", "fr"} and min(len(t) for t in whole.values()) > 1_500_000
+    for lang, text in whole.items():
+        raw = text.encode()
+        for size in (70_000, 131_072, 262_144, 524_288, 700_000, 1 << 20, len(raw)):
+            ratio, odd, good = quality.compression(raw[:size], codec)
+            high = next(b for limit, _, b in quality.BANDS if min(size, len(raw)) <= limit)
+            assert good and odd < 0.05 and ratio < high - 0.15, (lang, size, ratio)
+    assert {r.doc_id for r in quality.measure(make_docs(list(enumerate(whole.values())))).where("kept").collect()} == {0, 1, 2, 3}
+    passage = whole["en"][:40_000]
+    assert not quality.compression((passage * 60).encode(), codec)[2]  # every chunk is ordinary, the whole repeats itself
