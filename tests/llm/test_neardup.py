@@ -108,3 +108,44 @@ def test_paragraphs_match_brute_force(spark, make_docs):
                 e[4] += n
     got = {r.doc_id: [r.n_paragraphs, r.n_repeated, r.repeated_words, r.n_removed, r.removed_words, set(r.first_doc_ids)] for r in paragraphs.paragraph_dedup(make_docs(rows)).collect()}
     assert got == expected
+
+
+def test_passages_inside_longer_lines_or_wrapped_are_found(spark, make_docs):
+    rng = random.Random(9)
+    some = lambda n: [f"v{rng.randrange(10**9)}" for _ in range(n)]
+    rows, planted = [], {}
+    for _ in range(40):
+        run = some(rng.choice([50, 51, 70, 300]))
+        for wrap in (0, 11, 7):
+            doc, words, before = len(rows), list(run), rng.randrange(20, 200)
+            if wrap:
+                words = [w.upper() + "\n" if i % wrap == wrap - 1 else w for i, w in enumerate(words)]
+            rows.append((doc, " ".join([*some(before), *words, *some(rng.randrange(20, 200))])))
+            planted[doc] = (doc - doc % 3, before, len(run))
+    rows += [(900, " ".join(some(49))), (901, None), (902, "")]
+    got = {r.doc_id: r for r in paragraphs.paragraph_dedup(make_docs(rows)).collect()}
+    assert len(got) == len(rows)
+    for doc, (first, before, n) in planted.items():
+        r = got[doc]
+        assert r.n_repeated == 0  # no long lines agree
+        # Near its ends a run may hold a gram that the first document does not keep.
+        assert r.n_passages >= 1 and first == r.passage_doc_ids[0] and set(r.passage_doc_ids) <= {first, first + 1}
+        assert max(26, n - 48) <= r.passage_words <= n
+        if doc == first:
+            assert r.removed_passages == []
+        else:
+            assert all(before <= span.start < span.end <= before + n for span in r.removed_passages)
+            assert max(26, n - 48) <= sum(span.end - span.start for span in r.removed_passages) == r.removed_passage_words <= r.passage_words
+    assert all(got[i].n_passages == 0 and got[i].removed_passages == [] for i in (900, 901, 902))
+
+
+def test_passages_match_brute_force_for_shared_runs(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    rows = [(r.doc_id, re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in r.text or ""))) for r in docs.collect()]
+    owners = {}
+    for i, words in rows:
+        for j in range(len(words) - 49):
+            owners.setdefault(tuple(words[j : j + 50]), set()).add(i)
+    sharing = {i for found in owners.values() if len(found) > 1 for i in found}
+    got = {r.doc_id for r in paragraphs.paragraph_dedup(docs).where("n_passages > 0").collect()}
+    assert sharing and sharing <= got

@@ -3,7 +3,15 @@
 Units are the lines of a text with at least ``MIN_WORDS`` words.  Each gets a MinHash signature of its 5-word shingles
 (lower-cased A-Z, white-space words); colliding units are compared on their full shingle sets and linked at a Jaccard
 similarity of 0.75 or more; of every component of linked units the first occurrence (least doc_id, then position) stays
-and the others are removed.  ``tune`` chooses the bands for a wanted recall.
+and the others and the others are removed.  ``tune`` chooses the bands for a wanted recall.
+
+Passages do not depend on line breaks: of every 25 consecutive 26-word grams of the whole text's words the one with the
+least hash is kept, so a run of 50 equal words, in the middle of longer lines or wrapped over short ones, holds a kept
+gram on all sides, and the kept grams of a longer one leave no gap.  Grams with the same 96-bit digest are repeats, and the first occurrence (same order) stays.  A
+passage is the words under repeated grams; up to 24 words of a shared run may lie outside, or be
+kept with another first occurrence, at either end.  Passages and
+long lines are counted apart, and words may be in both.
+ the bands for a wanted recall.
 
 Defined results: null, empty and word-less texts have no units; every input row gives one row, repeated rows included
 (a repeated row's units are repeats of the first row's); rows without doc_id take part and come last in the order of
@@ -23,12 +31,17 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .linking import link, shingle_sets
+from .decontaminate import winnow
 from .superminhash import band_keys
-from .textvec import NON_SPACE, U64, Words, slices
+from .textvec import NON_SPACE, U64, Words, mix, slices
 
 PERCENT = 75
 MIN_WORDS = 20
 MISS = 1e-4
+# Any run of PASSAGE equal words holds SPAN grams of GRAM words; kept grams are at most SPAN words apart and overlap.
+PASSAGE = 50
+GRAM = 26
+SPAN = PASSAGE - GRAM + 1
 
 
 def tune(threshold: float, miss: float, rows: int = 2) -> int:
@@ -71,11 +84,22 @@ def _identify(sets: list[np.ndarray]) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
 
 
-_UNITS = "uid long, doc_id long, at long, n_words long, id long, n long, sketch binary, bands array<long>"
+def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Kept grams of the texts: their text, word position in it, and two digests of their words."""
+    words = Words(texts, NON_SPACE, lower=True)
+    hashed = words.hashes()
+    grams = words.grams(hashed, GRAM)
+    at = winnow(grams, words.whole(PASSAGE)[: max(0, len(grams) - SPAN + 1)], SPAN)
+    other = words.grams(mix(hashed ^ U64(0x5851F42D4C957F2D)), GRAM)[at] >> U64(33)
+    owner = words.doc[at]
+    return owner, (at - words.first[owner]).astype(np.int32), mix(grams[at]).view(np.int64), other.astype(np.int32)
+
+
+_UNITS = "uid long, doc_id long, at long, n_words long, id long, n long, sketch binary, bands array<long>, grams array<struct<word: int, g1: bigint, g2: int>>"
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per long line, and a row with null ``id`` for every text."""
+    """A row per long line, and a row with null ``id`` and the kept grams for every text."""
     uid = TaskContext.get().partitionId() << 40
     for batch in batches:
         for low, high in slices(batch["text"], 1 << 20):
@@ -99,7 +123,10 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             arrays = [pa.concat_arrays([pa.array(x).cast(t), pa.array(y, t)]) for x, y, t in columns]
             offsets = np.concatenate([np.zeros(n, np.int32), np.arange(len(sets) + 1, dtype=np.int32) * keys.shape[1]])
             arrays.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel())))
-            yield pa.RecordBatch.from_arrays(arrays, names=["uid", "doc_id", "at", "n_words", "id", "n", "sketch", "bands"])
+            owner, *fields = _grams(texts)
+            ends = np.concatenate([np.searchsorted(owner, np.arange(n + 1)), np.full(len(sets), len(owner))]).astype(np.int32)
+            arrays.append(pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(f) for f in fields], names=["word", "g1", "g2"])))
+            yield pa.RecordBatch.from_arrays(arrays, names=["uid", "doc_id", "at", "n_words", "id", "n", "sketch", "bands", "grams"])
             uid += n
 
 
@@ -117,8 +144,19 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Rows with null ``at`` stand for the texts themselves, one per row of ``docs``.
     """
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    units = cut_lineage(source.mapInArrow(_profile, _UNITS), "units")
+    source = _source(docs)
+    return _repeated(source, _profiled(source), percent)
+
+
+def _source(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+
+def _profiled(source: DataFrame) -> DataFrame:
+    return cut_lineage(source.mapInArrow(_profile, _UNITS), "units", "zstd")
+
+
+def _repeated(source: DataFrame, units: DataFrame, percent: int) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "uid", "at")
     own = units.where("id is not null")
     items = cut_lineage(
@@ -144,11 +182,54 @@ def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
 
 
+def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Word spans under the grams of each text: how many across documents, their words, and the removed spans."""
+    for batch in batches:
+        rows = []
+        for hits in batch["hits"].to_pylist():
+            spans: list[list[list[int]]] = []
+            for flag in ("across", "removed"):
+                found: list[list[int]] = []
+                for word in sorted(h["word"] for h in hits if h[flag]):
+                    if found and word <= found[-1][1]:
+                        found[-1][1] = word + GRAM
+                    else:
+                        found.append([word, word + GRAM])
+                spans.append(found)
+            across, removed = spans
+            rows.append((len(across), sum(b - a for a, b in across), sum(b - a for a, b in removed), [{"start": a, "end": b} for a, b in removed]))
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))]
+        yield pa.RecordBatch.from_arrays(
+            [batch["uid"], *(pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)), batch["passage_doc_ids"]],
+            names=["uid", "n_passages", "passage_words", "removed_passage_words", "removed_passages", "passage_doc_ids"],
+        )
+
+
+def repeated_passages(units: DataFrame) -> DataFrame:
+    """One row per text of ``units`` with repeated grams: uid, the passages across documents, and the spans removed."""
+    grams = units.where(F.size("grams") > 0).select("uid", "doc_id", F.explode("grams").alias("gram")).select("uid", "doc_id", "gram.*")
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "uid", "word")
+    repeated = grams.groupBy("g1", "g2").agg(
+        F.min(place).alias("first"), (F.min("uid") != F.max("uid")).alias("across"), F.count("*").alias("size")
+    ).where("size > 1").select("g1", "g2", "first", "across")
+    removed = (F.col("first.uid") != F.col("uid")) | (F.col("first.word") != F.col("word"))
+    return (
+        grams.drop("doc_id").join(repeated, ["g1", "g2"]).groupBy("uid")
+        .agg(F.collect_list(F.struct("word", "across", removed.alias("removed"))).alias("hits"),
+             F.array_sort(F.collect_set(F.when(F.col("across"), F.col("first.doc_id")))).alias("passage_doc_ids"))
+        .mapInArrow(_merge, "uid long, n_passages long, passage_words long, removed_passage_words long, "
+                            "removed_passages array<struct<start: bigint, end: bigint>>, passage_doc_ids array<long>")
+    )
+
+
 def paragraph_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
-    """One row per row of ``docs``: its long lines, how many repeat across documents or are removed, and in whom they occur first."""
-    rows = repeated_paragraphs(docs, percent)
+    """One row per row of ``docs``: its long lines, how many repeat across documents or are removed, and in whom they occur
+    first; and the same of its passages, with the removed ones as word spans."""
+    source = _source(docs)
+    units = _profiled(source)
+    rows = _repeated(source, units, percent)
     is_line = F.col("at").isNotNull()
-    return rows.groupBy("uid").agg(
+    lines = rows.groupBy("uid").agg(
         F.first("doc_id").alias("doc_id"),
         F.count(F.when(is_line, 1)).alias("n_paragraphs"),
         F.count(F.when(F.col("across"), 1)).alias("n_repeated"),
@@ -156,4 +237,7 @@ def paragraph_dedup(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         F.count(F.when(F.col("removed"), 1)).alias("n_removed"),
         F.sum(F.when(F.col("removed"), F.col("n_words")).otherwise(0)).alias("removed_words"),
         F.array_sort(F.collect_set(F.when(F.col("across"), F.col("first_doc_id")))).alias("first_doc_ids"),
-    ).drop("uid")
+    )
+    none = [F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in ("n_passages", "passage_words", "removed_passage_words")]
+    none += [F.coalesce(c, F.array().cast(t)).alias(c) for c, t in (("removed_passages", "array<struct<start: bigint, end: bigint>>"), ("passage_doc_ids", "array<long>"))]
+    return lines.join(repeated_passages(units), "uid", "left").select(*lines.columns[1:], *none)
