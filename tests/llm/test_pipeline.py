@@ -42,3 +42,17 @@ def test_stages_return_the_columns_of_documents(spark):
         assert stage(spark, rows, DIR).columns == rows.columns, name
         assert stage(spark, rows.limit(0), DIR).collect() == [], name
     assert corpus_pipeline.STAGES[-1][1](spark, rows.limit(0), DIR).collect() == []
+
+
+def test_rows_without_or_with_a_shared_doc_id_are_judged_too(spark):
+    docs = spark.read.parquet(f"{DIR}/documents.parquet").limit(0)
+    item = max((r.text or "" for r in spark.read.parquet(f"{DIR}/benchmark.parquet").collect()), key=len)
+    base = [f"word{i}" for i in range(60)]
+    near = " ".join([*base[:-1], "other"])
+    texts = {"named": (1, " ".join(base)), "near": (None, near), "exact": (None, " ".join(base)), "dirty": (None, item),
+             "one": (7, " ".join(f"x{i}" for i in range(40))), "two": (7, " ".join(f"y{i}" for i in range(40))), "clean": (None, " ".join(f"z{i}" for i in range(40)))}
+    rows = spark.createDataFrame([(i, t, "en", name, len(t)) for name, (i, t) in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.near_dedup(spark, rows, DIR)
+    assert kept.columns == rows.columns and docs.columns == rows.columns
+    assert {r.source for r in kept.collect()} == {"named", "dirty", "one", "two", "clean"}
+    assert {r.source for r in corpus_pipeline.decontamination(spark, rows, DIR).collect()} == texts.keys() - {"dirty"}
