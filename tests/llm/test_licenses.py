@@ -54,3 +54,15 @@ def test_rows_nulls_and_clashing_columns(spark, make_docs):
     got = sorted(((r.doc_id, r.licence, r.n_licences) for r in licenses.licence_scan(make_docs(rows)).collect()), key=str)
     assert got == sorted([(1, "Apache-2.0", 1), (2, None, 0), (3, None, 0), (1, "MIT", 1), (None, None, 0), (4, "MIT", 1)], key=str)
     assert licenses.licence_scan(make_docs([]).limit(0)).collect() == []
+
+
+def test_dual_notices_in_one_line_and_near_relatives():
+    apache, mit = "Licensed under the Apache License, Version 2.0.", "Released under the MIT License."
+    assert licenses.scan(f"{apache} {mit}") == [("Apache-2.0", 1.0), ("MIT", 1.0)]
+    assert licenses.scan(f"{licenses.TEMPLATES['Apache-2.0'][1]} {mit}") == [("Apache-2.0", 1.0), ("MIT", 1.0)]
+    for name in ("AGPL-3.0", "LGPL-2.1", "LGPL-3.0", "GPL-3.0"):
+        assert licenses.scan(licenses.TEMPLATES[name][1])[0] == (name, 1.0) and len(licenses.scan(licenses.TEMPLATES[name][1])) == 1
+    for name, text in (("BSD-2-Clause", licenses._BSD), ("BSD-3-Clause", licenses._BSD + licenses._BSD_NAMES)):
+        words = text.split()
+        wrapped = "\n".join(" ".join(words[i : i + 9]) for i in range(0, len(words), 9))
+        assert [n for n, _ in licenses.scan(f"Copyright A B\n\n{wrapped}\n\nplain words")] == [name]

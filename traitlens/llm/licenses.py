@@ -6,6 +6,9 @@ can match, also the windows of the template's length that its bigrams vote for (
 A template of ``m`` bigrams can reach the least coefficient ``t`` only against units of ``m * t / (2 - t)`` to
 ``m * (2 - t) / t`` bigrams, so other templates are not compared.
 
+Within a unit every word span is under one licence: of overlapping spans the one that shares most bigrams with its
+template goes first, then the larger coefficient; spans that do not overlap all count.
+
 Templates are fixed texts of the library (a few kilobytes), not data.  A unit must hold one of ``KEY_WORDS`` to count as
 a licence statement (every template does); others are not compared.
 
@@ -27,7 +30,38 @@ from pyspark.sql import functions as F
 THRESHOLD = 0.8
 
 # Notices by which works are commonly put under a licence, and openings of the licences' texts.
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
+    "following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of "
+    "conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, "
+    "this list of conditions and the following disclaimer in the documentation and/or other materials provided with the "
+    "distribution."
+)
+_BSD_NAMES = (
+    " 3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products "
+    "derived from this software without specific prior written permission."
+)
+_GNU = (
+    "This program is free software: you can redistribute it and/or modify it under the terms of the GNU {} General Public "
+    "License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later "
+    "version."
+)
 TEMPLATES: dict[str, list[str]] = {
+    "AGPL-3.0": [
+        "This work is licensed under the GNU Affero General Public License, version 3.",
+        _GNU.format("Affero", "3"),
+        "SPDX-License-Identifier: AGPL-3.0",
+    ],
+    "LGPL-2.1": [
+        "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+        _GNU.format("Lesser", "2.1"),
+        "SPDX-License-Identifier: LGPL-2.1",
+    ],
+    "LGPL-3.0": [
+        "This work is licensed under the GNU Lesser General Public License, version 3.",
+        _GNU.format("Lesser", "3"),
+        "SPDX-License-Identifier: LGPL-3.0",
+    ],
     "Apache-2.0": [
         "Licensed under the Apache License, Version 2.0.",
         "Licensed under the Apache License, Version 2.0 (the \"License\"); you may not use this file except in compliance with "
@@ -37,10 +71,12 @@ TEMPLATES: dict[str, list[str]] = {
     "BSD-2-Clause": [
         "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
         "following conditions are met:",
+        _BSD,
         "SPDX-License-Identifier: BSD-2-Clause",
     ],
     "BSD-3-Clause": [
         "Released under the BSD 3-Clause License.",
+        _BSD + _BSD_NAMES,
         "SPDX-License-Identifier: BSD-3-Clause",
     ],
     "CC-BY-4.0": [
@@ -133,29 +169,29 @@ def scan(text: str, threshold: float = THRESHOLD) -> list[tuple[str, float]]:
     for words in units:
         grams = bigrams(words)
         places = defaultdict(list)
-        own: list[tuple[float, str]] = []
+        own: list[tuple[int, float, str, int, int]] = []
         for template in _ALL:
             low, high = template.bounds(threshold)
             if len(grams) < low:
                 continue
-            if len(grams) <= high:
-                value = dice(grams, template.grams)
-            else:
+            size = len(template.words)
+            spans = [(0, len(words))] if len(grams) <= high else []
+            if len(words) > size:
                 if not places:
                     for i, g in enumerate(zip(words, words[1:])):
                         places[g].append(i)
                 votes = Counter(i - at for g, at in template.at.items() for i in places.get(g, ()))
-                size = len(template.words)
-                least = low / 2
-                value = max(
-                    (dice(bigrams(words[max(0, o) : o + size]), template.grams) for o, n in votes.items() if n >= least and o + size > 0),
-                    default=0.0,
-                )
-            if value >= threshold:
-                own.append((-value, template.name))
-        if own:  # a unit is under its most similar licence only
-            value, name = min(own)
-            best[name] = max(-value, best.get(name, 0.0))
+                spans += [(max(0, o), min(o + size, len(words))) for o, n in votes.items() if n >= low / 2 and o + size > 0]
+            for start, end in spans:
+                inside = bigrams(words[start:end])
+                value = dice(inside, template.grams)
+                if value >= threshold:
+                    own.append((-len(inside & template.grams), -value, template.name, start, end))
+        taken: list[tuple[int, int]] = []
+        for _, value, name, start, end in sorted(own):
+            if not any(start < e and s < end for s, e in taken):
+                taken.append((start, end))
+                best[name] = max(-value, best.get(name, 0.0))
     return sorted(best.items(), key=lambda x: (-x[1], x[0]))
 
 
