@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, licenses, mixing, paragraphs, pieces, pseudonyms, quality, toxicity
+from . import chat, decontaminate, divergence, licenses, mixing, paragraphs, pieces, pseudonyms, quality, toxicity
 from .neardup import near_duplicates
 
 
@@ -59,6 +59,10 @@ def op10_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.windows(conversations))
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_toxicity": op2_toxicity,
@@ -70,8 +74,10 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_lm_scoring": op9_lm_scoring,
     "op10_chat_formatting": op10_chat_formatting,
+    "op11_source_divergence": op11_source_divergence,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_benchmark_decontamination": decontaminate.VERDICTS_SQL,
+    "op11_source_divergence": divergence.AUDIT_SQL,
 }
