@@ -156,7 +156,9 @@ def audit(documents: DataFrame, min_docs: int = MIN_DOCS, top_terms: int = TOP_T
     # Vocabulary in order of its counts, in blocks of about BLOCK patterns.
     patterns = cut_lineage(terms.groupBy("lang", "pattern").agg(F.count("*").alias("n_terms")), "patterns")
     parts = max(1, -(-patterns.count() // BLOCK))
-    blocks = cut_lineage(patterns.repartitionByRange(parts, "lang", "pattern").withColumn("block", F.spark_partition_id()), "blocks")
+    # Blocks go by the first counts, then by hash: whole patterns would make the sample of the ranges large.
+    place = [F.col("lang"), F.slice("pattern", 1, 2), F.xxhash64("pattern")]
+    blocks = cut_lineage(patterns.repartitionByRange(parts, *place).withColumn("block", F.spark_partition_id()), "blocks")
     columns = blocks.select("lang", "block").distinct().join(groups, "lang").select("lang", "block", "source", "n", "v").toDF("of_lang", "of_block", "source", "n", "v")
     sums = (
         blocks.groupBy("lang", "block").cogroup(columns.groupBy("of_lang", "of_block"))
