@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, divergence, licenses, mixing, paragraphs, pieces, pseudonyms, quality, toxicity
+from . import annindex, chat, decontaminate, divergence, hardneg, licenses, mixing, paragraphs, pieces, pseudonyms, quality, toxicity
 from .neardup import near_duplicates
 
 
@@ -63,6 +63,15 @@ def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op13_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return annindex.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 QUERIES = {
     "op1_benchmark_decontamination": op1_benchmark_decontamination,
     "op2_toxicity": op2_toxicity,
@@ -75,9 +84,12 @@ QUERIES = {
     "op9_lm_scoring": op9_lm_scoring,
     "op10_chat_formatting": op10_chat_formatting,
     "op11_source_divergence": op11_source_divergence,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_nearest_neighbours": op13_nearest_neighbours,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op1_benchmark_decontamination": decontaminate.VERDICTS_SQL,
     "op11_source_divergence": divergence.AUDIT_SQL,
+    "op12_hard_negatives": hardneg.MINE_SQL,
 }
