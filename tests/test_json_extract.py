@@ -108,3 +108,21 @@ def test_overflowing_numbers_and_half_surrogates_make_a_fragment_invalid(spark):
     df = spark.createDataFrame([(t,) for t in texts], "t string")
     got = [[o.color for o in r.o] for r in df.select(extract_json_objects(F.col("t"), ("color",)).alias("o")).collect()]
     assert got == [[], [], [], [], ["\U0001f600"], ["1.5"], ["Infinity"]]
+
+
+def test_unclosed_braces_are_scanned_in_linear_time(spark):
+    import time
+
+    from traitlens.functions.jsonx import count_json_objects
+
+    def seconds(text):
+        df = spark.createDataFrame([(text,)], "t string").select(count_json_objects("t").alias("n"))
+        started = time.time()
+        return df.first().n, time.time() - started
+
+    seconds("{}")
+    assert seconds("{" * 1_000_000)[0] == 0
+    half, whole = ("{" * n + '"a"}' + "{" * n + '{"a": 1}' + "{" * n for n in (500_000, 1_000_000))
+    (n, first), (m, second) = seconds(half), seconds(whole)
+    assert n == m == 0 and second < 20 and second < 4 * first + 2
+    assert seconds('{"a": 1}' + "{" * 1_000_000)[0] == 1

@@ -154,19 +154,48 @@ def test_native_kernel_fills_missing_stored_norms(spark):
     assert r.similarity_name_image == pytest.approx(0.0) and r.similarity_text_image == pytest.approx(2**-0.5)
 
 
-def test_salted_join_is_exact_and_never_hints_a_broadcast(spark):
-    from traitlens.operators.skew import per_key_join
-
-    big = spark.range(400).selectExpr("cast(id % 8 as string) as k", "id")
-    small = spark.range(8).selectExpr("cast(id as string) as k", "id * 10 as v")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # only explicit hints may broadcast
+def test_split_join_is_exact_and_broadcasts_at_most_a_key_per_partition(spark):
+    from traitlens.operators.skew import PER_PARTITION, hot_keys, split_join
+
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    big = spark.range(900).selectExpr("if(id % 3 = 0, 'hot', if(id % 50 = 1, null, cast(id % 97 as string))) as k", "id")
+    small = big.select("k").distinct().selectExpr("k", "concat('v', k) as v")
+    expected = sorted((k, i, "v" + k) for i in range(900) for k in ["hot" if i % 3 == 0 else None if i % 50 == 1 else str(i % 97)] if k)
+    for rows in (None, 1, 10, 10_000):
+        assert sorted(tuple(r) for r in split_join(big, small, "k", ["id"], rows).collect()) == expected
+    hot = hot_keys(big, "k").collect()
+    assert [r.k for r in hot] == ["hot"] and len(hot) <= parts
+    assert sum(r._n_salt for r in hot) <= 2 * PER_PARTITION * parts
+    assert split_join(big.limit(0), small, "k", ["id"]).collect() == []
+
+
+def test_a_hot_product_is_split_on_a_session_without_extra_settings(spark):
+    """Rows that each task of the scoring join holds, from the run itself; joins by shuffle, all tasks kept apart."""
+    from traitlens.operators.similarity import _pair_frame
+    from traitlens.plans import fixtures as fx
+
+    names = ["spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.forceOptimizeSkewedJoin"]
+    before = {n: spark.conf.get(n, None) for n in names}
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")  # not what divides the product
+    spark.conf.unset("spark.sql.adaptive.forceOptimizeSkewedJoin")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        out = per_key_join(big, small, "k", ["id"], min_rows=10)
-        assert "BroadcastExchange" not in out._jdf.queryExecution().executedPlan().toString()
-        got = sorted((r.k, r.id, r.v) for r in out.collect())
+        ent = fx.entities_skewed(fx.read_table(spark, "/root/testdata/sf0.1", "embeddings").repartition(8))
+        pairs = _pair_frame(ent, None).groupBy(F.spark_partition_id().alias("task")).count().collect()
+        hot = _pair_frame(ent, None).where("prd_id = 'hot'").groupBy(F.spark_partition_id().alias("task")).count().collect()
+        plain = {r.prd_id: r.asDict() for r in similarity.similarity_inner(ent, hot_key_rows=1 << 40)[0].collect()}
+        split = {r.prd_id: r.asDict() for r in similarity.similarity_inner(ent)[0].collect()}
     finally:
+        for n, v in before.items():
+            spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    assert got == sorted((str(i % 8), i, (i % 8) * 10) for i in range(400))
+    sizes = sorted(r["count"] for r in hot)
+    assert len(sizes) == 8 and sizes[-1] <= 2 * sizes[len(sizes) // 2]
+    every = sorted(r["count"] for r in pairs)
+    assert every[-1] <= 2 * every[len(every) // 2]
+    assert split == plain and "hot" in split
 
 
 def test_null_and_equal_ids_give_the_same_scores_with_any_salting(spark):

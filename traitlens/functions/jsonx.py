@@ -45,8 +45,14 @@ def _col(c) -> Column:
 
 
 def object_candidates(text) -> Column:
-    """All ``{...}`` fragments of the text (array<string>); null text gives null."""
-    return F.regexp_extract_all(_col(text), F.lit(OBJECT_PATTERN), F.lit(0))
+    """All ``{...}`` fragments of the text (array<string>); null text gives null.
+
+    The search ends at the text's last ``}``: an unclosed ``{`` would be sought to the end of the text, once for each of them.
+    Up to there every ``{`` is closed, so each character is passed once.
+    """
+    whole = _col(text)
+    tail = F.substring_index(whole, "}", -1)
+    return F.regexp_extract_all(F.substring(whole, F.lit(1), F.length(whole) - F.length(tail)), F.lit(OBJECT_PATTERN), F.lit(0))
 
 
 def _ddl(keys: Sequence[str]) -> str:

@@ -4,19 +4,22 @@ The models themselves are plugged in by the user as factories; nothing here
 ships a model or an endpoint.  A factory is called once per task (not once
 per row), then reused for every Arrow batch of the partition.
 
-* ``run_chat_job``: ``(prd_id, request)`` -> ``(prd_id, status, content, error)``.
-  A failing call becomes ``status = false`` with the message, never a failed
-  task.  Replies must be written (``plans/stages.py`` does) before they are
-  parsed: model output is not reproducible, and Spark may recompute an
-  unwritten ``mapInPandas`` after an executor loss.
-* ``encode_documents``: adds ``embedding array<float>``; the Arrow batch size
-  (``spark.sql.execution.arrow.maxRecordsPerBatch``) is the encode batch.
+* ``resume_chat_job``: ``(prd_id, request)`` -> ``(prd_id, status, content, error)`` through a ``ResultLog``: equal requests
+  are sent once, replies are published chunk by chunk, and a later run sends only what has no successful reply yet.
+* ``run_chat_job``: the same without a log, one lazy frame.  Model output is not reproducible and Spark may recompute it,
+  so write its result before reading it twice.
+* ``encode_documents``: adds ``embedding array<float>``.  Each distinct text is encoded once, however many documents hold
+  it; with a log only texts that no earlier run has encoded.
 * ``hashing_encode``: a model-free baseline encoder done entirely in the JVM
   (feature hashing of word tokens, L2-normalised).
+
+A failing call becomes ``status = false`` with the message, never a failed task.  Pictures are bound late: a request holds
+the picture's path, and the task that sends it reads the bytes.
 """
 
 from __future__ import annotations
 
+import base64
 import json
 import os
 import urllib.request
@@ -24,41 +27,79 @@ from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..constants import DATA_URL_PREFIX
 from ..schemas import REPLIES
+from ..session import cut_lineage
+from ..sources.images import Fetch, fetch_factory
+from .resume import DIGEST, ResultLog, digest
+from .skew import split_join
 
 ChatClient = Callable[[str], str]
 Encoder = Callable[[list[str]], "object"]
 
+CHAT_LOG = T.StructType(
+    [
+        T.StructField(DIGEST, T.StringType(), False),
+        T.StructField("status", T.BooleanType(), False),
+        T.StructField("content", T.StringType()),
+        T.StructField("error", T.StringType()),
+    ]
+)
+VECTOR_LOG = T.StructType([T.StructField(DIGEST, T.StringType(), False), T.StructField("embedding", T.ArrayType(T.FloatType()))])
 
-def run_chat_job(
-    requests_df: DataFrame,
-    client_factory: Callable[[], ChatClient],
-    max_in_flight: int = 1,
-    tasks: int | None = None,
-    retries: int = 0,
-    backoff_seconds: float = 1.0,
-) -> DataFrame:
-    """Send every request to the model; capture each reply or error per row.
 
-    ``tasks`` bounds how many partitions (hence concurrent tasks) talk to the
-    endpoint; ``max_in_flight`` is the number of requests one task keeps open.
-    A failed call is retried up to ``retries`` times with exponential backoff
-    before it becomes a reject row.
-    """
+def chat_log(spark, path: str) -> ResultLog:
+    """A log of replies; failed calls are asked again by the next run."""
+    return ResultLog(spark, path, CHAT_LOG, finished="status")
+
+
+def vector_log(spark, path: str) -> ResultLog:
+    """A log of vectors by text; texts that could not be encoded are tried again by the next run."""
+    return ResultLog(spark, path, VECTOR_LOG, finished="embedding is not null")
+
+
+def bind_pictures(request: str, fetch: Fetch) -> str:
+    """The request with the bytes of its pictures in place of their paths."""
+    if '"image_url"' not in request:
+        return request
+    body = json.loads(request)
+    for message in body["messages"]:
+        for part in message["content"]:
+            url = (part.get("image_url") or {}).get("url") if part.get("type") == "image_url" else None
+            if url is not None and not url.startswith("data:"):
+                part["image_url"]["url"] = DATA_URL_PREFIX + base64.b64encode(fetch(url)).decode("ascii")
+    return json.dumps(body, ensure_ascii=False, separators=(",", ":"))
+
+
+def bound_requests(requests_df: DataFrame, pictures: Callable[[], Fetch] = fetch_factory) -> DataFrame:
+    """``(prd_id, request)`` as the model job sends them, pictures included."""
 
+    def job(batches: Iterator) -> Iterator:
+        fetch = pictures()
+        for pdf in batches:
+            yield pdf.assign(request=[bind_pictures(r, fetch) for r in pdf["request"]])
+
+    return requests_df.select("prd_id", "request").mapInPandas(job, "prd_id string, request string")
+
+
+def _send(
+    requests_df: DataFrame, key: str, client_factory, max_in_flight: int, tasks: int | None, retries: int, backoff_seconds: float,
+    pictures: Callable[[], Fetch], schema: T.StructType,
+) -> DataFrame:
     def job(batches: Iterator) -> Iterator:
         import time
 
         import pandas as pd
 
-        client = client_factory()
+        client, fetch = client_factory(), pictures()
 
         def call(req: str):
             for attempt in range(retries + 1):
                 try:
-                    return True, client(req), None
+                    return True, client(bind_pictures(req, fetch)), None
                 except Exception as exc:  # one bad row is one reject
                     error = f"{type(exc).__name__}: {exc}"
                     if attempt < retries:
@@ -70,19 +111,57 @@ def run_chat_job(
             for pdf in batches:
                 reqs = pdf["request"].tolist()
                 results = list(pool.map(call, reqs)) if pool else [call(r) for r in reqs]
-                yield pd.DataFrame(
-                    {
-                        "prd_id": pdf["prd_id"],
-                        "status": [r[0] for r in results],
-                        "content": [r[1] for r in results],
-                        "error": [r[2] for r in results],
-                    }
-                )
+                status, content, error = zip(*results) if results else ((), (), ())
+                yield pd.DataFrame({key: pdf[key], "status": list(status), "content": list(content), "error": list(error)})
         finally:
             if pool:
                 pool.shutdown()
 
-    return _with_tasks(requests_df.select("prd_id", "request"), tasks).mapInPandas(job, REPLIES)
+    return _with_tasks(requests_df.select(key, "request"), tasks).mapInPandas(job, schema)
+
+
+def run_chat_job(
+    requests_df: DataFrame,
+    client_factory: Callable[[], ChatClient],
+    max_in_flight: int = 1,
+    tasks: int | None = None,
+    retries: int = 0,
+    backoff_seconds: float = 1.0,
+    pictures: Callable[[], Fetch] = fetch_factory,
+) -> DataFrame:
+    """Send every request to the model; capture each reply or error per row.
+
+    ``tasks`` bounds how many partitions (hence concurrent tasks) talk to the
+    endpoint; ``max_in_flight`` is the number of requests one task keeps open.
+    A failed call is retried up to ``retries`` times with exponential backoff
+    before it becomes a reject row.
+    """
+    return _send(requests_df, "prd_id", client_factory, max_in_flight, tasks, retries, backoff_seconds, pictures, REPLIES)
+
+
+def resume_chat_job(
+    requests_df: DataFrame,
+    log: ResultLog,
+    client_factory: Callable[[], ChatClient],
+    max_in_flight: int = 1,
+    tasks: int | None = None,
+    retries: int = 0,
+    backoff_seconds: float = 1.0,
+    pictures: Callable[[], Fetch] = fetch_factory,
+    chunk_rows: int = 10_000,
+) -> DataFrame:
+    """``run_chat_job`` through a log of replies (``chat_log``); returns the replies of all rows of ``requests_df``.
+
+    A request is named by its text and, where the frame has a column ``picture`` (the picture file's version), by that.
+    """
+    version = [F.col("picture")] if "picture" in requests_df.columns else []
+    named = requests_df.select("prd_id", "request", digest(F.col("request"), *version).alias(DIGEST))
+
+    def send(chunk: DataFrame) -> DataFrame:
+        return _send(chunk, DIGEST, client_factory, max_in_flight, tasks, retries, backoff_seconds, pictures, CHAT_LOG)
+
+    log.complete(named.select(DIGEST, "request"), send, chunk_rows)
+    return split_join(named.select("prd_id", DIGEST), log.read(), DIGEST, ["prd_id"]).select("prd_id", "status", "content", "error")
 
 
 def _with_tasks(df: DataFrame, tasks: int | None) -> DataFrame:
@@ -95,18 +174,39 @@ def encode_documents(
     encoder_factory: Callable[[], Encoder],
     text_col: str = "prompt",
     batch_size: int = 1000,
+    log: ResultLog | None = None,
+    encoder_name: str = "",
+    chunk_rows: int = 1_000_000,
 ) -> DataFrame:
-    """Add ``embedding`` (array<float>) computed by the plugged-in encoder.
+    """Add ``embedding`` (array<float>) computed by the plugged-in encoder, once per distinct text.
 
     The encoder receives lists of at most ``batch_size`` strings (the original
     encodes 1,000 at a time) and returns an (n, dim) array-like.  If a batch
-    fails, its rows are encoded one by one so only the failing rows get a null
+    fails, its rows are encoded one by one so only the failing texts get a null
     embedding (rejected later by the not-null rule).
+
+    With a ``log`` (``vector_log``) vectors are kept by text and ``encoder_name``, and only new texts are encoded; without
+    one they are written to the staging folder.  Vectors come back to the documents by digest; the documents of a text that
+    very many share are dealt over tasks.  A null text is encoded as ''.
     """
-    out_schema = T.StructType(docs.schema.fields + [T.StructField("embedding", T.ArrayType(T.FloatType()))])
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    named = docs.withColumn(DIGEST, digest(text, F.lit(encoder_name)))
+    asked = named.select(DIGEST, text.alias("text"))
+    if log is not None:
+        log.complete(asked, lambda chunk: _vectors(chunk, encoder_factory, batch_size), chunk_rows)
+        vectors = log.read()
+    else:
+        distinct = asked.groupBy(DIGEST).agg(F.first("text").alias("text"))
+        vectors = cut_lineage(_vectors(distinct, encoder_factory, batch_size), "vectors")
+    return split_join(named, vectors, DIGEST, [c for c in docs.columns if c != text_col] or [text_col]).select(*docs.columns, "embedding")
+
+
+def _vectors(texts: DataFrame, encoder_factory: Callable[[], Encoder], batch_size: int) -> DataFrame:
+    """``(digest, text)`` -> ``(digest, embedding)``."""
 
     def job(batches: Iterator) -> Iterator:
         import numpy as np
+        import pandas as pd
 
         encoder = encoder_factory()
 
@@ -123,15 +223,13 @@ def encode_documents(
                 return [one(t) for t in texts]
 
         for pdf in batches:
-            texts = pdf[text_col].tolist()
+            found = pdf["text"].tolist()
             vecs = []
-            for start in range(0, len(texts), batch_size):
-                vecs.extend(encode(texts[start : start + batch_size]))
-            pdf = pdf.copy()
-            pdf["embedding"] = vecs
-            yield pdf
+            for start in range(0, len(found), batch_size):
+                vecs.extend(encode(found[start : start + batch_size]))
+            yield pd.DataFrame({DIGEST: pdf[DIGEST], "embedding": vecs})
 
-    return docs.mapInPandas(job, out_schema)
+    return texts.select(DIGEST, "text").mapInPandas(job, VECTOR_LOG)
 
 
 def hashing_encode(docs: DataFrame, dim: int, text_col: str = "prd_text") -> DataFrame:

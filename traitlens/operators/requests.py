@@ -2,13 +2,15 @@
 
 A request is ``struct(model, temperature, messages)`` serialised with
 ``to_json`` at the boundary to the model job.  The text request asks about
-the product name; the image request carries the picture as a base64 data
-URL.  Images are joined from a ``binaryFile`` scan by path; a catalog row
-whose file is missing becomes a reject instead of an error.
+the product name; the image request names the picture by its path, and the
+model job puts the bytes in its place as a base64 data URL when it sends the
+request, so no picture is stored twice.  A catalog row whose file is missing
+becomes a reject instead of an error.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -21,6 +23,8 @@ from ..constants import (
     TEXT_QUESTION_PREFIX,
     TEXT_QUESTION_SUFFIX,
 )
+from ..session import cut_lineage
+from ..sources.images import Stat, stat_factory, stat_pictures
 from .quality import reject_frame
 
 # Default role prompt (our own wording; users supply theirs).
@@ -92,12 +96,24 @@ def normalise_path(path: Column) -> Column:
     return F.regexp_replace(path, r"^file:(//)?", "")
 
 
+def attach_pictures(product_raw: DataFrame, stats: Callable[[], Stat] = stat_factory) -> tuple[DataFrame, DataFrame]:
+    """``(prd_id, prd_img, picture)`` of the catalog rows whose picture file is there, and rejects for the others.
+
+    Files are looked up one by one in the tasks (``sources.images.stat_pictures``) and the answers written, as both results
+    read them.  ``picture`` is the file's version; no bytes are read.
+    """
+    rows = product_raw.where(F.col("prd_img").isNotNull()).select("prd_id", "prd_img")
+    known = cut_lineage(stat_pictures(rows, "prd_img", stats), "pictures")
+    missing = known.where(F.col("picture").isNull())
+    return known.where(F.col("picture").isNotNull()), reject_frame(missing, "image_requests", "missing_image", "prd_img", F.col("prd_img"))
+
+
 def attach_images(product_raw: DataFrame, images: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Join catalog rows to image bytes by path; missing files -> rejects.
 
     ``images`` is a ``binaryFile`` scan (``path``, ``content``, ...).  Paths of both sides are normalised.  Missing files are
-    found by path alone, so the bytes are read only for the rows that are present.  A path that many products share (a
-    placeholder picture) is divided by adaptive skew-join splitting.
+    found by path alone, so the bytes are read only for the rows that are present.  For folders small enough to list;
+    ``attach_pictures`` needs no listing and moves no bytes.
     """
     key = normalise_path(F.col("path")).alias("_path")
     rows = product_raw.where(F.col("prd_img").isNotNull()).select("prd_id", "prd_img", normalise_path(F.col("prd_img")).alias("_path"))
@@ -106,7 +122,13 @@ def attach_images(product_raw: DataFrame, images: DataFrame) -> tuple[DataFrame,
     return present, reject_frame(missing, "image_requests", "missing_image", "prd_img", F.col("prd_img"))
 
 
-def image_requests(with_images: DataFrame, settings: ChatSettings) -> DataFrame:
-    """``(prd_id, request)`` carrying the image as a data URL."""
-    parts = [_part("text", F.lit(IMAGE_QUESTION)), _part("image_url", url=data_url(F.col("content")))]
-    return with_images.select("prd_id", _request(settings, parts).alias("request"))
+def image_requests(with_pictures: DataFrame, settings: ChatSettings) -> DataFrame:
+    """``(prd_id, request[, picture])`` about the picture at ``prd_img``.
+
+    A frame with ``content`` (bytes, from ``attach_images``) gives requests that carry the picture; one without gives requests
+    that name it, and the model job binds it.
+    """
+    url = data_url(F.col("content")) if "content" in with_pictures.columns else F.col("prd_img")
+    parts = [_part("text", F.lit(IMAGE_QUESTION)), _part("image_url", url=url)]
+    version = [c for c in ("picture",) if c in with_pictures.columns]
+    return with_pictures.select("prd_id", _request(settings, parts).alias("request"), *version)

@@ -7,8 +7,8 @@ of entities (one query vector per product and tag, never all pairs).
 
 Plan shape, the same for every size: rows without product or id are rejects; the first name and text vectors of a product
 (lowest id, ties by the vector itself) come from one map-side combined ``min``; the candidates are joined with them on
-prd_id, and adaptive skew-join splitting divides a hot product's candidates.  ``hot_key_rows`` asks for the explicitly
-salted join of ``skew.per_key_join`` instead, with the same result.  A row carries its own vector only once through each
+prd_id by ``skew.split_join``, which deals the candidates of a product that holds more than a mean shuffle partition over
+salts (``hot_key_rows`` sets another size), with the same result.  A row carries its own vector only once through each
 exchange.  Each (candidate, search it belongs to) gets one cosine - text candidates take part in one search, image
 candidates in two - followed by a conditional ``max`` per product.
 """
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from ..constants import TAG_IMAGE, TAG_NAME, TAG_TEXT
 from ..functions.vectors import cosine, norm, resolve_impl
 from ..session import cut_lineage
-from .skew import per_key_join
+from .skew import split_join
 
 # (output column, query tag, candidate tag) — the three product-local measures.
 SCORE_PAIRS = (
@@ -76,9 +76,7 @@ def _pair_frame(entities: DataFrame, hot_key_rows: int | None) -> DataFrame:
     ent = _scoring_input(entities).select("prd_id", "id", "prd_tag", "embedding", "norm").where(KEYED)
     queries = first_vectors(ent, (TAG_NAME, TAG_TEXT))
     cands = ent.where(F.col("prd_tag").isin(TAG_TEXT, TAG_IMAGE))
-    if hot_key_rows is None:
-        return cands.join(queries, "prd_id")
-    return per_key_join(cands, queries, "prd_id", ["id"], min_rows=hot_key_rows)
+    return split_join(cands, queries, "prd_id", ["id", "prd_tag"], hot_key_rows)
 
 
 def _search_hits(pairs: DataFrame, searches=SCORE_PAIRS) -> DataFrame:

@@ -1,12 +1,17 @@
 """Hot-key handling for joins of a large per-key table with a one-row-per-key table.
 
-Any key may hold a large share of all rows (a degenerate product id, a bulk import under one id).  By default joins are
-plain equi-joins and Spark's adaptive skew-join splitting divides the partitions of such keys at runtime.
-``per_key_join`` is the explicit form for sessions without it: rows per key are counted inside the same plan (a map-side
-combined aggregate over the key column), the hot rows of the large side are spread over ``ceil(count / min_rows)`` salt
-buckets, and the single matching row of the small side is replicated once per bucket.  Every row of the large side meets
-its partner exactly once, so results do not depend on ``min_rows``.  No job runs while the plan is built and nothing is
-hinted for broadcast: Spark decides from the sizes it sees.
+Any key may hold a large share of all rows (a degenerate product id, a bulk import under one id).  ``split_join`` divides
+such keys inside the plan, on any session:
+
+* rows per key are counted over the key column alone, combined map-side;
+* a key is hot when it holds at least the mean rows of a shuffle partition.  With P shuffle partitions at most P keys can
+  be hot, so their table is broadcast with a proven bound, whatever the data;
+* rows of other keys take a plain equi-join, which keeps a bucketed table's layout; rows of hot keys are dealt over salts
+  of an eighth of a partition each and meet one copy of their partner per salt.  All copies together are at most 9 P rows;
+* without hot keys adaptive execution finds the broadcast table empty and drops the second branch before it is scanned.
+
+Every row of the large side meets its partner exactly once.  Salts are hashes of the row's own values, so a retried task
+deals its rows the same way.  No job runs while the plan is built.
 """
 
 from __future__ import annotations
@@ -14,27 +19,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DEFAULT_HOT_KEY_ROWS = 200_000
 SALT = "_salt"
 N_SALT = "_n_salt"
+PER_PARTITION = 8  # salts that a mean partition's rows are dealt over
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int) -> DataFrame:
-    """Keys with at least ``min_rows`` rows, with the number of buckets each needs."""
-    counts = df.select(key).groupBy(key).count()
-    return counts.where(F.col("count") >= min_rows).select(key, F.ceil(F.col("count") / F.lit(min_rows)).alias(N_SALT))
+def hot_keys(df: DataFrame, key: str, min_rows: int | None = None) -> DataFrame:
+    """Keys that hold at least a mean shuffle partition's rows (or ``min_rows``), with the salts that each needs."""
+    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
+    if min_rows is not None:
+        share = F.lit(min_rows)
+    else:
+        parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        share = counts.agg(F.sum("_rows")).scalar() / F.lit(parts)
+    return counts.where(F.col("_rows") >= share).select(key, F.ceil(F.col("_rows") * PER_PARTITION / share).alias(N_SALT))
 
 
-def per_key_join(
-    big: DataFrame, small: DataFrame, key: str, salt_by: list[str], min_rows: int = DEFAULT_HOT_KEY_ROWS, how: str = "inner"
-) -> DataFrame:
-    """Equi-join ``big`` with ``small`` (unique on ``key``), with the rows of hot keys spread by a hash of ``salt_by``.
+def split_join(big: DataFrame, small: DataFrame, key: str, salt_by: list[str], min_rows: int | None = None) -> DataFrame:
+    """Inner equi-join of ``big`` with ``small`` (unique on ``key``); see the module's notes.
 
-    The hash is of the row's own values, so a retried task deals its rows the same way.
+    ``min_rows`` replaces the mean partition as the size from which a key is split; it must keep the hot keys few.
     """
-    hot = hot_keys(big, key, min_rows)
-    bucket = F.pmod(F.xxhash64(*[F.col(c) for c in salt_by]), F.col(N_SALT))
-    big_s = big.join(hot, key, "left").withColumn(SALT, F.coalesce(bucket, F.lit(0).cast("long"))).drop(N_SALT)
-    fan = F.sequence(F.lit(0).cast("long"), F.coalesce(F.col(N_SALT), F.lit(1).cast("long")) - 1)
-    small_s = small.join(hot, key, "left").withColumn(SALT, F.explode(fan)).drop(N_SALT)
-    return big_s.join(small_s, [key, SALT], how).drop(SALT)
+    hot = F.broadcast(hot_keys(big, key, min_rows))
+    plain = big.join(hot.select(key), key, "left_anti").join(small, key)
+    salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_by]), F.col(N_SALT))
+    dealt = big.join(hot, key).withColumn(SALT, salt).drop(N_SALT)
+    copies = small.join(hot, key).withColumn(SALT, F.explode(F.sequence(F.lit(0).cast("long"), F.col(N_SALT) - 1))).drop(N_SALT)
+    return plain.unionByName(dealt.join(copies, [key, SALT]).drop(SALT))

@@ -7,6 +7,8 @@ function of the request, so an SQL twin can predict it.
 
 from __future__ import annotations
 
+import base64
+import hashlib
 import json
 
 
@@ -31,6 +33,23 @@ def echo_trait_client_factory():
     return client
 
 
+def picture_trait_client_factory():
+    """Client that answers an image request with traits of the picture's bytes.
+
+    ``category1`` = 12 digits of their MD5, ``color`` = their number, ``occasion`` = ``unknown``; a number that 13 divides
+    raises, to exercise per-row error capture.
+    """
+
+    def client(request_json: str) -> str:
+        url = json.loads(request_json)["messages"][-1]["content"][1]["image_url"]["url"]
+        picture = base64.b64decode(url.partition(",")[2])
+        if len(picture) % 13 == 0:
+            raise RuntimeError("endpoint refused the picture")
+        return json.dumps({"category1": hashlib.md5(picture).hexdigest()[:12], "color": str(len(picture)), "occasion": "unknown"})
+
+    return client
+
+
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
 
 

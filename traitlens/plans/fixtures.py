@@ -16,6 +16,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import TAG_IMAGE, TAG_NAME, TAG_TEXT
+from ..session import staging_path, track_staging
+from ..sources.images import save_factory
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -101,16 +103,41 @@ def unnamed_catalog(product_raw: DataFrame) -> DataFrame:
     )
 
 
-def picture_files(documents: DataFrame) -> DataFrame:
-    """A ``binaryFile``-like frame: documents as picture bytes; every third text length has no file."""
-    path = F.concat(F.lit("file:///pics/prd_img/"), F.col("doc_id").cast("string"), F.lit(".jpg"))
-    return documents.where(F.length("text") % 3 != 0).select(path.alias("path"), F.col("text").cast("binary").alias("content"))
+def write_pictures(documents: DataFrame) -> str:
+    """Documents as picture files in the staging folder, written by the tasks; every third text length has no file.
 
+    Returns the folder; the file of a document is ``prd_img/<doc_id>.jpg`` in it.  A repeated task writes the same bytes.
+    """
+    folder = track_staging(staging_path(documents.sparkSession, "pictures"))
+
+    def write(batches):
+        import pandas as pd
+
+        save = save_factory()
+        for pdf in batches:
+            for key, text in zip(pdf["key"], pdf["text"]):
+                save(f"{folder}/prd_img/{key}.jpg", text.encode())
+            yield pd.DataFrame({"n": [len(pdf)]})
+
+    rows = documents.where(F.length("text") % 3 != 0).select(F.col("doc_id").cast("string").alias("key"), "text")
+    rows.mapInPandas(write, "n long").agg(F.sum("n")).collect()
+    return folder
 
-def picture_products(documents: DataFrame) -> DataFrame:
+
+def picture_products(documents: DataFrame, folder: str) -> DataFrame:
     """A product per document, with the path its picture should have."""
     key = F.col("doc_id").cast("string")
-    return documents.select(key.alias("prd_id"), F.concat(F.lit("/pics/prd_img/"), key, F.lit(".jpg")).alias("prd_img"))
+    return documents.select(key.alias("prd_id"), F.concat(F.lit(f"{folder}/prd_img/"), key, F.lit(".jpg")).alias("prd_img"))
+
+
+def write_catalog_csv(part: DataFrame) -> str:
+    """``raw_catalog`` as CSV files in the staging folder, with line breaks and quotes inside some names; returns the folder."""
+    folder = track_staging(staging_path(part.sparkSession, "csv"))
+    raw = raw_catalog(part)
+    size = F.length("name")
+    name = F.when(size % 3 == 0, F.replace("name", F.lit(" "), F.lit("\n"))).when(size % 3 == 1, F.concat(F.lit('"'), "name", F.lit('",\n'))).otherwise(F.col("name"))
+    raw.withColumn("name", name).write.options(header=True, quote='"', escape='"', quoteAll=True, emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False).csv(folder)
+    return folder
 
 
 def _word(col: Column, i: int) -> Column:

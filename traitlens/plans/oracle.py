@@ -439,6 +439,13 @@ SELECT CAST(doc_id AS VARCHAR) AS prd_id,
 FROM documents
 """
 
+CATALOG_CSV_SCAN = f"""
+SELECT r.order_key AS prd_id,
+       CASE length(r.name) % 3 WHEN 0 THEN replace(r.name, ' ', chr(10)) WHEN 1 THEN '"' || r.name || '",' || chr(10) ELSE r.name END AS name,
+       r.price3 AS price, r.rating, r.rating_value, 'https://img.example/d/' || p.p_brand AS image2
+FROM ({raw_catalog_select()}) r JOIN part p ON CAST(p.p_partkey AS VARCHAR) = r.order_key
+"""
+
 ORACLE_SQL.update(
     {
         "integrate_traits": INTEGRATE_TRAITS,
@@ -449,6 +456,7 @@ ORACLE_SQL.update(
         "requests_text": REQUESTS_TEXT,
         "data_url_documents": DATA_URL_DOCUMENTS,
         "requests_image": REQUESTS_IMAGE,
+        "catalog_csv_scan": CATALOG_CSV_SCAN,
     }
 )
 
@@ -509,4 +517,10 @@ entities AS (
     "CASE WHEN list_dot_product(q.v, q.v) > 0 AND list_dot_product(e.v, e.v) > 0 THEN list_cosine_similarity(q.v, e.v) END",
 )
 
-ORACLE_SQL.update({"infer_traits": INFER_TRAITS, "encode_entities": ENCODE_ENTITIES, "end_to_end_scores": END_TO_END_SCORES})
+INFER_IMAGE_TRAITS = """
+SELECT substr(md5(text), 1, 12) AS category1, CAST(NULL AS VARCHAR) AS category2, CAST(strlen(text) AS VARCHAR) AS color,
+       CAST(NULL AS VARCHAR) AS style, CAST(NULL AS VARCHAR) AS material, 'unknown' AS occasion, CAST(doc_id AS VARCHAR) AS prd_id
+FROM documents WHERE length(text) % 3 <> 0 AND strlen(text) % 13 <> 0
+"""
+
+ORACLE_SQL.update({"infer_image_traits": INFER_IMAGE_TRAITS, "infer_traits": INFER_TRAITS, "encode_entities": ENCODE_ENTITIES, "end_to_end_scores": END_TO_END_SCORES})

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from ..functions.jsonx import extract_json_objects
 from ..operators import catalog, entities, inference, integrate, requests, similarity, traits
+from ..session import staging_path, track_staging
+from ..sources.catalog_csv import read_catalog_csv
 from . import doubles
 from . import fixtures as fx
 
@@ -216,13 +218,18 @@ def q_data_url_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fx.read_table(spark, sf_dir, "documents").select("doc_id", F.length(url).alias("url_chars"), F.sha2(url, 256).alias("url_sha256"))
 
 
-def q_requests_image(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as pictures: a request for each that has a file, a reject for each that has none."""
+def _picture_requests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Documents as picture files: requests that name the file, rejects where there is none."""
     docs = fx.read_table(spark, sf_dir, "documents")
-    present, missing = requests.attach_images(fx.picture_products(docs), fx.picture_files(docs))
-    reqs = requests.image_requests(present, requests.ChatSettings(model="trait-model"))
+    present, missing = requests.attach_pictures(fx.picture_products(docs, fx.write_pictures(docs)))
+    return requests.image_requests(present, requests.ChatSettings(model="trait-model")), missing
+
+
+def q_requests_image(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A request for each document that has a picture file, as it is sent, and a reject for each that has none."""
+    reqs, missing = _picture_requests(spark, sf_dir)
     content = "$.messages[1].content"
-    return reqs.select(
+    return inference.bound_requests(reqs).select(
         "prd_id",
         F.get_json_object("request", f"{content}[0].text").alias("question"),
         F.sha2(F.get_json_object("request", f"{content}[1].image_url.url"), 256).alias("url_sha256"),
@@ -232,6 +239,14 @@ def q_requests_image(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def q_catalog_csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalog written as CSV files with line breaks inside quotes, and read back in splits."""
+    return read_catalog_csv(spark, fx.write_catalog_csv(_part(spark, sf_dir)), with_ordinal=False).select(
+        F.col("`web-scraper-order`").alias("prd_id"), "name", F.col("price3").alias("price"), "rating", F.col("ratingValue").alias("rating_value"),
+        F.col("`image2-src`").alias("image2"),
+    )
+
+
 QUERIES.update(
     {
         "integrate_traits": q_integrate_traits,
@@ -242,6 +257,7 @@ QUERIES.update(
         "requests_text": q_requests_text,
         "data_url_documents": q_data_url_documents,
         "requests_image": q_requests_image,
+        "catalog_csv_scan": q_catalog_csv_scan,
     }
 )
 
@@ -263,6 +279,14 @@ def q_infer_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return valid
 
 
+def q_infer_image_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The image model job through a log of replies: pictures are read where their request is sent."""
+    reqs, _ = _picture_requests(spark, sf_dir)
+    log = inference.chat_log(spark, track_staging(staging_path(spark, "replies")))
+    replies = inference.resume_chat_job(reqs, log, doubles.picture_trait_client_factory, max_in_flight=4)
+    return traits.extract_traits(replies, "image")[0]
+
+
 def _encoded_entities(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Documents through the encoder job; vectors of texts whose length is a multiple of 11 lose their last number (V3)."""
     docs = entities.entity_documents(_integrated(spark, sf_dir))
@@ -293,6 +317,7 @@ def q_end_to_end_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES.update(
     {
         "infer_traits": q_infer_traits,
+        "infer_image_traits": q_infer_image_traits,
         "encode_entities": q_encode_entities,
         "end_to_end_scores": q_end_to_end_scores,
     }

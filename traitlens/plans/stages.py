@@ -2,8 +2,10 @@
 
 Every stage reads its inputs from tables and writes its outputs (and its
 rejects) as tables, so each stage boundary cuts the lineage in shared
-storage: a lost executor only recomputes work of the running stage, and model
-calls are never repeated because their replies are written before parsing.
+storage: a lost executor only recomputes work of the running stage.  Model calls
+and encodings are kept by content in logs (``reply_log``, ``vector_log``) that are
+published chunk by chunk: a lost task repeats at most its own calls of the chunk
+at work, a failed run at most that chunk, and a later run sends only what is new.
 
 Stages, in order:
   catalog_load    CSV -> product_raw (insert-ignore)
@@ -29,7 +31,7 @@ from ..operators.quality import validate
 from ..schemas import RULES
 from ..session import drop_staging, ensure_checkpoint_dir, staged_paths
 from ..sources.catalog_csv import read_catalog_csv
-from ..sources.images import read_images
+from ..sources.images import Fetch, Stat, fetch_factory, stat_factory
 from ..sources.tables import TableStore
 
 log = logging.getLogger("traitlens.stages")
@@ -62,7 +64,12 @@ class PipelineConfig:
     chat_tasks: int | None = None
     max_in_flight: int = 1
     chat_retries: int = 2
-    hot_key_rows: int | None = None  # None: adaptive skew-join splitting; a number: explicitly salted scoring join
+    chat_chunk: int = 10_000  # calls whose replies are published together
+    encoder_name: str = ""  # of the plugged encoder: another name, other vectors
+    encode_chunk: int = 1_000_000
+    picture_fetch: Callable[[], Fetch] = fetch_factory
+    picture_stat: Callable[[], Stat] = stat_factory
+    hot_key_rows: int | None = None  # rows from which scoring splits a product; None: a mean shuffle partition
     database: str | None = None
     entity_buckets: int | None = None
 
@@ -77,7 +84,7 @@ def catalog_load(spark: SparkSession, cfg: PipelineConfig, store: TableStore, cs
 def trait_requests(spark: SparkSession, cfg: PipelineConfig, store: TableStore) -> None:
     raw = store.read("product_raw")
     store.write(requests.text_requests(raw, cfg.chat), "requests_text")
-    present, missing = requests.attach_images(raw, read_images(spark, cfg.image_dir))
+    present, missing = requests.attach_pictures(raw, cfg.picture_stat)
     store.write(requests.image_requests(present, cfg.chat), "requests_image")
     store.write_rejects(missing, "image_requests")
     store.write_rejects(requests.unnamed_rejects(raw), "text_requests")
@@ -87,8 +94,9 @@ def trait_inference(spark: SparkSession, cfg: PipelineConfig, store: TableStore,
     if cfg.chat_factory is None:
         raise ValueError("trait_inference needs a chat_factory (a model endpoint supplied by the user)")
     reqs = store.read(f"requests_{side}")
-    replies = inference.run_chat_job(
-        reqs, cfg.chat_factory, cfg.max_in_flight, cfg.chat_tasks, retries=cfg.chat_retries
+    replies = inference.resume_chat_job(
+        reqs, inference.chat_log(spark, store.path(f"reply_log/{side}")), cfg.chat_factory, cfg.max_in_flight, cfg.chat_tasks,
+        retries=cfg.chat_retries, pictures=cfg.picture_fetch, chunk_rows=cfg.chat_chunk,
     )
     store.write(replies, f"replies_{side}")
 
@@ -113,7 +121,8 @@ def integrate_stage(spark: SparkSession, cfg: PipelineConfig, store: TableStore)
 def embed(spark: SparkSession, cfg: PipelineConfig, store: TableStore) -> None:
     docs = entities.entity_documents(store.read("products_trait_information"), cfg.instruct)
     if cfg.encoder_factory is not None:
-        encoded = inference.encode_documents(docs, cfg.encoder_factory, "prompt")
+        log = inference.vector_log(spark, store.path("vector_log"))
+        encoded = inference.encode_documents(docs, cfg.encoder_factory, "prompt", log=log, encoder_name=cfg.encoder_name, chunk_rows=cfg.encode_chunk)
     else:
         encoded = inference.hashing_encode(docs, cfg.dim, "prd_text")
     store.write(encoded, "encoded_documents")  # encoder output is written before anything else reads it

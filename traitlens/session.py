@@ -118,10 +118,16 @@ def cut_lineage(df, name: str = "stage", compression: str | None = None):
     spark = df.sparkSession
     path = staging_path(spark, name)
     df.write.mode("errorifexists").parquet(path, compression=compression)
-    _STAGED.append(path)
+    track_staging(path)
     return spark.read.parquet(path)
 
 
+def track_staging(path: str) -> str:
+    """Note a staging folder written by other means, for ``drop_staging``."""
+    _STAGED.append(path)
+    return path
+
+
 # Staging folders written by ``cut_lineage`` in this driver process, in order.
 _STAGED: list[str] = []
 
