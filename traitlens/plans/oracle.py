@@ -442,7 +442,7 @@ FROM documents
 CATALOG_CSV_SCAN = f"""
 SELECT r.order_key AS prd_id,
        CASE length(r.name) % 3 WHEN 0 THEN replace(r.name, ' ', chr(10)) WHEN 1 THEN '"' || r.name || '",' || chr(10) ELSE r.name END AS name,
-       r.price3 AS price, r.rating, r.rating_value, 'https://img.example/d/' || p.p_brand AS image2
+       r.price3 AS price, r.rating, nullif(r.rating_value, '') AS rating_value, 'https://img.example/d/' || p.p_brand AS image2
 FROM ({raw_catalog_select()}) r JOIN part p ON CAST(p.p_partkey AS VARCHAR) = r.order_key
 """
 
