@@ -21,15 +21,16 @@ def brute(rows, budget, history_tokens, history_turns):
     out = {}
     for conv in {r[0] for r in rows}:
         turns = sorted(((r[1] is not None, r[1] or 0, r[2] or "", r[3] or "") for r in rows if r[0] == conv))
-        turns = [(role, text, len(re.findall(r"[^\W_]+|[^\s\w]|_", text))) for _, _, role, text in turns]
+        turns = [(role, text, max(1, len(re.findall(r"[^\W_]+|[^\s\w]|_", text)))) for _, _, role, text in turns]
         system = turns[:1] if turns[0][0] == "system" else []
         room = max(1, budget - history_tokens - (system[0][2] if system else 0))
-        starts, used = [], 0
+        starts, used, total = [], 0, 0
         for i, t in enumerate(turns):
-            if not starts or used + t[2] > room:
+            segment = total // (chat.SEGMENT * budget)
+            if not starts or used + t[2] > room or segment != last:
                 starts.append(i)
                 used = 0
-            used += t[2]
+            used, total, last = used + t[2], total + t[2], segment
         chars = 0
         for i, a in enumerate(starts):
             b = starts[i + 1] if i + 1 < len(starts) else len(turns)
@@ -75,6 +76,34 @@ def test_windows_keep_the_budget_unless_one_turn_is_longer(spark):
         assert (r.window == 1) == (r.n_repeated == 0)
 
 
+def test_segments_shorter_than_the_history(spark, monkeypatch):
+    monkeypatch.setattr(chat, "SEGMENT", 1)
+    rng = random.Random(9)
+    rows = [(c, t, "system" if t == 0 and c % 2 else rng.choice(["user", "assistant"]), "w " * rng.randrange(0, 9)) for c in range(12) for t in range(40)]
+    for budget, tokens, turns in ((4, 3, 3), (6, 50, 4), (1, 0, 1)):
+        assert result(chat.digests(chat.windows(frame(spark, rows), budget, tokens, turns))) == brute(rows, budget, tokens, turns)
+
+
+def test_a_conversation_of_many_turns_and_a_third_of_all_rows_without_id(spark):
+    texts = [f"turn {i} says </s> and \\ " + "word " * (i % 50) for i in range(97)]
+    long = [(1, i, "system" if i == 0 else "user" if i % 2 else "assistant", texts[i % 97]) for i in range(30_000)]
+    rows = long + [(2 + i // 6, i % 6, "user" if i % 2 else "assistant", texts[i % 97]) for i in range(30_000)] + [(None, i, "assistant", texts[i % 97]) for i in range(30_000)]
+    df = spark.createDataFrame(spark.sparkContext.parallelize([(*r, 1, 1, 1) for r in rows], 8), SCHEMA)
+    made = chat.windows(df)
+    assert result(chat.digests(made)) == brute(rows, chat.BUDGET, chat.HISTORY_TOKENS, chat.HISTORY_TURNS)
+    assert made.selectExpr("max(length(formatted))").first()[0] < 20_000
+
+
+def test_a_conversation_of_200_000_turns(spark):
+    df = spark.range(200_000).selectExpr("7L as conv_id", "id as turn", "if(id % 2 = 0, 'user', 'assistant') as role", "repeat('word ', 40) as text", "1 as window", "1 as at", "1 as n")
+    got = chat.digests(chat.windows(df)).collect()
+    assert len(got) == 1 and got[0].n_turns == 200_000 and got[0].loss_chars == 100_000 * 200
+    said = hashlib.sha256()
+    for i in range(200_000):
+        said.update(f"{'assistant' if i % 2 else 'user'}\n{'word ' * 40}\n".encode())
+    assert got[0].turns_sha256 == said.hexdigest()
+
+
 def test_empty_table_and_the_added_conversation(spark):
     assert chat.digests(chat.windows(frame(spark, [(1, 1, "a", "b")]).limit(0))).collect() == []
     got = result(queries.op10_chat_formatting(spark, "/root/testdata/sf0.001"))
