@@ -74,6 +74,29 @@ def test_nulls_empty_repeats_and_long_texts(spark, make_docs):
     )
 
 
+def test_rows_without_or_with_a_shared_doc_id_are_vertices_of_their_own_text(spark, make_docs):
+    rng = random.Random(12)
+    base = {c: [f"{c}{rng.randrange(10**6)}" for _ in range(40)] for c in "ABCDE"}
+    near = lambda c, n: " ".join([*base[c][:-1], f"end{n}"])
+    text = lambda c: " ".join(base[c])
+    rows = [(1, text("A")), (1, text("B")), (2, near("A", 1)), (3, near("B", 1)),
+            (15, text("C")), (15, text("D")), (14, near("C", 1)), (16, near("D", 1)), (15, text("C")),
+            (None, text("E")), (None, near("E", 1)), (None, near("E", 2)), (None, near("A", 2)), (None, "alone here"), (20, "")]
+    got = sorted(((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_duplicates(make_docs(rows)).collect()), key=str)
+    named = [(i, 36, c, i == c) for i, c in ((1, 1), (1, 1), (2, 1), (3, 1), (15, 14), (15, 14), (14, 14), (16, 14), (15, 14))]
+    unnamed = [(None, 36, None, False), (None, 36, None, False), (None, 36, None, True), (None, 36, 1, False), (None, 1, None, True), (20, 0, 20, True)]
+    assert got == sorted(named + unnamed, key=str)
+
+
+def test_copies_without_doc_id_hold_a_third_of_all_rows(spark, make_docs):
+    rows = corpus(5, 6, 8)
+    text = rows[0][1]
+    got = near_duplicates(make_docs(rows + [(None, text)] * 30).repartition(6)).collect()
+    expected = brute(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got if r.doc_id is not None} == expected
+    assert all((r.component_id, r.kept) == (expected[rows[0][0]][1], False) for r in got if r.doc_id is None) and len(got) == len(rows) + 30
+
+
 def test_empty_table(spark, make_docs):
     assert near_duplicates(make_docs([]).limit(0)).collect() == []
     assert paragraphs.paragraph_dedup(make_docs([]).limit(0)).collect() == []
