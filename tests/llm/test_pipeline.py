@@ -22,7 +22,7 @@ def expected(rows, items):
     kept = components(rows)
     rows = [(i, t) for i, t in rows if kept[i][2]]
     bad = {r[0] for r in contaminated(rows, items) if r[-1]}
-    rows = [(i, pseudonyms.pseudonymise(t)[0]) for i, t in rows if i not in bad]
+    rows = [(i, pseudonyms.pseudonymise(t, "a key")[0]) for i, t in rows if i not in bad]
     model = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
     return {i: model.encode(t) for i, t in rows}
 
@@ -30,6 +30,7 @@ def expected(rows, items):
 def test_run_matches_brute_force(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{DIR}/documents.parquet").collect()]
     items = [(r.item_id, r.text) for r in spark.read.parquet(f"{DIR}/benchmark.parquet").collect()]
+    spark.conf.set(pseudonyms.KEY_CONF, "a key")
     got = {r.doc_id: r.ids for r in corpus_pipeline.run(spark, DIR).collect()}
     assert got == expected(rows, items)
     assert 0 < len(got) < len(rows)

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import random
 import re
 
 import pytest
@@ -34,9 +35,9 @@ def test_cards_stay_valid_and_distinct(payload):
 @settings(max_examples=60, deadline=None)
 @given(st.dates())
 def test_dates_stay_dates_of_their_century(day):
-    new, found = ps.pseudonymise(day.isoformat())
+    new, found = ps.pseudonymise(day.isoformat(), "key")
     assert found == {"date": 1} and datetime.date.fromisoformat(new).year // 100 == day.year // 100
-    padded = ps.pseudonymise(day.strftime("%d/%m/") + f"{day.year:04d}")[0]
+    padded = ps.pseudonymise(day.strftime("%d/%m/") + f"{day.year:04d}", "key")[0]
     assert padded.split("/") == new.split("-")[::-1]
 
 
@@ -51,34 +52,34 @@ def test_every_kind_keeps_its_format():
     }
     for kind, (value, shape) in cases.items():
         text = f"see {value}, please"
-        new, found = ps.pseudonymise(text)
+        new, found = ps.pseudonymise(text, "key")
         assert found == {kind: 1} and new != text and re.fullmatch(f"see {shape}, please", new), (kind, new)
-        assert ps.pseudonymise(f"({value}) and {value}!!")[1] == {kind: 2}
-    new = ps.pseudonymise("DE89 3704 0044 0532 0130 00")[0].replace(" ", "")
+        assert ps.pseudonymise(f"({value}) and {value}!!", "key")[1] == {kind: 2}
+    new = ps.pseudonymise("DE89 3704 0044 0532 0130 00", "key")[0].replace(" ", "")
     assert ps._iban_value(new) % 97 == 1
 
 
 def test_other_text_is_left_alone():
     for text in ("version 1.2.3.4.5", "300.1.2.3", "2023-02-30", "000-12-3456", "4111111111111112", "a@b", "DE00 3704 0044 0532 0130 00", "page 12 of 40", ""):
-        assert ps.pseudonymise(text) == (text, {})
+        assert ps.pseudonymise(text, "key") == (text, {})
 
 
 def test_frames_keep_columns_rows_and_nulls(spark, make_docs):
     card = "4111111111111111"
     rows = [(1, f"x {card}"), (2, None), (3, ""), (4, f"{card} y"), (4, f"{card} y"), (None, "no value"), (5, "w " * 100_000 + card)]
     docs = make_docs(rows).withColumnRenamed("slot", "n_card")
-    out = ps.with_pseudonyms(docs)
+    out = ps.with_pseudonyms(docs, "key")
     assert [c for c in out.columns if not c.startswith("n_")] == [c for c in docs.columns if c != "n_card"]
     got = sorted(((r.doc_id, r.text, r.n_card) for r in out.collect()), key=lambda r: str(r)[:60])
-    assert got == sorted(((i, None if t is None else ps.pseudonymise(t)[0], int(card in (t or ""))) for i, t in rows), key=lambda r: str(r)[:60])
-    assert ps.with_pseudonyms(make_docs([]).limit(0)).collect() == []
+    assert got == sorted(((i, None if t is None else ps.pseudonymise(t, "key")[0], int(card in (t or ""))) for i, t in rows), key=lambda r: str(r)[:60])
+    assert ps.with_pseudonyms(make_docs([]).limit(0), "key").collect() == []
 
 
 def test_no_planted_value_survives(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
     pattern = re.compile(r"[a-z]+\.[0-9]{2}@mail[0-9]\.example\.com|\([0-9]{3}\) 555-[0-9]{4}|(?<![0-9])[0-9]{16}(?![0-9])")
     before = {r.doc_id: r.text for r in docs.collect()}
-    for r in ps.with_pseudonyms(docs).collect():
+    for r in ps.with_pseudonyms(docs, "key").collect():
         for value in pattern.findall(before[r.doc_id]):
             if not value.isdigit() or ps.luhn_digit(value[:-1]) == value[-1]:
                 assert value not in r.text
@@ -101,14 +102,64 @@ def test_values_joined_to_more_digits_or_capitals_are_found():
         "at 2024-01-15T10:30:00Z": {"date": ("2024-01-15", 1)},
     }
     for text, kinds in cases.items():
-        new, found = ps.pseudonymise(text)
+        new, found = ps.pseudonymise(text, "key")
         assert found == {kind: n for kind, (_, n) in kinds.items()}, (text, new, found)
         assert not any(value in new for value, _ in kinds.values()), (text, new)
-    assert ps.pseudonymise(f"x {card} 12/25")[0] == ps.pseudonymise(f"x {card}")[0] + " 12/25"
-    assert ps.pseudonymise(f"{iban} EUR 500")[0] == ps.pseudonymise(iban)[0] + " EUR 500"
-    assert ps.pseudonymise("2024-01-15Tx 4111 1111 1111 111x") == ("2024-01-15Tx 4111 1111 1111 111x", {})
+    assert ps.pseudonymise(f"x {card} 12/25", "key")[0] == ps.pseudonymise(f"x {card}", "key")[0] + " 12/25"
+    assert ps.pseudonymise(f"{iban} EUR 500", "key")[0] == ps.pseudonymise(iban, "key")[0] + " EUR 500"
+    assert ps.pseudonymise("2024-01-15Tx 4111 1111 1111 111x", "key") == ("2024-01-15Tx 4111 1111 1111 111x", {})
 
 
 def test_long_digit_tables_stay_linear():
-    new, found = ps.pseudonymise("1 " * 20_000)
+    new, found = ps.pseudonymise("1 " * 20_000, "key")
     assert len(new) == 40_000 and found.keys() <= {"card"}
+
+
+def test_unbroken_runs_stay_linear():
+    import time
+
+    def seconds(text):
+        started = time.process_time()
+        ps.pseudonymise(text, "key")
+        return time.process_time() - started
+
+    for unit in ("QUJD0a9/", "a@", "1", "a.1@b.", "key=0a", "0" * 9 + "@a.", "A1"):
+        half, whole = (unit * (n // len(unit)) for n in (500_000, 1_000_000))
+        first, second = seconds(half), seconds(whole)
+        assert second < 3.5 * first + 1 and second < 30
+    assert seconds("x" * 4_000_000 + "1") < 20
+    long = "0123456789abcdef" * 40_000
+    started = time.process_time()
+    new, found = ps.pseudonymise(f"token={long}", "key")
+    assert found == {"secret": 1} and len(new) == len(long) + 6 and time.process_time() - started < 20
+
+
+def test_addresses_equal_a_plain_search():
+    rng = random.Random(4)
+    bits = ["a", "B7", ".", "-", "@", "@", "x.org", " ", ",", "com", "é", "co.uk", "<", "_", "1"]
+    local = r"[^\s@<>\"'(),:;=\[\]{}|]"
+    plain = re.compile(local + r"+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
+    for _ in range(3000):
+        text = "".join(rng.choices(bits, k=rng.randrange(1, 14)))
+        found, at = [], 0
+        for start, sign, end in ps.addresses(text):
+            if sign > at or not found:
+                start = max(start, at)
+                if start < sign:
+                    found.append(text[start:end])
+                    at = end
+        assert found == plain.findall(text)
+
+
+def test_other_keys_give_other_pseudonyms_and_the_session_keeps_its_own(spark):
+    text = "mail jane.doe@example.org from 10.1.2.3"
+    assert ps.pseudonymise(text, "one")[0] != ps.pseudonymise(text, "two")[0]
+    before = spark.conf.get(ps.KEY_CONF, None)
+    try:
+        spark.conf.unset(ps.KEY_CONF)
+        drawn = ps.session_key(spark)
+        assert len(drawn) == 64 and ps.session_key(spark) == drawn
+        spark.conf.set(ps.KEY_CONF, "mine")
+        assert ps.session_key(spark) == "mine"
+    finally:
+        spark.conf.unset(ps.KEY_CONF) if before is None else spark.conf.set(ps.KEY_CONF, before)

@@ -10,10 +10,16 @@ across documents, different values stay different, and the pseudonym passes the
 * ssn: ``ddd-dd-dddd`` in the issued ranges, permuted among such numbers;
 * ip: four octets, permuted as a 32-bit number;
 * date: ``yyyy-mm-dd``, ``dd/mm/yyyy`` or ``dd.mm.yyyy`` that exists in the calendar, permuted among the days of its century;
-* email: letters and digits of the local part are permuted within their kind, the domain stays;
+* email: letters and digits of the local part (its last 64 characters) are permuted within their kind, the domain stays;
 * secret: hexadecimal values with a digit assigned to a token, password, secret or key, and 20-character access ids with a
   digit, permuted within their alphabet.
 
+The key is the caller's; there is no default.  ``session_key`` reads it from the session, or draws a random one for the
+session, with which values are linked within that session only.  Whoever holds the key can invert the pseudonyms.
+
+A text is scanned once, in time proportional to its length, however long its unbroken runs are: addresses are looked for
+from their at sign.
+
 Digits, separators, case and padding stay where they were; text outside the found values is never changed.
 
 A value need not stand alone.  Of digits joined by single spaces or hyphens every sub-run of whole groups that is a valid
@@ -33,17 +39,20 @@ import functools
 import hashlib
 import math
 import re
+import secrets
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KINDS = ["email", "iban", "ip", "phone", "ssn", "date", "card", "secret"]
 ROUNDS = 8
-DEFAULT_KEY = "change-me"
+SPELL = 256  # characters permuted as one number
+LOCAL = 64  # longest local part of an address
+KEY_CONF = "spark.traitlens.pii.secret"  # "secret": Spark redacts the value in its logs
 
 _LOWER = "abcdefghijklmnopqrstuvwxyz"
 _DIGITS = "0123456789"
@@ -52,8 +61,7 @@ _ACCENTED = "".join(chr(c) for c in range(0xDF, 0x100) if chr(c).isalpha())
 
 PATTERN = re.compile(
     r"""
-    (?P<email>[^\s@<>"'(),:;=\[\]{}|]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})
-  | (?P<secret>(?:(?<=token)|(?<=password)|(?<=secret)|(?<=key)|(?<=TOKEN)|(?<=PASSWORD)|(?<=SECRET)|(?<=KEY))
+    (?P<secret>(?:(?<=token)|(?<=password)|(?<=secret)|(?<=key)|(?<=TOKEN)|(?<=PASSWORD)|(?<=SECRET)|(?<=KEY))
       \s{0,3}[=:]\s{0,3}["']?(?:[0-9a-f]{12,}|[0-9A-F]{12,})(?![0-9A-Za-z]) | (?<![0-9A-Za-z])AKIA[0-9A-Z]{16}(?![0-9A-Za-z]))
   | (?P<iban>(?<![0-9A-Za-z])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30}(?![0-9A-Za-z]))
   | (?P<ip>(?<![0-9A-Za-z.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9A-Za-z]|\.[0-9]))
@@ -67,8 +75,10 @@ PATTERN = re.compile(
 # The kinds that may follow, at the same place, a match of the kind that fails its validation.
 _INSTEAD = {
     kind: re.compile("|".join(PATTERN.pattern.split("\n  | ")[i + 1 :]), re.VERBOSE)
-    for i, kind in enumerate(["email", "secret", "iban", "ip", "date", "ssn", "phone"])
+    for i, kind in enumerate(["secret", "iban", "ip", "date", "ssn", "phone"])
 }
+_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}")
+_NOT_LOCAL = re.compile(r"[\s@<>\"'(),:;=\[\]{}|]")
 _DIGIT_RUN = re.compile("[0-9](?:[ -]?[0-9])*")
 _DIGIT_GROUP = re.compile("[0-9]+")
 _CARD_GROUPS = {(4, 4, 4, 4), (4, 6, 5), (4, 6, 4), (4, 4, 4, 4, 3)} | {(n,) for n in range(13, 20)}
@@ -107,19 +117,19 @@ class Permutation:
                 return value
 
     def spell(self, label: str, text: str, alphabets: list[str]) -> str:
-        """Permute the characters of each alphabet as one number of as many digits; others stay."""
+        """Permute the characters of each alphabet as one number of as many digits (``SPELL`` at a time); others stay."""
         out = list(text)
         for alphabet in alphabets:
-            at = [i for i, c in enumerate(text) if c in alphabet]
-            if not at:
-                continue
-            size, value = len(alphabet), 0
-            for i in at:
-                value = value * size + alphabet.index(text[i])
-            value = self(f"{label}|{alphabet}", value, size ** len(at))
-            for i in reversed(at):
-                value, c = divmod(value, size)
-                out[i] = alphabet[c]
+            places = [i for i, c in enumerate(text) if c in alphabet]
+            for low in range(0, len(places), SPELL):
+                at = places[low : low + SPELL]
+                size, value = len(alphabet), 0
+                for i in at:
+                    value = value * size + alphabet.index(text[i])
+                value = self(f"{label}|{alphabet}" + (f"|{low}" if low else ""), value, size ** len(at))
+                for i in reversed(at):
+                    value, c = divmod(value, size)
+                    out[i] = alphabet[c]
         return "".join(out)
 
 
@@ -264,15 +274,40 @@ _NEAR = re.compile(r"(?<!\S)[^\s0-9@]*[0-9@]\S*")
 _BEFORE = 8
 
 
-def pseudonymise(text: str, key: str = DEFAULT_KEY) -> tuple[str, dict[str, int]]:
+def addresses(text: str) -> Iterator[tuple[int, int, int]]:
+    """First character, at sign and end of every e-mail address, in order."""
+    sign = text.find("@")
+    while sign >= 0:
+        start = sign
+        while start > max(0, sign - LOCAL) and not _NOT_LOCAL.match(text, start - 1):
+            start -= 1
+        domain = _DOMAIN.match(text, sign + 1) if start < sign else None
+        if domain is not None:
+            yield start, sign, domain.end()
+        sign = text.find("@", sign + 1)
+
+
+_NONE = (-1, -1, -1)
+
+
+def pseudonymise(text: str, key: str) -> tuple[str, dict[str, int]]:
     """The text with every validated value replaced, and how many of each kind."""
     counts: dict[str, int] = {}
     parts: list[str] = []
     done = at = run_end = 0
     cards: dict[int, int] = {}
+    emails = addresses(text)
+    email = next(emails, _NONE)
     for near in _NEAR.finditer(text):
         at = max(at, near.start() - _BEFORE)
         while at < near.end():
+            while email is not _NONE and email[1] <= at:
+                email = next(emails, _NONE)
+            if email[0] <= at < email[1]:
+                counts["email"] = counts.get("email", 0) + 1
+                parts += [text[done:at], _pseudonym(key, "email", text[at : email[2]])]
+                done = at = email[2]
+                continue
             match = PATTERN.match(text, at)
             while match is not None:
                 kind, end = match.lastgroup, match.end()
@@ -317,7 +352,16 @@ def _replacer(key: str, columns: list[str]):
     return replace
 
 
-def with_pseudonyms(docs: DataFrame, key: str = DEFAULT_KEY) -> DataFrame:
+def session_key(spark: SparkSession) -> str:
+    """The session's key (``KEY_CONF``); where none is set, a random one that stays for the session."""
+    key = spark.conf.get(KEY_CONF, None)
+    if not key:
+        key = secrets.token_hex(32)
+        spark.conf.set(KEY_CONF, key)
+    return key
+
+
+def with_pseudonyms(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with ``text`` pseudonymised and one count column ``n_<kind>`` per kind (columns so named are replaced)."""
     extra = [f"n_{k}" for k in KINDS]
     source = docs.drop(*extra).withColumn("text", F.col("text").cast("string"))

@@ -39,7 +39,7 @@ def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pseudonyms.with_pseudonyms(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = pseudonyms.with_pseudonyms(table(spark, sf_dir, "documents").select("doc_id", "text"), pseudonyms.session_key(spark))
     return found.withColumn("n_found", sum(F.col(f"n_{kind}") for kind in pseudonyms.KINDS))
 
 
