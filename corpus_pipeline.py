@@ -61,8 +61,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts with validated personal values replaced; n_chars follows the text."""
-    out = pseudonyms.with_pseudonyms(docs)
+    """Texts with validated personal values replaced under the session's key; n_chars follows the text."""
+    out = pseudonyms.with_pseudonyms(docs, pseudonyms.session_key(spark))
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return out.select(*docs.columns)
