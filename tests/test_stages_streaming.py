@@ -8,6 +8,7 @@ import pytest
 from traitlens.constants import DEFAULT_CATEGORY_MAP
 from traitlens.operators import requests, traits
 from traitlens.plans import stages
+from traitlens.sources.tables import TableStore
 from traitlens.streaming.replies import stream_trait_extract
 
 LINK = next(iter(DEFAULT_CATEGORY_MAP))
@@ -62,7 +63,7 @@ def test_pipeline_end_to_end(spark, layout):
     store = stages.run(spark, cfg, csv_path=csv)
     assert store.read("product_raw").count() == 3
     assert store.read("requests_image").count() == 2
-    rejects = spark.read.parquet(store.path("rejects"))
+    rejects = store.rejects()
     assert [(r.stage, r.prd_id, r.rule) for r in rejects.where("stage = 'image_requests'").collect()] == [
         ("image_requests", "3", "missing_image")
     ]
@@ -136,14 +137,11 @@ def test_cli_runs_model_free_stages(spark, layout):
 
     csv, img_dir, root = layout
     main(["--root", root, "--image-dir", img_dir, "--csv", csv, "--stages", "catalog_load,trait_requests"])
-    assert spark.read.parquet(f"{root}/product_raw").count() == 3
-    assert spark.read.parquet(f"{root}/requests_text").count() == 3
-    assert spark.read.parquet(f"{root}/requests_image").count() == 2
+    store = TableStore(spark, root)
+    assert [store.read(t).count() for t in ("product_raw", "requests_text", "requests_image")] == [3, 3, 2]
 
 
 def test_stage_report_counts_outputs_and_rejects(spark, layout):
-    from traitlens.sources.tables import TableStore
-
     csv, img_dir, root = layout
     cfg = stages.PipelineConfig(root=root, image_dir=img_dir, chat=requests.ChatSettings(model="m"))
     stages.run(spark, cfg, stages=("catalog_load", "trait_requests"), csv_path=csv)
@@ -167,7 +165,7 @@ def test_stage_runner_removes_its_staging_data(spark, layout):
     stages.run(spark, cfg, stages=("catalog_load",), csv_path=csv)  # catalog_load stages its projection
     assert staged_paths() == before_paths
     assert listing() <= before_dirs
-    assert spark.read.parquet(f"{root}/product_raw").count() == 3
+    assert TableStore(spark, root).read("product_raw").count() == 3
 
 
 def test_streaming_restart_resumes_without_duplicates(spark, tmpdir_path):

@@ -37,7 +37,8 @@ def parse_args(argv=None) -> argparse.Namespace:
     p.add_argument("--chat-retries", type=int, default=2, help="retries per failed model call")
     p.add_argument("--encoder-model", help="sentence-embedding model name (optional dependency)")
     p.add_argument("--dim", type=int, default=1024)
-    p.add_argument("--hot-key-rows", type=int, help="salt the scoring join for products with this many rows (default: adaptive skew joins)")
+    p.add_argument("--hot-key-rows", type=int, help="rows from which scoring splits a product (default: a mean shuffle partition)")
+    p.add_argument("--changed-only", action="store_true", help="work only on products that are new since each stage last ran")
     p.add_argument("--database", help="catalog database for bucketed entity tables")
     p.add_argument("--entity-buckets", type=int, help="bucket the entity table by product")
     return p.parse_args(argv)
@@ -65,7 +66,7 @@ def main(argv=None) -> None:
         entity_buckets=args.entity_buckets,
     )
     spark = build_session(staging=f"{args.root.rstrip('/')}/_staging")
-    stages.run(spark, cfg, stages=[s.strip() for s in args.stages.split(",") if s.strip()], csv_path=args.csv)
+    stages.run(spark, cfg, stages=[s.strip() for s in args.stages.split(",") if s.strip()], csv_path=args.csv, changed_only=args.changed_only)
 
 
 if __name__ == "__main__":

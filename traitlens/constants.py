@@ -30,7 +30,7 @@ TEXT_QUESTION_SUFFIX = '" ?'
 IMAGE_QUESTION = "What can you tell me about this image?"
 DATA_URL_PREFIX = "data:image/jpeg;base64,"
 ENCODER_PROMPT_FORMAT = "Instruct: %s\nQuery: %s"
-DEFAULT_ENCODER_INSTRUCT = "패션 의류 및 아이템 상품 유사도 분류"
+DEFAULT_ENCODER_INSTRUCT = "Compare product descriptions"  # a setting; users pass their own
 DEFAULT_TEMPERATURE = 0.0
 
 # --- fixed values: tokens read as missing by the catalog CSV scan ---------------

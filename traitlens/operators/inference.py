@@ -161,7 +161,7 @@ def resume_chat_job(
         return _send(chunk, DIGEST, client_factory, max_in_flight, tasks, retries, backoff_seconds, pictures, CHAT_LOG)
 
     log.complete(named.select(DIGEST, "request"), send, chunk_rows)
-    return split_join(named.select("prd_id", DIGEST), log.read(), DIGEST, ["prd_id"]).select("prd_id", "status", "content", "error")
+    return split_join(named.select("prd_id", DIGEST), log.read(named), DIGEST, ["prd_id"]).select("prd_id", "status", "content", "error")
 
 
 def _with_tasks(df: DataFrame, tasks: int | None) -> DataFrame:
@@ -194,7 +194,7 @@ def encode_documents(
     asked = named.select(DIGEST, text.alias("text"))
     if log is not None:
         log.complete(asked, lambda chunk: _vectors(chunk, encoder_factory, batch_size), chunk_rows)
-        vectors = log.read()
+        vectors = log.read(asked)
     else:
         distinct = asked.groupBy(DIGEST).agg(F.first("text").alias("text"))
         vectors = cut_lineage(_vectors(distinct, encoder_factory, batch_size), "vectors")

@@ -44,12 +44,19 @@ class ResultLog:
         p = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(self.path)
         return p.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
-    def read(self) -> DataFrame:
-        """One row a digest: a finished one if there is any, else that of the latest run."""
+    def read(self, asked: DataFrame | None = None) -> DataFrame:
+        """One row a digest: a finished one if there is any, else that of the latest run.
+
+        With ``asked(digest)`` only of those, and only from the chunks that hold one of them: which, the digest columns tell.
+        """
         if not self._exists():
             return self.spark.createDataFrame([], self.schema)
         names = self.schema.fieldNames()
         rows = self.spark.read.schema(T.StructType([*self.schema.fields, T.StructField("chunk", T.StringType())])).parquet(self.path)
+        if asked is not None:
+            wanted = asked.select(DIGEST).distinct()
+            chunks = [r["chunk"] for r in rows.select(DIGEST, "chunk").join(wanted, DIGEST, "left_semi").select("chunk").distinct().collect()]
+            rows = rows.where(F.col("chunk").isin(chunks)).join(wanted, DIGEST, "left_semi")
         order = F.struct(F.expr(self.finished).alias("done"), F.col("chunk"))
         others = [n for n in names if n != DIGEST]
         best = rows.groupBy(DIGEST).agg(F.max_by(F.struct(*others), order).alias("r"))

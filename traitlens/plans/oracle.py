@@ -381,7 +381,7 @@ docs AS (
     FROM integrated
 )
 SELECT prd_id, prd_tag, prd_text,
-       'Instruct: 패션 의류 및 아이템 상품 유사도 분류' || chr(10) || 'Query: ' || prd_text AS prompt
+       'Instruct: Compare product descriptions' || chr(10) || 'Query: ' || prd_text AS prompt
 FROM docs
 """
 
