@@ -24,23 +24,30 @@ N_SALT = "_n_salt"
 PER_PARTITION = 8  # salts that a mean partition's rows are dealt over
 
 
-def hot_keys(df: DataFrame, key: str, min_rows: int | None = None) -> DataFrame:
+ROWS = "_rows"
+
+
+def hot_keys(df: DataFrame, key: str, min_rows: int | None = None, counts: DataFrame | None = None) -> DataFrame:
     """Keys that hold at least a mean shuffle partition's rows (or ``min_rows``), with the salts that each needs."""
-    counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("_rows"))
+    if counts is None:
+        counts = df.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias(ROWS))
     if min_rows is not None:
         share = F.lit(min_rows)
     else:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        share = counts.agg(F.sum("_rows")).scalar() / F.lit(parts)
-    return counts.where(F.col("_rows") >= share).select(key, F.ceil(F.col("_rows") * PER_PARTITION / share).alias(N_SALT))
+        share = counts.agg(F.sum(ROWS)).scalar() / F.lit(parts)
+    return counts.where(F.col(ROWS) >= share).select(key, F.ceil(F.col(ROWS) * PER_PARTITION / share).alias(N_SALT))
 
 
-def split_join(big: DataFrame, small: DataFrame, key: str, salt_by: list[str], min_rows: int | None = None) -> DataFrame:
+def split_join(
+    big: DataFrame, small: DataFrame, key: str, salt_by: list[str], min_rows: int | None = None, counts: DataFrame | None = None
+) -> DataFrame:
     """Inner equi-join of ``big`` with ``small`` (unique on ``key``); see the module's notes.
 
+    ``counts`` (``key``, ``ROWS``) are the rows of ``big`` per key of ``small``, where they are known already.
     ``min_rows`` replaces the mean partition as the size from which a key is split; it must keep the hot keys few.
     """
-    hot = F.broadcast(hot_keys(big, key, min_rows))
+    hot = F.broadcast(hot_keys(big, key, min_rows, counts))
     plain = big.join(hot.select(key), key, "left_anti").join(small, key)
     salt = F.pmod(F.xxhash64(*[F.col(c) for c in salt_by]), F.col(N_SALT))
     dealt = big.join(hot, key).withColumn(SALT, salt).drop(N_SALT)
