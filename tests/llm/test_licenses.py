@@ -15,32 +15,84 @@ def test_size_bounds_never_prune_a_match():
 
 
 def brute(text):
-    """Best template of each line by the plain coefficient, without pruning."""
-    best = {}
-    for line in text.split("\n"):
-        grams = licenses.bigrams(licenses.normalise(line))
-        if not grams or not licenses.KEY_WORDS.search(line):
-            continue
-        value, name = min((-licenses.dice(grams, t.grams), t.name) for t in licenses._ALL)
-        if -value >= licenses.THRESHOLD:
-            best[name] = max(-value, best.get(name, 0))
-    return sorted(best.items(), key=lambda x: (-x[1], x[0]))
-
-
-def test_lines_match_brute_force(spark):
-    docs = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    """Licences of a text: every unit and every span of a template's length, one bigram in place, against every template."""
+    words, units = licenses._units(text)
+    found = []
+    for t in licenses._ALL:
+        size = len(t.words)
+        for start, end in {*units, *((max(0, o), min(o + size, len(words))) for o in {i - j for i in range(len(words) - 1) for j in range(size - 1) if words[i : i + 2] == t.words[j : j + 2]})}:
+            grams = licenses.bigrams(words[start:end])
+            shared = len(grams & t.grams)
+            value = 2 * shared / (len(grams) + len(t.grams))
+            if shared and value >= licenses.THRESHOLD and t.compare(words[start:end])[0]:
+                found.append((-shared, -value, t.name, start, end))
+    names, taken = set(), set()
+    for _, _, name, start, end in sorted(found):
+        if taken.isdisjoint(range(start, end)):
+            taken.update(range(start, end))
+            names.add(name)
+    return names
+
+
+def test_spans_match_brute_force():
     rng = random.Random(1)
+    short = [t for t in licenses._ALL if len(t.words) <= 14]
+    for _ in range(60):
+        parts = []
+        for _ in range(rng.randrange(1, 3)):
+            words = rng.choice(short).words[:]
+            if rng.random() < 0.3:
+                words[rng.randrange(len(words))] = "zzz"
+            filler = [f"f{rng.randrange(9)}" for _ in range(rng.randrange(0, 6))]
+            parts += [" ".join(filler), " ".join(words).upper()]
+        text = rng.choice(["\n", " ", "\n\n"]).join(parts)
+        if licenses.KEY_WORDS.search(text):
+            assert {n for n, _ in licenses.scan(text)} == brute(text), text
+
+
+def test_planted_templates_are_found_in_documents(spark):
+    docs = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()]
+    rng = random.Random(2)
     for text in docs[:60]:
+        t = rng.choice(licenses._ALL)
         lines = text.split("\n")
-        for _ in range(2):
-            words = rng.choice(licenses._ALL).words[:]
-            if rng.random() < 0.6:
-                words[rng.randrange(len(words))] = "zzz"
-            lines.insert(rng.randrange(len(lines) + 1), " ".join(words).upper())
-        text = "\n".join(lines)
-        got = dict(licenses.scan(text))
-        for name, value in brute(text):
-            assert got.get(name, 0) >= value - 1e-12
+        lines.insert(rng.randrange(len(lines) + 1), " ".join(t.words).upper())
+        got = dict(licenses.scan("\n".join(lines)))
+        assert got.get(t.name, 0) == 1.0
+
+
+def test_relatives_that_differ_by_a_word_are_told_apart():
+    one = lambda text: [n for n, _ in licenses.scan(text)]
+    gpl2 = ("This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License "
+            "as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version.")
+    assert one(gpl2) == ["GPL-2.0"] and one(gpl2.replace("version 2 ", "version 3 ")) == ["GPL-3.0"]
+    assert one(gpl2.replace("GNU General", "GNU Lesser General").replace("version 2 ", "version 2.1 ")) == ["LGPL-2.1"]
+    assert one(gpl2.replace("GNU General", "GNU Library General")) == ["LGPL-2.0"]
+    assert one("Creative Commons Attribution-NoDerivatives 4.0 International License") == ["CC-BY-ND-4.0"]
+    for code, long in licenses._CC.items():
+        assert one(f"Licensed under CC {code} 4.0.") == [f"CC-{code}-4.0"]
+        assert one(f"some words\nThis work is licensed under a Creative Commons {long} 4.0 International Licence. more") == [f"CC-{code}-4.0"]
+    assert one("Licensed under CC BY-NC-SA 4.0") == ["CC-BY-NC-SA-4.0"] and one("Licensed under CC BY 2.0.") == []
+    assert one("Distributed under the Boost Software License, Version 1.0.") == ["BSL-1.0"]
+    for text in ("Released under the MIT licence.", "licensed under the MIT License", "The MIT License (MIT)\n\nCopyright (c) 2020 A"):
+        assert one(text) == ["MIT"]
+    clauses = [licenses._BSD.split(" 1. ")[0], "1. " + licenses._BSD.split(" 1. ")[1].split(" 2. ")[0], "2. " + licenses._BSD.split(" 2. ")[1], licenses._BSD_NAMES.strip()]
+    assert one("\n\n".join(clauses)) == ["BSD-3-Clause"] and one("\n\n".join(clauses[:3])) == ["BSD-2-Clause"]
+    assert one("\n".join(c.replace(", ", ",\n") for c in clauses)) == ["BSD-3-Clause"]
+
+
+def test_many_notices_take_time_in_proportion():
+    import time
+
+    def seconds(n):
+        text = "\n".join(["Licensed under the Apache License, Version 2.0.", "Released under the MIT License."] * (n // 2))
+        started = time.process_time()
+        assert dict(licenses.scan(text)) == {"Apache-2.0": 1.0, "MIT": 1.0}
+        return time.process_time() - started
+
+    seconds(100)
+    first, second = seconds(4_000), seconds(16_000)
+    assert second < 8 * first + 0.5 and second < 20
 
 
 def test_found_inside_long_paragraphs_and_not_in_plain_text():

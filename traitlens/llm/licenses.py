@@ -1,13 +1,17 @@
 """Licence scan (operator 8): normalised text against licence templates by Dice coefficient over word bigrams.
 
-Texts and templates are lower-cased and reduced to words of letters, digits and dots inside numbers.  Units compared with
-the templates are each line, each block of lines between blank lines, and the whole text; in units longer than a template
-can match, also the windows of the template's length that its bigrams vote for (a licence inside a longer paragraph).
-A template of ``m`` bigrams can reach the least coefficient ``t`` only against units of ``m * t / (2 - t)`` to
+Texts and templates are lower-cased and reduced to words of letters, digits and dots inside numbers ("licence" is read as
+"license", 2.0 as 2).  Spans compared with the templates are each line, each block of lines between blank lines, the whole
+text, and the spans of a template's length that its bigrams vote for (a licence inside a longer paragraph, or laid out over
+lines).  A template of ``m`` bigrams can reach the least coefficient ``t`` only against spans of ``m * t / (2 - t)`` to
 ``m * (2 - t) / t`` bigrams, so other templates are not compared.
 
-Within a unit every word span is under one licence: of overlapping spans the one that shares most bigrams with its
-template goes first, then the larger coefficient; spans that do not overlap all count.
+Licences and their variants often differ by a word or a number.  Between the first and the last bigram that a span shares with a
+template it must hold the same version numbers and the same of the ``VARIANTS`` as the template; numbers that only count
+clauses are left out.
+
+Every word of a text is under one licence: of overlapping spans the one that shares most bigrams with its template goes
+first, then the larger coefficient, then the name; spans that do not overlap all count.
 
 Templates are fixed texts of the library (a few kilobytes), not data.  A unit must hold one of ``KEY_WORDS`` to count as
 a licence statement (every template does); others are not compared.
@@ -46,7 +50,24 @@ _GNU = (
     "License as published by the Free Software Foundation, either version {} of the License, or (at your option) any later "
     "version."
 )
+_GNU_OLD = (
+    "This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {}General Public License as "
+    "published by the Free Software Foundation; either version {} of the License, or (at your option) any later version."
+)
 TEMPLATES: dict[str, list[str]] = {
+    "BSL-1.0": [
+        "Distributed under the Boost Software License, Version 1.0.",
+        "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and "
+        "accompanying documentation covered by this license (the \"Software\") to use, reproduce, display, distribute, execute, "
+        "and transmit the Software",
+        "SPDX-License-Identifier: BSL-1.0",
+    ],
+    "LGPL-2.0": [
+        "This work is licensed under the GNU Library General Public License, version 2.",
+        _GNU_OLD.format("library", "Library ", "2"),
+        _GNU_OLD.format("program", "Library ", "2"),
+        "SPDX-License-Identifier: LGPL-2.0",
+    ],
     "AGPL-3.0": [
         "This work is licensed under the GNU Affero General Public License, version 3.",
         _GNU.format("Affero", "3"),
@@ -55,6 +76,7 @@ TEMPLATES: dict[str, list[str]] = {
     "LGPL-2.1": [
         "This work is licensed under the GNU Lesser General Public License, version 2.1.",
         _GNU.format("Lesser", "2.1"),
+        _GNU_OLD.format("library", "Lesser ", "2.1"),
         "SPDX-License-Identifier: LGPL-2.1",
     ],
     "LGPL-3.0": [
@@ -69,8 +91,7 @@ TEMPLATES: dict[str, list[str]] = {
         "SPDX-License-Identifier: Apache-2.0",
     ],
     "BSD-2-Clause": [
-        "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the "
-        "following conditions are met:",
+        "Released under the BSD 2-Clause License.",
         _BSD,
         "SPDX-License-Identifier: BSD-2-Clause",
     ],
@@ -79,24 +100,13 @@ TEMPLATES: dict[str, list[str]] = {
         _BSD + _BSD_NAMES,
         "SPDX-License-Identifier: BSD-3-Clause",
     ],
-    "CC-BY-4.0": [
-        "Licensed under CC BY 4.0.",
-        "This work is licensed under a Creative Commons Attribution 4.0 International License.",
-    ],
-    "CC-BY-NC-4.0": [
-        "Licensed under CC BY-NC 4.0.",
-        "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License.",
-    ],
-    "CC-BY-SA-4.0": [
-        "Licensed under CC BY-SA 4.0.",
-        "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License.",
-    ],
     "CC0-1.0": [
         "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work.",
         "This work is licensed under CC0 1.0 Universal.",
     ],
     "GPL-2.0": [
         "This work is licensed under the GNU General Public License, version 2.",
+        _GNU_OLD.format("program", "", "2"),
         "SPDX-License-Identifier: GPL-2.0",
     ],
     "GPL-3.0": [
@@ -112,6 +122,8 @@ TEMPLATES: dict[str, list[str]] = {
     ],
     "MIT": [
         "Released under the MIT License.",
+        "Licensed under the MIT License.",
+        "The MIT License (MIT)",
         "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
         "documentation files (the \"Software\"), to deal in the Software without restriction",
         "SPDX-License-Identifier: MIT",
@@ -126,13 +138,34 @@ TEMPLATES: dict[str, list[str]] = {
         "All rights reserved.",
     ],
 }
-KEY_WORDS = re.compile(r"licen[sc]e|redistribut|permission|copyright|unencumbered|rights\s+reserved", re.IGNORECASE)
+_CC = {
+    "BY": "Attribution",
+    "BY-SA": "Attribution-ShareAlike",
+    "BY-NC": "Attribution-NonCommercial",
+    "BY-ND": "Attribution-NoDerivatives",
+    "BY-NC-SA": "Attribution-NonCommercial-ShareAlike",
+    "BY-NC-ND": "Attribution-NonCommercial-NoDerivatives",
+}
+for _code, _long in _CC.items():
+    TEMPLATES[f"CC-{_code}-4.0"] = [
+        f"Licensed under CC {_code} 4.0.",
+        f"This work is licensed under a Creative Commons {_long} 4.0 International License.",
+        f"Creative Commons {_long} 4.0 International License",
+        f"SPDX-License-Identifier: CC-{_code}-4.0",
+    ]
+# Words that tell licences apart: the family, and the variant within it.
+VARIANTS = {"mit", "apache", "bsd", "gpl", "lgpl", "agpl", "mpl", "mozilla", "boost", "bsl", "gnu", "cc", "cc0", "affero", "lesser", "noncommercial", "noderivatives", "noderivs", "sharealike", "nc", "nd", "sa"}
+KEY_WORDS = re.compile(r"licen[sc]e|redistribut|permission|copyright|unencumbered|rights\s+reserved|creative\s+commons", re.IGNORECASE)
 
 _WORD = re.compile(r"[^\W_]+(?:\.[0-9]+)*")
 
 
+_SPELLING = {"licence": "license", "licences": "licenses", "licenced": "licensed", "licencing": "licensing"}
+_NUMBER = re.compile(r"[0-9]+(?:\.[0-9]+)*")
+
+
 def normalise(text: str) -> list[str]:
-    return _WORD.findall(text.lower())
+    return [_SPELLING.get(w, w[:-2] if w.endswith(".0") else w) for w in _WORD.findall(text.lower())]
 
 
 def bigrams(words: list[str]) -> set[tuple[str, str]]:
@@ -148,50 +181,77 @@ class Template:
         self.name, self.words = name, normalise(text)
         self.grams = bigrams(self.words)
         self.at = {g: i for i, g in reversed(list(enumerate(zip(self.words, self.words[1:]))))}
+        self.counts_clauses = {"1", "2"} <= set(self.words)
+        self.marks = self._marks(self.words)
 
     def bounds(self, t: float) -> tuple[float, float]:
         return len(self.grams) * t / (2 - t), len(self.grams) * (2 - t) / t
 
+    def _marks(self, words: list[str]) -> set[str]:
+        return {w for w in words if w in VARIANTS or not self.counts_clauses and _NUMBER.fullmatch(w)}
+
+    def compare(self, words: list[str]) -> tuple[int, float]:
+        """Shared bigrams and coefficient of a span's words; (0, 0) where its version or variant is another."""
+        grams = bigrams(words)
+        shared = len(grams & self.grams)
+        if not shared:
+            return 0, 0.0
+        hits = [i for i, g in enumerate(zip(words, words[1:])) if g in self.grams] or [0]
+        if self._marks(words[hits[0] : hits[-1] + 2]) != self.marks:
+            return 0, 0.0
+        return shared, 2 * shared / (len(grams) + len(self.grams))
+
 
 _ALL = [Template(name, text) for name, texts in sorted(TEMPLATES.items()) for text in texts]
-assert all(KEY_WORDS.search(" ".join(t.words)) for t in _ALL)
+assert all(KEY_WORDS.search(text) for texts in TEMPLATES.values() for text in texts)
+
+
+def _units(text: str) -> tuple[list[str], list[tuple[int, int]]]:
+    """The text's words, and the spans of its lines, blocks and whole that hold a key word, where they have words."""
+    words: list[str] = []
+    spans: dict[tuple[int, int], None] = {}
+    block, key_in_block, key_in_text = 0, False, False
+    for line in [*text.split("\n"), ""]:
+        start = len(words)
+        words += normalise(line)
+        if KEY_WORDS.search(line):
+            key_in_block = key_in_text = True
+            spans[start, len(words)] = None
+        if not line.strip():
+            if key_in_block:
+                spans[block, start] = None
+            block, key_in_block = len(words), False
+    if key_in_text:
+        spans[0, len(words)] = None
+    return words, [s for s in spans if s[0] < s[1]]
 
 
 def scan(text: str, threshold: float = THRESHOLD) -> list[tuple[str, float]]:
     """``(licence, best coefficient)`` of every licence at or above the threshold, best first."""
+    words, units = _units(text)
+    if not units:
+        return []
+    places = defaultdict(list)
+    for i, g in enumerate(zip(words, words[1:])):
+        places[g].append(i)
+    sized = [(len(bigrams(words[a:b])), a, b) for a, b in units]
+    found: list[tuple[int, float, str, int, int]] = []
+    for template in _ALL:
+        low, high = template.bounds(threshold)
+        size = len(template.words)
+        votes = Counter(i - at for g, at in template.at.items() for i in places.get(g, ()))
+        spans = {(max(0, o), min(o + size, len(words))) for o, n in votes.items() if n >= low / 2 and o + size > 0}
+        spans.update((a, b) for n, a, b in sized if low <= n <= high)
+        for start, end in spans:
+            shared, value = template.compare(words[start:end])
+            if value >= threshold:
+                found.append((-shared, -value, template.name, start, end))
     best: dict[str, float] = {}
-    lines = text.split("\n")
-    units = [normalise(line) for line in lines if KEY_WORDS.search(line)]
-    blocks = [b for b in re.split(r"\n[^\S\n]*\n", text) if KEY_WORDS.search(b)]
-    units += [normalise(b) for b in blocks if "\n" in b]
-    if len(blocks) > 1 or blocks and len(blocks[0]) < len(text):
-        units.append(normalise(text))
-    for words in units:
-        grams = bigrams(words)
-        places = defaultdict(list)
-        own: list[tuple[int, float, str, int, int]] = []
-        for template in _ALL:
-            low, high = template.bounds(threshold)
-            if len(grams) < low:
-                continue
-            size = len(template.words)
-            spans = [(0, len(words))] if len(grams) <= high else []
-            if len(words) > size:
-                if not places:
-                    for i, g in enumerate(zip(words, words[1:])):
-                        places[g].append(i)
-                votes = Counter(i - at for g, at in template.at.items() for i in places.get(g, ()))
-                spans += [(max(0, o), min(o + size, len(words))) for o, n in votes.items() if n >= low / 2 and o + size > 0]
-            for start, end in spans:
-                inside = bigrams(words[start:end])
-                value = dice(inside, template.grams)
-                if value >= threshold:
-                    own.append((-len(inside & template.grams), -value, template.name, start, end))
-        taken: list[tuple[int, int]] = []
-        for _, value, name, start, end in sorted(own):
-            if not any(start < e and s < end for s, e in taken):
-                taken.append((start, end))
-                best[name] = max(-value, best.get(name, 0.0))
+    taken = bytearray(len(words))
+    for _, value, name, start, end in sorted(found):
+        if not any(taken[start:end]):
+            taken[start:end] = b"\1" * (end - start)
+            best[name] = max(-value, best.get(name, 0.0))
     return sorted(best.items(), key=lambda x: (-x[1], x[0]))
 
 
