@@ -3,15 +3,16 @@
 Units are the lines of a text with at least ``MIN_WORDS`` words.  Each gets a MinHash signature of its 5-word shingles
 (lower-cased A-Z, white-space words); colliding units are compared on their full shingle sets and linked at a Jaccard
 similarity of 0.75 or more; of every component of linked units the first occurrence (least doc_id, then position) stays
-and the others and the others are removed.  ``tune`` chooses the bands for a wanted recall.
+and the others are removed.  ``tune`` chooses the bands for a wanted recall.
 
 Passages do not depend on line breaks: of every 25 consecutive 26-word grams of the whole text's words the one with the
 least hash is kept, so a run of 50 equal words, in the middle of longer lines or wrapped over short ones, holds a kept
-gram on all sides, and the kept grams of a longer one leave no gap.  Grams with the same 96-bit digest are repeats, and the first occurrence (same order) stays.  A
-passage is the words under repeated grams; up to 24 words of a shared run may lie outside, or be
-kept with another first occurrence, at either end.  Passages and
-long lines are counted apart, and words may be in both.
- the bands for a wanted recall.
+gram on all sides, and the kept grams of a longer one leave no gap.  Grams with the same 96-bit digest are repeats, and the
+first occurrence (same order) stays; digests of unlike grams meet in one of 2**96 pairs.  A passage is the words under
+repeated grams; up to 24 words of a shared run may lie outside, or be kept with another first occurrence, at either end.
+Passages and long lines are counted apart, and words may be in both.  A very common gram is dealt over many tasks.
+
+Lost are repeated lines of fewer than ``MIN_WORDS`` words that are not part of a repeated run of ``PASSAGE`` words.
 
 Defined results: null, empty and word-less texts have no units; every input row gives one row, repeated rows included
 (a repeated row's units are repeats of the first row's); rows without doc_id take part and come last in the order of
@@ -29,9 +30,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.skew import ROWS, split_join
 from ..session import cut_lineage
-from .linking import link, shingle_sets
 from .decontaminate import winnow
+from .linking import link, shingle_sets
 from .superminhash import band_keys
 from .textvec import NON_SPACE, U64, Words, mix, slices
 
@@ -84,6 +86,11 @@ def _identify(sets: list[np.ndarray]) -> np.ndarray:
     return np.array([xxhash.xxh3_64_intdigest(s.tobytes()) for s in sets], np.uint64).view(np.int64)
 
 
+def _named(lines: pa.Array) -> np.ndarray:
+    """64-bit name of each line's text, by which the lines to compare are fetched."""
+    return np.array([xxhash.xxh3_64_intdigest(t) for t in lines.to_pylist()], np.uint64).view(np.int64)
+
+
 def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Kept grams of the texts: their text, word position in it, and two digests of their words."""
     words = Words(texts, NON_SPACE, lower=True)
@@ -95,7 +102,7 @@ def _grams(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndar
     return owner, (at - words.first[owner]).astype(np.int32), mix(grams[at]).view(np.int64), other.astype(np.int32)
 
 
-_UNITS = "uid long, doc_id long, at long, n_words long, id long, n long, sketch binary, bands array<long>, grams array<struct<word: int, g1: bigint, g2: int>>"
+_UNITS = "uid long, doc_id long, at long, n_words long, id long, line long, n long, sketch binary, bands array<long>, grams array<struct<word: int, g1: bigint, g2: int>>"
 
 
 def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -117,6 +124,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 (none, at, pa.int64()),
                 (none, words, pa.int64()),
                 (none, _identify(sets), pa.int64()),
+                (none, _named(lines), pa.int64()),
                 (none, size, pa.int64()),
                 (none, [row.tobytes() for row in sig.astype(np.uint8)], pa.binary()),
             ]
@@ -126,7 +134,7 @@ def _profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             owner, *fields = _grams(texts)
             ends = np.concatenate([np.searchsorted(owner, np.arange(n + 1)), np.full(len(sets), len(owner))]).astype(np.int32)
             arrays.append(pa.ListArray.from_arrays(pa.array(ends), pa.StructArray.from_arrays([pa.array(f) for f in fields], names=["word", "g1", "g2"])))
-            yield pa.RecordBatch.from_arrays(arrays, names=["uid", "doc_id", "at", "n_words", "id", "n", "sketch", "bands", "grams"])
+            yield pa.RecordBatch.from_arrays(arrays, names=["uid", "doc_id", "at", "n_words", "id", "line", "n", "sketch", "bands", "grams"])
             uid += n
 
 
@@ -135,8 +143,8 @@ def _lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for low, high in slices(batch["text"], 1 << 20):
             lines = _units(batch["text"].slice(low, high - low))[0]
-            ids, at = np.unique(_identify(shingle_sets(lines)), return_index=True)
-            yield pa.RecordBatch.from_arrays([pa.array(ids), lines.take(pa.array(at))], names=["id", "text"])
+            names, at = np.unique(_named(lines), return_index=True)
+            yield pa.RecordBatch.from_arrays([pa.array(names), lines.take(pa.array(at))], names=["line", "text"])
 
 
 def repeated_paragraphs(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
@@ -161,15 +169,15 @@ def _repeated(source: DataFrame, units: DataFrame, percent: int) -> DataFrame:
     own = units.where("id is not null")
     items = cut_lineage(
         own.groupBy("id").agg(
-            F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"), F.count("*").alias("size"),
+            F.min("line").alias("line"), F.first("n").alias("n"), F.first("sketch").alias("sketch"), F.first("bands").alias("bands"), F.count("*").alias("size"),
             F.min(place).alias("first"), F.min("uid").alias("low"), F.max("uid").alias("high"),
         ),
         "items",
     )
 
     def fetch(ids: DataFrame) -> DataFrame:
-        lines = source.select("text").mapInArrow(_lines, "id long, text string")
-        return lines.join(ids, "id", "left_semi").groupBy("id").agg(F.min("text").alias("text"))
+        lines = source.select("text").mapInArrow(_lines, "line long, text string")
+        return lines.join(items.select("id", "line").join(ids, "id", "left_semi"), "line").groupBy("id").agg(F.min("text").alias("text"))
 
     named = cut_lineage(items.select("id", "size", "first", "low", "high").join(link(items.select("id", "n", "sketch", "bands"), fetch, percent), "id"), "named")
     clusters = named.groupBy("comp").agg(
@@ -207,14 +215,16 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_passages(units: DataFrame) -> DataFrame:
     """One row per text of ``units`` with repeated grams: uid, the passages across documents, and the spans removed."""
-    grams = units.where(F.size("grams") > 0).select("uid", "doc_id", F.explode("grams").alias("gram")).select("uid", "doc_id", "gram.*")
+    grams = units.where(F.size("grams") > 0).select("uid", "doc_id", F.explode("grams").alias("g")).select("uid", "doc_id", "g.word", F.struct("g.g1", "g.g2").alias("gram"))
     place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "uid", "word")
-    repeated = grams.groupBy("g1", "g2").agg(
-        F.min(place).alias("first"), (F.min("uid") != F.max("uid")).alias("across"), F.count("*").alias("size")
-    ).where("size > 1").select("g1", "g2", "first", "across")
+    repeated = cut_lineage(
+        grams.groupBy("gram").agg(F.min(place).alias("first"), (F.min("uid") != F.max("uid")).alias("across"), F.count("*").alias(ROWS)).where(F.col(ROWS) > 1),
+        "repeated",
+    )
+    hits = split_join(grams.drop("doc_id"), repeated.drop(ROWS), "gram", ["uid", "word"], counts=repeated.select("gram", ROWS))
     removed = (F.col("first.uid") != F.col("uid")) | (F.col("first.word") != F.col("word"))
     return (
-        grams.drop("doc_id").join(repeated, ["g1", "g2"]).groupBy("uid")
+        hits.groupBy("uid")
         .agg(F.collect_list(F.struct("word", "across", removed.alias("removed"))).alias("hits"),
              F.array_sort(F.collect_set(F.when(F.col("across"), F.col("first.doc_id")))).alias("passage_doc_ids"))
         .mapInArrow(_merge, "uid long, n_passages long, passage_words long, removed_passage_words long, "
