@@ -245,7 +245,8 @@ def train(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, calibr
     held = chosen(F.col("part") == 1, calibrate)
     rows = (
         source.join(F.broadcast(held.select("doc_id")), "doc_id").mapInArrow(_differences(spark.sparkContext.broadcast(model.tables)), _MEASURES)
-        .join(held, "doc_id").select("n_words", "difference", "excess", "toxic").toArrow()
+        .join(held, "doc_id").groupBy("doc_id", "toxic")  # one row a chosen doc_id, however many rows share it
+        .agg(*(F.avg(c).alias(c) for c in ("n_words", "difference", "excess"))).orderBy("doc_id").toArrow()
     )
     y = rows["toxic"].to_numpy().astype(np.float64)
     x = _features(*(rows[c].to_numpy().astype(np.float64) for c in ("difference", "excess", "n_words")))
