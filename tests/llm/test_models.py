@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
 from traitlens.llm import mixing, toxicity
@@ -106,3 +107,71 @@ def test_held_out_accuracy_on_given_labels(spark):
     assert sum(r.predicted == r.toxic for r in rows) / len(rows) >= 0.95
     toxic = [r.predicted for r in rows if r.toxic]
     assert sum(toxic) / len(toxic) >= 0.7
+
+
+def brute_kneser_ney(rows):
+    """Per class the log-likelihood of a word, from plain dictionaries of byte strings."""
+
+    def events(word):
+        text = b" " + word.encode() + b" "
+        return [[(text[max(at - order + 1, 0) : at + 1]) for order in toxicity.ORDERS] for at in range(1, len(text))]
+
+    level = {}
+    for k, word, n in rows:
+        for e in events(word):
+            level.setdefault((k, e[0]), [0, e])[0] += n
+    tables = []
+    for i in range(len(toxicity.ORDERS)):
+        if i:
+            longer, level = level, {}
+            for (k, _), (_, e) in longer.items():
+                level.setdefault((k if i < toxicity.OWN else 0, e[i]), [0, e])[0] += 1
+        of = [max(1, sum(n == m for n, _ in level.values())) for m in (1, 2, 3, 4)]
+        y = of[0] / (of[0] + 2 * of[1])
+        raw = [1 - 2 * y * of[1] / of[0], 2 - 3 * y * of[2] / of[1], 3 - 4 * y * of[3] / of[2]]
+        d = [min(max(x, 0.3), j + 0.98) for j, x in enumerate(raw)]
+        total, removed = {}, {}
+        for (k, e), (n, _) in level.items():
+            total[k, e[:-1]] = total.get((k, e[:-1]), 0) + n
+            removed[k, e[:-1]] = removed.get((k, e[:-1]), 0) + d[min(n, 3) - 1]
+        tables.append(({key: n - d[min(n, 3) - 1] for key, (n, _) in level.items()}, total, removed))
+
+    def logs(k, word):
+        out = 0.0
+        for e in events(word):
+            p = 1 / 256
+            for i in reversed(range(len(tables))):
+                count, total, removed = tables[i]
+                c = k if i < toxicity.OWN else 0
+                if (c, e[i][:-1]) in total:
+                    p = count.get((c, e[i]), 0) / total[c, e[i][:-1]] + removed[c, e[i][:-1]] / total[c, e[i][:-1]] * p
+            out += math.log(max(p, 1e-12))
+        return out
+
+    return logs
+
+
+def test_word_likelihoods_equal_brute_force_kneser_ney(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice(["an", "be", "é", "di", "er", "x"]) for _ in range(rng.randrange(1, 7)))
+    rows = [(k, w, rng.randrange(1, 5)) for k in (0, 1) for w in {word() for _ in range(60)}]
+    model = toxicity.estimate(spark.createDataFrame(rows, "k long, word string, n long"))
+    logs = brute_kneser_ney(rows)
+    words = [w for _, w, _ in rows[:40]] + [word() for _ in range(20)] + ["never", "zz"]
+    got = model.word_differences(pa.array(words))
+    expected = [logs(1, w) - logs(0, w) for w in words]
+    assert max(abs(a - b) for a, b in zip(got, expected)) < 2e-3
+
+
+def test_a_shared_doc_id_gives_one_calibration_row(spark, make_docs):
+    docs, labels = toxic_corpus(300)
+    frame = spark.createDataFrame(labels, "doc_id long, toxic int")
+    once = toxicity.train(make_docs(docs), frame).weights
+    often = toxicity.train(make_docs(docs + [d for d in docs if remainder(d[0]) == 1] * 5), frame).weights
+    assert abs(once - often).max() < 1e-6
+
+
+def test_the_model_beats_the_base_on_held_out_rows(spark):
+    """On sf0.1; on the 200 documents of sf0.001 it does not (README)."""
+    rows = mixing.score(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).where("held_out").selectExpr("sum(score) / sum(n_tokens) as model", "sum(base_score) / sum(n_tokens) as base").first()
+    assert rows.model > rows.base
