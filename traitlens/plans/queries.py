@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.jsonx import extract_json_objects
 from ..operators import catalog, entities, inference, integrate, requests, similarity, traits
-from ..session import staging_path, track_staging
+from ..session import cut_lineage, staging_path, track_staging
 from ..sources.catalog_csv import read_catalog_csv
 from . import doubles
 from . import fixtures as fx
@@ -167,9 +167,9 @@ def _product_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
     return _clean(fx.raw_catalog(_part(spark, sf_dir)))
 
 
-def _traits(spark: SparkSession, sf_dir: str, side: str) -> tuple[DataFrame, DataFrame]:
-    """Parsed once: the tagged rows are written, both outputs read them."""
-    return traits.extract_traits(fx.replies(_part(spark, sf_dir), side), side, materialize=True)
+def _traits(spark: SparkSession, sf_dir: str, side: str, both: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Traits and rejects; parsed once, the tagged rows written, where ``both`` are read."""
+    return traits.extract_traits(fx.replies(_part(spark, sf_dir), side), side, materialize=both)
 
 
 def _integrated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -196,8 +196,8 @@ def q_distinct_products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_quality_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw, catalog_rejects = _product_raw(spark, sf_dir)
-    text, text_rejects = _traits(spark, sf_dir, "text")
-    image, image_rejects = _traits(spark, sf_dir, "image")
+    text, text_rejects = _traits(spark, sf_dir, "text", both=True)
+    image, image_rejects = _traits(spark, sf_dir, "image", both=True)
     integrate_rejects = integrate.integrate_traits(raw, text, image)[1]
     return catalog_rejects.unionByName(text_rejects).unionByName(image_rejects).unionByName(integrate_rejects)
 
@@ -270,7 +270,7 @@ ENCODE_DIM = 1 + len(doubles.LETTERS)
 def _inferred_text_traits(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     raw = _product_raw(spark, sf_dir)[0]
     reqs = requests.text_requests(raw, requests.ChatSettings(model="trait-model"))
-    replies = inference.run_chat_job(reqs, doubles.echo_trait_client_factory, max_in_flight=4)
+    replies = inference.run_chat_job(reqs, doubles.echo_trait_client_factory, max_in_flight=4, tasks=spark.sparkContext.defaultParallelism)
     return traits.extract_traits(replies, "text")
 
 
@@ -283,13 +283,13 @@ def q_infer_image_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The image model job through a log of replies: pictures are read where their request is sent."""
     reqs, _ = _picture_requests(spark, sf_dir)
     log = inference.chat_log(spark, track_staging(staging_path(spark, "replies")))
-    replies = inference.resume_chat_job(reqs, log, doubles.picture_trait_client_factory, max_in_flight=4)
+    replies = inference.resume_chat_job(reqs, log, doubles.picture_trait_client_factory, max_in_flight=4, tasks=spark.sparkContext.defaultParallelism)
     return traits.extract_traits(replies, "image")[0]
 
 
 def _encoded_entities(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Documents through the encoder job; vectors of texts whose length is a multiple of 11 lose their last number (V3)."""
-    docs = entities.entity_documents(_integrated(spark, sf_dir))
+    docs = cut_lineage(entities.entity_documents(_integrated(spark, sf_dir)), "documents")  # read for the encoder and for the join back
     encoded = inference.encode_documents(docs, doubles.letter_encoder_factory, text_col="prd_text")
     short = F.when(F.length("prd_text") % 11 == 0, F.slice("embedding", 1, ENCODE_DIM - 1)).otherwise(F.col("embedding"))
     return entities.to_entities(encoded.withColumn("embedding", short), ENCODE_DIM, materialize=True)
