@@ -85,11 +85,11 @@ def test_numbers_that_would_lose_digits_are_rejects(spark):
 
     from traitlens.operators.catalog import exact_decimal
 
-    texts = ["4.5678", "4.56789", "12300", "1e-5", "1E2", "0.00000000000000000001", "4.50000000", "x", None]
+    texts = ["4.5678", "4.56789", "12300", "1e-5", "1E2", "0.00000000000000000001", "4.50000000", "1500e-02", "1500e-2", "15e-5", "150e-5", "1.25E+2", "0e-99", "1e-99", "-0.00010", "7e", "x", None]
     rows = spark.createDataFrame([(t,) for t in texts], "t string").select("t", exact_decimal(F.col("t")).alias("v")).collect()
     kept = {r.t: (None if r.v is None else float(r.v)) for r in rows}
     assert kept == {
-        "4.5678": 4.5678, "4.56789": None, "12300": 12300.0, "1e-5": None, "1E2": 100.0, "0.00000000000000000001": None,
+        "4.5678": 4.5678, "4.56789": None, "12300": 12300.0, "1e-5": None, "1E2": 100.0, "0.00000000000000000001": None, "1500e-02": 15.0, "1500e-2": 15.0, "15e-5": None, "150e-5": 0.0015, "1.25E+2": 125.0, "0e-99": 0.0, "1e-99": None, "-0.00010": -0.0001, "7e": None,
         "4.50000000": 4.5, "x": None, None: None,
     }
 

@@ -59,9 +59,15 @@ def image_path(prd_id: Column, image_dir: str) -> Column:
 
 def exact_decimal(text: Column) -> Column:
     """The number in the table's decimal type, or null when it is not one or would lose digits."""
-    value = text.try_cast(CATALOG_DECIMAL)
-    lossy = (text.try_cast("decimal(38,18)") != value) | text.rlike(r"\.[0-9]{18}0*[1-9]") | text.rlike(r"[eE]-[0-9]{2,}$")
-    return F.when(~F.coalesce(lossy, F.lit(False)), value)
+    scale = CATALOG_DECIMAL.scale
+    plain = ~text.rlike(rf"\.[0-9]{{{scale}}}[0-9]*[1-9]")
+    # With an exponent: decimals of the digits, less the exponent and the zeros at their end.
+    digits = F.regexp_replace(F.regexp_replace(text, "[eE].*$", ""), "[^0-9]", "")
+    kept = F.regexp_replace(digits, "0+$", "")
+    decimals = F.length(F.regexp_extract(text, r"\.([0-9]*)", 1))
+    exponent = F.coalesce(F.nullif(F.regexp_extract(text, r"[eE]([+-]?[0-9]+)", 1), F.lit("")).try_cast("long"), F.lit(0))
+    shifted = (kept == "") | (decimals - exponent - (F.length(digits) - F.length(kept)) <= scale)
+    return F.when(F.when(text.rlike("[eE]"), shifted).otherwise(plain), text.try_cast(CATALOG_DECIMAL))
 
 
 def clean_catalog(
