@@ -524,3 +524,11 @@ FROM documents WHERE length(text) % 3 <> 0 AND strlen(text) % 13 <> 0
 """
 
 ORACLE_SQL.update({"infer_image_traits": INFER_IMAGE_TRAITS, "infer_traits": INFER_TRAITS, "encode_entities": ENCODE_ENTITIES, "end_to_end_scores": END_TO_END_SCORES})
+
+# --- tables written in two runs: what is read back is what was written last ------------
+
+STORED_TRAITS = "WITH " + traits_cte("text") + "," + traits_cte("image") + """
+SELECT *, 'text' AS side FROM traits_text UNION ALL SELECT *, 'image' AS side FROM traits_image
+"""
+
+ORACLE_SQL.update({"stored_traits": STORED_TRAITS, "stored_information": INTEGRATE_TRAITS, "stored_scores": SIMILARITY_SCORES})

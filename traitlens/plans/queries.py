@@ -16,6 +16,7 @@ from ..functions.jsonx import extract_json_objects
 from ..operators import catalog, entities, inference, integrate, requests, similarity, traits
 from ..session import cut_lineage, staging_path, track_staging
 from ..sources.catalog_csv import read_catalog_csv
+from ..sources.tables import TableStore
 from . import doubles
 from . import fixtures as fx
 
@@ -322,3 +323,43 @@ QUERIES.update(
         "end_to_end_scores": q_end_to_end_scores,
     }
 )
+
+
+# --- tables written in two runs and read back --------------------------------------
+
+def _in_two_runs(rows: DataFrame, name: str, stale: str, value) -> DataFrame:
+    """``rows`` through the table store: a first run holds three quarters of the products, a third of them with a stale
+    column; a second one replaces the stale products and brings the others."""
+    spark = rows.sparkSession
+    store = TableStore(spark, track_staging(staging_path(spark, "store")))
+    store.create_all()
+    rows = cut_lineage(rows.withColumn("quarter", F.pmod(F.xxhash64("prd_id"), F.lit(4))), "rows")
+    late = F.col("quarter") >= 2
+    with store.publish("first"):
+        old = F.when(F.col("quarter") == 2, value).otherwise(F.col(stale)).alias(stale)
+        store.write(rows.where("quarter < 3").select(*(old if c == stale else c for c in rows.columns if c != "quarter")), name)
+    with store.publish("second", keys=rows.where(late).select("prd_id")):
+        store.write(rows.where(late).drop("quarter"), name)
+    return store.read(name)
+
+
+def q_stored_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text, image = (
+        _in_two_runs(_traits(spark, sf_dir, side)[0], f"products_trait_{side}", "style", F.lit("stale")).withColumn("side", F.lit(side)) for side in ("text", "image")
+    )
+    return text.unionByName(image)
+
+
+def q_stored_information(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _in_two_runs(_integrated(spark, sf_dir), "products_trait_information", "prd_name", F.lit("stale"))
+
+
+def q_stored_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scores, _ = similarity.similarity_inner(_entities(spark, sf_dir))
+    names = ("similarity_name_text", "similarity_name_image", "similarity_text_image")
+    return _in_two_runs(scores.select("prd_id", *names), "products_similarity_score_inner", names[0], F.lit(2.0)).select(
+        "prd_id", *[F.round(c, ROUND).alias(c) for c in names]
+    )
+
+
+QUERIES.update({"stored_traits": q_stored_traits, "stored_information": q_stored_information, "stored_scores": q_stored_scores})
