@@ -175,3 +175,44 @@ def test_the_model_beats_the_base_on_held_out_rows(spark):
     """On sf0.1; on the 200 documents of sf0.001 it does not (README)."""
     rows = mixing.score(spark.read.parquet("/root/testdata/sf0.1/documents.parquet")).where("held_out").selectExpr("sum(score) / sum(n_tokens) as model", "sum(base_score) / sum(n_tokens) as base").first()
     assert rows.model > rows.base
+
+
+def test_the_mixer_learns_from_every_token_and_the_word_before_it(spark, make_docs):
+    texts = ["red fox red fox red fox", "red fox", None, "", "Blue  whale\nred fox"]
+    speller = mixing.train_speller(make_docs(list(enumerate(texts))))
+    counts = Counter()
+    for text in texts:
+        words = [t.encode() for t in tokens(text)[:-1]]
+        hashed = [mixing.Words(pa.array([w.decode()]), mixing.NON_SPACE, lower=True).hashes()[0] for w in words]
+        for word, before in zip(words, [0, *hashed]):
+            slots, bit, _ = mixing._bits(pa.array([word.decode()]), mixing.np.array([before], "uint64"))
+            counts.update((i, int(s), int(b)) for i in range(len(mixing.CONTEXTS)) for s, b in zip(slots[i], bit))
+    found = {(i, int(s), b): table[i, s] for b, table in ((0, speller.zeros), (1, speller.ones)) for i, s in zip(*table.nonzero())}
+    assert found == counts
+    before = mixing.Words(pa.array(["red blue"]), mixing.NON_SPACE, lower=True).hashes()
+    after_red, after_blue = speller.cost(pa.array(["fox", "fox"]), before)
+    assert after_red > after_blue
+
+
+def test_token_costs_match_a_plain_mixer(spark, make_docs):
+    """Bit by bit, in plain Python, from the learnt counters, weights and map."""
+    speller = mixing.train_speller(make_docs([(i, f"some words here and {i * 7} more words there") for i in range(60)]))
+    words = ["words", "there", "unheard"]
+    before = mixing.np.array([0, 12345, 678], "uint64")
+    slots, bit, first = mixing._bits(pa.array(words), before)
+    plain = []
+    for a, b in zip(first[:-1], first[1:]):
+        total = 0.0
+        for at in range(a, b):
+            pairs = [(speller.zeros[i, slots[i, at]], speller.ones[i, slots[i, at]]) for i in range(len(mixing.CONTEXTS))]
+            known = [z + o > 0 for z, o in pairs]
+            gate = sum(known)
+            z = sum(w * math.log((o + 0.2) / (n + 0.2)) for w, (n, o), k in zip(speller.weights[gate], pairs, known) if k)
+            z = min(max(z, -8), 8)
+            place = (z + 8) * (mixing.REFINE - 1) / 16
+            low = min(int(place), mixing.REFINE - 2)
+            mapped = speller.refine[gate, low] * (1 - place + low) + speller.refine[gate, low + 1] * (place - low)
+            p = min(max((1 / (1 + math.exp(-z)) + mapped) / 2, 1e-6), 1 - 1e-6)
+            total += math.log10(p if bit[at] else 1 - p)
+        plain.append(total)
+    assert speller.cost(pa.array(words), before) == pytest.approx(plain, rel=1e-4)

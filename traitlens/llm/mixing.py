@@ -2,22 +2,23 @@
 
 Tokens are the lower-cased (A-Z) white-space words of a text and one end.  Three experts share every token:
 
-* spelling: the word's bytes, bit by bit, most significant first, ended by a space.  For every bit, predictors hashed from
-  the byte so far and the last 0, 1, 2, 3 or 5 bytes of the word give logits from their counts; a mixer adds them with
-  weights chosen by a gate (how many of the predictors know their context), learnt online by gradient steps on the coding
-  cost over all training words; and an adaptive map by gate and quantised logit refines the mixed probability;
+* the bit mixer: the token's bytes, bit by bit, most significant first, ended by a space.  For every bit of every token of
+  the text, predictors hashed from the byte so far and the last 0, 1, 2, 3 or 5 bytes of the word, or the word so far and the
+  word before it, give logits from their counts; a mixer adds them with weights chosen by a gate (how many of the predictors
+  know their context), learnt online by gradient steps on the coding cost over all training tokens; and an adaptive map by
+  gate and quantised logit refines the mixed probability;
 * vocabulary: the word's discounted count in the documents of the text's class, backing off to its count in all training
-  documents and then to its spelling.  Classes are the components of a mixture of ``CLASSES`` multinomials over hashed
+  documents and then to the bit mixer.  Classes are the components of a mixture of ``CLASSES`` multinomials over hashed
   words, fitted to all training documents; naming a text's class costs it ``log10(CLASSES)`` once;
-* the text itself: the words already seen in it, weighted by a logistic gate that is refined online after each block of
-  tokens.
+* the text itself: the words already seen in it.
 
-The sum is the text's probability, in log10 and in bits per byte.
+A gate per text shares a token among the three; it is refined online after each block of tokens.  The sum is the text's
+probability, in log10 and in bits per byte.
 
-Everything counted covers every training document (``crc32(doc_id as text) mod 5`` other than 1).  Word counts are exact
-and grow with the corpus; they are joined with the distinct words of each block of documents, never broadcast.  The bit
-predictors live in ``len(CONTEXTS) * SLOTS`` pairs of counters of fixed size (a documented parameter, about 20 MB), which is
-what is broadcast, with ``CLASSES * BUCKETS`` class parameters.  The fit of the classes starts from a fit
+Everything counted covers every token of every training document (``crc32(doc_id as text) mod 5`` other than 1).  Word counts
+are exact and grow with the corpus; they are joined with the distinct words of each block of documents, never broadcast.  The
+bit predictors live in ``len(CONTEXTS) * SLOTS`` pairs of counters of fixed size (a documented parameter, about 25 MB), which
+is what is broadcast, with ``CLASSES * BUCKETS`` class parameters.  The fit of the classes starts from a fit
 to at most ``SEEDS`` documents; its rounds cover all training documents.
 
 Defined results: null texts are empty (one token, the end); every input row gives one row, repeated rows included; rows
@@ -39,9 +40,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .textvec import NON_SPACE, U64, Words, mix, range_hashes, slices
+from .textvec import BYTE_CODES, NON_SPACE, U64, Words, mix, powers, slices
 
-CONTEXTS = (0, 1, 2, 3, 5)
+PAIR = -1  # the word so far and the word before it
+CONTEXTS = (0, 1, 2, 3, 5, PAIR)
 SLOTS = 1 << 19
 BLOCK_TOKENS = 1 << 21
 CLASSES = 8
@@ -53,11 +55,27 @@ BATCH_BITS = 1 << 14
 REFINE = 24
 SPAN = 1 << 10  # slots packed into one row when counters are added up
 FAN = 32  # tasks whose counters are added up in the first step
+WORDS = 1 << 9  # words whose bits are in memory at once
+COUNTED = 1 << 15  # the same, while counting
 _PACKED = "context long, span long, tree long, data binary"
 
 
-def _bits(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For every bit of every word and its ending space: slots by context, the bit; and the first bit of each word."""
+def _nodes() -> np.ndarray:
+    """For every byte value and each of its bits, a number for the bits of the byte so far; those of half a byte are neighbours."""
+    value, shift = np.arange(256)[:, None], np.arange(3, -1, -1)
+    half = [(1 << (3 - shift)) | (x >> (shift + 1)) for x in (value >> 4, value & 15)]
+    return np.concatenate([half[0], ((1 + (value >> 4)) << 4) | half[1]], axis=1).astype(np.int64)
+
+
+_NODES = _nodes()
+_BITS = ((np.arange(256)[:, None] >> np.arange(7, -1, -1)) & 1).astype(np.int8)
+
+
+def _bits(words: pa.Array, before: np.ndarray | None = None, contexts: tuple[int, ...] = CONTEXTS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For every bit of every word and its ending space: slots by context, the bit; and the first bit of each word.
+
+    ``before`` are the hashes of the words before, 0 where there is none.
+    """
     side = pa.scalar(" ", pa.large_string())
     joined = pc.binary_join_element_wise(side, words.cast(pa.large_string()), side, pa.scalar("", pa.large_string()))
     off = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset : joined.offset + len(joined) + 1]
@@ -66,20 +84,36 @@ def _bits(words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     inside = np.ones(len(buf), bool)
     inside[off[:-1]] = False  # the leading space is context only
     at = np.flatnonzero(inside)
-    begin = np.repeat(off[:-1], np.diff(off) - 1)
-    byte = buf[at].astype(np.int64)
-    shift = np.arange(7, -1, -1)
-    bit = (byte[:, None] >> shift) & 1
-    node = (1 << (7 - shift)) | (byte[:, None] >> (shift + 1))  # the bits of the byte so far, with a leading one
-    slots = np.empty((len(CONTEXTS), len(at) * 8), np.int32)
-    for i, order in enumerate(CONTEXTS):
-        seen = mix(range_hashes(buf, np.maximum(at - order, begin), at) + U64(order + 1))
-        slots[i] = ((mix(seen[:, None] + node.astype(np.uint64)) & U64(SLOTS - 1)).astype(np.int32)).ravel()
-    return slots, bit.ravel().astype(np.int8), np.concatenate([[0], np.cumsum(np.diff(off) - 1)]) * 8
-
-
-def _stretch(p: np.ndarray) -> np.ndarray:
-    return np.log(p / (1 - p))
+    size = np.diff(off) - 1
+    begin = np.repeat(off[:-1], size)
+    byte = buf[at]
+    nodes = _NODES[byte]
+    power, inverse = powers(len(buf))
+    total = np.zeros(len(buf) + 1, np.uint64)
+    np.cumsum(BYTE_CODES[buf] * power[: len(buf)], out=total[1:])
+    sofar = total[at]
+    slots = np.empty((len(contexts), len(at), 8), np.int64)
+    for i, order in enumerate(contexts):
+        low = begin if order == PAIR else np.maximum(at - order, begin)
+        seen = (sofar - total[low]) * inverse[low] + (at - low).astype(np.uint64) * U64(64) + U64(order + 1)
+        if order == PAIR and before is not None:
+            seen += np.repeat(mix(before), size)
+        np.bitwise_xor((mix(seen) & U64(SLOTS - 1)).view(np.int64)[:, None], nodes, out=slots[i])
+    return slots.reshape(len(contexts), -1), _BITS[byte].ravel(), np.concatenate([[0], np.cumsum(size)]) * 8
+
+
+def _befores(hashed: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Hash of the word before each word; 0 for the first of a text (``first``: where each text starts)."""
+    before = np.zeros(len(hashed), np.uint64)
+    before[1:] = hashed[:-1]
+    before[first[first < len(hashed)]] = 0
+    return before
+
+
+def _squash(z: np.ndarray) -> np.ndarray:
+    p = np.exp(-z)
+    p += 1
+    return np.reciprocal(p, out=p)
 
 
 @dataclass
@@ -102,56 +136,85 @@ class Speller:
         centre = np.linspace(-8, 8, REFINE)
         return cls(counters, counters.copy(), np.full((n + 1, n), 1.0 / n, np.float64), np.tile(1 / (1 + np.exp(-centre)), (n + 1, 1)))
 
-    def inputs(self, slots: np.ndarray, bit: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Logits by context (0 for an unknown context) and the gate; with ``bit``, its own count is left out."""
+    def logits(self, out: bool = False) -> np.ndarray:
+        """Logit of every context and slot, 0 where the context is unknown (and nowhere else); with ``out`` by slot and bit,
+        that bit left out of its own count."""
+        zero, one = self.zeros, self.ones
+        if out:
+            zero = np.stack([np.maximum(zero - 1, 0), zero], axis=2).reshape(len(zero), -1)
+            one = np.stack([one, np.maximum(one - 1, 0)], axis=2).reshape(len(one), -1)
+        found = np.log((one + np.float32(0.2)) / (zero + np.float32(0.2)))
+        found[found == 0] = 1e-9
+        found[zero + one == 0] = 0
+        return found
+
+    @staticmethod
+    def inputs(slots: np.ndarray, table: np.ndarray, bit: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """Logits by context (0 for an unknown context) and the gate, from ``logits()``; with ``bit`` from ``logits(out=True)``."""
         logits = np.empty(slots.shape, np.float32)
-        known = np.zeros(slots.shape[1], np.int64)
-        for i in range(len(CONTEXTS)):
-            zero, one = self.zeros[i][slots[i]], self.ones[i][slots[i]]
-            if bit is not None:
-                zero, one = np.maximum(zero - (bit == 0), 0), np.maximum(one - (bit == 1), 0)
-            logits[i] = np.log((one + 0.2) / (zero + 0.2))
-            known += zero + one > 0
-        return logits, known
+        gate = np.zeros(slots.shape[1], np.int8)
+        for i, at in enumerate(slots):
+            np.take(table[i], at if bit is None else (at << 1) | bit, out=logits[i], mode="clip")
+            gate += logits[i] != 0
+        return logits, gate.astype(np.int64)
 
     def mixed(self, logits: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        return np.clip(np.einsum("ij,ji->j", logits, self.weights[gate]), -8, 8)
-
-    def refined(self, gate: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Probability of a one: the mean of the mixed value and the map's, interpolated between its two buckets."""
-        place = (z + 8) * ((REFINE - 1) / 16)
-        low = np.minimum(place.astype(np.int64), REFINE - 2)
-        part = place - low
-        mapped = self.refine[gate, low] * (1 - part) + self.refine[gate, low + 1] * part
-        return np.clip((1 / (1 + np.exp(-z)) + mapped) / 2, 1e-6, 1 - 1e-6), low, part
-
-    def learn(self, slots: np.ndarray, bit: np.ndarray) -> None:
-        """One online pass: after each small batch the weights take a gradient step and the map moves to what it saw."""
+        weights = self.weights.T.astype(np.float32)
+        z = np.take(weights[0], gate, mode="clip")
+        z *= logits[0]
+        for i in range(1, len(logits)):
+            part = np.take(weights[i], gate, mode="clip")
+            part *= logits[i]
+            z += part
+        return np.clip(z, -8, 8, out=z)
+
+    def refined(self, gate: np.ndarray, z: np.ndarray, plain: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Probability of a one: the mean of the mixed value's (``plain``) and the map's, interpolated between its two buckets."""
+        part = (z + np.float32(8)) * np.float32((REFINE - 1) / 16)
+        low = np.minimum(part.astype(np.int64), REFINE - 2)
+        part -= low.astype(np.float32)
+        at = gate * REFINE + low
+        flat = self.refine.ravel().astype(np.float32)
+        p = np.take(np.append(np.diff(flat), np.float32(0)), at, mode="clip")
+        p *= part
+        p += np.take(flat, at, mode="clip")
+        p += _squash(z) if plain is None else plain
+        p *= np.float32(0.5)
+        return np.clip(p, 1e-6, 1 - 1e-6, out=p), at, part
+
+    def learn(self, slots: np.ndarray, bit: np.ndarray, table: np.ndarray | None = None) -> None:
+        """One online pass: after each small batch the weights take a gradient step and the map moves to what it saw.
+
+        ``table`` is ``logits(out=True)``, where it is known already."""
+        table = self.logits(out=True) if table is None else table
+        gates, cells = np.arange(len(CONTEXTS) + 1), self.refine.size
         for a in range(0, len(bit), BATCH_BITS):
-            part, y = slots[:, a : a + BATCH_BITS], bit[a : a + BATCH_BITS]
-            logits, gate = self.inputs(part, y)
+            y = bit[a : a + BATCH_BITS]
+            logits, gate = self.inputs(slots[:, a : a + BATCH_BITS], table, y)
             z = self.mixed(logits, gate)
-            error = y - 1 / (1 + np.exp(-z))
-            _, low, share = self.refined(gate, z)
-            for g in np.unique(gate):
-                own = gate == g
-                self.weights[g] += STEP * (logits[:, own] @ error[own]) / np.sqrt(own.sum())
-                near = np.where(share[own] < 0.5, low[own], low[own] + 1)
-                n = np.bincount(near, minlength=REFINE)
-                hit = np.bincount(near, weights=y[own], minlength=REFINE)
-                rate = n / (n + 200.0)
-                self.refine[g] += rate * (hit / np.maximum(n, 1) - self.refine[g])
-
-    def cost(self, words: pa.Array) -> np.ndarray:
-        """log10 probability of each word's bytes and ending space."""
+            place = (z + np.float32(8)) * np.float32((REFINE - 1) / 16) + np.float32(0.5)
+            error = y - _squash(z)
+            own = (gate == gates[:, None]).astype(np.float32)
+            logits *= error
+            self.weights += STEP * (own @ logits.T) / np.sqrt(np.maximum(own.sum(axis=1), 1))[:, None]
+            near = (gate * REFINE + np.minimum(place.astype(np.int64), REFINE - 1)) * 2 + y
+            seen = np.bincount(near, minlength=2 * cells).reshape(*self.refine.shape, 2)
+            n = seen.sum(axis=2)
+            self.refine += n / (n + 200.0) * (seen[:, :, 1] / np.maximum(n, 1) - self.refine)
+
+    def cost(self, words: pa.Array, before: np.ndarray | None = None, table: np.ndarray | None = None) -> np.ndarray:
+        """log10 probability of each word's bytes and ending space, after the words ``before``.
+
+        ``table`` is ``logits()``, where it is known already."""
+        table = self.logits() if table is None else table
         out = []
-        for a in range(0, len(words), 4096):
-            slots, bit, first = _bits(words.slice(a, 4096))
-            logits, gate = self.inputs(slots)
+        for a in range(0, len(words), WORDS):
+            slots, bit, first = _bits(words.slice(a, WORDS), None if before is None else before[a : a + WORDS])
+            logits, gate = self.inputs(slots, table)
             p = self.refined(gate, self.mixed(logits, gate))[0]
-            total = np.concatenate([[0], np.cumsum(np.log10(np.where(bit == 1, p, 1 - p)))])
-            out.append(total[first[1:]] - total[first[:-1]])
-        return np.concatenate(out) if out else np.zeros(0)
+            p = np.abs(p - (1 - bit))  # of the bit that came
+            out.append(np.add.reduceat(np.log(p), first[:-1], dtype=np.float64))
+        return np.concatenate(out) / np.log(10) if out else np.zeros(0)
 
 
 def _histograms(words: Words, hashed: np.ndarray) -> np.ndarray:
@@ -321,16 +384,34 @@ def _pack(values: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
             yield i, int(j), spans[:, i, j].tobytes()
 
 
-def _counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bits of the training words, counted by context and slot."""
-    table = np.zeros((2, len(CONTEXTS), SLOTS), np.float32)
+def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, np.ndarray, np.ndarray]]:
+    """The words of the texts, slice by slice, with their hashes and those of the words before them."""
     for batch in batches:
-        for a in range(0, len(batch), 8192):
-            slots, bit, _ = _bits(batch["word"].slice(a, 8192))
-            for i in range(len(CONTEXTS)):
-                for b in (0, 1):
-                    table[b, i] += np.bincount(slots[i][bit == b], minlength=SLOTS)
-    rows = list(_pack(table))
+        for low, high in slices(batch["text"], 1 << 20):
+            words = Words(batch["text"].slice(low, high - low), NON_SPACE, lower=True)
+            hashed = words.hashes()
+            yield words, hashed, _befores(hashed, words.first[:-1])
+
+
+def _pairs(hashed: np.ndarray, before: np.ndarray) -> np.ndarray:
+    """64-bit name of each word after the word before it."""
+    return mix(hashed + mix(before + U64(1)))
+
+
+def _counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Bits of the training texts, counted by context and slot: a word or pair that a slice repeats is counted that often at once."""
+    table = np.zeros((len(CONTEXTS), 2 * SLOTS), np.int64)
+    inner = tuple(c for c in CONTEXTS if c != PAIR)
+    for words, hashed, before in _stream(batches):
+        for contexts, names in ((inner, hashed), ((PAIR,), _pairs(hashed, before))):
+            _, first, often = np.unique(names, return_index=True, return_counts=True)
+            for a in range(0, len(first), COUNTED):
+                at = first[a : a + COUNTED]
+                slots, bit, start = _bits(words.strings(at), before[at], contexts)
+                weight = np.repeat(often[a : a + COUNTED].astype(np.float64), np.diff(start))
+                for context, own in zip(contexts, slots):
+                    table[CONTEXTS.index(context)] += np.bincount(own * 2 + bit, weights=weight, minlength=2 * SLOTS).astype(np.int64)
+    rows = list(_pack(np.stack([table[:, 0::2], table[:, 1::2]])))
     if rows:
         context, span, data = zip(*rows)
         tree = pa.array(np.full(len(rows), TaskContext.get().partitionId() // FAN))
@@ -338,19 +419,21 @@ def _counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _add(rows: pa.Table) -> pa.Table:
-    total = np.sum([np.frombuffer(x, np.float32) for x in rows["data"].to_pylist()], axis=0, dtype=np.float32)
+    total = np.sum([np.frombuffer(x, np.int64) for x in rows["data"].to_pylist()], axis=0, dtype=np.int64)
     return pa.table({"context": rows["context"][:1], "span": rows["span"][:1], "tree": pa.array([0], pa.int64()), "data": pa.array([total.tobytes()], pa.binary())})
 
 
 def _learner(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """The weights and map after an online pass over this partition's words, with the number of bits."""
+        """The weights and map after an online pass over this partition's texts, with the number of bits."""
         zeros, ones, weights, refine = model.value
         speller, n = Speller(zeros, ones, weights.copy(), refine.copy()), 0
-        for batch in batches:
-            for a in range(0, len(batch), 4096):
-                slots, bit, _ = _bits(batch["word"].slice(a, 4096))
-                speller.learn(slots, bit)
+        table = speller.logits(out=True)
+        for words, _, before in _stream(batches):
+            texts = words.strings(np.arange(len(before)))
+            for a in range(0, len(before), WORDS):
+                slots, bit, _ = _bits(texts.slice(a, WORDS), before[a : a + WORDS])
+                speller.learn(slots, bit, table)
                 n += len(bit)
         if n:
             flat = np.concatenate([speller.weights.ravel(), speller.refine.ravel()])
@@ -359,21 +442,22 @@ def _learner(model):
     return run
 
 
-def train_speller(known: DataFrame) -> Speller:
-    """Speller from the distinct training words ``(word)``: counters of all words, then one online pass for weights and map.
+def train_speller(docs: DataFrame) -> Speller:
+    """Speller from the training texts ``(text)``: counters of every bit of every token, then one online pass over the same
+    tokens for weights and map.
 
     Every partition makes its own pass from the same start; the results are averaged by the number of bits.
     """
     speller = Speller.empty()
-    packed = known.select("word").mapInArrow(_counters, _PACKED)
+    packed = docs.select("text").mapInArrow(_counters, _PACKED)
     # Added up in two steps, so that no group holds the counters of all tasks.
     part = packed.groupBy("context", "span", "tree").applyInArrow(_add, _PACKED)
     for row in part.groupBy("context", "span").applyInArrow(_add, _PACKED).toLocalIterator():
-        pair = np.frombuffer(row["data"], np.float32).reshape(2, SPAN)  # at most 2 * len(CONTEXTS) * SLOTS counters in all
+        pair = np.frombuffer(row["data"], np.int64).reshape(2, SPAN)  # at most 2 * len(CONTEXTS) * SLOTS counters in all
         at = slice(row["span"] * SPAN, (row["span"] + 1) * SPAN)
         speller.zeros[row["context"], at], speller.ones[row["context"], at] = pair
-    start = known.sparkSession.sparkContext.broadcast(speller.parts())
-    learnt = known.select("word").mapInArrow(_learner(start), "at long, value double, bits long")
+    start = docs.sparkSession.sparkContext.broadcast(speller.parts())
+    learnt = docs.select("text").mapInArrow(_learner(start), "at long, value double, bits long")
     table = learnt.groupBy("at").agg((F.sum(F.col("value") * F.col("bits")) / F.sum("bits")).alias("value")).orderBy("at").toPandas()
     if len(table):
         flat, n = table["value"].to_numpy(np.float64), speller.weights.size
@@ -382,15 +466,6 @@ def train_speller(known: DataFrame) -> Speller:
     return speller
 
 
-def _speller(model, numbers: list[str]):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            cost = pa.array(Speller(*model.value).cost(batch["word"]).astype(np.float32))
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in numbers), cost], names=[*numbers, "spelling"])
-
-    return run
-
-
 @dataclass
 class Totals:
     """Training tokens, distinct tokens, documents, words seen once; and by class tokens and words, and words seen once or twice."""
@@ -402,8 +477,8 @@ class Totals:
     by_class: np.ndarray
 
 
-def _scorer(t: Totals):
-    """Scores of a block's documents from its words' counts and spelling costs."""
+def _scorer(t: Totals, model):
+    """Scores of a block's documents from its words' counts and the bit mixer."""
     learnt, types, once, twice = (np.maximum(t.by_class[:, i], 0.0) for i in range(4))
     discount = (once + 1) / (once + 2 * twice + 2)
     backoff = np.where(learnt > 0, discount * types / np.maximum(learnt, 1), 1.0)
@@ -414,10 +489,9 @@ def _scorer(t: Totals):
         label = int(docs["class"][0].as_py()) if len(docs) else 0
         order = np.argsort(words["at"].to_numpy())
         c, mine = (words[x].to_numpy()[order].astype(np.float64) for x in ("c", "mine"))
-        spelling = words["spelling"].to_numpy()[order].astype(np.float64)
+        key, texts = words["key"].to_numpy()[order].view(np.uint64), words["word"].combine_chunks().take(pa.array(order))
         base = np.log10((c + 0.5) / (t.tokens + 0.5 * (t.distinct + 1)))
-        rest = (1 - escape) * c / max(t.tokens, 1) + escape * 10.0**spelling
-        static = np.maximum(mine - discount[label], 0) / max(learnt[label], 1) + backoff[label] * rest
+        counted = np.maximum(mine - discount[label], 0) / max(learnt[label], 1) + backoff[label] * (1 - escape) * c / max(t.tokens, 1)
         end = max((t.ends + 0.5) / (t.tokens + 0.5 * (t.distinct + 1)), 1e-9)
         end_base = np.log10((t.ends + 0.5) / (t.tokens + 0.5 * (t.distinct + 1)))
         codec = zstandard.ZstdDecompressor()
@@ -437,22 +511,34 @@ def _scorer(t: Totals):
         before = np.empty(len(flat), np.int64)
         before[rank_order] = np.arange(len(flat)) - run_start
         seen = before / np.maximum(at, 1)
-        prior = static[flat]
+        # The bit mixer's probability of every token: its contexts are the word and the word before, so equal pairs share one.
+        speller, before = Speller(*model.value), _befores(key[flat], first[:-1])
+        _, one, which = np.unique(_pairs(key[flat], before), return_index=True, return_inverse=True)
+        table, costs = speller.logits(), np.empty(len(one))
+        for a in range(0, len(one), COUNTED):
+            at_once = one[a : a + COUNTED]
+            costs[a : a + COUNTED] = speller.cost(texts.take(pa.array(flat[at_once])), before[at_once], table)
+        mixed = 10.0 ** costs[which]
+        prior = counted[flat] + backoff[label] * escape * mixed
         # Blocks of a document double in length; the gate is refined after each.
         level = np.floor(np.log2(at / 16 + 1)).astype(np.int64) if len(flat) else np.zeros(0, np.int64)
-        gate = np.full(len(size), -2.0)
+        gate = np.full((2, len(size)), -2.0)  # of the text itself and the bit mixer, against the vocabulary
         logs = np.zeros(len(flat))
         for step in range(int(level.max()) + 1 if len(flat) else 0):
             own = np.flatnonzero(level == step)
             doc = owner[own]
-            share = np.where(at[own] > 0, 1 / (1 + np.exp(-gate[doc])), 0.0)
-            p = share * seen[own] + (1 - share) * prior[own]
+            odds = np.exp(gate)[:, doc]
+            odds[0] *= at[own] > 0
+            share = odds / (1 + odds.sum(axis=0))
+            experts = np.stack([seen[own], mixed[own]])
+            p = (share * experts).sum(axis=0) + (1 - share.sum(axis=0)) * prior[own]
             logs[own] = np.log10(np.maximum(p, 1e-300))
-            slope = (seen[own] - prior[own]) / np.maximum(p, 1e-300) * share * (1 - share)
+            slope = share * (experts - p) / np.maximum(p, 1e-300)
             n = np.bincount(doc, minlength=len(size))
-            gate += 8.0 * np.bincount(doc, weights=slope, minlength=len(size)) / np.maximum(n, 1)
+            gate += 8.0 * np.stack([np.bincount(doc, weights=x, minlength=len(size)) for x in slope]) / np.maximum(n, 1)
             gate = np.clip(gate, -6, 3)
-        last = np.log10(np.where(size > 0, (1 - 1 / (1 + np.exp(-gate))) * end, end))
+        odds = np.exp(gate)
+        last = np.log10(np.where(size > 0, 1 / (1 + odds.sum(axis=0)) * end, end))
 
         def per_doc(values: np.ndarray) -> np.ndarray:
             total_ = np.concatenate([[0], np.cumsum(values)])
@@ -489,8 +575,8 @@ def score(docs: DataFrame) -> DataFrame:
     rows = blocks.where("key is null").withColumnRenamed("block", "part")
     by_class = [F.sum(F.when(F.col("class") == k, F.col("learnt")).otherwise(0)).alias(f"c{k}") for k in range(CLASSES)]
     # A word has one row per block, so rows are dealt by word before they are added up, without the classes' empty columns.
-    grouped = words.select("key", "class", "learnt", "word").repartition("key").groupBy("key")
-    counts = cut_lineage(grouped.agg(F.min("word").alias("word"), F.sum("learnt").alias("c"), *by_class), "counts", "zstd")
+    grouped = words.select("key", "class", "learnt").repartition("key").groupBy("key")
+    counts = cut_lineage(grouped.agg(F.sum("learnt").alias("c"), *by_class), "counts", "zstd")
     known = counts.where("c > 0")
     each = []
     for k in range(CLASSES):
@@ -500,18 +586,14 @@ def score(docs: DataFrame) -> DataFrame:
     ends = source.where("learn").count()
     table = np.array([[float(sums[f"{x}{k}"] or 0) for x in "nvab"] for k in range(CLASSES)])
     totals = Totals(int(sums["n"] or 0) + ends, int(sums["v"]) + (ends > 0), ends, int(sums["once"]), table)
-    speller = docs.sparkSession.sparkContext.broadcast(train_speller(known).parts())
-    numbers = ["key", "c", *(f"c{k}" for k in range(CLASSES))]
-    spelled = cut_lineage(
-        counts.select(*numbers, "word").mapInArrow(_speller(speller, numbers), ", ".join(f"{x} long" for x in numbers) + ", spelling float"), "spelled", "zstd"
-    )
+    speller = docs.sparkSession.sparkContext.broadcast(train_speller(source.where("learn")).parts())
     mine = F.element_at(F.array(*(f"c{k}" for k in range(CLASSES))), (F.col("class") + 1).cast("int"))
-    wanted = words.select("block", "class", "at", "key").join(spelled, "key").select("block", "at", "c", mine.alias("mine"), "spelling")
+    wanted = words.select("block", "class", "at", "key", "word").join(counts, "key").select("block", "at", "key", "word", "c", mine.alias("mine"))
     return (
         rows.select("part", "class", "doc_id", "held_out", "n_bytes", "tokens").groupBy("part")
         .cogroup(wanted.groupBy("block"))
         .applyInArrow(
-            _scorer(totals),
+            _scorer(totals, speller),
             "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double",
         )
     )

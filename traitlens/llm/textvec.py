@@ -27,7 +27,7 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[0x41:0x5B] += 32
 
 _RNG = np.random.Generator(np.random.PCG64(20240229))
-_BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | U64(1)
+BYTE_CODES = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) | U64(1)
 _BASE = U64(0x9E3779B97F4A7C15 | 1)
 
 
@@ -44,7 +44,7 @@ _INVERSE = U64(pow(int(_BASE), -1, 1 << 64))
 _TABLES = (np.ones(1, np.uint64), np.ones(1, np.uint64))
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """The first ``n`` powers of the hash base and of its inverse modulo 2**64."""
     global _TABLES
     if len(_TABLES[0]) < n:
@@ -57,9 +57,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def range_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit hash of the bytes of each range: prefix sums of position-weighted byte codes, shifted back and mixed."""
-    power, inverse = _powers(len(buf))
+    power, inverse = powers(len(buf))
     total = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(_BYTE[buf] * power[: len(buf)], out=total[1:])
+    np.cumsum(BYTE_CODES[buf] * power[: len(buf)], out=total[1:])
     value = (total[end] - total[start]) * inverse[start]
     return mix(value + (end - start).astype(np.uint64))
 
@@ -103,7 +103,7 @@ class Words:
         """Hash of the ``k`` words from each position; positions too near their text's end are wrong (see ``whole``)."""
         out = np.zeros(len(words), np.uint64)
         for j in range(min(k, len(words))):
-            out[: len(words) - j] += words[j:] * _powers(k + 2)[0][j + 1]
+            out[: len(words) - j] += words[j:] * powers(k + 2)[0][j + 1]
         return mix(out)
 
     def whole(self, k: int) -> np.ndarray:
