@@ -74,15 +74,18 @@ def bind_pictures(request: str, fetch: Fetch) -> str:
     return json.dumps(body, ensure_ascii=False, separators=(",", ":"))
 
 
-def bound_requests(requests_df: DataFrame, pictures: Callable[[], Fetch] = fetch_factory) -> DataFrame:
-    """``(prd_id, request)`` as the model job sends them, pictures included."""
+def bound_requests(requests_df: DataFrame, pictures: Callable[[], Fetch] = fetch_factory, tasks: int | None = None) -> DataFrame:
+    """``(prd_id, request)`` as the model job sends them, pictures included.
+
+    A request without its picture is small, so many lie in one partition; ``tasks`` deals them over so many.
+    """
 
     def job(batches: Iterator) -> Iterator:
         fetch = pictures()
         for pdf in batches:
             yield pdf.assign(request=[bind_pictures(r, fetch) for r in pdf["request"]])
 
-    return requests_df.select("prd_id", "request").mapInPandas(job, "prd_id string, request string")
+    return _with_tasks(requests_df.select("prd_id", "request"), tasks).mapInPandas(job, "prd_id string, request string")
 
 
 def _send(

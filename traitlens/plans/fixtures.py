@@ -35,6 +35,7 @@ FIXTURE_CATEGORY_MAP = {
     FIXTURE_CATEGORY_BASE + "STANDARD": "스탠다드",
 }
 FIXTURE_IMAGE_DIR = "/data/catalog/"
+PICTURE_FOLDERS = 1024
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -103,10 +104,15 @@ def unnamed_catalog(product_raw: DataFrame) -> DataFrame:
     )
 
 
+def _picture_path(key: Column) -> Column:
+    """Path of a picture below its folder: tasks that make files in one folder wait for each other, so there are many."""
+    return F.concat(F.lit("prd_img/"), F.lpad(F.hex(F.pmod(F.xxhash64(key), F.lit(PICTURE_FOLDERS))), 3, "0"), F.lit("/"), key, F.lit(".jpg"))
+
+
 def write_pictures(documents: DataFrame) -> str:
     """Documents as picture files in the staging folder, written by the tasks; every third text length has no file.
 
-    Returns the folder; the file of a document is ``prd_img/<doc_id>.jpg`` in it.  A repeated task writes the same bytes.
+    Returns the folder; the file of a document is ``prd_img/<hash>/<doc_id>.jpg`` in it.  A repeated task writes the same bytes.
     """
     folder = track_staging(staging_path(documents.sparkSession, "pictures"))
 
@@ -115,11 +121,12 @@ def write_pictures(documents: DataFrame) -> str:
 
         save = save_factory()
         for pdf in batches:
-            for key, text in zip(pdf["key"], pdf["text"]):
-                save(f"{folder}/prd_img/{key}.jpg", text.encode())
+            for path, text in zip(pdf["path"], pdf["text"]):
+                if path is not None:
+                    save(f"{folder}/{path}", text.encode())
             yield pd.DataFrame({"n": [len(pdf)]})
 
-    rows = documents.where(F.length("text") % 3 != 0).select(F.col("doc_id").cast("string").alias("key"), "text")
+    rows = documents.where(F.length("text") % 3 != 0).select(_picture_path(F.col("doc_id").cast("string")).alias("path"), "text")
     rows.mapInPandas(write, "n long").agg(F.sum("n")).collect()
     return folder
 
@@ -127,7 +134,7 @@ def write_pictures(documents: DataFrame) -> str:
 def picture_products(documents: DataFrame, folder: str) -> DataFrame:
     """A product per document, with the path its picture should have."""
     key = F.col("doc_id").cast("string")
-    return documents.select(key.alias("prd_id"), F.concat(F.lit(f"{folder}/prd_img/"), key, F.lit(".jpg")).alias("prd_img"))
+    return documents.select(key.alias("prd_id"), F.concat(F.lit(f"{folder}/"), _picture_path(key)).alias("prd_img"))
 
 
 def write_catalog_csv(part: DataFrame) -> str:

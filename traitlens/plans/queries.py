@@ -230,7 +230,7 @@ def q_requests_image(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A request for each document that has a picture file, as it is sent, and a reject for each that has none."""
     reqs, missing = _picture_requests(spark, sf_dir)
     content = "$.messages[1].content"
-    return inference.bound_requests(reqs).select(
+    return inference.bound_requests(reqs, tasks=4 * spark.sparkContext.defaultParallelism).select(
         "prd_id",
         F.get_json_object("request", f"{content}[0].text").alias("question"),
         F.sha2(F.get_json_object("request", f"{content}[1].image_url.url"), 256).alias("url_sha256"),

@@ -44,11 +44,15 @@ def fetch_factory() -> Fetch:
 
 
 def save_factory() -> Callable[[str, bytes], None]:
-    """Writer of whole files, made once a task; folders are made as needed."""
+    """Writer of whole files, made once a task; each folder is made once."""
+    made: set[str] = set()
 
     def save(path: str, content: bytes) -> None:
         system, inside = _open(path)
-        system.create_dir(inside.rpartition("/")[0], recursive=True)
+        folder = path.rpartition("/")[0]
+        if folder not in made:
+            system.create_dir(inside.rpartition("/")[0], recursive=True)
+            made.add(folder)
         with system.open_output_stream(inside) as stream:
             stream.write(content)
 
