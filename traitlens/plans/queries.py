@@ -169,12 +169,16 @@ def _product_raw(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame
 
 
 def _traits(spark: SparkSession, sf_dir: str, side: str, both: bool = False) -> tuple[DataFrame, DataFrame]:
-    """Traits and rejects; parsed once, the tagged rows written, where ``both`` are read."""
-    return traits.extract_traits(fx.replies(_part(spark, sf_dir), side), side, materialize=both)
+    """Traits and rejects; where ``both`` are read, or one twice, the replies are parsed once, by all cores, and the tagged
+    rows written."""
+    part = _part(spark, sf_dir)
+    if both:  # a scan of so narrow a table has few tasks, and parsing is the work
+        part = part.repartition(4 * spark.sparkContext.defaultParallelism)
+    return traits.extract_traits(fx.replies(part, side), side, materialize=both)
 
 
-def _integrated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text, image = (_traits(spark, sf_dir, side)[0] for side in ("text", "image"))
+def _integrated(spark: SparkSession, sf_dir: str, both: bool = False) -> DataFrame:
+    text, image = (_traits(spark, sf_dir, side, both)[0] for side in ("text", "image"))
     return integrate.integrate_traits(_product_raw(spark, sf_dir)[0], text, image)[0]
 
 
@@ -290,7 +294,7 @@ def q_infer_image_traits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _encoded_entities(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Documents through the encoder job; vectors of texts whose length is a multiple of 11 lose their last number (V3)."""
-    docs = cut_lineage(entities.entity_documents(_integrated(spark, sf_dir)), "documents")  # read for the encoder and for the join back
+    docs = cut_lineage(entities.entity_documents(_integrated(spark, sf_dir, both=True)), "documents")  # read for the encoder and for the join back
     encoded = inference.encode_documents(docs, doubles.letter_encoder_factory, text_col="prd_text")
     short = F.when(F.length("prd_text") % 11 == 0, F.slice("embedding", 1, ENCODE_DIM - 1)).otherwise(F.col("embedding"))
     return entities.to_entities(encoded.withColumn("embedding", short), ENCODE_DIM, materialize=True)
