@@ -7,9 +7,11 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from traitlens.llm.decontaminate import winnow
+from traitlens.llm.linking import shingle_sets
 from traitlens.llm import superminhash
 from traitlens.llm.linking import shingle_sets
-from traitlens.llm.textvec import ALNUM, NON_SPACE, Words, slices
+from traitlens.llm.textvec import ALNUM, mix, NON_SPACE, powers, slices, Words
 
 TEXTS = st.lists(st.one_of(st.none(), st.text(st.sampled_from(list("aB é\n\t\x0b日😀1!_ ")), max_size=30)), max_size=6)
 
@@ -61,3 +63,22 @@ def test_short_texts_are_one_shingle():
     sets = shingle_sets(pa.array(["a b", "A  b", "a b c", "", None, "a b c d e", "a b c d e f", "a b a b a b a b a b"]))
     assert [len(s) for s in sets] == [1, 1, 1, 0, 0, 1, 2, 2]
     assert sets[0][0] == sets[1][0] != sets[2][0]
+
+
+def test_grams_and_winnowing_match_plain_loops():
+    rng = np.random.default_rng(4)
+    words = Words(pa.array(["a"]), NON_SPACE, lower=True)
+    for n, k in ((0, 3), (1, 1), (5, 9), (300, 26)):
+        x = rng.integers(0, 40, n).astype(np.uint64)
+        plain = np.zeros(n, np.uint64)
+        for j in range(min(k, n)):
+            plain[: n - j] += x[j:] * powers(k + 2)[0][j + 1]
+        assert (words.grams(x, k) == mix(plain)).all()
+        whole = rng.random(max(0, n - k + 1)) < 0.8
+        kept = {i + max(range(k), key=lambda j: (-int(x[i + j]), j)) for i in np.flatnonzero(whole)}
+        assert winnow(x, whole, k).tolist() == sorted(kept)
+
+
+def test_shingle_sets_are_sorted_and_distinct():
+    sets = shingle_sets(pa.array(["a b c d e f a b c d e f a b c d e", "a b", ""]))
+    assert [len(s) for s in sets] == [6, 1, 0] and all((np.diff(s.astype(object)) > 0).all() for s in sets)

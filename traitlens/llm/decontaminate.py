@@ -44,13 +44,14 @@ def winnow(grams: np.ndarray, whole: np.ndarray, span: int = SPAN) -> np.ndarray
     n = len(grams) - span + 1
     if n <= 0:
         return np.zeros(0, np.int64)
-    least, at = grams[:n].copy(), np.arange(n)
-    for j in range(1, span):
-        right = grams[j : j + n]
-        better = right <= least
-        least[better] = right[better]
-        at[better] = np.flatnonzero(better) + j
-    return np.unique(at[whole])
+    least, at, width = grams, np.arange(len(grams)), 1
+    while width < span:  # least grams of windows twice as long; the last two overlap
+        step = min(width, span - width)
+        at = np.where(least[step:] <= least[:-step], at[step:], at[:-step])
+        least = np.minimum(least[step:], least[:-step])
+        width += step
+    at = at[whole]
+    return at[np.flatnonzero(np.diff(at, prepend=-1))]  # windows of later positions do not keep earlier grams
 
 
 def _context(words: Words, at: np.ndarray, width: int, margin: int) -> tuple[list[str], np.ndarray]:

@@ -63,8 +63,11 @@ def minhash(keys: np.ndarray, first: np.ndarray) -> np.ndarray:
     """``uint32[n, M]`` signatures of the non-empty sets ``keys[first[i]:first[i+1]]``."""
     out = np.empty((len(first) - 1, len(_A)), np.uint32)
     if len(first) > 1:
+        found = np.empty_like(keys)
         for j in range(len(_A)):
-            out[:, j] = np.minimum.reduceat(((keys * _A[j] + _B[j]) >> U64(32)).astype(np.uint32), first[:-1])
+            np.multiply(keys, _A[j], out=found)
+            found += _B[j]
+            out[:, j] = np.minimum.reduceat(found, first[:-1]) >> U64(32)
     return out
 
 

@@ -101,9 +101,14 @@ class Words:
 
     def grams(self, words: np.ndarray, k: int) -> np.ndarray:
         """Hash of the ``k`` words from each position; positions too near their text's end are wrong (see ``whole``)."""
-        out = np.zeros(len(words), np.uint64)
-        for j in range(min(k, len(words))):
-            out[: len(words) - j] += words[j:] * powers(k + 2)[0][j + 1]
+        n = len(words)
+        power, inverse = powers(n + 1)
+        total = np.zeros(n + 1, np.uint64)
+        np.cumsum(words * power[1 : n + 1], out=total[1:])
+        out = np.full(n, total[n])
+        out[: max(n - k + 1, 0)] = total[k:]
+        out -= total[:n]
+        out *= inverse[:n]
         return mix(out)
 
     def whole(self, k: int) -> np.ndarray:
