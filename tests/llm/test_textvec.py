@@ -7,11 +7,10 @@ import pyarrow as pa
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from traitlens.llm.decontaminate import winnow
-from traitlens.llm.linking import shingle_sets
 from traitlens.llm import superminhash
+from traitlens.llm.decontaminate import winnow
 from traitlens.llm.linking import shingle_sets
-from traitlens.llm.textvec import ALNUM, mix, NON_SPACE, powers, slices, Words
+from traitlens.llm.textvec import ALNUM, NON_SPACE, Words, mix, powers, slices
 
 TEXTS = st.lists(st.one_of(st.none(), st.text(st.sampled_from(list("aB é\n\t\x0b日😀1!_ ")), max_size=30)), max_size=6)
 
