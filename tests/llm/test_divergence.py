@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 
 from traitlens.llm import divergence
 
@@ -85,3 +86,26 @@ def test_long_text_and_empty_table(spark):
     rows = [("lorem ipsum dolor " * 60_000, "en", "s1"), ("ipsum lorem", "en", "s2"), ("lorem", "en", "s2"), ("ipsum", "en", "s3")]
     assert result(divergence.audit(frame(spark, rows))) == brute(rows)
     assert divergence.audit(frame(spark, rows).limit(0)).collect() == []
+
+
+def test_counts_of_a_task_are_added_up_before_they_are_dealt(monkeypatch):
+    rng = random.Random(2)
+    rows = [(rng.choice("de"), rng.choice("xyz"), " ".join(rng.choices("abcdefgh", k=30))) for _ in range(400)]
+    batches = [pa.RecordBatch.from_pylist([dict(zip(("lang", "source", "text"), r)) for r in rows[a : a + 50]]) for a in range(0, 400, 50)]
+    for waiting in (1 << 20, 100, 60, 1):
+        monkeypatch.setattr(divergence, "WAITING", waiting)
+        found = [tuple(r.values()) for b in divergence._count(iter(batches)) for r in b.to_pylist()]
+        count, docs = Counter(), Counter()
+        for lang, source, term, n, d in found:
+            count[lang, source, term] += n
+            docs[lang, source, term] += d
+        assert count == Counter((a, b, w) for a, b, t in rows for w in t.split())
+        assert docs == Counter((a, b, w) for a, b, t in rows for w in set(t.split()))
+        if waiting >= 100:  # 48 terms of groups
+            assert len(found) == len(count) == 48
+
+
+def test_terms_are_dealt_once_for_both_groupings(spark):
+    rows = [("red fox", "en", "s1"), ("red hen", "en", "s2")] * 4
+    plan = divergence.term_counts(frame(spark, rows))._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1

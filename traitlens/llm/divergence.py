@@ -34,6 +34,7 @@ MIN_DOCS = 3
 TOP_TERMS = 200
 SCALE = 1_000_000_000
 BLOCK = 4096  # patterns of a block
+WAITING = 1 << 20  # rows of a task's counts that wait to be added up
 SALTS = 32  # parts into which a group's terms are dealt when its totals are joined to them
 
 # Word bytes of [^\x00-\x40\x5B-\x60\x7B-\x7F]+ after lower-casing A-Z.
@@ -41,7 +42,7 @@ LETTERS = np.zeros(256, bool)
 LETTERS[0x61:0x7B] = LETTERS[0x80:] = True
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _slice_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Occurrences and documents of each (lang, source, term) of a slice of texts."""
     for batch in batches:
         for low, high in slices(batch["text"], 1 << 20):
@@ -70,6 +71,28 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             )
 
 
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Occurrences and documents of each (lang, source, term), added up over as many slices as ``WAITING`` rows hold."""
+
+    def added(parts: list[pa.RecordBatch]) -> pa.Table:
+        table = pa.Table.from_batches(parts)
+        sums = table.group_by(["lang", "source", "term"], use_threads=False).aggregate([("count", "sum"), ("docs", "sum")])
+        return sums.select(["lang", "source", "term", "count_sum", "docs_sum"]).rename_columns(table.column_names)
+
+    waiting, n = [], 0
+    for part in _slice_counts(batches):
+        waiting.append(part)
+        n += len(part)
+        if n >= WAITING:
+            table = added(waiting)
+            waiting, n = table.to_batches(), len(table)
+            if n >= WAITING // 2:
+                yield from table.to_batches(max_chunksize=1 << 16)
+                waiting, n = [], 0
+    if waiting:
+        yield from added(waiting).to_batches(max_chunksize=1 << 16)
+
+
 def shares(counts: np.ndarray, total: int) -> np.ndarray:
     """``1 + floor(SCALE * (count + 1) / total)`` for ``total`` = N + V."""
     if len(counts) and int(counts.max()) >= (1 << 63) // SCALE - 1:
@@ -77,6 +100,13 @@ def shares(counts: np.ndarray, total: int) -> np.ndarray:
     return 1 + SCALE * (counts.astype(np.int64) + 1) // total
 
 
+def _starts(first: np.ndarray, n: int) -> np.ndarray:
+    """Where runs start, as flags."""
+    flags = np.zeros(n, bool)
+    flags[first] = True
+    return flags
+
+
 def _compare(key, patterns: pa.Table, groups: pa.Table) -> pa.Table:
     """Ordered pairs of sources with their differences summed over the terms of a block."""
     out = {"lang": [], "source": [], "item": [], "value": []}
@@ -85,27 +115,35 @@ def _compare(key, patterns: pa.Table, groups: pa.Table) -> pa.Table:
         order = pc.sort_indices(groups["source"].combine_chunks())
         names = groups["source"].take(order).to_pylist()
         totals = [n + v for n, v in zip(groups["n"].take(order).to_pylist(), groups["v"].take(order).to_pylist())]
-        at = {name: i for i, name in enumerate(names)}
-        rows = sorted(zip(patterns["pattern"].to_pylist(), patterns["n_terms"].to_pylist()), key=lambda r: [(e["source"].encode(), e["count"]) for e in r[0]])
-        upto = np.concatenate([[0], np.cumsum([n for _, n in rows])])
-        cells: list[tuple[list[int], list[int]]] = [([], []) for _ in names]
-        for i, (pattern, _) in enumerate(rows):
-            for e in pattern:
-                cell = cells[at[e["source"]]]
-                cell[0].append(i)
-                cell[1].append(e["count"])
+        lists = patterns["pattern"].combine_chunks()
+        entry = lists.flatten()
+        place, counts = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy()), entry.field("count").to_numpy()
+        owner = pc.index_in(entry.field("source"), value_set=pa.array(names, pa.string())).to_numpy()
+        by_source = np.argsort(owner, kind="stable")
+        parts = np.split(by_source, np.searchsorted(owner[by_source], np.arange(1, len(names))))
+
+        def column(part: np.ndarray) -> np.ndarray:
+            values = np.zeros(len(lists), np.int64)
+            values[place[part]] = counts[part]
+            return values
+
+        rows = np.arange(len(lists))
+        for part in reversed(parts):
+            rows = rows[np.argsort(column(part)[rows], kind="stable")]
+        upto = np.concatenate([[0], np.cumsum(patterns["n_terms"].to_numpy()[rows])])
         runs = []
-        for (where, counts), total in zip(cells, totals):
-            column = np.zeros(len(rows), np.int64)
-            column[where] = counts
-            first = np.concatenate([[0], np.flatnonzero(column[1:] != column[:-1]) + 1])
-            runs.append((first, shares(column[first], total)))
+        for part, total in zip(parts, totals):
+            values = column(part)[rows]
+            first = np.concatenate([[0], np.flatnonzero(values[1:] != values[:-1]) + 1])
+            runs.append((first, shares(values[first], total)))
         for a, (first_a, share_a) in enumerate(runs):
+            starts_a = _starts(first_a, len(rows))
+            run_a = np.cumsum(starts_a) - 1
             for b in range(a + 1, len(runs)):
                 first_b, share_b = runs[b]
-                cut = np.union1d(first_a, first_b)
-                p = share_a[np.searchsorted(first_a, cut, side="right") - 1]
-                q = share_b[np.searchsorted(first_b, cut, side="right") - 1]
+                starts_b = _starts(first_b, len(rows))
+                cut = np.flatnonzero(starts_a | starts_b)
+                p, q = share_a[run_a[cut]], share_b[(np.cumsum(starts_b) - 1)[cut]]
                 length = np.diff(upto[np.append(cut, len(rows))])
                 square = (p - q) * (p - q)
                 for x, y, base in ((a, b, q), (b, a, p)):
@@ -123,8 +161,9 @@ def _share(count: str, total: str) -> str:
 
 def term_counts(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """Kept terms: ``(lang, term, total, pattern)``, pattern the counts by source in order of the source."""
+    # Dealt by term once, for both groupings.
     found = (
-        docs.mapInArrow(_count, "lang string, source string, term string, count long, docs long")
+        docs.mapInArrow(_count, "lang string, source string, term string, count long, docs long").repartition("lang", "term")
         .groupBy("lang", "source", "term").agg(F.sum("count").alias("count"), F.sum("docs").alias("docs"))
         .groupBy("lang", "term")
         .agg(F.sum("docs").alias("docs"), F.sum("count").alias("total"), F.sort_array(F.collect_list(F.struct("source", "count"))).alias("pattern"))
