@@ -216,3 +216,44 @@ def test_token_costs_match_a_plain_mixer(spark, make_docs):
             total += math.log10(p if bit[at] else 1 - p)
         plain.append(total)
     assert speller.cost(pa.array(words), before) == pytest.approx(plain, rel=1e-4)
+
+
+def some_words(n, seed=3):
+    rng = random.Random(seed)
+    words = ["".join(rng.choice(["an", "b", "é", "日", "x1", "\x00"]) for _ in range(rng.randrange(1, 6))) for _ in range(n)]
+    hashed = mixing.np.array([zlib.crc32(w.encode()) for w in words], "uint64")
+    return pa.array(words), mixing._befores(hashed, mixing.np.array([0, 5, 5, n // 2]))
+
+
+def test_bits_counted_by_half_bytes_equal_counted_bits():
+    words, before = some_words(800)
+    tally = mixing._Tally()
+    for a in (0, 300):
+        tally.count(mixing._Spelt(words[a : a + 300] if a == 0 else words[a:], before[:300] if a == 0 else before[a:]))
+        tally.settle()
+    slots, bit, _ = mixing._bits(words, before)
+    for own, found in zip(slots, tally.table):
+        assert (mixing.np.bincount(own * 2 + bit, minlength=2 * mixing.SLOTS) == found).all()
+
+
+def test_learning_from_words_equals_learning_from_their_bits():
+    words, before = some_words(1500)
+    slots, bit, first = mixing._bits(words, before)
+    plain, fast = mixing.Speller.empty(), mixing.Speller.empty()
+    for i, own in enumerate(slots):
+        plain.zeros[i] = fast.zeros[i] = mixing.np.bincount(own[bit == 0], minlength=mixing.SLOTS)
+        plain.ones[i] = fast.ones[i] = mixing.np.bincount(own[bit == 1], minlength=mixing.SLOTS)
+    for a in range(0, len(words), mixing.WORDS):
+        part = slice(first[a], first[min(a + mixing.WORDS, len(words))])
+        plain.learn(slots[:, part], bit[part])
+    assert fast.learn_words(words, before, fast.logits(out=True), mixing._Desk()) == len(bit)
+    assert abs(plain.weights - fast.weights).max() < 1e-6 and abs(plain.refine - fast.refine).max() < 1e-9
+    assert abs(plain.weights - mixing.Speller.empty().weights).max() > 1e-3
+
+
+def test_distinct_values_whatever_place_they_meet_in():
+    rng = mixing.np.random.default_rng(4)
+    for values in (rng.integers(0, 50, 4000), rng.integers(0, 1 << 60, 3000), mixing.np.zeros(9), mixing.np.arange(1), mixing.np.arange(0)):
+        values = values.astype("uint64")
+        one, which = mixing.distinct(values)
+        assert (values[one][which] == values).all() and len(one) == len(set(values.tolist())) and (mixing.np.diff(one) > 0).all()

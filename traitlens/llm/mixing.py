@@ -40,7 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
-from .textvec import BYTE_CODES, NON_SPACE, U64, Words, mix, powers, slices
+from .textvec import BYTE_CODES, NON_SPACE, U64, Words, distinct, mix, powers, slices
 
 PAIR = -1  # the word so far and the word before it
 CONTEXTS = (0, 1, 2, 3, 5, PAIR)
@@ -55,8 +55,10 @@ BATCH_BITS = 1 << 14
 REFINE = 24
 SPAN = 1 << 10  # slots packed into one row when counters are added up
 FAN = 32  # tasks whose counters are added up in the first step
-WORDS = 1 << 9  # words whose bits are in memory at once
-COUNTED = 1 << 15  # the same, while counting
+WORDS = 1 << 9  # words learnt from at once
+RARE = 8  # a gate of fewer than one in so many bits of a batch is handled apart
+SPELT = 1 << 16  # words whose bytes are in memory at once, while counting and learning
+COUNTED = 1 << 15  # the same, while scoring
 _PACKED = "context long, span long, tree long, data binary"
 
 
@@ -69,6 +71,52 @@ def _nodes() -> np.ndarray:
 
 _NODES = _nodes()
 _BITS = ((np.arange(256)[:, None] >> np.arange(7, -1, -1)) & 1).astype(np.int8)
+_ONES = _BITS.astype(np.float32)
+_OUT_NODES = (_NODES << 1) | _BITS  # of a slot and a bit
+INNER = tuple(i for i, order in enumerate(CONTEXTS) if order != PAIR)
+OUTER = CONTEXTS.index(PAIR)
+# What a window of 8 bytes shows of a word that began so many bytes ago; the space before a word tells short windows apart.
+_REACH = np.array([(1 << (8 * (i + 1))) - 1 for i in range(max(CONTEXTS) + 1)], np.uint64)
+
+
+class _Spelt:
+    """The bytes of words, each word ended by a space.
+
+    ``before`` are the hashes of the words before, 0 where there is none.
+    """
+
+    def __init__(self, words: pa.Array, before: np.ndarray | None = None):
+        side = pa.scalar(" ", pa.large_string())
+        joined = pc.binary_join_element_wise(side, words.cast(pa.large_string()), side, pa.scalar("", pa.large_string()))
+        off = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset : joined.offset + len(joined) + 1]
+        self.buf = np.frombuffer(joined.buffers()[2], np.uint8)[off[0] : off[-1]]
+        off = off - off[0]
+        inside = np.ones(len(self.buf), bool)
+        inside[off[:-1]] = False  # the leading space is context only
+        self.at = np.flatnonzero(inside)
+        self.size = np.diff(off) - 1
+        self.begin = np.repeat(off[:-1], self.size)
+        self.byte = self.buf[self.at]
+        self.first = np.concatenate([[0], np.cumsum(self.size)])
+        self.before = None if before is None else np.repeat(mix(before), self.size)
+        power, self.inverse = powers(len(self.buf))
+        self.total = np.zeros(len(self.buf) + 1, np.uint64)
+        np.cumsum(BYTE_CODES[self.buf] * power[: len(self.buf)], out=self.total[1:])
+
+    def base(self, order: int, which=slice(None)) -> np.ndarray:
+        """Slot of the context of each byte (of those at ``which``); its bits' slots are that one, combined with their nodes."""
+        at, begin = self.at[which], self.begin[which]
+        low = begin if order == PAIR else np.maximum(at - order, begin)
+        seen = (self.total[at] - self.total[low]) * self.inverse[low] + (at - low).astype(np.uint64) * U64(64) + U64(order + 1)
+        if order == PAIR and self.before is not None:
+            seen += self.before[which]
+        return (mix(seen) & U64(SLOTS - 1)).view(np.int64)
+
+    def states(self) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes after the same bytes of their words share their slots in all contexts but the word before: one byte of each
+        such state, and the state of every byte."""
+        window = np.ndarray(len(self.buf), ">u8", np.concatenate([np.zeros(7, np.uint8), self.buf]), strides=(1,))
+        return distinct(window[self.at].astype(np.uint64) & _REACH[np.minimum(self.at - self.begin, len(_REACH) - 1)])
 
 
 def _bits(words: pa.Array, before: np.ndarray | None = None, contexts: tuple[int, ...] = CONTEXTS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -76,30 +124,10 @@ def _bits(words: pa.Array, before: np.ndarray | None = None, contexts: tuple[int
 
     ``before`` are the hashes of the words before, 0 where there is none.
     """
-    side = pa.scalar(" ", pa.large_string())
-    joined = pc.binary_join_element_wise(side, words.cast(pa.large_string()), side, pa.scalar("", pa.large_string()))
-    off = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset : joined.offset + len(joined) + 1]
-    buf = np.frombuffer(joined.buffers()[2], np.uint8)[off[0] : off[-1]]
-    off = off - off[0]
-    inside = np.ones(len(buf), bool)
-    inside[off[:-1]] = False  # the leading space is context only
-    at = np.flatnonzero(inside)
-    size = np.diff(off) - 1
-    begin = np.repeat(off[:-1], size)
-    byte = buf[at]
-    nodes = _NODES[byte]
-    power, inverse = powers(len(buf))
-    total = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(BYTE_CODES[buf] * power[: len(buf)], out=total[1:])
-    sofar = total[at]
-    slots = np.empty((len(contexts), len(at), 8), np.int64)
-    for i, order in enumerate(contexts):
-        low = begin if order == PAIR else np.maximum(at - order, begin)
-        seen = (sofar - total[low]) * inverse[low] + (at - low).astype(np.uint64) * U64(64) + U64(order + 1)
-        if order == PAIR and before is not None:
-            seen += np.repeat(mix(before), size)
-        np.bitwise_xor((mix(seen) & U64(SLOTS - 1)).view(np.int64)[:, None], nodes, out=slots[i])
-    return slots.reshape(len(contexts), -1), _BITS[byte].ravel(), np.concatenate([[0], np.cumsum(size)]) * 8
+    spelt = _Spelt(words, before)
+    nodes = _NODES[spelt.byte]
+    slots = np.stack([spelt.base(order)[:, None] ^ nodes for order in contexts])
+    return slots.reshape(len(contexts), -1), _BITS[spelt.byte].ravel(), spelt.first * 8
 
 
 def _befores(hashed: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -110,8 +138,8 @@ def _befores(hashed: np.ndarray, first: np.ndarray) -> np.ndarray:
     return before
 
 
-def _squash(z: np.ndarray) -> np.ndarray:
-    p = np.exp(-z)
+def _squash(z: np.ndarray, out: np.ndarray) -> np.ndarray:
+    p = np.exp(np.negative(z, out=out), out=out)
     p += 1
     return np.reciprocal(p, out=p)
 
@@ -148,74 +176,167 @@ class Speller:
         found[zero + one == 0] = 0
         return found
 
-    @staticmethod
-    def inputs(slots: np.ndarray, table: np.ndarray, bit: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-        """Logits by context (0 for an unknown context) and the gate, from ``logits()``; with ``bit`` from ``logits(out=True)``."""
-        logits = np.empty(slots.shape, np.float32)
-        gate = np.zeros(slots.shape[1], np.int8)
-        for i, at in enumerate(slots):
-            np.take(table[i], at if bit is None else (at << 1) | bit, out=logits[i], mode="clip")
-            gate += logits[i] != 0
-        return logits, gate.astype(np.int64)
-
-    def mixed(self, logits: np.ndarray, gate: np.ndarray) -> np.ndarray:
-        weights = self.weights.T.astype(np.float32)
-        z = np.take(weights[0], gate, mode="clip")
-        z *= logits[0]
-        for i in range(1, len(logits)):
-            part = np.take(weights[i], gate, mode="clip")
-            part *= logits[i]
-            z += part
-        return np.clip(z, -8, 8, out=z)
-
-    def refined(self, gate: np.ndarray, z: np.ndarray, plain: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Probability of a one: the mean of the mixed value's (``plain``) and the map's, interpolated between its two buckets."""
-        part = (z + np.float32(8)) * np.float32((REFINE - 1) / 16)
-        low = np.minimum(part.astype(np.int64), REFINE - 2)
-        part -= low.astype(np.float32)
-        at = gate * REFINE + low
-        flat = self.refine.ravel().astype(np.float32)
-        p = np.take(np.append(np.diff(flat), np.float32(0)), at, mode="clip")
-        p *= part
-        p += np.take(flat, at, mode="clip")
-        p += _squash(z) if plain is None else plain
-        p *= np.float32(0.5)
-        return np.clip(p, 1e-6, 1 - 1e-6, out=p), at, part
-
-    def learn(self, slots: np.ndarray, bit: np.ndarray, table: np.ndarray | None = None) -> None:
-        """One online pass: after each small batch the weights take a gradient step and the map moves to what it saw.
-
-        ``table`` is ``logits(out=True)``, where it is known already."""
-        table = self.logits(out=True) if table is None else table
-        gates, cells = np.arange(len(CONTEXTS) + 1), self.refine.size
+    def learn(self, slots: np.ndarray, bit: np.ndarray) -> None:
+        """One online pass: after each small batch the weights take a gradient step and the map moves to what it saw."""
+        table, desk = self.logits(out=True), _Desk()
         for a in range(0, len(bit), BATCH_BITS):
             y = bit[a : a + BATCH_BITS]
-            logits, gate = self.inputs(slots[:, a : a + BATCH_BITS], table, y)
-            z = self.mixed(logits, gate)
-            place = (z + np.float32(8)) * np.float32((REFINE - 1) / 16) + np.float32(0.5)
-            error = y - _squash(z)
-            own = (gate == gates[:, None]).astype(np.float32)
-            logits *= error
-            self.weights += STEP * (own @ logits.T) / np.sqrt(np.maximum(own.sum(axis=1), 1))[:, None]
-            near = (gate * REFINE + np.minimum(place.astype(np.int64), REFINE - 1)) * 2 + y
-            seen = np.bincount(near, minlength=2 * cells).reshape(*self.refine.shape, 2)
-            n = seen.sum(axis=2)
-            self.refine += n / (n + 200.0) * (seen[:, :, 1] / np.maximum(n, 1) - self.refine)
+            logits, gate = desk.logits[:, : len(y)], desk.gate[: len(y)]
+            for i, at in enumerate(slots[:, a : a + BATCH_BITS]):
+                np.take(table[i], (at << 1) | y, out=logits[i], mode="clip")
+            gate[:] = (logits != 0).sum(axis=0)
+            desk.y[: len(y)] = y
+            self._step(desk, len(y))
+
+    def learn_words(self, words: pa.Array, before: np.ndarray, table: np.ndarray, desk: _Desk) -> int:
+        """``learn`` from the bits of the words, ``WORDS`` words at a time, with ``table = logits(out=True)``; how many bits."""
+        spelt = _Spelt(words, before)
+        inner, known, state = self.inner(spelt, table, _OUT_NODES, 1)
+        base = spelt.base(PAIR) << 1
+        for a in range(0, len(words), WORDS):
+            high = spelt.first[min(a + WORDS, len(words))]
+            for low in range(spelt.first[a], high, BATCH_BITS // 8):
+                part = slice(low, min(low + BATCH_BITS // 8, high))
+                n = (part.stop - low) * 8
+                for row, values in zip(INNER, inner):
+                    np.take(values, state[part], axis=0, out=desk.bytes(desk.logits[row], n), mode="clip")
+                desk.outer(base[part], spelt.byte[part], _OUT_NODES, table[OUTER])
+                np.take(known, state[part], axis=0, out=desk.bytes(desk.gate, n), mode="clip")
+                desk.gate[:n] += desk.known[:n]
+                np.take(_ONES, spelt.byte[part], axis=0, out=desk.bytes(desk.y, n), mode="clip")
+                self._step(desk, n)
+        return len(spelt.byte) * 8
+
+    @staticmethod
+    def inner(spelt: _Spelt, table: np.ndarray, nodes: np.ndarray, shift: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+        """Logits of each context inside the word by state and bit, how many of them are known, and the state of every byte."""
+        one, state = spelt.states()
+        own = nodes[spelt.byte[one]]
+        logits, known = [np.empty(own.shape, np.float32) for _ in INNER], np.zeros(own.shape, np.uint8)
+        for i, found in zip(INNER, logits):
+            base = spelt.base(CONTEXTS[i], one) << shift
+            for a in range(0, len(one), BATCH_BITS // 8):
+                part = slice(a, a + BATCH_BITS // 8)
+                np.take(table[i], base[part, None] ^ own[part], out=found[part], mode="clip")
+            known += found != 0
+        return logits, known, state
+
+    def _step(self, desk: _Desk, n: int) -> None:
+        """A gradient step from the ``n`` bits on the desk: their logits, gates and values."""
+        logits, gate, y = desk.logits[:, :n], desk.gate[:n], desk.y[:n]
+        z, error, part = desk.z[:n], desk.error[:n], desk.part[:n]
+        weights = self.weights.astype(np.float32)
+        present = []
+        z[:] = 0
+        for g in range(len(weights)):
+            own = np.equal(gate, g, out=desk.own[g, :n])
+            often = np.count_nonzero(own)
+            if often * RARE > n:
+                present.append((g, own, logits, often))
+                np.dot(weights[g], logits, out=part)
+                part *= own
+                z += part
+            elif often:
+                at = np.flatnonzero(own)
+                few = np.take(logits, at, axis=1)
+                present.append((g, at, few, often))
+                z[at] = np.dot(weights[g], few)
+        np.clip(z, -8, 8, out=z)
+        _squash(z, out=error)
+        np.subtract(y, error, out=error)
+        z += np.float32(8)
+        z *= np.float32((REFINE - 1) / 16)
+        z += np.float32(0.5)
+        near = np.floor(z, out=z)
+        near += np.multiply(gate, np.float32(REFINE), out=part)
+        near *= 2
+        near += y
+        np.copyto(desk.at[:n], near, casting="unsafe")
+        for g, own, inputs, often in present:
+            self.weights[g] += STEP * (inputs @ (np.multiply(own, error, out=part) if own.dtype == bool else error[own])) / np.sqrt(often)
+        seen = np.bincount(desk.at[:n], minlength=2 * self.refine.size).reshape(*self.refine.shape, 2)
+        often = seen.sum(axis=2)
+        self.refine += often / (often + 200.0) * (seen[:, :, 1] / np.maximum(often, 1) - self.refine)
 
     def cost(self, words: pa.Array, before: np.ndarray | None = None, table: np.ndarray | None = None) -> np.ndarray:
         """log10 probability of each word's bytes and ending space, after the words ``before``.
 
         ``table`` is ``logits()``, where it is known already."""
         table = self.logits() if table is None else table
-        out = []
-        for a in range(0, len(words), WORDS):
-            slots, bit, first = _bits(words.slice(a, WORDS), None if before is None else before[a : a + WORDS])
-            logits, gate = self.inputs(slots, table)
-            p = self.refined(gate, self.mixed(logits, gate))[0]
-            p = np.abs(p - (1 - bit))  # of the bit that came
-            out.append(np.add.reduceat(np.log(p), first[:-1], dtype=np.float64))
+        desk, out = _Desk(), []
+        for a in range(0, len(words), COUNTED):
+            spelt = _Spelt(words.slice(a, COUNTED), None if before is None else before[a : a + COUNTED])
+            inner, known, state = self.inner(spelt, table, _NODES, 0)
+            # The mixed value by state without a word before, what it gains by a known one, and that one's weight.
+            weights, gate = self.weights.T.astype(np.float32), known.astype(np.int64)
+            alone = sum(np.take(weights[i], gate) * x for i, x in zip(INNER, inner))
+            gain = sum(np.take(weights[i], gate + 1) * x for i, x in zip(INNER, inner)) - alone
+            parts = alone, gain, np.take(weights[OUTER], gate + 1), known
+            base, logs = spelt.base(PAIR), np.empty(2 * len(spelt.byte), np.float32)
+            for low in range(0, len(spelt.byte), BATCH_BITS // 8):
+                part = slice(low, min(low + BATCH_BITS // 8, len(spelt.byte)))
+                n = (part.stop - low) * 8
+                for values, to in zip(parts, (desk.z, desk.part, desk.error, desk.gate)):
+                    np.take(values, state[part], axis=0, out=desk.bytes(to, n), mode="clip")
+                logit = desk.outer(base[part], spelt.byte[part], _NODES, table[OUTER])
+                z, gain = desk.z[:n], desk.part[:n]
+                logit *= desk.error[:n]
+                gain += logit
+                gain *= desk.known[:n]
+                z += gain
+                np.clip(z, -8, 8, out=z)
+                desk.gate[:n] += desk.known[:n]
+                p = self._refined(desk, n)
+                p -= np.take(1 - _ONES, spelt.byte[part], axis=0, out=desk.bytes(desk.y, n), mode="clip").ravel()
+                np.abs(p, out=p)  # of the bit that came
+                p = p[0::2] * p[1::2]
+                np.log(p[0::2] * p[1::2], out=logs[2 * low : 2 * part.stop])
+            out.append(np.add.reduceat(logs, 2 * spelt.first[:-1], dtype=np.float64))
         return np.concatenate(out) / np.log(10) if out else np.zeros(0)
 
+    def _refined(self, desk: _Desk, n: int) -> np.ndarray:
+        """Probability of a one: the mean of the mixed value's and the map's, interpolated between its two buckets."""
+        gate, z, part, low, p = (x[:n] for x in (desk.gate, desk.z, desk.part, desk.error, desk.p))
+        np.add(z, np.float32(8), out=part)
+        part *= np.float32((REFINE - 1) / 16)
+        np.minimum(np.floor(part, out=low), np.float32(REFINE - 2), out=low)
+        part -= low
+        low += np.multiply(gate, np.float32(REFINE), out=p)
+        np.copyto(desk.at[:n], low, casting="unsafe")
+        flat = self.refine.ravel().astype(np.float32)
+        np.take(np.append(np.diff(flat), np.float32(0)), desk.at[:n], out=p, mode="clip")
+        p *= part
+        p += np.take(flat, desk.at[:n], out=part, mode="clip")
+        p += _squash(z, out=part)
+        p *= np.float32(0.5)
+        return np.clip(p, 1e-6, 1 - 1e-6, out=p)
+
+
+class _Desk:
+    """Arrays for a batch of bits, used again for the next one: new ones would cost more than what is done in them."""
+
+    def __init__(self):
+        self.logits = np.empty((len(CONTEXTS), BATCH_BITS), np.float32)
+        self.y, self.z, self.error, self.part, self.p = np.empty((5, BATCH_BITS), np.float32)
+        self.gate = np.empty(BATCH_BITS, np.uint8)
+        self.own = np.empty((len(CONTEXTS) + 1, BATCH_BITS), bool)
+        self.known = np.empty(BATCH_BITS, bool)
+        self.at = np.empty(BATCH_BITS, np.int64)
+
+    @staticmethod
+    def bytes(row: np.ndarray, n: int) -> np.ndarray:
+        """The first ``n`` bits of a row, by byte."""
+        return row[:n].reshape(-1, 8)
+
+    def outer(self, base: np.ndarray, byte: np.ndarray, nodes: np.ndarray, table: np.ndarray) -> np.ndarray:
+        """Logits of the context of the word before; ``known`` tells where there are any."""
+        n = 8 * len(byte)
+        at = np.take(nodes, byte, axis=0, out=self.bytes(self.at, n), mode="clip")
+        at ^= base[:, None]
+        logits = np.take(table, self.at[:n], out=self.logits[OUTER, :n], mode="clip")
+        np.not_equal(logits, 0, out=self.known[:n])
+        return logits
+
 
 def _histograms(words: Words, hashed: np.ndarray) -> np.ndarray:
     """Words of each text by hash bucket."""
@@ -320,7 +441,7 @@ class _Block:
         docs = pa.Table.from_batches(self.rows).combine_chunks()
         n, m = len(docs), len(key)
         codec = zstandard.ZstdCompressor(level=1)
-        tokens = pa.array([codec.compress(which[a:b].view(np.uint8).reshape(-1, 4).T.tobytes()) for a, b in zip(first[:-1], first[1:])], pa.binary())
+        tokens = pa.array([_planes(codec, which[a:b]) for a, b in zip(first[:-1], first[1:])], pa.binary())
         arrays = [*(docs[c].combine_chunks() for c in ("doc_id", "held_out", "n_bytes")), tokens, *(pa.nulls(n, f.type) for f in _BLOCK_SCHEMA[6:])]
         yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block)), pa.array(np.full(n, label)), *arrays], schema=pa.schema(_BLOCK_SCHEMA))
         if m:
@@ -378,10 +499,21 @@ def _blocks(log_theta: np.ndarray, log_prior: np.ndarray):
 
 def _pack(values: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
     """``(context, span, counters)`` of the spans of slots that hold anything."""
+    codec = zstandard.ZstdCompressor(level=1)
     spans = values.reshape(2, len(CONTEXTS), -1, SPAN)
     for i in range(len(CONTEXTS)):
         for j in np.flatnonzero(spans[:, i].any(axis=(0, 2))):
-            yield i, int(j), spans[:, i, j].tobytes()
+            yield i, int(j), _planes(codec, spans[:, i, j])
+
+
+def _planes(codec: zstandard.ZstdCompressor, values: np.ndarray) -> bytes:
+    """Numbers byte by byte of their places, compressed: the upper bytes of small numbers take no room."""
+    return codec.compress(np.ascontiguousarray(values).view(np.uint8).reshape(-1, values.itemsize).T.tobytes())
+
+
+def _unplanes(codec: zstandard.ZstdDecompressor, data: bytes, dtype: type) -> np.ndarray:
+    planes = np.frombuffer(codec.decompress(data), np.uint8).reshape(np.dtype(dtype).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(dtype).ravel()
 
 
 def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, np.ndarray, np.ndarray]]:
@@ -398,19 +530,61 @@ def _pairs(hashed: np.ndarray, before: np.ndarray) -> np.ndarray:
     return mix(hashed + mix(before + U64(1)))
 
 
+class _Tally:
+    """Counters of zeros and ones by context and slot.
+
+    Half bytes are counted by the slot of their context, which their four bits' slots differ from in the last four bits only;
+    ``table`` has them by bit, after ``settle``.
+    """
+
+    def __init__(self):
+        self.halves = np.zeros((len(CONTEXTS), SLOTS * 16), np.int32)
+        self.table = np.zeros((len(CONTEXTS), 2 * SLOTS), np.int64)
+        self.waiting = 0
+
+    def add(self, context: int, base: np.ndarray, byte: np.ndarray, often: np.ndarray) -> None:
+        high = (byte >> 4).astype(np.int64)
+        np.add.at(self.halves[context], (base << 4) | high, often)
+        np.add.at(self.halves[context], ((base ^ ((1 + high) << 4)) << 4) | (byte & 15), often)
+
+    def count(self, spelt: _Spelt) -> None:
+        if self.waiting + len(spelt.byte) >= 1 << 30:  # two halves a byte
+            self.settle()
+        self.waiting += len(spelt.byte)
+        one, state = spelt.states()
+        often = np.bincount(state, minlength=len(one)).astype(np.int32)
+        for i in INNER:
+            self.add(i, spelt.base(CONTEXTS[i], one), spelt.byte[one], often)
+        self.add(OUTER, spelt.base(PAIR), spelt.byte, np.ones(len(spelt.byte), np.int32))
+
+    def settle(self) -> None:
+        slot = np.arange(16)
+        for halves, table in zip(self.halves, self.table):
+            rows = halves.reshape(-1, 16, 16)
+            used = np.flatnonzero(rows.any(axis=(1, 2)))
+            for a in range(0, len(used), 1 << 12):
+                at = used[a : a + (1 << 12)]
+                seen = rows[at].astype(np.int64)  # by the first bits of the half byte: four, then three, two, one
+                bits = np.zeros((len(at), 16, 2), np.int64)
+                for depth in range(3, -1, -1):
+                    for start in range(1 << depth):
+                        bits += seen[:, slot ^ ((1 << depth) | start), 2 * start : 2 * start + 2]
+                    seen = seen[:, :, 0::2] + seen[:, :, 1::2]
+                table.reshape(-1, 16, 2)[at] += bits
+        self.halves[:] = 0
+        self.waiting = 0
+
+
 def _counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Bits of the training texts, counted by context and slot: a word or pair that a slice repeats is counted that often at once."""
-    table = np.zeros((len(CONTEXTS), 2 * SLOTS), np.int64)
-    inner = tuple(c for c in CONTEXTS if c != PAIR)
+    """Bits of the training texts, counted by context and slot: a state that some words repeat is counted that often at once."""
+    tally = _Tally()
     for words, hashed, before in _stream(batches):
-        for contexts, names in ((inner, hashed), ((PAIR,), _pairs(hashed, before))):
-            _, first, often = np.unique(names, return_index=True, return_counts=True)
-            for a in range(0, len(first), COUNTED):
-                at = first[a : a + COUNTED]
-                slots, bit, start = _bits(words.strings(at), before[at], contexts)
-                weight = np.repeat(often[a : a + COUNTED].astype(np.float64), np.diff(start))
-                for context, own in zip(contexts, slots):
-                    table[CONTEXTS.index(context)] += np.bincount(own * 2 + bit, weights=weight, minlength=2 * SLOTS).astype(np.int64)
+        for a in range(0, len(before), SPELT):
+            part = np.arange(a, min(a + SPELT, len(before)))
+            tally.count(_Spelt(words.strings(part), before[part]))
+    tally.settle()
+    table = tally.table
+    del tally
     rows = list(_pack(np.stack([table[:, 0::2], table[:, 1::2]])))
     if rows:
         context, span, data = zip(*rows)
@@ -419,8 +593,11 @@ def _counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _add(rows: pa.Table) -> pa.Table:
-    total = np.sum([np.frombuffer(x, np.int64) for x in rows["data"].to_pylist()], axis=0, dtype=np.int64)
-    return pa.table({"context": rows["context"][:1], "span": rows["span"][:1], "tree": pa.array([0], pa.int64()), "data": pa.array([total.tobytes()], pa.binary())})
+    codec, total = zstandard.ZstdDecompressor(), np.zeros(2 * SPAN, np.int64)
+    for x in rows["data"].to_pylist():
+        total += _unplanes(codec, x, np.int64)
+    data = _planes(zstandard.ZstdCompressor(level=1), total)
+    return pa.table({"context": rows["context"][:1], "span": rows["span"][:1], "tree": pa.array([0], pa.int64()), "data": pa.array([data], pa.binary())})
 
 
 def _learner(model):
@@ -428,13 +605,11 @@ def _learner(model):
         """The weights and map after an online pass over this partition's texts, with the number of bits."""
         zeros, ones, weights, refine = model.value
         speller, n = Speller(zeros, ones, weights.copy(), refine.copy()), 0
-        table = speller.logits(out=True)
+        table, desk = speller.logits(out=True), _Desk()
         for words, _, before in _stream(batches):
-            texts = words.strings(np.arange(len(before)))
-            for a in range(0, len(before), WORDS):
-                slots, bit, _ = _bits(texts.slice(a, WORDS), before[a : a + WORDS])
-                speller.learn(slots, bit, table)
-                n += len(bit)
+            for a in range(0, len(before), SPELT):
+                part = np.arange(a, min(a + SPELT, len(before)))
+                n += speller.learn_words(words.strings(part), before[part], table, desk)
         if n:
             flat = np.concatenate([speller.weights.ravel(), speller.refine.ravel()])
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat), pa.array(np.full(len(flat), n))], names=["at", "value", "bits"])
@@ -452,8 +627,9 @@ def train_speller(docs: DataFrame) -> Speller:
     packed = docs.select("text").mapInArrow(_counters, _PACKED)
     # Added up in two steps, so that no group holds the counters of all tasks.
     part = packed.groupBy("context", "span", "tree").applyInArrow(_add, _PACKED)
+    codec = zstandard.ZstdDecompressor()
     for row in part.groupBy("context", "span").applyInArrow(_add, _PACKED).toLocalIterator():
-        pair = np.frombuffer(row["data"], np.int64).reshape(2, SPAN)  # at most 2 * len(CONTEXTS) * SLOTS counters in all
+        pair = _unplanes(codec, row["data"], np.int64).reshape(2, SPAN)  # at most 2 * len(CONTEXTS) * SLOTS counters in all
         at = slice(row["span"] * SPAN, (row["span"] + 1) * SPAN)
         speller.zeros[row["context"], at], speller.ones[row["context"], at] = pair
     start = docs.sparkSession.sparkContext.broadcast(speller.parts())
@@ -485,18 +661,20 @@ def _scorer(t: Totals, model):
     # Among words new to their class, the share that is new to the corpus as well.
     escape = min(max((t.once + 1) / (once.sum() + 2), 1e-3), 1.0) if t.tokens else 1.0
 
-    def run(docs: pa.Table, words: pa.Table) -> pa.Table:
+    def run(rows: pa.Table, counted: pa.Table) -> pa.Table:
+        named = pc.is_valid(rows["word"])
+        docs, words = rows.filter(pc.invert(named)), rows.filter(named)
         label = int(docs["class"][0].as_py()) if len(docs) else 0
-        order = np.argsort(words["at"].to_numpy())
-        c, mine = (words[x].to_numpy()[order].astype(np.float64) for x in ("c", "mine"))
-        key, texts = words["key"].to_numpy()[order].view(np.uint64), words["word"].combine_chunks().take(pa.array(order))
+        order = np.argsort(counted["at"].to_numpy())
+        c, mine = (counted[x].to_numpy()[order].astype(np.float64) for x in ("c", "mine"))
+        texts = words["word"].combine_chunks().take(pa.array(np.argsort(words["place"].to_numpy())))
+        key = Words(texts, NON_SPACE, lower=False).hashes()
         base = np.log10((c + 0.5) / (t.tokens + 0.5 * (t.distinct + 1)))
         counted = np.maximum(mine - discount[label], 0) / max(learnt[label], 1) + backoff[label] * (1 - escape) * c / max(t.tokens, 1)
         end = max((t.ends + 0.5) / (t.tokens + 0.5 * (t.distinct + 1)), 1e-9)
         end_base = np.log10((t.ends + 0.5) / (t.tokens + 0.5 * (t.distinct + 1)))
         codec = zstandard.ZstdDecompressor()
-        planes = (np.frombuffer(codec.decompress(x), np.uint8) for x in docs["tokens"].to_pylist())
-        tokens = [np.ascontiguousarray(x.reshape(4, -1).T).view(np.int32).ravel() for x in planes]
+        tokens = [_unplanes(codec, x, np.int32) for x in docs["tokens"].to_pylist()]
         size = np.array([len(t) for t in tokens], np.int64)
         flat = np.concatenate([np.zeros(0, np.int32), *tokens]).astype(np.int64)
         first = np.concatenate([[0], np.cumsum(size)])
@@ -513,7 +691,7 @@ def _scorer(t: Totals, model):
         seen = before / np.maximum(at, 1)
         # The bit mixer's probability of every token: its contexts are the word and the word before, so equal pairs share one.
         speller, before = Speller(*model.value), _befores(key[flat], first[:-1])
-        _, one, which = np.unique(_pairs(key[flat], before), return_index=True, return_inverse=True)
+        one, which = distinct(_pairs(key[flat], before))
         table, costs = speller.logits(), np.empty(len(one))
         for a in range(0, len(one), COUNTED):
             at_once = one[a : a + COUNTED]
@@ -572,7 +750,6 @@ def score(docs: DataFrame) -> DataFrame:
     )
     blocks = cut_lineage(source.mapInArrow(_blocks(*fit_classes(source)), _BLOCKS), "blocks", "zstd")
     words = blocks.where("key is not null")
-    rows = blocks.where("key is null").withColumnRenamed("block", "part")
     by_class = [F.sum(F.when(F.col("class") == k, F.col("learnt")).otherwise(0)).alias(f"c{k}") for k in range(CLASSES)]
     # A word has one row per block, so rows are dealt by word before they are added up, without the classes' empty columns.
     grouped = words.select("key", "class", "learnt").repartition("key").groupBy("key")
@@ -588,9 +765,10 @@ def score(docs: DataFrame) -> DataFrame:
     totals = Totals(int(sums["n"] or 0) + ends, int(sums["v"]) + (ends > 0), ends, int(sums["once"]), table)
     speller = docs.sparkSession.sparkContext.broadcast(train_speller(source.where("learn")).parts())
     mine = F.element_at(F.array(*(f"c{k}" for k in range(CLASSES))), (F.col("class") + 1).cast("int"))
-    wanted = words.select("block", "class", "at", "key", "word").join(counts, "key").select("block", "at", "key", "word", "c", mine.alias("mine"))
+    # Only the numbers of a block's words are dealt by word; the words themselves go with the block's documents.
+    wanted = words.select("block", "class", "at", "key").join(counts, "key").select("block", "at", "c", mine.alias("mine"))
     return (
-        rows.select("part", "class", "doc_id", "held_out", "n_bytes", "tokens").groupBy("part")
+        blocks.select(F.col("block").alias("part"), "class", "doc_id", "held_out", "n_bytes", "tokens", F.col("at").alias("place"), "word").groupBy("part")
         .cogroup(wanted.groupBy("block"))
         .applyInArrow(
             _scorer(totals, speller),

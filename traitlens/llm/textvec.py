@@ -64,6 +64,25 @@ def range_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     return mix(value + (end - start).astype(np.uint64))
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One position of each distinct value, in rising order, and for every position the number of its value among them.
+
+    Values that meet another one in their place of the table are sorted.
+    """
+    n = len(values)
+    slot = ((values * _BASE) >> U64(63 - n.bit_length())).view(np.int64)
+    table = np.empty(1 << (n.bit_length() + 1), np.int32 if n < 1 << 31 else np.int64)
+    table[slot] = np.arange(n, dtype=table.dtype)
+    one = np.take(table, slot)
+    rest = np.flatnonzero(values[one] != values)
+    if len(rest):
+        _, first, back = np.unique(values[rest], return_index=True, return_inverse=True)
+        one[rest] = rest[first][back]
+    new = np.zeros(n, bool)
+    new[one] = True
+    return np.flatnonzero(new), (np.cumsum(new) - 1)[one]
+
+
 class Words:
     """Words of a slice of texts: byte ranges, owner text, and first word of each text."""
 
