@@ -18,7 +18,7 @@ probability, in log10 and in bits per byte.
 Everything counted covers every token of every training document (``crc32(doc_id as text) mod 5`` other than 1).  Word counts
 are exact and grow with the corpus; they are joined with the distinct words of each block of documents, never broadcast.  The
 bit predictors live in ``len(CONTEXTS) * SLOTS`` pairs of counters of fixed size (a documented parameter, about 25 MB), which
-is what is broadcast, with ``CLASSES * BUCKETS`` class parameters.  The fit of the classes starts from a fit
+is what is broadcast to learn, and their logits to score, with ``CLASSES * BUCKETS`` class parameters.  The fit of the classes starts from a fit
 to at most ``SEEDS`` documents; its rounds cover all training documents.
 
 Defined results: null texts are empty (one token, the end); every input row gives one row, repeated rows included; rows
@@ -59,6 +59,8 @@ WORDS = 1 << 9  # words learnt from at once
 RARE = 8  # a gate of fewer than one in so many bits of a batch is handled apart
 SPELT = 1 << 16  # words whose bytes are in memory at once, while counting and learning
 COUNTED = 1 << 15  # the same, while scoring
+MIXED = 1 << 17  # tokens of whole texts whose experts are mixed at once
+NEAR = 1 << 14  # numbers worked on at once, so that they stay in a core's cache
 _PACKED = "context long, span long, tree long, data binary"
 
 
@@ -72,6 +74,7 @@ def _nodes() -> np.ndarray:
 _NODES = _nodes()
 _BITS = ((np.arange(256)[:, None] >> np.arange(7, -1, -1)) & 1).astype(np.int8)
 _ONES = _BITS.astype(np.float32)
+_ZEROS = 1 - _ONES
 _OUT_NODES = (_NODES << 1) | _BITS  # of a slot and a bit
 INNER = tuple(i for i, order in enumerate(CONTEXTS) if order != PAIR)
 OUTER = CONTEXTS.index(PAIR)
@@ -80,45 +83,64 @@ _REACH = np.array([(1 << (8 * (i + 1))) - 1 for i in range(max(CONTEXTS) + 1)],
 
 
 class _Spelt:
-    """The bytes of words, each word ended by a space.
+    """The bytes of words, each word ended by a space; what equal words share is worked out once.
 
-    ``before`` are the hashes of the words before, 0 where there is none.
+    ``before`` are the hashes of the words before, 0 where there is none.  ``byte`` and ``first`` are of all words, ``own`` is
+    of the distinct ones, and ``source`` says which of their bytes a byte is.
     """
 
     def __init__(self, words: pa.Array, before: np.ndarray | None = None):
-        side = pa.scalar(" ", pa.large_string())
-        joined = pc.binary_join_element_wise(side, words.cast(pa.large_string()), side, pa.scalar("", pa.large_string()))
+        side, coded = pa.scalar(" ", pa.large_string()), words.cast(pa.large_string()).dictionary_encode()
+        joined = pc.binary_join_element_wise(side, coded.dictionary, side, pa.scalar("", pa.large_string()))
         off = np.frombuffer(joined.buffers()[1], np.int64)[joined.offset : joined.offset + len(joined) + 1]
         self.buf = np.frombuffer(joined.buffers()[2], np.uint8)[off[0] : off[-1]]
         off = off - off[0]
         inside = np.ones(len(self.buf), bool)
         inside[off[:-1]] = False  # the leading space is context only
         self.at = np.flatnonzero(inside)
-        self.size = np.diff(off) - 1
-        self.begin = np.repeat(off[:-1], self.size)
-        self.byte = self.buf[self.at]
-        self.first = np.concatenate([[0], np.cumsum(self.size)])
-        self.before = None if before is None else np.repeat(mix(before), self.size)
+        size = np.diff(off) - 1
+        self.begin = np.repeat(off[:-1], size)
+        self.own = self.buf[self.at]
         power, self.inverse = powers(len(self.buf))
         self.total = np.zeros(len(self.buf) + 1, np.uint64)
         np.cumsum(BYTE_CODES[self.buf] * power[: len(self.buf)], out=self.total[1:])
+        word = coded.indices.to_numpy()
+        self.size = size[word]
+        self.first = np.concatenate([[0], np.cumsum(self.size)])
+        self.source = np.repeat((np.cumsum(size) - size)[word] - self.first[:-1], self.size)
+        self.source += np.arange(len(self.source))
+        self.byte = self.own[self.source]
+        self.before = None if before is None else mix(before)
 
-    def base(self, order: int, which=slice(None)) -> np.ndarray:
-        """Slot of the context of each byte (of those at ``which``); its bits' slots are that one, combined with their nodes."""
+    def seen(self, order: int, which=slice(None)) -> np.ndarray:
+        """What the context of each byte of the distinct words (of those at ``which``) is hashed from, but for the word before."""
         at, begin = self.at[which], self.begin[which]
         low = begin if order == PAIR else np.maximum(at - order, begin)
-        seen = (self.total[at] - self.total[low]) * self.inverse[low] + (at - low).astype(np.uint64) * U64(64) + U64(order + 1)
-        if order == PAIR and self.before is not None:
-            seen += self.before[which]
-        return (mix(seen) & U64(SLOTS - 1)).view(np.int64)
+        return (self.total[at] - self.total[low]) * self.inverse[low] + (at - low).astype(np.uint64) * U64(64) + U64(order + 1)
+
+    def base(self, order: int) -> np.ndarray:
+        """Slot of the context of each byte; its bits' slots are that one, combined with their nodes."""
+        seen = self.seen(order)
+        if order != PAIR or self.before is None:
+            return _slot(seen)[self.source]
+        found = np.empty(len(self.source), np.int64)
+        before = np.repeat(self.before, self.size)
+        for a in range(0, len(found), NEAR):
+            part = slice(a, a + NEAR)
+            found[part] = _slot(seen[self.source[part]] + before[part])
+        return found
 
     def states(self) -> tuple[np.ndarray, np.ndarray]:
         """Bytes after the same bytes of their words share their slots in all contexts but the word before: one byte of each
-        such state, and the state of every byte."""
+        such state, and the state of every byte; both of the distinct words."""
         window = np.ndarray(len(self.buf), ">u8", np.concatenate([np.zeros(7, np.uint8), self.buf]), strides=(1,))
         return distinct(window[self.at].astype(np.uint64) & _REACH[np.minimum(self.at - self.begin, len(_REACH) - 1)])
 
 
+def _slot(seen: np.ndarray) -> np.ndarray:
+    return (mix(seen) & U64(SLOTS - 1)).view(np.int64)
+
+
 def _bits(words: pa.Array, before: np.ndarray | None = None, contexts: tuple[int, ...] = CONTEXTS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For every bit of every word and its ending space: slots by context, the bit; and the first bit of each word.
 
@@ -211,36 +233,43 @@ class Speller:
     def inner(spelt: _Spelt, table: np.ndarray, nodes: np.ndarray, shift: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
         """Logits of each context inside the word by state and bit, how many of them are known, and the state of every byte."""
         one, state = spelt.states()
-        own = nodes[spelt.byte[one]]
+        own = nodes[spelt.own[one]]
         logits, known = [np.empty(own.shape, np.float32) for _ in INNER], np.zeros(own.shape, np.uint8)
         for i, found in zip(INNER, logits):
-            base = spelt.base(CONTEXTS[i], one) << shift
+            base = _slot(spelt.seen(CONTEXTS[i], one)) << shift
             for a in range(0, len(one), BATCH_BITS // 8):
                 part = slice(a, a + BATCH_BITS // 8)
                 np.take(table[i], base[part, None] ^ own[part], out=found[part], mode="clip")
             known += found != 0
-        return logits, known, state
+        return logits, known, state[spelt.source]
 
     def _step(self, desk: _Desk, n: int) -> None:
         """A gradient step from the ``n`` bits on the desk: their logits, gates and values."""
         logits, gate, y = desk.logits[:, :n], desk.gate[:n], desk.y[:n]
         z, error, part = desk.z[:n], desk.error[:n], desk.part[:n]
         weights = self.weights.astype(np.float32)
-        present = []
-        z[:] = 0
-        for g in range(len(weights)):
+        frequent, rare, left = [], [], n
+        for g in range(len(weights) - 1, -1, -1):  # most bits know most of their contexts
             own = np.equal(gate, g, out=desk.own[g, :n])
             often = np.count_nonzero(own)
             if often * RARE > n:
-                present.append((g, own, logits, often))
+                frequent.append((g, own, often))
+            elif often:
+                at = np.flatnonzero(own)
+                rare.append((g, at, np.take(logits, at, axis=1), often))
+            left -= often
+            if not left:
+                break
+        if len(frequent) == 1:  # the rare ones are set right below
+            np.dot(weights[frequent[0][0]], logits, out=z)
+        else:
+            z[:] = 0
+            for g, own, _ in frequent:
                 np.dot(weights[g], logits, out=part)
                 part *= own
                 z += part
-            elif often:
-                at = np.flatnonzero(own)
-                few = np.take(logits, at, axis=1)
-                present.append((g, at, few, often))
-                z[at] = np.dot(weights[g], few)
+        for g, at, few, _ in rare:
+            z[at] = np.dot(weights[g], few)
         np.clip(z, -8, 8, out=z)
         _squash(z, out=error)
         np.subtract(y, error, out=error)
@@ -248,12 +277,22 @@ class Speller:
         z *= np.float32((REFINE - 1) / 16)
         z += np.float32(0.5)
         near = np.floor(z, out=z)
-        near += np.multiply(gate, np.float32(REFINE), out=part)
+        if len(frequent) == 1:
+            near += np.float32(frequent[0][0] * REFINE)
+            for g, at, _, _ in rare:
+                near[at] += np.float32((g - frequent[0][0]) * REFINE)
+        else:
+            near += np.multiply(gate, np.float32(REFINE), out=part)
         near *= 2
         near += y
         np.copyto(desk.at[:n], near, casting="unsafe")
-        for g, own, inputs, often in present:
-            self.weights[g] += STEP * (inputs @ (np.multiply(own, error, out=part) if own.dtype == bool else error[own])) / np.sqrt(often)
+        for g, at, few, often in rare:
+            self.weights[g] += STEP * (few @ error[at]) / np.sqrt(often)
+        if len(frequent) == 1:
+            for _, at, _, _ in rare:
+                error[at] = 0
+        for g, own, often in frequent:
+            self.weights[g] += STEP * (logits @ (error if len(frequent) == 1 else np.multiply(own, error, out=part))) / np.sqrt(often)
         seen = np.bincount(desk.at[:n], minlength=2 * self.refine.size).reshape(*self.refine.shape, 2)
         often = seen.sum(axis=2)
         self.refine += often / (often + 200.0) * (seen[:, :, 1] / np.maximum(often, 1) - self.refine)
@@ -264,59 +303,75 @@ class Speller:
         ``table`` is ``logits()``, where it is known already."""
         table = self.logits() if table is None else table
         desk, out = _Desk(), []
+        outer = self.weights[:, OUTER].astype(np.float32)
+        flat = self.refine.ravel().astype(np.float32)
+        lines = flat, np.append(np.diff(flat), np.float32(0))
         for a in range(0, len(words), COUNTED):
             spelt = _Spelt(words.slice(a, COUNTED), None if before is None else before[a : a + COUNTED])
             inner, known, state = self.inner(spelt, table, _NODES, 0)
-            # The mixed value by state without a word before, what it gains by a known one, and that one's weight.
-            weights, gate = self.weights.T.astype(np.float32), known.astype(np.int64)
-            alone = sum(np.take(weights[i], gate) * x for i, x in zip(INNER, inner))
-            gain = sum(np.take(weights[i], gate + 1) * x for i, x in zip(INNER, inner)) - alone
-            parts = alone, gain, np.take(weights[OUTER], gate + 1), known
+            # The mixed value by state, without a word before and with a known one, but for that one's own part.
+            alone, full = self._mixed(inner, known, 0), self._mixed(inner, known, 1)
             base, logs = spelt.base(PAIR), np.empty(2 * len(spelt.byte), np.float32)
             for low in range(0, len(spelt.byte), BATCH_BITS // 8):
                 part = slice(low, min(low + BATCH_BITS // 8, len(spelt.byte)))
-                n = (part.stop - low) * 8
-                for values, to in zip(parts, (desk.z, desk.part, desk.error, desk.gate)):
-                    np.take(values, state[part], axis=0, out=desk.bytes(to, n), mode="clip")
+                n, here = (part.stop - low) * 8, state[part]
+                for values, to in ((full, desk.z), (known, desk.gate)):
+                    np.take(values, here, axis=0, out=desk.bytes(to, n), mode="clip")
                 logit = desk.outer(base[part], spelt.byte[part], _NODES, table[OUTER])
-                z, gain = desk.z[:n], desk.part[:n]
-                logit *= desk.error[:n]
-                gain += logit
-                gain *= desk.known[:n]
-                z += gain
+                z, gate = desk.z[:n], desk.gate[:n]
+                gate += desk.known[:n]
+                z += np.multiply(logit, outer[-1], out=desk.part[:n])
+                rest = np.flatnonzero(np.not_equal(gate, len(CONTEXTS), out=desk.own[0, :n]))
+                if len(rest):  # some context is unknown
+                    own = here[rest >> 3], rest & 7
+                    z[rest] = np.where(desk.known[rest], full[own] + logit[rest] * outer[gate[rest]], alone[own])
                 np.clip(z, -8, 8, out=z)
-                desk.gate[:n] += desk.known[:n]
-                p = self._refined(desk, n)
-                p -= np.take(1 - _ONES, spelt.byte[part], axis=0, out=desk.bytes(desk.y, n), mode="clip").ravel()
+                p = self._refined(desk, n, rest, *lines)
+                p -= np.take(_ZEROS, spelt.byte[part], axis=0, out=desk.bytes(desk.y, n), mode="clip").ravel()
                 np.abs(p, out=p)  # of the bit that came
                 p = p[0::2] * p[1::2]
                 np.log(p[0::2] * p[1::2], out=logs[2 * low : 2 * part.stop])
             out.append(np.add.reduceat(logs, 2 * spelt.first[:-1], dtype=np.float64))
         return np.concatenate(out) / np.log(10) if out else np.zeros(0)
 
-    def _refined(self, desk: _Desk, n: int) -> np.ndarray:
-        """Probability of a one: the mean of the mixed value's and the map's, interpolated between its two buckets."""
+    def _mixed(self, inner: list[np.ndarray], known: np.ndarray, more: int) -> np.ndarray:
+        """Mixed value of the contexts inside the word, by state and bit, where ``more`` other contexts are known."""
+        weights, usual = self.weights.astype(np.float32), len(INNER)
+        found = weights[usual + more, INNER[0]] * inner[0]
+        for i, logits in zip(INNER[1:], inner[1:]):
+            found += weights[usual + more, i] * logits
+        rest = np.nonzero(known != usual)
+        if len(rest[0]):
+            found[rest] = sum(np.take(weights[:, i], known[rest] + more) * logits[rest] for i, logits in zip(INNER, inner))
+        return found
+
+    def _refined(self, desk: _Desk, n: int, rest: np.ndarray, flat: np.ndarray, rise: np.ndarray) -> np.ndarray:
+        """Probability of a one: the mean of the mixed value's and the map's, interpolated between its two buckets.
+
+        ``rest`` are the bits that do not know all contexts; the map comes as its values and their differences."""
         gate, z, part, low, p = (x[:n] for x in (desk.gate, desk.z, desk.part, desk.error, desk.p))
         np.add(z, np.float32(8), out=part)
         part *= np.float32((REFINE - 1) / 16)
         np.minimum(np.floor(part, out=low), np.float32(REFINE - 2), out=low)
         part -= low
-        low += np.multiply(gate, np.float32(REFINE), out=p)
+        low += np.float32(len(CONTEXTS) * REFINE)
+        if len(rest):
+            low[rest] -= (len(CONTEXTS) - gate[rest].astype(np.float32)) * np.float32(REFINE)
         np.copyto(desk.at[:n], low, casting="unsafe")
-        flat = self.refine.ravel().astype(np.float32)
-        np.take(np.append(np.diff(flat), np.float32(0)), desk.at[:n], out=p, mode="clip")
+        np.take(rise, desk.at[:n], out=p, mode="clip")
         p *= part
         p += np.take(flat, desk.at[:n], out=part, mode="clip")
         p += _squash(z, out=part)
         p *= np.float32(0.5)
-        return np.clip(p, 1e-6, 1 - 1e-6, out=p)
+        return p  # neither near 0 nor near 1, as the mixed value is not
 
 
 class _Desk:
     """Arrays for a batch of bits, used again for the next one: new ones would cost more than what is done in them."""
 
     def __init__(self):
-        self.logits = np.empty((len(CONTEXTS), BATCH_BITS), np.float32)
+        # Rows a little longer than the batch: at a power of two from each other they would share lines of the cache.
+        self.logits = np.empty((len(CONTEXTS), BATCH_BITS + 80), np.float32)[:, :BATCH_BITS]
         self.y, self.z, self.error, self.part, self.p = np.empty((5, BATCH_BITS), np.float32)
         self.gate = np.empty(BATCH_BITS, np.uint8)
         self.own = np.empty((len(CONTEXTS) + 1, BATCH_BITS), bool)
@@ -497,13 +552,13 @@ def _blocks(log_theta: np.ndarray, log_prior: np.ndarray):
     return run
 
 
-def _pack(values: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
-    """``(context, span, counters)`` of the spans of slots that hold anything."""
+def _pack(table: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+    """``(context, span, counters)`` of the spans of slots that hold anything; the table has zeros and ones by context and slot."""
     codec = zstandard.ZstdCompressor(level=1)
-    spans = values.reshape(2, len(CONTEXTS), -1, SPAN)
-    for i in range(len(CONTEXTS)):
-        for j in np.flatnonzero(spans[:, i].any(axis=(0, 2))):
-            yield i, int(j), _planes(codec, spans[:, i, j])
+    for i, counters in enumerate(table):
+        spans = counters.reshape(-1, SPAN, 2)
+        for j in np.flatnonzero(spans.any(axis=(1, 2))):
+            yield i, int(j), _planes(codec, spans[j].T)
 
 
 def _planes(codec: zstandard.ZstdCompressor, values: np.ndarray) -> bytes:
@@ -552,9 +607,9 @@ class _Tally:
             self.settle()
         self.waiting += len(spelt.byte)
         one, state = spelt.states()
-        often = np.bincount(state, minlength=len(one)).astype(np.int32)
+        often = np.bincount(state[spelt.source], minlength=len(one)).astype(np.int32)
         for i in INNER:
-            self.add(i, spelt.base(CONTEXTS[i], one), spelt.byte[one], often)
+            self.add(i, _slot(spelt.seen(CONTEXTS[i], one)), spelt.own[one], often)
         self.add(OUTER, spelt.base(PAIR), spelt.byte, np.ones(len(spelt.byte), np.int32))
 
     def settle(self) -> None:
@@ -562,8 +617,8 @@ class _Tally:
         for halves, table in zip(self.halves, self.table):
             rows = halves.reshape(-1, 16, 16)
             used = np.flatnonzero(rows.any(axis=(1, 2)))
-            for a in range(0, len(used), 1 << 12):
-                at = used[a : a + (1 << 12)]
+            for a in range(0, len(used), NEAR // 256):
+                at = used[a : a + NEAR // 256]
                 seen = rows[at].astype(np.int64)  # by the first bits of the half byte: four, then three, two, one
                 bits = np.zeros((len(at), 16, 2), np.int64)
                 for depth in range(3, -1, -1):
@@ -585,7 +640,7 @@ def _counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     tally.settle()
     table = tally.table
     del tally
-    rows = list(_pack(np.stack([table[:, 0::2], table[:, 1::2]])))
+    rows = list(_pack(table))
     if rows:
         context, span, data = zip(*rows)
         tree = pa.array(np.full(len(rows), TaskContext.get().partitionId() // FAN))
@@ -654,34 +709,25 @@ class Totals:
 
 
 def _scorer(t: Totals, model):
-    """Scores of a block's documents from its words' counts and the bit mixer."""
+    """Scores of a block's documents from its words' counts and the bit mixer (its logits, weights and map)."""
     learnt, types, once, twice = (np.maximum(t.by_class[:, i], 0.0) for i in range(4))
     discount = (once + 1) / (once + 2 * twice + 2)
     backoff = np.where(learnt > 0, discount * types / np.maximum(learnt, 1), 1.0)
     # Among words new to their class, the share that is new to the corpus as well.
     escape = min(max((t.once + 1) / (once.sum() + 2), 1e-3), 1.0) if t.tokens else 1.0
 
-    def run(rows: pa.Table, counted: pa.Table) -> pa.Table:
-        named = pc.is_valid(rows["word"])
-        docs, words = rows.filter(pc.invert(named)), rows.filter(named)
-        label = int(docs["class"][0].as_py()) if len(docs) else 0
-        order = np.argsort(counted["at"].to_numpy())
-        c, mine = (counted[x].to_numpy()[order].astype(np.float64) for x in ("c", "mine"))
-        texts = words["word"].combine_chunks().take(pa.array(np.argsort(words["place"].to_numpy())))
-        key = Words(texts, NON_SPACE, lower=False).hashes()
-        base = np.log10((c + 0.5) / (t.tokens + 0.5 * (t.distinct + 1)))
-        counted = np.maximum(mine - discount[label], 0) / max(learnt[label], 1) + backoff[label] * (1 - escape) * c / max(t.tokens, 1)
-        end = max((t.ends + 0.5) / (t.tokens + 0.5 * (t.distinct + 1)), 1e-9)
-        end_base = np.log10((t.ends + 0.5) / (t.tokens + 0.5 * (t.distinct + 1)))
-        codec = zstandard.ZstdDecompressor()
-        tokens = [_unplanes(codec, x, np.int32) for x in docs["tokens"].to_pylist()]
-        size = np.array([len(t) for t in tokens], np.int64)
-        flat = np.concatenate([np.zeros(0, np.int32), *tokens]).astype(np.int64)
+    end = max((t.ends + 0.5) / (t.tokens + 0.5 * (t.distinct + 1)), 1e-9)
+    end_base = np.log10((t.ends + 0.5) / (t.tokens + 0.5 * (t.distinct + 1)))
+
+    def texts_scores(flat: np.ndarray, mixed: np.ndarray, size: np.ndarray, words: tuple[np.ndarray, ...], label: int) -> tuple[np.ndarray, ...]:
+        """Score, base score and known tokens of some texts, without their ends: from the words and the bit mixer's
+        probability of every token, and ``words``: probability by vocabulary, base and whether it is known, by word."""
+        counted, base, known = words
         first = np.concatenate([[0], np.cumsum(size)])
         owner = np.repeat(np.arange(len(size)), size)
         at = np.arange(len(flat)) - np.repeat(first[:-1], size)
         # How often the document has had the word before: rank among equal (document, word) pairs in order.
-        pair = owner * max(len(c), 1) + flat
+        pair = owner * max(len(known), 1) + flat
         rank_order = np.argsort(pair, kind="stable")
         new = np.ones(len(flat), bool)
         new[1:] = pair[rank_order][1:] != pair[rank_order][:-1]
@@ -689,14 +735,6 @@ def _scorer(t: Totals, model):
         before = np.empty(len(flat), np.int64)
         before[rank_order] = np.arange(len(flat)) - run_start
         seen = before / np.maximum(at, 1)
-        # The bit mixer's probability of every token: its contexts are the word and the word before, so equal pairs share one.
-        speller, before = Speller(*model.value), _befores(key[flat], first[:-1])
-        one, which = distinct(_pairs(key[flat], before))
-        table, costs = speller.logits(), np.empty(len(one))
-        for a in range(0, len(one), COUNTED):
-            at_once = one[a : a + COUNTED]
-            costs[a : a + COUNTED] = speller.cost(texts.take(pa.array(flat[at_once])), before[at_once], table)
-        mixed = 10.0 ** costs[which]
         prior = counted[flat] + backoff[label] * escape * mixed
         # Blocks of a document double in length; the gate is refined after each.
         level = np.floor(np.log2(at / 16 + 1)).astype(np.int64) if len(flat) else np.zeros(0, np.int64)
@@ -722,15 +760,61 @@ def _scorer(t: Totals, model):
             total_ = np.concatenate([[0], np.cumsum(values)])
             return total_[first[1:]] - total_[first[:-1]]
 
-        score = per_doc(logs) + last - np.log10(CLASSES)
+        return per_doc(logs) + last, per_doc(base[flat]), per_doc(known[flat].astype(np.int64))
+
+    def run(rows: pa.Table, counted: pa.Table) -> pa.Table:
+        named = pc.is_valid(rows["word"])
+        docs, words = rows.select(["class", "doc_id", "held_out", "n_bytes", "tokens"]).filter(pc.invert(named)), rows.select(["place", "word"]).filter(named)
+        del rows, named
+        label = int(docs["class"][0].as_py()) if len(docs) else 0
+        order = np.argsort(counted["at"].to_numpy())
+        c, mine = (counted[x].to_numpy()[order].astype(np.float64) for x in ("c", "mine"))
+        texts = words["word"].combine_chunks().take(pa.array(np.argsort(words["place"].to_numpy())))
+        del words, order
+        key = np.concatenate([np.zeros(0, np.uint64), *(Words(texts.slice(a, COUNTED), NON_SPACE, lower=False).hashes() for a in range(0, len(texts), COUNTED))])
+        base = np.log10((c + 0.5) / (t.tokens + 0.5 * (t.distinct + 1)))
+        counted = np.maximum(mine - discount[label], 0) / max(learnt[label], 1) + backoff[label] * (1 - escape) * c / max(t.tokens, 1)
+        codec = zstandard.ZstdDecompressor()
+        tokens = [_unplanes(codec, x.as_py(), np.int32) for chunk in docs["tokens"].chunks for x in chunk]
+        size = np.array([len(x) for x in tokens], np.int64)
+        flat = np.concatenate([np.zeros(0, np.int32), *tokens])
+        del tokens
+        first = np.concatenate([[0], np.cumsum(size)])
+        # The bit mixer's probability of every token: its contexts are the word and the word before, so equal pairs share one.
+        before = np.full(len(flat), len(key), np.int32)  # that many: none
+        before[1:] = flat[:-1]
+        before[first[:-1][size > 0]] = len(key)
+        one, which = distinct(before.astype(np.uint64) * U64(max(len(key), 1)) + flat.astype(np.uint64))
+        # By word, so that the states of a word are met in one go.
+        order = np.argsort(flat[one], kind="stable")
+        place = np.empty(len(one), np.int32)
+        place[order] = np.arange(len(one), dtype=np.int32)
+        which, one = place[which], one[order]
+        word, before = flat[one], np.append(key, U64(0))[before[one]]
+        del key, one, order, place
+        table, weights, refine = model.value
+        speller = Speller(np.zeros(0), np.zeros(0), weights, refine)
+        mixed = np.empty(len(word))
+        for a in range(0, len(word), COUNTED):
+            at_once = slice(a, a + COUNTED)
+            mixed[at_once] = 10.0 ** speller.cost(texts.take(pa.array(word[at_once])), before[at_once], table)
+        del texts, word, before
+        found, low = [(np.zeros(0), np.zeros(0), np.zeros(0, np.int64))], 0
+        while low < len(size):  # whole texts, some at a time
+            high = max(low + 1, int(np.searchsorted(first, first[low] + MIXED, side="right")) - 1)
+            part = slice(first[low], first[high])
+            found.append(texts_scores(flat[part].astype(np.int64), mixed[which[part]], size[low:high], (counted, base, c > 0), label))
+            low = high
+        score, base, known = (np.concatenate(x) for x in zip(*found))
+        score -= np.log10(CLASSES)
         return pa.table(
             {
                 "doc_id": docs["doc_id"],
                 "held_out": docs["held_out"],
                 "n_tokens": pa.array(size + 1),
-                "n_known": pa.array(per_doc((c > 0)[flat].astype(np.int64)).astype(np.int64) + int(t.ends > 0)),
+                "n_known": pa.array(known + int(t.ends > 0)),
                 "train_tokens": pa.array(np.full(len(size), t.tokens)),
-                "base_score": pa.array(per_doc(base[flat]) + end_base),
+                "base_score": pa.array(base + end_base),
                 "score": pa.array(score),
                 "bits_per_byte": pa.array(-score / np.log10(2) / np.maximum(docs["n_bytes"].to_numpy() + 1, 1)),
             }
@@ -763,7 +847,9 @@ def score(docs: DataFrame) -> DataFrame:
     ends = source.where("learn").count()
     table = np.array([[float(sums[f"{x}{k}"] or 0) for x in "nvab"] for k in range(CLASSES)])
     totals = Totals(int(sums["n"] or 0) + ends, int(sums["v"]) + (ends > 0), ends, int(sums["once"]), table)
-    speller = docs.sparkSession.sparkContext.broadcast(train_speller(source.where("learn")).parts())
+    speller = train_speller(source.where("learn"))
+    model = docs.sparkSession.sparkContext.broadcast((speller.logits(), speller.weights, speller.refine))
+    del speller
     mine = F.element_at(F.array(*(f"c{k}" for k in range(CLASSES))), (F.col("class") + 1).cast("int"))
     # Only the numbers of a block's words are dealt by word; the words themselves go with the block's documents.
     wanted = words.select("block", "class", "at", "key").join(counts, "key").select("block", "at", "c", mine.alias("mine"))
@@ -771,7 +857,7 @@ def score(docs: DataFrame) -> DataFrame:
         blocks.select(F.col("block").alias("part"), "class", "doc_id", "held_out", "n_bytes", "tokens", F.col("at").alias("place"), "word").groupBy("part")
         .cogroup(wanted.groupBy("block"))
         .applyInArrow(
-            _scorer(totals, speller),
+            _scorer(totals, model),
             "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, bits_per_byte double",
         )
     )
