@@ -571,10 +571,10 @@ def _unplanes(codec: zstandard.ZstdDecompressor, data: bytes, dtype: type) -> np
     return np.ascontiguousarray(planes.T).view(dtype).ravel()
 
 
-def _stream(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Words, np.ndarray, np.ndarray]]:
+def _stream(batches: Iterator[pa.RecordBatch], size: int = 1 << 20) -> Iterator[tuple[Words, np.ndarray, np.ndarray]]:
     """The words of the texts, slice by slice, with their hashes and those of the words before them."""
     for batch in batches:
-        for low, high in slices(batch["text"], 1 << 20):
+        for low, high in slices(batch["text"], size):
             words = Words(batch["text"].slice(low, high - low), NON_SPACE, lower=True)
             hashed = words.hashes()
             yield words, hashed, _befores(hashed, words.first[:-1])
@@ -593,7 +593,7 @@ class _Tally:
     """
 
     def __init__(self):
-        self.halves = np.zeros((len(CONTEXTS), SLOTS * 16), np.int32)
+        self.halves = [np.zeros(SLOTS * 16, np.int32) for _ in CONTEXTS]
         self.table = np.zeros((len(CONTEXTS), 2 * SLOTS), np.int64)
         self.waiting = 0
 
@@ -614,8 +614,8 @@ class _Tally:
 
     def settle(self) -> None:
         slot = np.arange(16)
-        for halves, table in zip(self.halves, self.table):
-            rows = halves.reshape(-1, 16, 16)
+        for i, table in enumerate(self.table):
+            rows = self.halves[i].reshape(-1, 16, 16)
             used = np.flatnonzero(rows.any(axis=(1, 2)))
             for a in range(0, len(used), NEAR // 256):
                 at = used[a : a + NEAR // 256]
@@ -626,14 +626,15 @@ class _Tally:
                         bits += seen[:, slot ^ ((1 << depth) | start), 2 * start : 2 * start + 2]
                     seen = seen[:, :, 0::2] + seen[:, :, 1::2]
                 table.reshape(-1, 16, 2)[at] += bits
-        self.halves[:] = 0
+            del rows
+            self.halves[i] = np.zeros(SLOTS * 16, np.int32)  # a new one: zeros that are written take memory, even where none was used
         self.waiting = 0
 
 
 def _counters(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Bits of the training texts, counted by context and slot: a state that some words repeat is counted that often at once."""
     tally = _Tally()
-    for words, hashed, before in _stream(batches):
+    for words, hashed, before in _stream(batches, 1 << 18):  # short slices: the counters take much memory already
         for a in range(0, len(before), SPELT):
             part = np.arange(a, min(a + SPELT, len(before)))
             tally.count(_Spelt(words.strings(part), before[part]))
