@@ -111,3 +111,15 @@ def test_edges_are_diverse_and_bounded():
         assert len(set(edges.tolist())) == len(edges) and node not in edges
     ids, dist = graph.search(x[:50], 32)
     assert (ids[:, 0] == np.arange(50)).mean() >= 0.95 and (np.diff(dist, axis=1) >= 0).all()
+
+
+def test_chunks_are_not_collected_by_the_driver(spark, monkeypatch):
+    monkeypatch.setattr(annindex, "SHARD", 40)
+    monkeypatch.setattr(annindex, "QUERIES", 5)
+    rng = np.random.default_rng(8)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(200)]
+    found = annindex.nearest(frame(spark, rows), F.col("vec_id") % 4 == 0)
+    assert recall(result(found), brute(rows, 4)) >= 0.97
+    # the chunks' files are far below the broadcast threshold here, as they can be when their rows, once a shard, are not
+    plan = found._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan

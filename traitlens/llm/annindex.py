@@ -7,7 +7,8 @@ are chosen; edges are also laid backwards, and a node with too many is pruned ag
 the edges on the whole graph.  Every row is indexed, none sampled; equal vectors of a shard are one node with all its ids.
 
 A query, in chunks of ``QUERIES``, is searched in every shard; the nodes of its last beam are scored again in double
-precision on the original vectors, and the best of all shards win.  A task holds one shard and one chunk at a time.
+precision on the original vectors, and the best of all shards win.  A task holds one shard and one chunk at a time; chunks
+and shards meet in a merge join, whatever the size of their files, so the driver holds none of them.
 Recall against brute force is measured in the tests and the README.
 
 Defined results: vectors that are null, empty, zero or hold null or non-finite components take no part, neither as queries;
@@ -285,6 +286,7 @@ def nearest(embeddings: DataFrame, query: Column, k: int = 5, beam: int = BEAM)
     chunks = cut_lineage(rows.where("query").select("vec_id", "dim", "data").mapInArrow(_chunks, _CHUNKS), "queries")
     parts = shards.select(F.max("part").alias("last")).first()["last"]
     everywhere = chunks.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts or 0))))
-    found = everywhere.join(shards, "part").where("dim = chunk_dim").mapInArrow(_search(k, beam), _FOUND)
+    # The planner knows the size of the chunks' files, not that each chunk comes once a shard: without the hint it broadcasts them all.
+    found = everywhere.join(shards.hint("merge"), "part").where("dim = chunk_dim").mapInArrow(_search(k, beam), _FOUND)
     order = Window.partitionBy("chunk", "pos").orderBy(F.desc("score"), F.col("vec_id").asc_nulls_last())
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
